@@ -45,7 +45,8 @@ ORDERS = SeriesSpec(("o_custkey",), ("o_orderdate", "o_orderkey"), "o_totalprice
 
 
 def _zscore_sql(select_cols: str, src: str, part: str, order: str, value: str,
-                window: int = 100, thr: float = 3.0, min_hist: int = 10) -> str:
+                window: int = 100, thr: float = 3.0, min_hist: int = 10, digits: int | None = 6) -> str:
+    rnd, end = ("round(", ", 6)") if digits else ("(", ")")
     return f"""
 WITH s AS (
   SELECT *, row_number() OVER w0 AS rn, avg({value}) OVER w AS m, stddev_pop({value}) OVER w AS sd
@@ -56,8 +57,8 @@ WITH s AS (
 SELECT {select_cols},
   CASE WHEN rn - 1 < {min_hist} OR sd IS NULL OR sd = 0 THEN false
        ELSE abs(({value} - m) / sd) > {thr} END AS is_anomaly,
-  round(CASE WHEN rn - 1 < {min_hist} OR sd IS NULL OR sd = 0 THEN 0.0
-       ELSE least(abs(({value} - m) / sd) / {thr}, 1.0) END, 6) AS anomaly_score,
+  {rnd}CASE WHEN rn - 1 < {min_hist} OR sd IS NULL OR sd = 0 THEN 0.0
+       ELSE least(abs(({value} - m) / sd) / {thr}, 1.0) END{end} AS anomaly_score,
   CASE WHEN rn - 1 < {min_hist} THEN 'statistical' ELSE 'zscore' END AS anomaly_type
 FROM s"""
 
@@ -132,3 +133,111 @@ def rolling_iqr_events(spark, sf):
 def rolling_iqr_orders(spark, sf):
     out = st.rolling_iqr(tb.orders_series(spark, sf), ORDERS, window_size=20, threshold=1.5)
     return out.select("o_orderkey", "o_custkey", "o_totalprice", *detection_cols())
+
+
+# ---------------------------------------------------------------- shared result table
+# z-score results over events keyed by event type: the "results table" that the
+# monitoring reads (statistics, trend, recent anomalies) run on.
+ZRES_SQL = _zscore_sql("event_id, timestamp, source, metric, value", EVENTS_BY_TYPE_SQL, "source",
+                       "timestamp, event_id", "value", digits=None)
+
+
+def zscore_results(spark, sf):
+    return st.rolling_zscore(tb.readings(spark, sf, "event_type"), EVENTS_BY_TYPE)
+
+
+def _stats_sql(group: str = "", select: str = "") -> str:
+    gb = f"GROUP BY {group}" if group else ""
+    return f"""
+SELECT {select}count(*) AS processed_count,
+       count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       round(coalesce(count(*) FILTER (WHERE is_anomaly) / nullif(count(*), 0), 0.0), 6) AS anomaly_rate,
+       round(coalesce(count(*) FILTER (WHERE is_anomaly) / nullif(count(*), 0), 0.0) * 100.0, 6)
+         AS anomaly_rate_pct
+FROM ({ZRES_SQL}) r {gb}"""
+
+
+def _round_rates(df, *cols):
+    return df.withColumns({c: r6(c) for c in cols})
+
+
+@register("flagship_zscore_statistics", _stats_sql("source", "source, "))
+def flagship_zscore_statistics(spark, sf):
+    from tidemark.operators import aggregates as ag
+    out = ag.processing_statistics(zscore_results(spark, sf), ["source"])
+    return _round_rates(out, "anomaly_rate", "anomaly_rate_pct")
+
+
+@register("processing_statistics", _stats_sql())
+def processing_statistics_q(spark, sf):
+    from tidemark.operators import aggregates as ag
+    return _round_rates(ag.processing_statistics(zscore_results(spark, sf)), "anomaly_rate", "anomaly_rate_pct")
+
+
+@register("anomalies_by_source", _stats_sql("source", "source, "))
+def anomalies_by_source_q(spark, sf):
+    from tidemark.operators import aggregates as ag
+    return _round_rates(ag.anomalies_by_source(zscore_results(spark, sf)), "anomaly_rate", "anomaly_rate_pct")
+
+
+@register("dashboard_statistics", f"""
+SELECT count(*) AS total_processed, count(*) FILTER (WHERE is_anomaly) AS total_anomalies,
+       max(timestamp) AS last_update,
+       round(coalesce(count(*) FILTER (WHERE is_anomaly) / nullif(count(*), 0), 0.0) * 100.0, 6) AS anomaly_rate
+FROM ({ZRES_SQL}) r""")
+def dashboard_statistics_q(spark, sf):
+    from tidemark.operators import aggregates as ag
+    return _round_rates(ag.dashboard_statistics(zscore_results(spark, sf)), "anomaly_rate")
+
+
+@register("anomaly_trend_daily", f"""
+SELECT time_bucket(INTERVAL '1 day', timestamp) AS window_start, source,
+       count(*) AS processed_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       round(count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*), 6) AS anomaly_rate_pct
+FROM ({ZRES_SQL}) r GROUP BY 1, 2""")
+def anomaly_trend_daily(spark, sf):
+    from tidemark.operators import aggregates as ag
+    out = ag.anomaly_trend(zscore_results(spark, sf), duration="1 day", keys=["source"])
+    return _round_rates(out, "anomaly_rate_pct")
+
+
+@register("recent_anomalies", f"""
+SELECT event_id, timestamp, source, value, round(anomaly_score, 6) AS anomaly_score
+FROM ({ZRES_SQL}) r WHERE is_anomaly ORDER BY timestamp DESC, event_id DESC LIMIT 100""")
+def recent_anomalies_q(spark, sf):
+    from tidemark.operators import topk
+    out = topk.recent_anomalies(zscore_results(spark, sf), 100)
+    return out.select("event_id", "timestamp", "source", "value", r6("anomaly_score").alias("anomaly_score"))
+
+
+@register("recent_anomalies_per_source", f"""
+SELECT * FROM (
+  SELECT event_id, timestamp, source, value, round(anomaly_score, 6) AS anomaly_score,
+         row_number() OVER (PARTITION BY source ORDER BY timestamp DESC, event_id DESC) AS recency_rank
+  FROM ({ZRES_SQL}) r WHERE is_anomaly) t
+WHERE recency_rank <= 5""")
+def recent_anomalies_per_source_q(spark, sf):
+    from tidemark.operators import topk
+    out = topk.recent_per_source(zscore_results(spark, sf), 5)
+    return out.select("event_id", "timestamp", "source", "value", r6("anomaly_score").alias("anomaly_score"),
+                      F.col("recency_rank").cast("bigint").alias("recency_rank"))
+
+
+# ---------------------------------------------------------------- D1 window statistics
+def _wstats_sql(width: str) -> str:
+    return f"""
+SELECT time_bucket(INTERVAL '{width}', ts) AS window_start,
+       time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}' AS window_end,
+       event_type AS source, round(avg(value), 6) AS avg_value, round(stddev_samp(value), 6) AS std_value,
+       count(value) AS count
+FROM events GROUP BY 1, 2, 3"""
+
+
+def _wstats(spark, sf, width):
+    from tidemark.operators import aggregates as ag
+    out = ag.window_stats(tb.readings(spark, sf, "event_type"), duration=width, keys=["source"])
+    return _round_rates(out, "avg_value", "std_value")
+
+
+for _w, _n in (("1 minute", "1m"), ("1 hour", "1h"), ("1 day", "1d")):
+    register(f"window_stats_{_n}", _wstats_sql(_w))(lambda spark, sf, _w=_w: _wstats(spark, sf, _w))
