@@ -58,9 +58,7 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     bucket_col = bucket_col or order[0]
 
     num = order_number(F.col(bucket_col), df.schema[bucket_col].dataType)
-    sizes = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
-             .where(F.col("_n") > hot_key_rows))
+    sizes = bucket_sizes(df, keys, num, chunk_rows).where(F.col("_n") > hot_key_rows)
     # one small action: the number of hot keys is at most rows / hot_key_rows
     n_hot = sizes.count()
     if n_hot == 0:
@@ -68,9 +66,6 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     # the number of buckets per hot key is chosen so that a bucket holds about
     # chunk_rows rows on average; the bucket table stays small
-    sizes = sizes.withColumn(
-        "_width", F.greatest((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(chunk_rows)),
-                             F.lit(1e-9)))
     sizes = sizes.select(*keys, "_lo", "_width", F.lit(True).alias("_hot"))
     if n_hot <= BROADCAST_KEY_LIMIT:
         sizes = F.broadcast(sizes)
@@ -87,20 +82,57 @@ def _plain(df: DataFrame, keys, order, columns) -> DataFrame:
     return df.withColumns(columns(w))
 
 
-def _chunked(df: DataFrame, keys, order, columns, halo_before, halo_after,
-             bucket_col, num, chunk_rows) -> DataFrame:
+def bucket_sizes(df: DataFrame, keys, num: Column, chunk_rows: int) -> DataFrame:
+    """Per key: row count, range of the bucketed order value and a bucket width
+    that puts about ``chunk_rows`` rows into a bucket."""
+    grouped = df.groupBy(*keys) if keys else df.groupBy()
+    s = grouped.agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
+    return s.withColumn("_width", F.greatest(
+        (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(chunk_rows)), F.lit(1e-9)))
+
+
+def positions(df: DataFrame, keys, order, bucket_col: str | None = None,
+              chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """1-based position ``_rn`` of every row inside its key (``keys`` may be
+    empty: a global position), without sorting a key in one task.
+
+    Buckets of the order value are counted (small table), offsets come from a
+    running sum over the bucket table and ``row_number`` runs per bucket.
+    """
+    keys, order = list(keys), list(order)
+    bucket_col = bucket_col or order[0]
+    num = order_number(F.col(bucket_col), df.schema[bucket_col].dataType)
+    if sizes is None:
+        sizes = bucket_sizes(df, keys, num, chunk_rows).select(*keys, "_lo", "_width")
+    if not keys:
+        # global position: the size table is a single row of two numbers
+        r = sizes.first()
+        lo, width = (r["_lo"], r["_width"]) if r and r["_lo"] is not None else (0.0, 1.0)
+        df = df.withColumns({"_lo": F.lit(lo), "_width": F.lit(width)})
+    else:
+        df = df.join(sizes, keys, "inner")
+    return _positions(df, keys, order, bucket_col, num)
+
+
+def _positions(df: DataFrame, keys, order, bucket_col, num) -> DataFrame:
     lead = order[: order.index(bucket_col)]  # exact order columns before the bucketed one
     df = df.withColumn("_b", F.floor((num - F.col("_lo")) / F.col("_width")).cast("bigint"))
     bkeys = keys + lead + ["_b"]
     counts = df.groupBy(*bkeys).agg(F.count(F.lit(1)).alias("_bn"))
+    # the bucket table has about rows / chunk_rows rows; a running sum over it
+    # is cheap even when it is not split by key
     wb = Window.partitionBy(*keys).orderBy(*(lead + ["_b"])).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*bkeys, F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
-    # bucket count table: about (hot rows / chunk_rows) rows, joined on the same
-    # keys the row_number below partitions by, so both share one exchange
+    # joined on the keys the row_number below partitions by: one exchange for both
     df = df.join(offsets, bkeys, "inner")
     wrow = Window.partitionBy(*bkeys).orderBy(*order)
     df = df.withColumn(RN, F.col("_off") + F.row_number().over(wrow))
-    df = df.drop("_lo", "_width", "_hot", "_b", "_off")
+    return df.drop("_lo", "_width", "_hot", "_b", "_off", "_n", "_hi")
+
+
+def _chunked(df: DataFrame, keys, order, columns, halo_before, halo_after,
+             bucket_col, num, chunk_rows) -> DataFrame:
+    df = _positions(df, keys, order, bucket_col, num)
 
     # deal positions into chunks; copy border rows into the neighbour chunks
     idx = (F.col(RN) - 1) % chunk_rows

@@ -34,6 +34,17 @@ def r6(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def dec6(c):
+    """Round to 6 places through DECIMAL(38,10): exact ties (means of 2-decimal
+    values) and last-bit summation differences round the same way in both engines."""
+    return F.round((F.col(c) if isinstance(c, str) else c).cast("decimal(38,10)"), 6).cast("double")
+
+
+def D6(expr: str) -> str:
+    """SQL twin of ``dec6``."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), 6) AS DOUBLE)"
+
+
 def detection_cols():
     return ["is_anomaly", r6("anomaly_score").alias("anomaly_score"), "anomaly_type"]
 
@@ -228,7 +239,7 @@ def _wstats_sql(width: str) -> str:
     return f"""
 SELECT time_bucket(INTERVAL '{width}', ts) AS window_start,
        time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}' AS window_end,
-       event_type AS source, round(avg(value), 6) AS avg_value, round(stddev_samp(value), 6) AS std_value,
+       event_type AS source, {D6("avg(value)")} AS avg_value, {D6("stddev_samp(value)")} AS std_value,
        count(value) AS count
 FROM events GROUP BY 1, 2, 3"""
 
@@ -236,8 +247,258 @@ FROM events GROUP BY 1, 2, 3"""
 def _wstats(spark, sf, width):
     from tidemark.operators import aggregates as ag
     out = ag.window_stats(tb.readings(spark, sf, "event_type"), duration=width, keys=["source"])
-    return _round_rates(out, "avg_value", "std_value")
+    return out.withColumns({"avg_value": dec6("avg_value"), "std_value": dec6("std_value")})
 
 
 for _w, _n in (("1 minute", "1m"), ("1 hour", "1h"), ("1 day", "1d")):
     register(f"window_stats_{_n}", _wstats_sql(_w))(lambda spark, sf, _w=_w: _wstats(spark, sf, _w))
+
+
+# ---------------------------------------------------------------- B9 / B11 scaling and features
+def _u(expr: str) -> str:
+    """DuckDB twin of ``md5_unit``."""
+    return f"(('0x' || substr(md5({expr}), 1, 8))::BIGINT / 4294967296.0)"
+
+
+@register("standard_scale", """
+SELECT event_id, event_type AS source,
+       round((value - avg(value) OVER (PARTITION BY event_type)) /
+             CASE WHEN stddev_pop(value) OVER (PARTITION BY event_type) = 0 THEN 1.0
+                  ELSE stddev_pop(value) OVER (PARTITION BY event_type) END, 6) AS value_scaled
+FROM events""")
+def standard_scale(spark, sf):
+    from tidemark.operators import scaling
+    ev = tb.readings(spark, sf)
+    m = scaling.fit_standard(ev, "value", ["source"])
+    return m.transform(ev).select("event_id", "source", r6("value_scaled").alias("value_scaled"))
+
+
+@register("minmax_scale", """
+SELECT event_id, event_type AS source,
+       round(CASE WHEN max(value) OVER p = min(value) OVER p THEN 0.0
+             ELSE (value - min(value) OVER p) / (max(value) OVER p - min(value) OVER p) END, 6) AS value_scaled
+FROM events WINDOW p AS (PARTITION BY event_type)""")
+def minmax_scale(spark, sf):
+    from tidemark.operators import scaling
+    ev = tb.readings(spark, sf)
+    m = scaling.fit_minmax(ev, "value", ["source"])
+    return m.transform(ev).select("event_id", "source", r6("value_scaled").alias("value_scaled"))
+
+
+@register("rolling_features", f"""
+SELECT event_id, event_type AS source, value,
+       lag(value) OVER w0 AS prev_value, round(value - lag(value) OVER w0, 6) AS diff,
+       {D6("avg(value) OVER w")} AS roll_mean, {D6("stddev_pop(value) OVER w")} AS roll_std,
+       round(sin(hour(ts) * 2 * pi() / 24.0), 6) AS hour_sin, round(cos(hour(ts) * 2 * pi() / 24.0), 6) AS hour_cos
+FROM events
+WINDOW w0 AS (PARTITION BY event_type ORDER BY ts, event_id),
+       w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND 1 PRECEDING)""")
+def rolling_features_q(spark, sf):
+    from tidemark.operators import scaling
+    out = scaling.rolling_features(tb.readings(spark, sf), ["source"], ["timestamp", "event_id"],
+                                   time_col="timestamp")
+    return out.select("event_id", "source", "value", "prev_value", r6("diff").alias("diff"),
+                      dec6("roll_mean").alias("roll_mean"), dec6("roll_std").alias("roll_std"),
+                      r6("hour_sin").alias("hour_sin"), r6("hour_cos").alias("hour_cos"))
+
+
+# ---------------------------------------------------------------- M1 / F5 / I4 / G1
+def _inject_sql(src: str = "SELECT * FROM events", id_col: str = "event_id", value: str = "value",
+                seed: int = 42, rate: float = 0.05) -> str:
+    idv = f"CAST({id_col} AS VARCHAR)"
+    hit = _u(f"concat_ws('|', {idv}, '{seed}', 'hit')")
+    kind = _u(f"concat_ws('|', {idv}, '{seed}', 'kind')")
+    mag = _u(f"concat_ws('|', {idv}, '{seed}', 'mag')")
+    return f"""
+SELECT *, CASE WHEN {hit} < {rate} THEN
+         CASE WHEN {kind} < 1.0 / 3.0 THEN 'spike' WHEN {kind} < 2.0 / 3.0 THEN 'drop' ELSE 'drift' END END
+         AS anomaly_kind,
+       {hit} < {rate} AS is_anomaly,
+       CASE WHEN {hit} < {rate} THEN round({value}, 2) END AS normal_value,
+       round(CASE WHEN {hit} < {rate} THEN {value} +
+         CASE WHEN {kind} < 1.0 / 3.0 THEN 20.0 + 30.0 * {mag}
+              WHEN {kind} < 2.0 / 3.0 THEN -(20.0 + 30.0 * {mag})
+              ELSE -30.0 + 60.0 * {mag} END
+         ELSE {value} END, 2) AS injected_value
+FROM ({src}) src"""
+
+
+INJECTED_SQL = _inject_sql("SELECT event_id, ts AS timestamp, event_type AS source, value FROM events")
+
+
+def injected_events(spark, sf):
+    from tidemark.operators.inject import inject_anomalies
+    ev = tb.readings(spark, sf)
+    return inject_anomalies(ev, "event_id", "value", seed=42)
+
+
+@register("inject_anomalies", f"""
+SELECT event_id, injected_value AS value, is_anomaly, anomaly_kind, normal_value FROM ({INJECTED_SQL}) i""")
+def inject_anomalies_q(spark, sf):
+    return injected_events(spark, sf).select("event_id", "value", "is_anomaly", "anomaly_kind", "normal_value")
+
+
+@register("hash_split", f"""
+SELECT event_id, {_u("CAST(event_id AS VARCHAR)")} < 0.7 AS is_train FROM events""")
+def hash_split_q(spark, sf):
+    from tidemark.operators.split import hash_split
+    return hash_split(tb.table(spark, sf, "events").select("event_id"), "event_id", 0.7)
+
+
+@register("time_series_folds", """
+WITH p AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos, count(*) OVER () AS n
+           FROM events),
+f AS (SELECT unnest(range(5)) AS fold),
+b AS (SELECT fold, n - (5 - fold) * (n // 6) AS s, n - (5 - fold - 1) * (n // 6) AS e
+      FROM f, (SELECT max(n) AS n FROM p) nn)
+SELECT fold::INTEGER AS fold, role, count(*) AS n_rows, min(event_id) AS first_id, max(event_id) AS last_id FROM (
+  SELECT b.fold, 'train' AS role, p.event_id FROM p JOIN b ON p.pos < b.s
+  UNION ALL
+  SELECT b.fold, 'test' AS role, p.event_id FROM p JOIN b ON p.pos >= b.s AND p.pos < b.e) x
+GROUP BY 1, 2""")
+def time_series_folds_q(spark, sf):
+    from tidemark.operators.split import time_series_folds
+    ev = tb.table(spark, sf, "events").select("event_id", "ts")
+    out = time_series_folds(ev, ["ts", "event_id"], k=5)
+    return (out.groupBy("fold", "role")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("event_id").alias("first_id"),
+                 F.max("event_id").alias("last_id")))
+
+
+@register("union_labelled", """
+SELECT d.doc_id, CAST(d.n_chars AS DOUBLE) AS value, l.toxic = 1 AS is_anomaly
+FROM labels l JOIN documents d USING (doc_id)""")
+def union_labelled_q(spark, sf):
+    from tidemark.operators.inject import union_labelled
+    lab = tb.table(spark, sf, "labels")
+    doc = tb.table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double").alias("value"))
+    j = doc.join(lab.select("doc_id", "toxic"), "doc_id")
+    return union_labelled(j.where("toxic = 0").drop("toxic"), j.where("toxic = 1").drop("toxic"))
+
+
+# ---------------------------------------------------------------- D6 / D7 / D8 / I3
+EVAL_SQL = _zscore_sql("event_id, is_anomaly AS label, injected_value AS value",
+                       INJECTED_SQL.replace("AS injected_value", "AS injected_value"), "source",
+                       "timestamp, event_id", "injected_value", digits=None)
+
+
+def evaluated_events(spark, sf):
+    inj = injected_events(spark, sf).withColumnRenamed("is_anomaly", "label")
+    return st.rolling_zscore(inj, EVENTS_BY_TYPE)
+
+
+@register("confusion_matrix", f"""
+SELECT label, is_anomaly AS prediction, count(*) AS count FROM ({EVAL_SQL}) e GROUP BY 1, 2""")
+def confusion_matrix_q(spark, sf):
+    from tidemark.operators.evaluate import confusion_cells
+    return confusion_cells(evaluated_events(spark, sf), "label", "is_anomaly").where("count > 0")
+
+
+@register("classification_report", f"""
+WITH c AS (SELECT count(*) FILTER (WHERE NOT label AND NOT is_anomaly) AS tn,
+                  count(*) FILTER (WHERE NOT label AND is_anomaly) AS fp,
+                  count(*) FILTER (WHERE label AND NOT is_anomaly) AS fn,
+                  count(*) FILTER (WHERE label AND is_anomaly) AS tp FROM ({EVAL_SQL}) e),
+m AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
+             coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
+             tn + fp + fn + tp AS n FROM c)
+SELECT round((p0 * (tn + fp) + p1 * (tp + fn)) / n, 6) AS precision,
+       round((r0 * (tn + fp) + r1 * (tp + fn)) / n, 6) AS recall,
+       round((coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) * (tn + fp)
+            + coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) * (tp + fn)) / n, 6) AS f1_score,
+       round((tn + tp) / n, 6) AS accuracy, n AS support, tn, fp, fn, tp
+FROM m""")
+def classification_report_q(spark, sf):
+    from tidemark.operators.evaluate import classification_report
+    rep = classification_report(evaluated_events(spark, sf), "label", "is_anomaly")
+    cm = F.col("confusion_matrix")
+    return rep.select(*[r6(c).alias(c) for c in ("precision", "recall", "f1_score", "accuracy")], "support",
+                      cm[0][0].alias("tn"), cm[0][1].alias("fp"), cm[1][0].alias("fn"), cm[1][1].alias("tp"))
+
+
+@register("unlabelled_metrics", f"""
+SELECT round(avg(CASE WHEN is_anomaly THEN 1.0 ELSE 0.0 END), 6) AS anomaly_rate,
+       round(avg(anomaly_score), 6) AS avg_score, round(stddev_pop(anomaly_score), 6) AS score_std
+FROM ({ZRES_SQL}) r""")
+def unlabelled_metrics_q(spark, sf):
+    from tidemark.operators.evaluate import unlabelled_metrics
+    m = unlabelled_metrics(zscore_results(spark, sf))
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+# ---------------------------------------------------------------- D9
+@register("contamination_threshold", """
+SELECT event_type AS source, round(quantile_cont(value, 0.9), 6) AS threshold FROM events GROUP BY 1""")
+def contamination_threshold(spark, sf):
+    from tidemark.operators.quantile import exact_percentile
+    out = exact_percentile(tb.readings(spark, sf), "value", 0.9, ["source"], out="threshold")
+    return out.select("source", r6("threshold").alias("threshold"))
+
+
+# ---------------------------------------------------------------- A3 / A5 / A12 / B1 / B2 / B7 / B8 / B4
+@register("json_decode_props", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
+def json_decode_props(spark, sf):
+    from tidemark.sources.decode import decode_json
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
+    ev = tb.table(spark, sf, "events").select("event_id", "props")
+    return decode_json(ev, "props", schema, keep=("event_id",)).select("event_id", "data.k")
+
+
+@register("message_roundtrip", """
+SELECT event_type AS key, event_type AS source, 'user_' || CAST(user_id AS VARCHAR) AS metric, value,
+       ts AS timestamp FROM events""")
+def message_roundtrip(spark, sf):
+    from tidemark.sources import decode as dc
+    msgs = dc.encode_json(tb.readings(spark, sf).select("source", "value", "metric", "timestamp"), "source")
+    dec = dc.flatten(dc.decode_json(msgs, "value", dc.READING, keep=("key",)))
+    dec = dc.value_chain(dc.default_timestamp(dec), "value", ("data",))
+    return dec.select("key", "source", "metric", "value",
+                      dc.parse_timestamp(F.col("timestamp")).cast("timestamp_ntz").alias("timestamp"))
+
+
+@register("quarantine_split", """
+SELECT coalesce(CASE WHEN json_valid(props) IS NOT TRUE THEN 'malformed_json'
+                     WHEN event_type IS NULL THEN 'missing_source'
+                     WHEN value IS NULL THEN 'missing_value'
+                     WHEN isnan(value) THEN 'nan_value'
+                     WHEN ts IS NULL THEN 'missing_timestamp' END, 'ok') AS status, count(*) AS n
+FROM events GROUP BY 1""")
+def quarantine_split_q(spark, sf):
+    from tidemark.operators.quality import reading_reason, split_valid
+    ev = tb.table(spark, sf, "events")
+    ok_json = F.get_json_object("props", "$").isNotNull()
+    ev = ev.withColumn("_corrupt", ~F.coalesce(ok_json, F.lit(False)))
+    good, bad = split_valid(ev, reading_reason("value", "ts", "event_type", "_corrupt"))
+    g = good.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit("ok").alias("status"), "n").where("n > 0")
+    b = bad.groupBy(F.col("reason").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return g.unionByName(b)
+
+
+@register("schema_enforcement", f"""
+SELECT CASE WHEN source IS NULL THEN 'missing_source' WHEN value IS NULL THEN 'missing_value'
+            WHEN timestamp IS NULL THEN 'missing_timestamp' ELSE 'ok' END AS status,
+       count(*) AS n, count(*) FILTER (WHERE is_anomaly) AS n_anomalous
+FROM ({ZRES_SQL}) r GROUP BY 1""")
+def schema_enforcement(spark, sf):
+    from tidemark.operators.quality import enforce_schema
+    from tidemark.sources.decode import ALERT
+    from tidemark.sources.sinks import alerts_view
+    raw = alerts_view(zscore_results(spark, sf)).select(*[F.col(c).cast("string") for c in ALERT.fieldNames()])
+    typed = enforce_schema(raw, ALERT, ["source", "value", "timestamp", "is_anomaly"])
+    return (typed.groupBy(F.coalesce("reason", F.lit("ok")).alias("status"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("n_anomalous")))
+
+
+@register("result_envelope_json", f"""
+SELECT source AS key, source, metric, value, is_anomaly, round(anomaly_score, 6) AS anomaly_score, anomaly_type,
+       strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp
+FROM ({ZRES_SQL}) r""")
+def result_envelope_json(spark, sf):
+    from tidemark.sources import decode as dc
+    from tidemark.sources.sinks import alerts_view
+    msgs = dc.encode_json(alerts_view(zscore_results(spark, sf)), "source")
+    dec = dc.flatten(dc.decode_json(msgs, "value", dc.ALERT, keep=("key",)))
+    return dec.select("key", "source", "metric", "value", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
+                      "anomaly_type", "timestamp")

@@ -72,7 +72,12 @@ def value_chain(df: DataFrame, value: str = "value", fallbacks: tuple[str, ...]
     return df.withColumn(value, F.coalesce(*cands, F.lit(default)))
 
 
+# microsecond timestamps (the JSON default keeps milliseconds only)
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def encode_json(df: DataFrame, key_col: str = "source") -> DataFrame:
     """``key`` (the source) and ``value`` (the whole row as JSON) for a keyed sink."""
     return df.select(F.col(key_col).cast("string").alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+                     F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value"))
