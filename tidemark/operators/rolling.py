@@ -58,6 +58,14 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     bucket_col = bucket_col or order[0]
 
     num = order_number(F.col(bucket_col), df.schema[bucket_col].dataType)
+    if not keys:
+        # one global series: small enough for one task, or chunked by position
+        r = bucket_sizes(df, keys, num, chunk_rows).first()
+        if r is None or r["_n"] <= hot_key_rows:
+            return _plain(df, keys, order, columns)
+        lit = df.withColumns({"_lo": F.lit(r["_lo"]), "_width": F.lit(r["_width"])})
+        return _chunked(lit, keys, order, columns, halo_before, halo_after, bucket_col, num, chunk_rows)
+
     sizes = bucket_sizes(df, keys, num, chunk_rows).where(F.col("_n") > hot_key_rows)
     # one small action: the number of hot keys is at most rows / hot_key_rows
     n_hot = sizes.count()
@@ -133,8 +141,21 @@ def _positions(df: DataFrame, keys, order, bucket_col, num) -> DataFrame:
 def _chunked(df: DataFrame, keys, order, columns, halo_before, halo_after,
              bucket_col, num, chunk_rows) -> DataFrame:
     df = _positions(df, keys, order, bucket_col, num)
+    return chunk_windows(df, keys, columns, halo_before, halo_after, chunk_rows)
+
 
-    # deal positions into chunks; copy border rows into the neighbour chunks
+def chunk_windows(df: DataFrame, keys, columns, halo_before: int, halo_after: int = 0,
+                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Windows over a series that already carries its position ``_rn``.
+
+    Rows are dealt into chunks of ``chunk_rows`` positions; border rows are
+    copied into the neighbour chunks (``halo_before`` / ``halo_after``), the
+    window runs per ``(keys, chunk)`` ordered by ``_rn``, copies are dropped.
+    Chained passes (each reading the previous pass's columns at neighbour
+    rows) call this once per pass.
+    """
+    keys = list(keys)
+    chunk_rows = max(chunk_rows, halo_before + halo_after + 1)
     idx = (F.col(RN) - 1) % chunk_rows
     shifts = F.array(F.lit(0))
     if halo_before:
