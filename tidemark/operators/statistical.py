@@ -70,8 +70,9 @@ class StatisticalModel(Model):
         data = df
         if self.history is not None:
             # history rows precede the new rows of their key (seeded buffer)
-            data = (self.history.select(*df.columns).withColumn(SEG, F.lit(0))
-                    .unionByName(df.withColumn(SEG, F.lit(1))))
+            hist = self.history.select(*[c for c in df.columns if c in self.history.columns])
+            data = (hist.withColumn(SEG, F.lit(0))
+                    .unionByName(df.withColumn(SEG, F.lit(1)), allowMissingColumns=True))
             order = [SEG] + order
         out = over_series(data, spec.keys, order, self._frame_columns,
                           halo_before=self.window_size - 1,
