@@ -133,7 +133,7 @@ class IsolationForestDetector(Detector):
             raw = F.col("mn") + u * (F.col("mx") - F.col("mn"))
             split = F.when(raw >= F.col("mx"), (F.col("mn") + F.col("mx")) / 2.0).otherwise(raw)
             can = (F.col("cnt") > 1) & (F.col("mn") < F.col("mx")) & F.lit(depth < max_depth)
-            st = st.withColumn("split", F.when(can, split)).checkpoint()
+            st = st.withColumn("split", F.when(can, split))
             leaves.append(st.where(F.col("split").isNull())
                           .select("tree", "node", F.lit(depth).alias("depth"), "lo", "hi", "cnt"))
             inner = st.where(F.col("split").isNotNull()).select("tree", "node", "split")
@@ -145,8 +145,6 @@ class IsolationForestDetector(Detector):
                 "tree", "_x", (F.col("node") * 2 + right.cast("bigint")).alias("node"),
                 F.when(right, F.col("split")).otherwise(F.col("lo")).alias("lo"),
                 F.when(right, F.col("hi")).otherwise(F.col("split")).alias("hi")).checkpoint()
-            if cur.isEmpty():
-                break
         out = leaves[0]
         for lf in leaves[1:]:
             out = out.unionByName(lf)

@@ -35,10 +35,14 @@ from tidemark.operators.scaling import fit_standard
 EPS = 1e-10
 
 
-def _nearest(cands: Column, x: Column, k: Column) -> Column:
-    """k nearest of an array<struct<rn, x, ...>> by (distance, position)."""
-    with_d = F.transform(cands, lambda e: F.struct(F.abs(e["x"] - x).alias("d"), e["rn"].alias("rn")))
-    return F.slice(F.array_sort(with_d), 1, k)
+def _nearest(cands: Column, x: Column, k: Column, sd: float) -> Column:
+    """k nearest of an array<struct<rn, x>> by (raw distance, position).
+
+    Neighbours are ranked on raw value differences (one IEEE subtraction, the
+    same in every engine); the distance kept is in standardised units."""
+    with_d = F.transform(cands, lambda e: F.struct(F.abs(e["x"] - x).alias("dr"), e["rn"].alias("rn")))
+    near = F.slice(F.array_sort(with_d), 1, k)
+    return F.transform(near, lambda e: F.struct((e["dr"] / F.lit(sd)).alias("d"), e["rn"].alias("rn")))
 
 
 class LOFModel(Model):
@@ -49,7 +53,7 @@ class LOFModel(Model):
         self.offset, self.train, self.chunk_rows = offset, train, chunk_rows
 
     def _x(self, df):
-        return (F.col(self.spec.value).cast("double") - F.lit(self.mean)) / F.lit(self.sd or 1.0)
+        return F.col(self.spec.value).cast("double")
 
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
         spec, k = self.spec, self.k
@@ -68,9 +72,11 @@ class LOFModel(Model):
         cand = cand.join(self.train.select("rn", "x", "kd", "lrd"), "rn")
         xs = keyed.select(F.col(idc).cast("bigint").alias("_id"), "_x")
         cand = cand.join(xs, "_id")
-        cand = cand.withColumn("d", F.abs(F.col("x") - F.col("_x")))
+        cand = cand.withColumn("dr", F.abs(F.col("x") - F.col("_x")))
         agg = (cand.groupBy("_id")
-               .agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "rn", "kd", "lrd"))), 1, k).alias("nb")))
+               .agg(F.slice(F.array_sort(F.collect_list(F.struct("dr", "rn", "kd", "lrd"))), 1, k).alias("nb")))
+        sd = F.lit(self.sd or 1.0)
+        agg = agg.withColumn("nb", F.transform("nb", lambda e: e.withField("d", e["dr"] / sd)))
         reach = F.aggregate(F.transform("nb", lambda e: F.greatest(e["d"], e["kd"])), F.lit(0.0),
                             lambda a, b: a + b) / F.size("nb")
         lrd_new = 1.0 / (reach + F.lit(EPS))
@@ -98,8 +104,9 @@ class LOFDetector(Detector):
             raise ValueError("LOF needs a row id column (SeriesSpec.id)")
         sc = fit_standard(df, spec.value).params.first()
         mean, sd = float(sc["_mean"] or 0.0), float(sc["_sd"] or 0.0)
-        x = df.select(F.col(spec.id).cast("bigint").alias("_id"),
-                      ((F.col(spec.value).cast("double") - mean) / (sd or 1.0)).alias("x"))
+        # x stays in raw units (ordering and neighbour ranking); distances are
+        # divided by the population std, i.e. measured on the standardised value
+        x = df.select(F.col(spec.id).cast("bigint").alias("_id"), F.col(spec.value).cast("double").alias("x"))
         x = x.where(F.col("x").isNotNull() & ~F.isnan("x"))
         n = x.count()
         if n < 2:
@@ -111,7 +118,7 @@ class LOFDetector(Detector):
         def pass1(w):
             around = F.collect_list(F.struct(F.col("rn"), F.col("x"))).over(w.rowsBetween(-k, k))
             others = F.filter(around, lambda e: e["rn"] != F.col("rn"))
-            nb = _nearest(others, F.col("x"), F.lit(k))
+            nb = _nearest(others, F.col("x"), F.lit(k), sd or 1.0)
             return {"nb": nb}
 
         p1 = chunk_windows(pos, [], pass1, k, k, self.chunk_rows)

@@ -502,3 +502,90 @@ def result_envelope_json(spark, sf):
     dec = dc.flatten(dc.decode_json(msgs, "value", dc.ALERT, keep=("key",)))
     return dec.select("key", "source", "metric", "value", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
                       "anomaly_type", "timestamp")
+
+
+# ---------------------------------------------------------------- H2 / H3 / H4 / H5
+TRAIN_PRED = _u("CAST(event_id AS VARCHAR)") + " < 0.7"
+
+
+def _train_events(spark, sf):
+    from tidemark.operators.split import hash_split
+    ev = tb.readings(spark, sf)
+    return hash_split(ev, "event_id", 0.7).where("is_train").drop("is_train")
+
+
+GLOBAL_EVENTS = SeriesSpec((), ("timestamp", "event_id"), "value", "event_id")
+
+
+@register("isolation_forest_scores")
+def isolation_forest_scores(spark, sf):
+    from tidemark.operators.isolation_forest import IsolationForestDetector
+    m = IsolationForestDetector(GLOBAL_EVENTS, contamination=0.1).fit(_train_events(spark, sf))
+    out = m.transform(tb.readings(spark, sf))
+    return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
+
+
+@register("one_class_svm_scores")
+def one_class_svm_scores(spark, sf):
+    from tidemark.operators.ocsvm import OneClassSVMDetector
+    m = OneClassSVMDetector(GLOBAL_EVENTS, nu=0.1).fit(_train_events(spark, sf))
+    out = m.transform(tb.readings(spark, sf))
+    return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
+
+
+LOF_SQL = f"""
+WITH tr AS (SELECT event_id AS id, value AS x FROM events WHERE {TRAIN_PRED}),
+sdv AS (SELECT CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd FROM tr),
+p AS (SELECT id, x, row_number() OVER (ORDER BY x, id) AS rn FROM tr),
+c AS (SELECT a.rn, b.rn AS nrn, abs(a.x - b.x) AS dr
+      FROM p a JOIN p b ON b.rn BETWEEN a.rn - 20 AND a.rn + 20 AND b.rn <> a.rn),
+nb AS (SELECT rn, nrn, dr / (SELECT sd FROM sdv) AS d
+       FROM (SELECT *, row_number() OVER (PARTITION BY rn ORDER BY dr, nrn) AS j FROM c) c2 WHERE j <= 20),
+kd AS (SELECT rn, max(d) AS kd FROM nb GROUP BY rn),
+lrd AS (SELECT nb.rn, 1.0 / (avg(greatest(nb.d, kd.kd)) + 1e-10) AS lrd
+        FROM nb JOIN kd ON kd.rn = nb.nrn GROUP BY nb.rn),
+tl AS (SELECT nb.rn, avg(l2.lrd) / any_value(l1.lrd) AS lof
+       FROM nb JOIN lrd l2 ON l2.rn = nb.nrn JOIN lrd l1 ON l1.rn = nb.rn GROUP BY nb.rn),
+off AS (SELECT quantile_cont(-lof, 0.1) AS off_v FROM tl),
+u AS (SELECT x, 0 AS f, rn AS id FROM p UNION ALL SELECT value AS x, 1 AS f, event_id AS id FROM events),
+r AS (SELECT id, x, r FROM (
+        SELECT id, x, f, row_number() OVER (ORDER BY x, f, id)
+                         - row_number() OVER (PARTITION BY f ORDER BY x, id) AS r FROM u) u2 WHERE f = 1),
+nc AS (SELECT r.id, p.rn, abs(p.x - r.x) AS dr FROM r JOIN p ON p.rn BETWEEN r.r - 19 AND r.r + 20),
+nn AS (SELECT id, rn, dr / (SELECT sd FROM sdv) AS d
+       FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dr, rn) AS j FROM nc) n2 WHERE j <= 20),
+sc AS (SELECT nn.id, avg(lrd.lrd) * (avg(greatest(nn.d, kd.kd)) + 1e-10) AS lof
+       FROM nn JOIN kd ON kd.rn = nn.rn JOIN lrd ON lrd.rn = nn.rn GROUP BY nn.id)
+SELECT id AS event_id, (-lof - off_v) < 0 AS is_anomaly, round(1 - (-lof - off_v), 6) AS reference_score
+FROM sc, off"""
+
+
+@register("lof_scores", LOF_SQL)
+def lof_scores(spark, sf):
+    from tidemark.operators.lof import LOFDetector
+    m = LOFDetector(GLOBAL_EVENTS, contamination=0.1, n_neighbors=20).fit(_train_events(spark, sf))
+    out = m.transform(tb.readings(spark, sf))
+    return out.select("event_id", "is_anomaly", r6("reference_score").alias("reference_score"))
+
+
+ZS_SQL = _zscore_sql("event_id", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value", digits=None)
+IQ_SQL = _iqr_sql("event_id", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value").replace(
+    "round(CASE WHEN rn - 1 < 10 THEN 0.0", "(CASE WHEN rn - 1 < 10 THEN 0.0").replace(
+    "ELSE 0.0 END, 6) AS anomaly_score", "ELSE 0.0 END) AS anomaly_score")
+
+
+@register("ensemble_scores", f"""
+SELECT z.event_id, (0.6 * z.anomaly_score + 0.4 * q.anomaly_score) / 1.0 > 0.5 AS is_anomaly,
+       round((0.6 * z.anomaly_score + 0.4 * q.anomaly_score) / 1.0, 6) AS anomaly_score,
+       z.is_anomaly AS zscore_flag, q.is_anomaly AS iqr_flag, 'ensemble' AS anomaly_type
+FROM ({ZS_SQL}) z JOIN ({IQ_SQL}) q USING (event_id)""")
+def ensemble_scores(spark, sf):
+    from tidemark.operators.ensemble import EnsembleModel
+    from tidemark.operators.statistical import StatisticalDetector
+    members = {"zscore": StatisticalDetector(EVENTS_BY_TYPE, "zscore").model(),
+               "iqr": StatisticalDetector(EVENTS_BY_TYPE, "iqr").model()}
+    out = EnsembleModel(members, {"zscore": 0.6, "iqr": 0.4}, 0.5, False).transform(tb.readings(spark, sf))
+    dr = F.col("detector_results")
+    return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
+                      dr["zscore"]["is_anomaly"].alias("zscore_flag"), dr["iqr"]["is_anomaly"].alias("iqr_flag"),
+                      "anomaly_type")
