@@ -589,3 +589,162 @@ def ensemble_scores(spark, sf):
     return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
                       dr["zscore"]["is_anomaly"].alias("zscore_flag"), dr["iqr"]["is_anomaly"].alias("iqr_flag"),
                       "anomaly_type")
+
+
+# ---------------------------------------------------------------- I1-I5 / A9-A10
+def _labelled_events(spark, sf):
+    """Events with injected, labelled anomalies (value replaced)."""
+    return injected_events(spark, sf).drop("normal_value", "anomaly_kind")
+
+
+@register("train_many")
+def train_many_q(spark, sf):
+    from tidemark.operators.split import hash_split
+    from tidemark.plans.training import train_many
+    data = hash_split(_labelled_events(spark, sf), "event_id", 0.7)
+    spec = SeriesSpec(("source",), ("timestamp", "event_id"), "value", "event_id")
+    cfgs = {"ensemble": {"detectors": {"isolation_forest": {"contamination": 0.05},
+                                       "statistical": {"method": "zscore", "threshold": 3.0}},
+                         "weights": {"isolation_forest": 0.6, "statistical": 0.4}, "threshold": 0.5},
+            "isolation_forest": {"contamination": 0.05}}
+    res, _ = train_many(spark, data.where("is_train").drop("is_train"), data.where("not is_train").drop("is_train"),
+                        ["isolation_forest", "statistical", "ensemble"], cfgs, spec)
+    return res.select("trial_order", "model_type", *[r6(c).alias(c) for c in
+                                                     ("precision", "recall", "f1_score", "accuracy")], "error")
+
+
+@register("auto_select")
+def auto_select_q(spark, sf):
+    from tidemark.plans.training import auto_select
+    return auto_select(train_many_q(spark, sf).withColumn("error", F.col("error")))
+
+
+GRID = {"threshold": [2.5, 3.0], "window_size": [50, 100]}
+
+
+def _grid_sql() -> str:
+    import itertools
+    import json
+    parts = []
+    for th, ws in itertools.product(GRID["threshold"], GRID["window_size"]):
+        ptxt = json.dumps({"threshold": th, "window_size": ws}, sort_keys=True)
+        z = _zscore_sql("event_id, timestamp, is_anomaly AS label", INJECTED_SQL, "source", "timestamp, event_id",
+                        "injected_value", window=ws, thr=th, digits=None)
+        parts.append(f"SELECT '{ptxt}' AS params, event_id, timestamp, label, is_anomaly FROM ({z}) z{len(parts)}")
+    u = " UNION ALL ".join(parts)
+    return f"""
+WITH s AS ({u}),
+p AS (SELECT *, row_number() OVER (PARTITION BY params ORDER BY timestamp, event_id) - 1 AS pos,
+             count(*) OVER (PARTITION BY params) AS n FROM s),
+f AS (SELECT *, CAST(floor((pos - (n - 5 * (n // 6))) / (n // 6)) AS INTEGER) AS fold FROM p
+      WHERE pos >= n - 5 * (n // 6))
+SELECT params, fold,
+       round(CASE WHEN 2 * count(*) FILTER (WHERE label AND is_anomaly) + count(*) FILTER (WHERE label <> is_anomaly) = 0
+             THEN 0.0 ELSE 2.0 * count(*) FILTER (WHERE label AND is_anomaly) /
+             (2 * count(*) FILTER (WHERE label AND is_anomaly) + count(*) FILTER (WHERE label <> is_anomaly)) END, 6)
+         AS f1
+FROM f GROUP BY 1, 2"""
+
+
+@register("grid_search", _grid_sql())
+def grid_search_q(spark, sf):
+    from tidemark.plans.training import grid_search
+    data = _labelled_events(spark, sf).withColumnRenamed("is_anomaly", "label")
+    spec = SeriesSpec(("source",), ("timestamp", "event_id"), "value", "event_id")
+    cv, _best = grid_search(spark, "statistical", data, GRID, spec, label_column="label")
+    return cv.select("params", "fold", r6("f1").alias("f1"))
+
+
+@register("model_registry_latest")
+def model_registry_latest(spark, sf):
+    from tidemark.operators.isolation_forest import IsolationForestDetector
+    from tidemark.operators.statistical import StatisticalDetector
+    from tidemark.plans import registry
+    from tidemark.session import scratch_path
+    root = scratch_path(spark, "registry")
+    train = _train_events(spark, sf)
+    registry.save_model(spark, StatisticalDetector(EVENTS_BY_TYPE).fit(None), root, "zscore")
+    registry.save_model(spark, StatisticalDetector(EVENTS_BY_TYPE, threshold=2.5).fit(None), root, "zscore")
+    registry.save_model(spark, IsolationForestDetector(GLOBAL_EVENTS, n_estimators=20).fit(train), root, "forest")
+    latest = registry.latest(spark, root)
+    return latest.select("name", "model_type", F.col("version").cast("bigint").alias("version"))
+
+
+# ---------------------------------------------------------------- I7 drift
+@register("drift_psi", f"""
+WITH ev AS (SELECT event_type AS source, value, ts < (SELECT min(ts) FROM events) + INTERVAL 15 DAY AS is_base
+            FROM events),
+rng AS (SELECT source, min(value) AS mn, max(value) AS mx, avg(value) AS base_mean,
+               stddev_pop(value) AS base_std, count(*) AS base_n FROM ev WHERE is_base GROUP BY 1),
+cur AS (SELECT source, avg(value) AS cur_mean, stddev_pop(value) AS cur_std, count(*) AS cur_n
+        FROM ev WHERE NOT is_base GROUP BY 1),
+b AS (SELECT ev.source, is_base, CAST(least(greatest(CASE WHEN mx - mn > 0 THEN floor((value - mn) / (mx - mn) * 10)
+                                                   ELSE 0 END, 0), 9) AS INTEGER) AS bin
+      FROM ev JOIN rng USING (source)),
+h AS (SELECT source, bin, count(*) FILTER (WHERE is_base) AS nb, count(*) FILTER (WHERE NOT is_base) AS nc
+      FROM b GROUP BY 1, 2),
+t AS (SELECT h.source, (greatest(nc / cur_n, 1e-6) - greatest(nb / base_n, 1e-6))
+                        * ln(greatest(nc / cur_n, 1e-6) / greatest(nb / base_n, 1e-6)) AS term
+      FROM h JOIN rng USING (source) JOIN cur USING (source))
+SELECT source, round(sum(term), 6) AS psi, sum(term) > 0.2 AS drift,
+       any_value({D6("base_mean")}) AS base_mean, any_value({D6("base_std")}) AS base_std,
+       any_value({D6("cur_mean")}) AS cur_mean, any_value({D6("cur_std")}) AS cur_std,
+       any_value(base_n) AS base_n, any_value(cur_n) AS cur_n
+FROM t JOIN rng USING (source) JOIN cur USING (source) GROUP BY source""")
+def drift_psi(spark, sf):
+    from tidemark.operators.drift import psi
+    ev = tb.readings(spark, sf)
+    start = ev.agg(F.min("timestamp")).first()[0]
+    cut = F.lit(start) + F.expr("INTERVAL 15 DAYS")
+    out = psi(ev.where(F.col("timestamp") < cut), ev.where(F.col("timestamp") >= cut), "value", ["source"])
+    return out.select("source", r6("psi").alias("psi"), "drift", *[dec6(c).alias(c) for c in
+                      ("base_mean", "base_std", "cur_mean", "cur_std")], "base_n", "cur_n")
+
+
+# ---------------------------------------------------------------- D12 / K9
+@register("pipeline_metrics", f"""
+SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start, count(*) AS processed_count,
+       count(*) FILTER (WHERE is_anomaly) AS anomaly_count, CAST(0 AS BIGINT) AS bad_count,
+       round(count(*) / 3600.0, 6) AS rows_per_second,
+       round(count(*) FILTER (WHERE is_anomaly) / count(*), 6) AS anomaly_rate, 0.0 AS error_rate
+FROM ({ZRES_SQL}) r GROUP BY 1""")
+def pipeline_metrics_q(spark, sf):
+    from tidemark.operators import aggregates as ag
+    from tidemark.operators.quality import reading_reason, split_valid
+    good, bad = split_valid(tb.readings(spark, sf), reading_reason(corrupt=None))
+    res = st.rolling_zscore(good, EVENTS_BY_TYPE)
+    out = ag.pipeline_metrics(res, bad, duration="1 hour")
+    return out.select("window_start", "processed_count", "anomaly_count", "bad_count",
+                      r6("rows_per_second").alias("rows_per_second"), r6("anomaly_rate").alias("anomaly_rate"),
+                      r6("error_rate").alias("error_rate"))
+
+
+@register("alert_rules", f"""
+SELECT 'high_anomaly_rate' AS rule, 'warning' AS severity, 'anomaly_rate > 0.1' AS condition,
+       window_start, source, round(anomaly_rate, 6) AS anomaly_rate FROM (
+  SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start, source,
+         count(*) FILTER (WHERE is_anomaly) / count(*) AS anomaly_rate
+  FROM ({ZRES_SQL}) r GROUP BY 1, 2) m
+WHERE anomaly_rate > 0.1""")
+def alert_rules_q(spark, sf):
+    from tidemark.operators import aggregates as ag
+    from tidemark.operators.alerts import evaluate_rules
+    res = zscore_results(spark, sf)
+    m = ag.processing_statistics(res.withColumn("window_start", F.window("timestamp", "1 hour").start),
+                                 ["window_start", "source"])
+    a = evaluate_rules(m, keep=["window_start", "source", "anomaly_rate"])
+    return a.withColumn("anomaly_rate", r6("anomaly_rate"))
+
+
+@register("silent_sources", """
+SELECT source, gap_start, gap_end, round(gap_minutes, 6) AS gap_minutes FROM (
+  SELECT event_type AS source, lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS gap_start,
+         ts AS gap_end,
+         date_diff('microsecond', lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id), ts) / 60e6
+           AS gap_minutes
+  FROM events) g
+WHERE gap_minutes > 90""")
+def silent_sources_q(spark, sf):
+    from tidemark.operators.alerts import silent_sources
+    out = silent_sources(tb.readings(spark, sf), gap_minutes=90)
+    return out.withColumn("gap_minutes", r6("gap_minutes"))
