@@ -62,8 +62,11 @@ def prepare(df: DataFrame, spec: SeriesSpec, label_column: str = "is_anomaly",
 def evaluate_model(model, test: DataFrame, label_column: str = "is_anomaly") -> DataFrame:
     """Score the test rows (a rolling model continues from its fitted history)
     and return one metrics row (labelled or unlabelled metrics)."""
-    scored = model.transform(test)
-    return evaluate(scored, label_column if label_column in test.columns else None)
+    if label_column in test.columns:
+        # the prediction is also called is_anomaly: keep the truth under its own name
+        scored = model.transform(test.withColumnRenamed(label_column, "_label"))
+        return evaluate(scored, "_label")
+    return evaluate(model.transform(test), None)
 
 
 def train_model(model_type: str, train: DataFrame, validation: DataFrame | None = None,
@@ -127,6 +130,9 @@ def grid_search(spark: SparkSession, model_type: str, df: DataFrame, param_grid:
     """Cross-validated f1 per parameter set over expanding time-ordered folds.
 
     Returns (cv results: params, fold, f1; best: {best_params, best_score})."""
+    if label_column == "is_anomaly":
+        df = df.withColumnRenamed("is_anomaly", "_label")
+        label_column = "_label"
     names = sorted(param_grid)
     combos = [dict(zip(names, vals)) for vals in itertools.product(*[param_grid[n] for n in names])]
     pos = with_positions(df, list(spec.order)).checkpoint()
