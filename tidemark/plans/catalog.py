@@ -748,3 +748,103 @@ def silent_sources_q(spark, sf):
     from tidemark.operators.alerts import silent_sources
     out = silent_sources(tb.readings(spark, sf), gap_minutes=90)
     return out.withColumn("gap_minutes", r6("gap_minutes"))
+
+
+# ---------------------------------------------------------------- K1-K10 streaming (availableNow)
+def _events_stream(spark, sf, path: str | None = None, max_files: int | None = None):
+    """The events table as a file stream (a glob: file streams read directories)."""
+    from tidemark.streaming.stats import read_stream
+    schema = tb.table(spark, sf, "events").schema
+    src = path or f"{sf}/events.parque[t]"
+    s = read_stream(spark, "parquet", src, schema, max_files_per_trigger=max_files)
+    return s.select("event_id", F.col("ts").alias("timestamp"), F.col("event_type").alias("source"),
+                    F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("metric"), "value")
+
+
+def _run_to_table(spark, df, name: str, mode: str = "append"):
+    from tidemark.session import scratch_path
+    out, ck = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
+    q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_window_stats", f"""
+WITH w AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+                  time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, event_type AS source,
+                  {D6("avg(value)")} AS avg_value, {D6("stddev_samp(value)")} AS std_value, count(value) AS count
+           FROM events GROUP BY 1, 2, 3)
+SELECT * FROM w WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 30 SECOND""")
+def stream_window_stats(spark, sf):
+    from tidemark.streaming.stats import event_time, window_stats
+    s = event_time(_events_stream(spark, sf), "timestamp")
+    ws = window_stats(s, "event_time", "1 hour", "30 seconds", ["source"])
+    out = _run_to_table(spark, ws, "stream-window-stats")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "source",
+                      dec6("avg_value").alias("avg_value"), dec6("std_value").alias("std_value"), "count")
+
+
+@register("stream_zscore",
+          _zscore_sql("event_id, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value"))
+def stream_zscore(spark, sf):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.stats import write_time_ordered
+    from tidemark.streaming.stateful import rolling_detector_stream
+    replay = scratch_path(spark, "events-replay")
+    write_time_ordered(tb.table(spark, sf, "events"), "ts", replay, 4)
+    s = _events_stream(spark, sf, path=f"{replay}/part=*", max_files=1)
+    scored = rolling_detector_stream(s, ["source"], ["timestamp", "event_id"], "value", "zscore", 3.0, 100, 10)
+    out = _run_to_table(spark, scored, "stream-zscore")
+    return out.select("event_id", "source", "value", *detection_cols())
+
+
+BASELINE_SQL = """
+WITH b AS (SELECT event_type, avg(value) AS m, stddev_pop(value) AS sd FROM events GROUP BY 1)
+SELECT e.event_id, e.ts AS timestamp, e.event_type AS source, 'user_' || CAST(e.user_id AS VARCHAR) AS metric,
+       e.value, coalesce(b.sd > 0 AND abs((e.value - b.m) / b.sd) > 3.0, false) AS is_anomaly,
+       CASE WHEN b.sd > 0 THEN least(abs((e.value - b.m) / b.sd) / 3.0, 1.0) ELSE 0.0 END AS anomaly_score
+FROM events e JOIN b USING (event_type)"""
+
+
+def _baseline_scored_stream(spark, sf):
+    from tidemark.streaming.scoring import BaselineModel, score_stream
+    model = BaselineModel.fit(tb.readings(spark, sf), ["source"], "value", 3.0)
+    return score_stream(_events_stream(spark, sf), model)
+
+
+@register("stream_model_score", f"""
+SELECT event_id, source, value, is_anomaly, round(anomaly_score, 6) AS anomaly_score FROM ({BASELINE_SQL}) s""")
+def stream_model_score(spark, sf):
+    out = _run_to_table(spark, _baseline_scored_stream(spark, sf), "stream-model-score")
+    return out.select("event_id", "source", "value", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
+
+
+@register("stream_counters", f"""
+SELECT source, count(*) AS processed_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       round(count(*) FILTER (WHERE is_anomaly) / count(*), 6) AS anomaly_rate
+FROM ({BASELINE_SQL}) s GROUP BY 1""")
+def stream_counters(spark, sf):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.scoring import start_counters
+    path = scratch_path(spark, "stream-counters")
+    q = start_counters(_baseline_scored_stream(spark, sf), path, ["source"], trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.read.parquet(path)
+    return out.select("source", "processed_count", "anomaly_count", r6("anomaly_rate").alias("anomaly_rate"))
+
+
+@register("stream_alerts", f"""
+SELECT source, value, metric, strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, is_anomaly,
+       round(anomaly_score, 6) AS anomaly_score, 'baseline_zscore' AS anomaly_type
+FROM ({BASELINE_SQL}) s WHERE is_anomaly""")
+def stream_alerts(spark, sf):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.scoring import start_alerts
+    a, qp = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-quarantine")
+    q = start_alerts(_baseline_scored_stream(spark, sf), a, qp, trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.read.parquet(a)
+    return out.select("source", "value", "metric", "timestamp", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
+                      "anomaly_type")
