@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import md5_unit
 from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection, UnfittedModel
-from tidemark.operators.scaling import fit_standard
+from tidemark.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -124,7 +124,7 @@ class IsolationForestDetector(Detector):
     def _grow(self, sample: DataFrame, psi: int) -> DataFrame:
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
         cur = sample.select("tree", "_x", F.lit(1).cast("bigint").alias("node"),
-                            F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi")).checkpoint()
+                            F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
         leaves = []
         for depth in range(max_depth + 1):
             st = (cur.groupBy("tree", "node", "lo", "hi")
@@ -144,11 +144,13 @@ class IsolationForestDetector(Detector):
             cur = nxt.select(
                 "tree", "_x", (F.col("node") * 2 + right.cast("bigint")).alias("node"),
                 F.when(right, F.col("split")).otherwise(F.col("lo")).alias("lo"),
-                F.when(right, F.col("hi")).otherwise(F.col("split")).alias("hi")).checkpoint()
+                F.when(right, F.col("hi")).otherwise(F.col("split")).alias("hi"))
+            cur = materialize(cur, "iforest-level")
         out = leaves[0]
         for lf in leaves[1:]:
             out = out.unionByName(lf)
-        return out.withColumn("path", F.col("depth").cast("double") + _c_col(F.col("cnt"))).checkpoint()
+        return materialize(out.withColumn("path", F.col("depth").cast("double") + _c_col(F.col("cnt"))),
+                           "iforest-leaves")
 
     # -- collapse ---------------------------------------------------------
     def _intervals(self, leaves: DataFrame, psi: int):
@@ -165,12 +167,13 @@ class IsolationForestDetector(Detector):
         tab = tab.select(F.col("c").alias("lo"), F.col("c_next").alias("hi"),
                          (F.col("tot") / F.lit(float(T))).alias("mean_path"))
         tab = tab.withColumn("_s", F.pow(F.lit(2.0), -F.col("mean_path") / F.lit(cnorm if cnorm > 0 else 1.0)))
-        tab = tab.checkpoint()
+        tab = materialize(tab, "iforest-intervals")
         finite = [r["hi"] for r in tab.select("hi").where(F.col("hi") < float("inf")).orderBy("hi").collect()]
         m = len(finite)
         # bucket of -x: interval j (from the left) <-> bucket m - j
         wj = Window.orderBy("lo")
-        tab = tab.withColumn("_bin", (F.lit(m) - (F.row_number().over(wj) - 1)).cast("int")).checkpoint()
+        tab = materialize(tab.withColumn("_bin", (F.lit(m) - (F.row_number().over(wj) - 1)).cast("int")),
+                          "iforest-intervals")
         splits = [float("-inf")] + [-v for v in reversed(finite)] + [float("inf")]
         return tab, splits
 
@@ -178,16 +181,16 @@ class IsolationForestDetector(Detector):
         spec = self.spec
         if spec.id is None:
             raise ValueError("isolation forest sampling needs a row id column (SeriesSpec.id)")
-        sc = fit_standard(df, spec.value).params.first()
-        mean, sd = float(sc["_mean"] or 0.0), float(sc["_sd"] or 0.0)
+        v = F.col(spec.value).cast("double")
+        st = df.where(v.isNotNull() & ~F.isnan(v)).agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("m"),
+                                                        F.stddev_pop(v).alias("s")).first()
+        n, mean, sd = int(st["n"]), float(st["m"] or 0.0), float(st["s"] or 0.0)
         sd_eff = sd if sd else 1.0
-        x = df.select(spec.id, ((F.col(spec.value).cast("double") - mean) / sd_eff).alias("_x")) \
-            .where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-        n = x.count()
+        x = df.select(spec.id, ((v - mean) / sd_eff).alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
         if n == 0:
             raise ValueError("cannot fit an isolation forest on no rows")
         psi = min(self.max_samples, n)
-        sample = self._sample(x, n, psi).checkpoint()
+        sample = materialize(self._sample(x, n, psi), "iforest-sample")
         leaves = self._grow(sample, psi)
         intervals, splits = self._intervals(leaves, psi)
         model = IsolationForestModel(spec, mean, sd, intervals, splits, 0.5,

@@ -30,21 +30,11 @@ from pyspark.sql import functions as F
 from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection, UnfittedModel
 from tidemark.operators.quantile import exact_percentile
 from tidemark.operators.rolling import RN, positions, chunk_windows
-from tidemark.operators.scaling import fit_standard
+from tidemark.session import materialize
 
 EPS = 1e-10
 
 
-def _nearest(cands: Column, x: Column, k: Column, sd: float) -> Column:
-    """k nearest of an array<struct<rn, x>> by (raw distance, position).
-
-    Neighbours are ranked on raw value differences (one IEEE subtraction, the
-    same in every engine); the distance kept is in standardised units."""
-    with_d = F.transform(cands, lambda e: F.struct(F.abs(e["x"] - x).alias("dr"), e["rn"].alias("rn")))
-    near = F.slice(F.array_sort(with_d), 1, k)
-    return F.transform(near, lambda e: F.struct((e["dr"] / F.lit(sd)).alias("d"), e["rn"].alias("rn")))
-
-
 class LOFModel(Model):
     kind = "local_outlier_factor"
 
@@ -74,7 +64,7 @@ class LOFModel(Model):
         cand = cand.join(xs, "_id")
         cand = cand.withColumn("dr", F.abs(F.col("x") - F.col("_x")))
         agg = (cand.groupBy("_id")
-               .agg(F.slice(F.array_sort(F.collect_list(F.struct("dr", "rn", "kd", "lrd"))), 1, k).alias("nb")))
+               .agg(F.slice(F.sort_array(F.collect_list(F.struct("dr", "rn", "kd", "lrd"))), 1, k).alias("nb")))
         sd = F.lit(self.sd or 1.0)
         agg = agg.withColumn("nb", F.transform("nb", lambda e: e.withField("d", e["dr"] / sd)))
         reach = F.aggregate(F.transform("nb", lambda e: F.greatest(e["d"], e["kd"])), F.lit(0.0),
@@ -94,7 +84,7 @@ class LOFDetector(Detector):
     name = "lof"
 
     def __init__(self, spec: SeriesSpec = READINGS, contamination: float = 0.1, n_neighbors: int = 20,
-                 chunk_rows: int = 1_000_000, **_):
+                 chunk_rows: int | None = None, **_):
         super().__init__(spec)
         self.contamination, self.k, self.chunk_rows = float(contamination), int(n_neighbors), chunk_rows
 
@@ -102,47 +92,68 @@ class LOFDetector(Detector):
         spec = self.spec
         if spec.id is None:
             raise ValueError("LOF needs a row id column (SeriesSpec.id)")
-        sc = fit_standard(df, spec.value).params.first()
-        mean, sd = float(sc["_mean"] or 0.0), float(sc["_sd"] or 0.0)
         # x stays in raw units (ordering and neighbour ranking); distances are
         # divided by the population std, i.e. measured on the standardised value
         x = df.select(F.col(spec.id).cast("bigint").alias("_id"), F.col(spec.value).cast("double").alias("x"))
         x = x.where(F.col("x").isNotNull() & ~F.isnan("x"))
-        n = x.count()
+        st = x.agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).first()
+        n, mean, sd = int(st["n"]), float(st["m"] or 0.0), float(st["s"] or 0.0)
         if n < 2:
             raise ValueError("LOF needs at least two training rows")
         k = min(self.k, n - 1)
-        pos = positions(x, [], ["x", "_id"], chunk_rows=self.chunk_rows).withColumnRenamed(RN, "rn") \
+        # enough chunks to use the cluster, each far larger than the 3k halo
+        chunk = self.chunk_rows or min(1_000_000, max(-(-n // df.sparkSession.sparkContext.defaultParallelism),
+                                                      50 * k, 1000))
+        pos = positions(x, [], ["x", "_id"], chunk_rows=chunk).withColumnRenamed(RN, "rn") \
             .withColumn(RN, F.col("rn"))
 
-        def pass1(w):
-            around = F.collect_list(F.struct(F.col("rn"), F.col("x"))).over(w.rowsBetween(-k, k))
-            others = F.filter(around, lambda e: e["rn"] != F.col("rn"))
-            nb = _nearest(others, F.col("x"), F.lit(k), sd or 1.0)
-            return {"nb": nb}
+        sdv = F.lit(sd or 1.0)
+
+        def frame(w):
+            return w.rowsBetween(-k, k)
+
+        # pass 1: the rows around a row (ordered by position) -> k nearest, k-distance
+        def p1_collect(w):
+            return {"_near": F.collect_list(F.struct(F.col("rn"), F.col("x"))).over(frame(w)),
+                    "_first": F.first("rn").over(frame(w))}
+
+        def p1_nearest(w):
+            others = F.filter("_near", lambda e: e["rn"] != F.col("rn"))
+            cand = F.transform(others, lambda e: F.struct(F.abs(e["x"] - F.col("x")).alias("dr"),
+                                                          e["rn"].alias("rn")))
+            near = F.slice(F.sort_array(cand), 1, k)  # by (raw distance, position)
+            return {"nb": F.transform(near, lambda e: F.struct((e["dr"] / sdv).alias("d"), e["rn"].alias("rn")))}
+
+        def p1_kd(w):
+            return {"kd": F.element_at("nb", k)["d"]}
+
+        # a neighbour at position p sits at index p - first + 1 of the frame array
+        def at(arr: str, field: str):
+            return lambda e: F.element_at(arr, (e["rn"] - F.col("_first") + 1).cast("int"))[field]
 
-        p1 = chunk_windows(pos, [], pass1, k, k, self.chunk_rows)
-        p1 = p1.withColumn("kd", F.element_at("nb", k)["d"]).checkpoint()
+        def p2_collect(w):
+            return {"_kds": F.collect_list(F.struct("kd")).over(frame(w))}
 
-        def pass2(w):
-            around = F.map_from_entries(F.collect_list(F.struct("rn", "kd")).over(w.rowsBetween(-k, k)))
-            reach = F.transform("nb", lambda e: F.greatest(e["d"], F.element_at(around, e["rn"])))
+        def p2_lrd(w):
+            reach = F.transform("nb", lambda e: F.greatest(e["d"], at("_kds", "kd")(e)))
             s = F.aggregate(reach, F.lit(0.0), lambda a, b: a + b) / F.lit(float(k))
             return {"lrd": 1.0 / (s + F.lit(EPS))}
 
-        p2 = chunk_windows(p1, [], pass2, k, k, self.chunk_rows).checkpoint()
+        def p3_collect(w):
+            return {"_lrds": F.collect_list(F.struct("lrd")).over(frame(w))}
 
-        def pass3(w):
-            around = F.map_from_entries(F.collect_list(F.struct("rn", "lrd")).over(w.rowsBetween(-k, k)))
-            s = F.aggregate(F.transform("nb", lambda e: F.element_at(around, e["rn"])), F.lit(0.0),
-                            lambda a, b: a + b) / F.lit(float(k))
+        def p3_lof(w):
+            s = F.aggregate(F.transform("nb", at("_lrds", "lrd")), F.lit(0.0), lambda a, b: a + b) / F.lit(float(k))
             return {"lof": s / F.col("lrd")}
 
-        p3 = chunk_windows(p2, [], pass3, k, k, self.chunk_rows)
-        train = p3.select("rn", "x", "kd", "lrd", "lof", "_id").checkpoint()
+        # three chained neighbour passes inside one chunking: a row's LOF needs
+        # raw rows up to 3k positions away, so the halo is 3k on each side
+        p3 = chunk_windows(pos, [], [p1_collect, p1_nearest, p1_kd, p2_collect, p2_lrd, p3_collect, p3_lof],
+                           3 * k, 3 * k, chunk)
+        train = materialize(p3.select("rn", "x", "kd", "lrd", "lof", "_id"), "lof-train")
         neg = train.select((-F.col("lof")).alias("neg_lof"))
         offset = exact_percentile(neg, "neg_lof", self.contamination).first()[0]
-        return LOFModel(spec, mean, sd, k, n, float(offset), train, self.chunk_rows)
+        return LOFModel(spec, mean, sd, k, n, float(offset), train, chunk)
 
     def unfitted(self):
         return UnfittedModel("unknown")

@@ -24,32 +24,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.scaling import join_params
+from tidemark.session import materialize
 
 
 def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (), *,
                      bins: int = 1024, max_candidates: int = 200_000, out: str = "percentile",
                      max_rounds: int = 12) -> DataFrame:
     keys = list(keys)
+    if not keys:
+        # one global group: a constant key keeps every step an ordinary keyed job
+        res = exact_percentile(df.withColumn("_g", F.lit(0)), value, q, ["_g"], bins=bins,
+                               max_candidates=max_candidates, out=out, max_rounds=max_rounds)
+        return res.drop("_g")
     v = F.col(value)
     data = df.select(*keys, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    g = data.groupBy(*keys) if keys else data.groupBy()
-    br = g.agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    br = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     h = (F.col("_n") - 1) * F.lit(float(q))
     br = br.select(*keys, "_n", F.floor(h).cast("bigint").alias("_r"), (h - F.floor(h)).alias("_frac"),
                    "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_inside"))
-    br = br.checkpoint(eager=True)
+    br = materialize(br, "pct-bracket")
     for _ in range(max_rounds):
         # a bracket of one distinct value is resolved without collecting it
         worst = br.where(F.col("_lo") < F.col("_hi")).agg(F.max("_inside")).first()[0]
         if worst is None or worst <= max_candidates:
             break
-        br = _narrow(data, br, keys, bins).checkpoint(eager=True)
-    cand = join_params(data, br.select(*keys, "_lo", "_hi"), keys) if keys else \
-        data.withColumns({c: F.lit(x) for c, x in br.select("_lo", "_hi").first().asDict().items()})
+        br = materialize(_narrow(data, br, keys, bins), "pct-bracket")
+    cand = join_params(data, br.select(*keys, "_lo", "_hi"), keys)
     cand = cand.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")) & (F.col("_lo") < F.col("_hi")))
-    gc = cand.groupBy(*keys) if keys else cand.groupBy()
-    vals = gc.agg(F.array_sort(F.collect_list("_v")).alias("_vals"))
-    res = (br.join(vals, keys, "left") if keys else _attach_one(br, vals))
+    # at most max_candidates values per key
+    vals = cand.groupBy(*keys).agg(F.array_sort(F.collect_list("_v")).alias("_vals"))
+    res = br.join(vals, keys, "left")
     i = F.col("_r") - F.col("_below")
     x0 = F.try_element_at("_vals", (i + 1).cast("int"))
     x1 = F.coalesce(F.try_element_at("_vals", (i + 2).cast("int")), x0)
@@ -59,15 +63,8 @@ def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] =
     return res.select(*keys, val.alias(out))
 
 
-def _attach_one(br: DataFrame, vals: DataFrame) -> DataFrame:
-    r = vals.first()
-    return br.withColumn("_vals", F.lit(r["_vals"] if r else None).cast("array<double>"))
-
-
 def _narrow(data: DataFrame, br: DataFrame, keys, bins: int) -> DataFrame:
-    todo = br.select(*keys, "_lo", "_hi")
-    j = join_params(data, todo, keys) if keys else \
-        data.withColumns({c: F.lit(x) for c, x in todo.first().asDict().items()})
+    j = join_params(data, br.select(*keys, "_lo", "_hi"), keys)
     j = j.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     b = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(0)
@@ -76,18 +73,12 @@ def _narrow(data: DataFrame, br: DataFrame, keys, bins: int) -> DataFrame:
     # the histogram has at most `bins` rows per key
     w = Window.partitionBy(*keys).orderBy("_bin")
     hist = hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    hist = hist.join(br.select(*keys, "_r", "_below"), keys, "inner") if keys else \
-        hist.withColumns({c: F.lit(x) for c, x in br.select("_r", "_below").first().asDict().items()})
+    hist = hist.join(br.select(*keys, "_r", "_below"), keys, "inner")
     start = F.col("_below") + F.col("_cum") - F.col("_c")  # rank of the first row in the bin
     end = F.col("_below") + F.col("_cum") - 1
     r = F.col("_r")
     need = ((start <= r) & (end >= r)) | ((start <= r + 1) & (end >= r + 1))
-    sel = hist.where(need)
-    gs = sel.groupBy(*keys) if keys else sel.groupBy()
-    nb = gs.agg(F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"), F.sum("_c").alias("_inside"),
-                F.min(start).alias("_below"))
-    keep = br.drop("_lo", "_hi", "_inside", "_below")
-    if keys:
-        return keep.join(nb, keys, "inner")
-    row = nb.first().asDict()
-    return keep.withColumns({c: F.lit(x) for c, x in row.items()})
+    nb = hist.where(need).groupBy(*keys).agg(
+        F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"), F.sum("_c").alias("_inside"),
+        F.min(start).alias("_below"))
+    return br.drop("_lo", "_hi", "_inside", "_below").join(nb, keys, "inner")

@@ -151,10 +151,14 @@ def chunk_windows(df: DataFrame, keys, columns, halo_before: int, halo_after: in
     Rows are dealt into chunks of ``chunk_rows`` positions; border rows are
     copied into the neighbour chunks (``halo_before`` / ``halo_after``), the
     window runs per ``(keys, chunk)`` ordered by ``_rn``, copies are dropped.
-    Chained passes (each reading the previous pass's columns at neighbour
-    rows) call this once per pass.
+
+    ``columns`` may be a list of builders applied one after the other (each may
+    read the previous ones' columns at neighbour rows).  The halo must then
+    cover the sum of the passes' reaches; all passes share one exchange and
+    one sort.
     """
     keys = list(keys)
+    passes = columns if isinstance(columns, (list, tuple)) else [columns]
     chunk_rows = max(chunk_rows, halo_before + halo_after + 1)
     idx = (F.col(RN) - 1) % chunk_rows
     shifts = F.array(F.lit(0))
@@ -165,5 +169,7 @@ def chunk_windows(df: DataFrame, keys, columns, halo_before: int, halo_after: in
     df = df.withColumn("_shift", F.explode(shifts))
     df = df.withColumn("_chunk", F.floor((F.col(RN) - 1) / chunk_rows).cast("bigint") + F.col("_shift"))
     w = Window.partitionBy(*(keys + ["_chunk"])).orderBy(RN)
-    out = df.withColumns(columns(w))
+    out = df
+    for build in passes:
+        out = out.withColumns(build(w))
     return out.where(F.col("_shift") == 0).drop("_shift", "_chunk")

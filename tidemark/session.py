@@ -56,3 +56,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     import uuid
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint
+    folder and reading it back: one job (``Dataset.checkpoint`` computes its
+    input twice), and the result survives the loss of any executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
