@@ -28,6 +28,7 @@ from tidemark.operators.base import SeriesSpec
 from tidemark.operators.ensemble import create_detector
 from tidemark.operators.evaluate import evaluate
 from tidemark.operators.split import with_positions, fold_bounds
+from tidemark.session import materialize
 
 DEFAULT_TYPES = ("isolation_forest", "statistical", "ensemble")
 
@@ -135,7 +136,7 @@ def grid_search(spark: SparkSession, model_type: str, df: DataFrame, param_grid:
         label_column = "_label"
     names = sorted(param_grid)
     combos = [dict(zip(names, vals)) for vals in itertools.product(*[param_grid[n] for n in names])]
-    pos = with_positions(df, list(spec.order)).checkpoint()
+    pos = materialize(with_positions(df, list(spec.order)), "folds")
     n = pos.count()
     bounds = fold_bounds(n, n_splits)
     first, t = bounds[0][1], bounds[0][2] - bounds[0][1]

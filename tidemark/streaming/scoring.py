@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import safe_div
 from tidemark.operators.base import Model, with_detection
 from tidemark.operators.quality import enforce_schema
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.decode import ALERT
 
 BROADCAST_ROWS = 100_000
@@ -38,7 +38,7 @@ class BaselineModel(Model):
 
     @classmethod
     def fit(cls, df: DataFrame, keys: Sequence[str] = ("source",), value: str = "value", threshold: float = 3.0):
-        p = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd")).checkpoint()
+        p = materialize(df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd")), "baseline")
         return cls(p, keys, value, threshold, p.count() <= BROADCAST_ROWS)
 
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
