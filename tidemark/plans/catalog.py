@@ -848,3 +848,17 @@ def stream_alerts(spark, sf):
     out = spark.read.parquet(a)
     return out.select("source", "value", "metric", "timestamp", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
                       "anomaly_type")
+
+
+# ---------------------------------------------------------------- A4 file source
+@register("csv_roundtrip", """
+SELECT event_type AS source, value, 'user_' || CAST(user_id AS VARCHAR) AS metric,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp FROM events""")
+def csv_roundtrip(spark, sf):
+    from tidemark.session import scratch_path
+    from tidemark.sources import files
+    path = scratch_path(spark, "readings-csv")
+    ev = tb.readings(spark, sf).select("source", "value", "metric",
+                                       F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
+    files.write_csv(ev, path)
+    return files.read_csv(spark, path).drop(files.CORRUPT)
