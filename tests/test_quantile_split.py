@@ -50,3 +50,14 @@ def test_global_positions_chunked(spark):
     pos = sp.with_positions(ev, ["timestamp", "event_id"], chunk_rows=700)
     r = rows(pos.select("event_id", "_pos"))
     assert [p for _, p in r] == list(range(10000))  # ts rises with event_id
+
+
+def test_global_positions_skewed_values(spark):
+    # heavy-tailed order value: quantile buckets keep positions exact
+    import math
+    from tidemark.operators.rolling import positions, RN
+    data = [(i, math.exp(i % 97 / 4.0) if i % 5 else 1e9 + i) for i in range(3000)]
+    df = spark.createDataFrame(data, "id long, v double")
+    got = {r["id"]: r[RN] for r in positions(df, [], ["v", "id"], bucket_rows=200).collect()}
+    exp = {i: k + 1 for k, (i, _) in enumerate(sorted(data, key=lambda t: (t[1], t[0])))}
+    assert got == exp

@@ -134,3 +134,13 @@ def test_over_series_halo_after(spark):
     ka = rows(a.select("event_id", F.round("nxt", 6).alias("n"), F.round("prv", 6).alias("p"), "_rn"))
     kb = rows(b.select("event_id", F.round("nxt", 6).alias("n"), F.round("prv", 6).alias("p"), "_rn"))
     assert ka == kb
+
+
+def test_global_series_chunked_equals_plain(spark):
+    from tidemark.operators.base import SeriesSpec
+    df = tb.readings(spark, SF01)
+    spec = SeriesSpec((), ("timestamp", "event_id"), "value")
+    a = st.rolling_zscore(df, spec, hot_key_rows=None)
+    b = st.rolling_zscore(df, spec, hot_key_rows=1000, chunk_rows=900)
+    k = ("event_id", "is_anomaly", "anomaly_type")
+    assert rows(a, *k) == rows(b, *k)

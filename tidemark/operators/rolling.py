@@ -63,8 +63,8 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         r = bucket_sizes(df, keys, num, chunk_rows).first()
         if r is None or r["_n"] <= hot_key_rows:
             return _plain(df, keys, order, columns)
-        lit = df.withColumns({"_lo": F.lit(r["_lo"]), "_width": F.lit(r["_width"])})
-        return _chunked(lit, keys, order, columns, halo_before, halo_after, bucket_col, num, chunk_rows)
+        pos = positions(df, [], order, bucket_col)
+        return chunk_windows(pos, [], columns, halo_before, halo_after, chunk_rows)
 
     sizes = bucket_sizes(df, keys, num, chunk_rows).where(F.col("_n") > hot_key_rows)
     # one small action: the number of hot keys is at most rows / hot_key_rows
@@ -100,31 +100,49 @@ def bucket_sizes(df: DataFrame, keys, num: Column, chunk_rows: int) -> DataFrame
 
 
 def positions(df: DataFrame, keys, order, bucket_col: str | None = None,
-              chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+              chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes: DataFrame | None = None,
+              bucket_rows: int = 10_000_000) -> DataFrame:
     """1-based position ``_rn`` of every row inside its key (``keys`` may be
     empty: a global position), without sorting a key in one task.
 
     Buckets of the order value are counted (small table), offsets come from a
     running sum over the bucket table and ``row_number`` runs per bucket.
+    Keyed series use equal-width buckets per key; the global series uses
+    approximate quantiles as bucket boundaries (about ``bucket_rows`` rows per
+    bucket), so a skewed value column still spreads over many tasks.
     """
     keys, order = list(keys), list(order)
     bucket_col = bucket_col or order[0]
     num = order_number(F.col(bucket_col), df.schema[bucket_col].dataType)
+    if not keys:
+        return _positions(_quantile_buckets(df, num, bucket_rows), keys, order, bucket_col, None)
     if sizes is None:
         sizes = bucket_sizes(df, keys, num, chunk_rows).select(*keys, "_lo", "_width")
-    if not keys:
-        # global position: the size table is a single row of two numbers
-        r = sizes.first()
-        lo, width = (r["_lo"], r["_width"]) if r and r["_lo"] is not None else (0.0, 1.0)
-        df = df.withColumns({"_lo": F.lit(lo), "_width": F.lit(width)})
-    else:
-        df = df.join(sizes, keys, "inner")
+    df = df.join(sizes, keys, "inner")
     return _positions(df, keys, order, bucket_col, num)
 
 
+def _quantile_buckets(df: DataFrame, num: Column, bucket_rows: int) -> DataFrame:
+    """Adds ``_b``: the bucket of ``num`` between approximate quantiles."""
+    from pyspark.ml.feature import Bucketizer
+
+    n = df.count()
+    nb = -(-n // bucket_rows) if n else 1
+    if nb <= 1:
+        return df.withColumn("_b", F.lit(0).cast("bigint"))
+    probs = [i / nb for i in range(1, nb)]
+    # nb - 1 numbers (rows / bucket_rows): a bounded sketch result
+    qs = df.agg(F.percentile_approx(num, probs, max(10_000, 20 * nb))).first()[0]
+    splits = [float("-inf")] + sorted(set(float(q) for q in qs if q is not None)) + [float("inf")]
+    tmp = df.withColumn("_num", num)
+    out = Bucketizer(splits=splits, inputCol="_num", outputCol="_b", handleInvalid="keep").transform(tmp)
+    return out.withColumn("_b", F.col("_b").cast("bigint")).drop("_num")
+
+
 def _positions(df: DataFrame, keys, order, bucket_col, num) -> DataFrame:
     lead = order[: order.index(bucket_col)]  # exact order columns before the bucketed one
-    df = df.withColumn("_b", F.floor((num - F.col("_lo")) / F.col("_width")).cast("bigint"))
+    if num is not None:
+        df = df.withColumn("_b", F.floor((num - F.col("_lo")) / F.col("_width")).cast("bigint"))
     bkeys = keys + lead + ["_b"]
     counts = df.groupBy(*bkeys).agg(F.count(F.lit(1)).alias("_bn"))
     # the bucket table has about rows / chunk_rows rows; a running sum over it
