@@ -1,7 +1,9 @@
 """Isolation forest on one (standardised) feature, fitted and applied as Spark jobs.
 
 Fit
-1. standardise with the population mean / std (zero std -> 1);
+1. the value is used as it is: splits at ``min + u * (max - min)`` make the
+   trees invariant to shifting and scaling, so standardising first would
+   give the same forest;
 2. sample ``psi = min(max_samples, n)`` rows per tree without replacement.
    Randomness is ``md5(id, seed)``: with ``n >= trees * psi`` the
    ``trees * psi`` rows of smallest hash are dealt round-robin to the trees
@@ -22,7 +24,7 @@ Fit
    interval table, so it never buffers the training rows), anomaly iff
    ``s > threshold``; ``contamination='auto'`` uses 0.5.
 
-Transform: standardise, find the interval with MLlib's ``Bucketizer`` (binary
+Transform: find the interval with MLlib's ``Bucketizer`` (binary
 search in the JVM, narrow) and join the interval scores (bounded, broadcast).
 The canonical ``anomaly_score`` is ``s`` in (0, 1]; ``reference_score = 1 + s``
 reproduces the ``1 - score_samples`` scale of the original detector.
@@ -182,11 +184,9 @@ class IsolationForestDetector(Detector):
         if spec.id is None:
             raise ValueError("isolation forest sampling needs a row id column (SeriesSpec.id)")
         v = F.col(spec.value).cast("double")
-        st = df.where(v.isNotNull() & ~F.isnan(v)).agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("m"),
-                                                        F.stddev_pop(v).alias("s")).first()
-        n, mean, sd = int(st["n"]), float(st["m"] or 0.0), float(st["s"] or 0.0)
-        sd_eff = sd if sd else 1.0
-        x = df.select(spec.id, ((v - mean) / sd_eff).alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+        x = df.select(spec.id, v.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+        n = x.count()
+        mean, sd = 0.0, 1.0  # identity scaling (see step 1)
         if n == 0:
             raise ValueError("cannot fit an isolation forest on no rows")
         psi = min(self.max_samples, n)

@@ -862,3 +862,53 @@ def csv_roundtrip(spark, sf):
                                        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
     files.write_csv(ev, path)
     return files.read_csv(spark, path).drop(files.CORRUPT)
+
+
+def _iforest_sql(train_sql: str, score_sql: str, trees: int = 100, psi_max: int = 256, seed: int = 42,
+                 contamination: float = 0.1) -> str:
+    """Isolation forest grown level by level in SQL with the same md5 randomness."""
+    import math
+    k = trees * psi_max
+    depth = int(math.ceil(math.log2(psi_max)))
+    h0 = _u(f"concat_ws('|', CAST(id AS VARCHAR), '{seed}')")
+    ht = _u(f"concat_ws('|', CAST(id AS VARCHAR), '{seed}', CAST(tree AS VARCHAR))")
+    us = _u(f"concat_ws('|', 'split{seed}', CAST(tree AS VARCHAR), CAST(node AS VARCHAR))")
+    c = ("CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 "
+         "ELSE 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} END")
+    ctes = [f"tr AS ({train_sql})",
+            "nn AS (SELECT count(*) AS n FROM tr)",
+            f"big AS (SELECT id, x, CAST((row_number() OVER (ORDER BY h, id) - 1) % {trees} AS INTEGER) AS tree "
+            f"FROM (SELECT id, x, {h0} AS h FROM tr ORDER BY h, id LIMIT {k}) t)",
+            f"small AS (SELECT tree, x FROM (SELECT id, x, tree, row_number() OVER (PARTITION BY tree ORDER BY h, id) AS j "
+            f"FROM (SELECT id, x, tree, {ht} AS h FROM tr, (SELECT CAST(unnest(range({trees})) AS INTEGER) AS tree) tt) e) e2 "
+            f"WHERE j <= {psi_max})",
+            f"s0 AS (SELECT tree, x, CAST(1 AS BIGINT) AS node, CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi "
+            f"FROM (SELECT tree, x FROM big WHERE (SELECT n FROM nn) >= {k} "
+            f"UNION ALL SELECT tree, x FROM small WHERE (SELECT n FROM nn) < {k}) smp)"]
+    leaves = []
+    for d in range(depth + 1):
+        ctes.append(f"st{d} AS (SELECT tree, node, lo, hi, count(*) AS cnt, min(x) AS mn, max(x) AS mx "
+                    f"FROM s{d} GROUP BY tree, node, lo, hi)")
+        ctes.append(f"sp{d} AS (SELECT *, CASE WHEN cnt > 1 AND mn < mx AND {d} < {depth} THEN "
+                    f"CASE WHEN mn + {us} * (mx - mn) >= mx THEN (mn + mx) / 2.0 ELSE mn + {us} * (mx - mn) END "
+                    f"END AS split FROM st{d})")
+        leaves.append(f"SELECT tree, lo, hi, {d} + {c.format(n='cnt')} AS path FROM sp{d} WHERE split IS NULL")
+        if d < depth:
+            ctes.append(f"s{d + 1} AS (SELECT s.tree, s.x, s.node * 2 + CASE WHEN s.x > p.split THEN 1 ELSE 0 END AS node, "
+                        f"CASE WHEN s.x > p.split THEN p.split ELSE s.lo END AS lo, "
+                        f"CASE WHEN s.x > p.split THEN s.hi ELSE p.split END AS hi "
+                        f"FROM s{d} s JOIN sp{d} p ON s.tree = p.tree AND s.node = p.node WHERE p.split IS NOT NULL)")
+    ctes.append("leaves AS (" + " UNION ALL ".join(leaves) + ")")
+    cpsi = c.format(n=f"least({psi_max}, (SELECT n FROM nn))")
+    ctes.append(f"trs AS (SELECT t.id, pow(2.0, -avg(l.path ORDER BY l.tree) / ({cpsi})) AS s "
+                f"FROM tr t JOIN leaves l ON t.x > l.lo AND t.x <= l.hi GROUP BY t.id)")
+    ctes.append(f"thr AS (SELECT quantile_cont(s, {1.0 - contamination}) AS t FROM trs)")
+    ctes.append(f"sc AS ({score_sql})")
+    ctes.append(f"scs AS (SELECT q.id, pow(2.0, -avg(l.path ORDER BY l.tree) / ({cpsi})) AS s "
+                f"FROM sc q JOIN leaves l ON q.x > l.lo AND q.x <= l.hi GROUP BY q.id)")
+    return ("WITH " + ",\n".join(ctes) +
+            "\nSELECT id AS event_id, s > (SELECT t FROM thr) AS is_anomaly, round(s, 6) AS anomaly_score FROM scs")
+
+
+ORACLE["isolation_forest_scores"] = _iforest_sql(
+    f"SELECT event_id AS id, value AS x FROM events WHERE {TRAIN_PRED}", "SELECT event_id AS id, value AS x FROM events")
