@@ -98,3 +98,18 @@ def start_alerts(scored: DataFrame, alerts_path: str, quarantine_path: str, chec
     w = (flagged.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", checkpoint or scratch_path(scored.sparkSession, "alerts")))
     return (w.trigger(**trigger) if trigger else w).start()
+
+
+def deploy(spark, registry_root: str, name: str, stream: DataFrame) -> DataFrame:
+    """Score a stream with the newest registered model called ``name`` (I6).
+
+    Stateless models only (isolation forest, one-class SVM); a statistical
+    model needs per-key state and runs through ``rolling_detector_stream``."""
+    from tidemark.plans.registry import load_latest
+    from tidemark.operators.statistical import StatisticalModel
+    model = load_latest(spark, registry_root, name)
+    if isinstance(model, StatisticalModel):
+        from tidemark.streaming.stateful import rolling_detector_stream
+        return rolling_detector_stream(stream, model.spec.keys, model.spec.order, model.spec.value,
+                                       model.method, model.threshold, model.window_size, model.min_history)
+    return model.transform(stream)
