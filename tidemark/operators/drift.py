@@ -15,6 +15,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.scaling import join_params
+
 
 def psi(baseline: DataFrame, current: DataFrame, value: str = "value", keys: Sequence[str] = (),
         bins: int = 10, eps: float = 1e-6, threshold: float = 0.2) -> DataFrame:
@@ -27,8 +29,8 @@ def psi(baseline: DataFrame, current: DataFrame, value: str = "value", keys: Seq
                        F.count(F.lit(1)).alias("cur_n"))
 
     def binned(df: DataFrame) -> DataFrame:
-        j = df.join(F.broadcast(rng.select(*keys, "_mn", "_mx")), keys, "inner") if keys else \
-            df.withColumns({c: F.lit(v) for c, v in rng.select("_mn", "_mx").first().asDict().items()})
+        # one row per key: broadcast only after the size check in join_params
+        j = join_params(df, rng.select(*keys, "_mn", "_mx"), keys)
         width = F.col("_mx") - F.col("_mn")
         b = F.when(width > 0, F.floor((F.col(value) - F.col("_mn")) / width * bins)).otherwise(0)
         b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).cast("int")
