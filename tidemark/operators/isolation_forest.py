@@ -101,57 +101,64 @@ class IsolationForestDetector(Detector):
 
     # -- sampling ---------------------------------------------------------
     def _sample(self, x: DataFrame, n: int, psi: int) -> DataFrame:
+        """Materialized sample ``(tree, _x)``: ``trees * psi`` rows at most."""
         T, seed, idc = self.n_estimators, self.seed, self.spec.id
         if n >= T * psi:
             k = T * psi
             h = md5_unit(idc, F.lit(str(seed)))
-            # keep about 3k candidates with a narrow filter, then a bounded top-k
+            # keep about 3k candidates with a narrow filter, then a bounded top-k;
+            # the rare short draw is detected on the written sample and redone wider
             frac = min(1.0, 3.0 * k / n + 1e-9)
             cand = x.select(idc, "_x", h.alias("_h"))
             while True:
-                sub = cand.where(F.col("_h") < F.lit(frac))
-                if frac >= 1.0 or sub.count() >= k:
-                    break
+                top = cand.where(F.col("_h") < F.lit(frac)).orderBy("_h", idc).limit(k)
+                # bounded (k rows): numbering them in one task is fine
+                w = Window.orderBy("_h", idc)
+                smp = materialize(top.select(((F.row_number().over(w) - 1) % T).cast("int").alias("tree"), "_x"),
+                                  "iforest-sample")
+                if frac >= 1.0 or smp.count() >= k:
+                    return smp
                 frac = min(1.0, frac * 2.0)
-            top = sub.orderBy("_h", idc).limit(k)
-            # bounded (k rows): numbering them in one task is fine
-            w = Window.orderBy("_h", idc)
-            return top.select(((F.row_number().over(w) - 1) % T).cast("int").alias("tree"), "_x")
         e = x.select(idc, "_x", F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree"))
         e = e.withColumn("_h", md5_unit(idc, F.lit(str(seed)), F.col("tree")))
         w = Window.partitionBy("tree").orderBy("_h", idc)
-        return e.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= psi).select("tree", "_x")
+        return materialize(e.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= psi)
+                           .select("tree", "_x"), "iforest-sample")
 
     # -- growth -----------------------------------------------------------
     def _grow(self, sample: DataFrame, psi: int) -> DataFrame:
+        """All levels in one job: the sample is hash-partitioned by tree once;
+        every level's per-node statistics are a window over ``(tree, node)``,
+        which that partitioning already satisfies (no further exchange)."""
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
-        cur = sample.select("tree", "_x", F.lit(1).cast("bigint").alias("node"),
-                            F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
-        leaves = []
+        parts = max(1, min(self.n_estimators, sample.sparkSession.sparkContext.defaultParallelism))
+        cur = sample.repartition(parts, "tree").select(
+            "tree", "_x", F.lit(1).cast("bigint").alias("node"), F.lit(float("-inf")).alias("lo"),
+            F.lit(float("inf")).alias("hi"), F.lit(None).cast("int").alias("depth"),
+            F.lit(None).cast("bigint").alias("cnt"))
+        w = Window.partitionBy("tree", "node")
         for depth in range(max_depth + 1):
-            st = (cur.groupBy("tree", "node", "lo", "hi")
-                  .agg(F.count(F.lit(1)).alias("cnt"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
+            cnt, mn, mx = F.count(F.lit(1)).over(w), F.min("_x").over(w), F.max("_x").over(w)
+            cur = cur.withColumns({"_cnt": cnt, "_mn": mn, "_mx": mx})
             u = md5_unit(F.lit(f"split{self.seed}"), F.col("tree"), F.col("node"))
-            raw = F.col("mn") + u * (F.col("mx") - F.col("mn"))
-            split = F.when(raw >= F.col("mx"), (F.col("mn") + F.col("mx")) / 2.0).otherwise(raw)
-            can = (F.col("cnt") > 1) & (F.col("mn") < F.col("mx")) & F.lit(depth < max_depth)
-            st = st.withColumn("split", F.when(can, split))
-            leaves.append(st.where(F.col("split").isNull())
-                          .select("tree", "node", F.lit(depth).alias("depth"), "lo", "hi", "cnt"))
-            inner = st.where(F.col("split").isNotNull()).select("tree", "node", "split")
-            if depth == max_depth:
-                break
-            nxt = cur.join(inner, ["tree", "node"], "inner")
-            right = F.col("_x") > F.col("split")
-            cur = nxt.select(
-                "tree", "_x", (F.col("node") * 2 + right.cast("bigint")).alias("node"),
-                F.when(right, F.col("split")).otherwise(F.col("lo")).alias("lo"),
-                F.when(right, F.col("hi")).otherwise(F.col("split")).alias("hi"))
-            cur = materialize(cur, "iforest-level")
-        out = leaves[0]
-        for lf in leaves[1:]:
-            out = out.unionByName(lf)
-        return materialize(out.withColumn("path", F.col("depth").cast("double") + _c_col(F.col("cnt"))),
+            raw = F.col("_mn") + u * (F.col("_mx") - F.col("_mn"))
+            split = F.when(raw >= F.col("_mx"), (F.col("_mn") + F.col("_mx")) / 2.0).otherwise(raw)
+            active = F.col("depth").isNull()
+            can = (F.col("_cnt") > 1) & (F.col("_mn") < F.col("_mx")) & F.lit(depth < max_depth)
+            cur = cur.withColumn("_split", F.when(active & can, split))
+            right = F.col("_x") > F.col("_split")
+            leaf_now = active & F.col("_split").isNull()
+            cur = cur.select(
+                "tree", "_x",
+                F.when(F.col("_split").isNull(), F.col("node"))
+                 .otherwise(F.col("node") * 2 + right.cast("bigint")).alias("node"),
+                F.when(F.col("_split").isNotNull() & right, F.col("_split")).otherwise(F.col("lo")).alias("lo"),
+                F.when(F.col("_split").isNotNull() & ~right, F.col("_split")).otherwise(F.col("hi")).alias("hi"),
+                F.when(leaf_now, F.lit(depth)).otherwise(F.col("depth")).alias("depth"),
+                F.when(leaf_now, F.col("_cnt")).otherwise(F.col("cnt")).alias("cnt"))
+        leaves = cur.groupBy("tree", "node", "lo", "hi", "depth", "cnt").agg(F.count(F.lit(1)).alias("_rows"))
+        return materialize(leaves.select("tree", "node", "depth", "lo", "hi", "cnt",
+                                         (F.col("depth").cast("double") + _c_col(F.col("cnt"))).alias("path")),
                            "iforest-leaves")
 
     # -- collapse ---------------------------------------------------------
@@ -169,13 +176,13 @@ class IsolationForestDetector(Detector):
         tab = tab.select(F.col("c").alias("lo"), F.col("c_next").alias("hi"),
                          (F.col("tot") / F.lit(float(T))).alias("mean_path"))
         tab = tab.withColumn("_s", F.pow(F.lit(2.0), -F.col("mean_path") / F.lit(cnorm if cnorm > 0 else 1.0)))
-        tab = materialize(tab, "iforest-intervals")
-        finite = [r["hi"] for r in tab.select("hi").where(F.col("hi") < float("inf")).orderBy("hi").collect()]
-        m = len(finite)
-        # bucket of -x: interval j (from the left) <-> bucket m - j
+        # bucket of -x: interval j (from the left, 0-based) <-> bucket m - j with
+        # m finite boundaries; tab has m + 1 rows (bounded table, one task)
         wj = Window.orderBy("lo")
-        tab = materialize(tab.withColumn("_bin", (F.lit(m) - (F.row_number().over(wj) - 1)).cast("int")),
-                          "iforest-intervals")
+        tab = tab.withColumn("_j", F.row_number().over(wj) - 1)
+        tab = materialize(tab.withColumn("_bin", (F.max("_j").over(Window.partitionBy()) - F.col("_j")).cast("int"))
+                          .drop("_j"), "iforest-intervals")
+        finite = [r["hi"] for r in tab.select("hi").where(F.col("hi") < float("inf")).orderBy("hi").collect()]
         splits = [float("-inf")] + [-v for v in reversed(finite)] + [float("inf")]
         return tab, splits
 
@@ -190,7 +197,7 @@ class IsolationForestDetector(Detector):
         if n == 0:
             raise ValueError("cannot fit an isolation forest on no rows")
         psi = min(self.max_samples, n)
-        sample = materialize(self._sample(x, n, psi), "iforest-sample")
+        sample = self._sample(x, n, psi)
         leaves = self._grow(sample, psi)
         intervals, splits = self._intervals(leaves, psi)
         model = IsolationForestModel(spec, mean, sd, intervals, splits, 0.5,
