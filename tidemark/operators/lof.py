@@ -49,19 +49,17 @@ class LOFModel(Model):
         spec, k = self.spec, self.k
         idc = spec.id
         new = df.withColumn("_x", self._x(df))
-        keyed = new.select(idc, "_x")
+        keyed = new.select(F.col(idc).cast("bigint").alias("_id"), "_x")
+        # insertion rank r of a new value = training rows ordered before it
+        # (ties: training first) = running count of training rows in the union
         both = (self.train.select(F.col("x").alias("_x"), F.lit(0).alias("_f"), F.col("rn").alias("_id"))
-                .unionByName(keyed.select("_x", F.lit(1).alias("_f"), F.col(idc).cast("bigint").alias("_id"))))
-        pu = positions(both, [], ["_x", "_f", "_id"], chunk_rows=self.chunk_rows).where("_f = 1")
-        pn = positions(keyed.withColumn("_id", F.col(idc).cast("bigint")), [], ["_x", "_id"],
-                       chunk_rows=self.chunk_rows)
-        r = pu.select("_id", F.col(RN).alias("_pu")).join(pn.select("_id", F.col(RN).alias("_pn")), "_id")
-        r = r.select("_id", (F.col("_pu") - F.col("_pn")).alias("_r"))
-        cand = r.select("_id", F.explode(F.sequence(F.greatest(F.col("_r") - (k - 1), F.lit(1)),
-                                                    F.least(F.col("_r") + k, F.lit(self.n)))).alias("rn"))
+                .unionByName(keyed.select("_x", F.lit(1).alias("_f"), "_id"))
+                .withColumn("_t", (F.col("_f") == 0).cast("int")))
+        r = positions(both, [], ["_x", "_f", "_id"], weight="_t").where("_f = 1") \
+            .select("_id", "_x", F.col(RN).alias("_r"))
+        cand = r.select("_id", "_x", F.explode(F.sequence(F.greatest(F.col("_r") - (k - 1), F.lit(1)),
+                                                          F.least(F.col("_r") + k, F.lit(self.n)))).alias("rn"))
         cand = cand.join(self.train.select("rn", "x", "kd", "lrd"), "rn")
-        xs = keyed.select(F.col(idc).cast("bigint").alias("_id"), "_x")
-        cand = cand.join(xs, "_id")
         cand = cand.withColumn("dr", F.abs(F.col("x") - F.col("_x")))
         agg = (cand.groupBy("_id")
                .agg(F.slice(F.sort_array(F.collect_list(F.struct("dr", "rn", "kd", "lrd"))), 1, k).alias("nb")))

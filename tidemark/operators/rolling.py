@@ -101,7 +101,7 @@ def bucket_sizes(df: DataFrame, keys, num: Column, chunk_rows: int) -> DataFrame
 
 def positions(df: DataFrame, keys, order, bucket_col: str | None = None,
               chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes: DataFrame | None = None,
-              bucket_rows: int = 10_000_000) -> DataFrame:
+              bucket_rows: int = 10_000_000, weight: str | None = None) -> DataFrame:
     """1-based position ``_rn`` of every row inside its key (``keys`` may be
     empty: a global position), without sorting a key in one task.
 
@@ -110,16 +110,19 @@ def positions(df: DataFrame, keys, order, bucket_col: str | None = None,
     Keyed series use equal-width buckets per key; the global series uses
     approximate quantiles as bucket boundaries (about ``bucket_rows`` rows per
     bucket), so a skewed value column still spreads over many tasks.
+
+    With ``weight`` (a 0/1 column) ``_rn`` is instead the running count of
+    weighted rows up to and including the row (an as-of rank).
     """
     keys, order = list(keys), list(order)
     bucket_col = bucket_col or order[0]
     num = order_number(F.col(bucket_col), df.schema[bucket_col].dataType)
     if not keys:
-        return _positions(_quantile_buckets(df, num, bucket_rows), keys, order, bucket_col, None)
+        return _positions(_quantile_buckets(df, num, bucket_rows), keys, order, bucket_col, None, weight)
     if sizes is None:
         sizes = bucket_sizes(df, keys, num, chunk_rows).select(*keys, "_lo", "_width")
     df = df.join(sizes, keys, "inner")
-    return _positions(df, keys, order, bucket_col, num)
+    return _positions(df, keys, order, bucket_col, num, weight)
 
 
 def _quantile_buckets(df: DataFrame, num: Column, bucket_rows: int) -> DataFrame:
@@ -139,12 +142,13 @@ def _quantile_buckets(df: DataFrame, num: Column, bucket_rows: int) -> DataFrame
     return out.withColumn("_b", F.col("_b").cast("bigint")).drop("_num")
 
 
-def _positions(df: DataFrame, keys, order, bucket_col, num) -> DataFrame:
+def _positions(df: DataFrame, keys, order, bucket_col, num, weight: str | None = None) -> DataFrame:
     lead = order[: order.index(bucket_col)]  # exact order columns before the bucketed one
     if num is not None:
         df = df.withColumn("_b", F.floor((num - F.col("_lo")) / F.col("_width")).cast("bigint"))
     bkeys = keys + lead + ["_b"]
-    counts = df.groupBy(*bkeys).agg(F.count(F.lit(1)).alias("_bn"))
+    wcol = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    counts = df.groupBy(*bkeys).agg(F.sum(wcol).alias("_bn"))
     # the bucket table has about rows / chunk_rows rows; a running sum over it
     # is cheap even when it is not split by key
     wb = Window.partitionBy(*keys).orderBy(*(lead + ["_b"])).rowsBetween(Window.unboundedPreceding, -1)
@@ -152,7 +156,9 @@ def _positions(df: DataFrame, keys, order, bucket_col, num) -> DataFrame:
     # joined on the keys the row_number below partitions by: one exchange for both
     df = df.join(offsets, bkeys, "inner")
     wrow = Window.partitionBy(*bkeys).orderBy(*order)
-    df = df.withColumn(RN, F.col("_off") + F.row_number().over(wrow))
+    inner = (F.sum(wcol).over(wrow.rowsBetween(Window.unboundedPreceding, 0)) if weight
+             else F.row_number().over(wrow))
+    df = df.withColumn(RN, F.col("_off") + inner)
     return df.drop("_lo", "_width", "_hot", "_b", "_off", "_n", "_hi")
 
 
