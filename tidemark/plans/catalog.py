@@ -912,3 +912,37 @@ def _iforest_sql(train_sql: str, score_sql: str, trees: int = 100, psi_max: int
 
 ORACLE["isolation_forest_scores"] = _iforest_sql(
     f"SELECT event_id AS id, value AS x FROM events WHERE {TRAIN_PRED}", "SELECT event_id AS id, value AS x FROM events")
+
+
+# ---------------------------------------------------------------- E5 seeded history, B1 default chain
+@register("seeded_history_zscore", "SELECT event_id, source, value, is_anomaly, anomaly_score, anomaly_type FROM ("
+          + _zscore_sql("event_id, timestamp, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id",
+                        "value")
+          + ") z WHERE timestamp >= (SELECT min(ts) FROM events) + INTERVAL 15 DAY")
+def seeded_history_zscore(spark, sf):
+    """Buffers preloaded with the first 15 days; the rest is scored."""
+    ev = tb.readings(spark, sf)
+    start = ev.agg(F.min("timestamp")).first()[0]
+    cut = F.lit(start) + F.expr("INTERVAL 15 DAYS")
+    model = st.StatisticalDetector(EVENTS_BY_TYPE).fit(ev.where(F.col("timestamp") < cut))
+    out = model.transform(ev.where(F.col("timestamp") >= cut))
+    return out.select("event_id", "source", "value", *detection_cols())
+
+
+@register("value_default_chain", """
+SELECT event_id, CASE WHEN event_type = 'view' THEN 0.0 ELSE value END AS value FROM events""")
+def value_default_chain(spark, sf):
+    """Messages carry the reading under ``value``, under ``data`` (odd users),
+    or not at all (event type 'view'); the chain value -> data -> 0 recovers it."""
+    from pyspark.sql import types as T
+    from tidemark.sources import decode as dc
+    ev = tb.table(spark, sf, "events")
+    # to_json omits NULL fields, so absent keys stay absent in the text
+    view, odd = F.col("event_type") == "view", F.col("user_id") % 2 == 1
+    body = F.struct(F.col("event_id"), F.when(~view & ~odd, F.col("value")).alias("value"),
+                    F.when(~view & odd, F.col("value")).alias("data"))
+    msgs = ev.select(F.to_json(body).alias("value"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType()),
+                           T.StructField("data", T.DoubleType())])
+    dec = dc.flatten(dc.decode_json(msgs, "value", schema))
+    return dc.value_chain(dec, "value", ("data",)).select("event_id", "value")
