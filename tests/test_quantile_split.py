@@ -58,6 +58,29 @@ def test_global_positions_skewed_values(spark):
     from tidemark.operators.rolling import positions, RN
     data = [(i, math.exp(i % 97 / 4.0) if i % 5 else 1e9 + i) for i in range(3000)]
     df = spark.createDataFrame(data, "id long, v double")
-    got = {r["id"]: r[RN] for r in positions(df, [], ["v", "id"], bucket_rows=200).collect()}
+    got = {r["id"]: r[RN] for r in positions(df, [], ["v", "id"], part_rows=200).collect()}
     exp = {i: k + 1 for k, (i, _) in enumerate(sorted(data, key=lambda t: (t[1], t[0])))}
     assert got == exp
+
+
+def test_positions_hot_key_with_duplicate_order_values(spark):
+    # one key holds most rows and a third of all rows share one order value:
+    # positions stay exact (ranges are cut on the whole (key, order) tuple)
+    from tidemark.operators.rolling import positions, RN
+    data = [(("hot" if i % 4 else f"k{i % 7}"), (5.0 if i % 3 == 0 else float(i % 50)), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, t double, id long")
+    got = {r["id"]: r[RN] for r in positions(df, ["k"], ["t", "id"], part_rows=150).collect()}
+    exp = {}
+    for key in {d[0] for d in data}:
+        grp = sorted((d for d in data if d[0] == key), key=lambda d: (d[1], d[2]))
+        exp.update({d[2]: j + 1 for j, d in enumerate(grp)})
+    assert got == exp
+    w = {r["id"]: r[RN] for r in positions(df.withColumn("w", (F.col("id") % 2).cast("int")), ["k"], ["t", "id"],
+                                           part_rows=150, weight="w").collect()}
+    expw = {}
+    for key in {d[0] for d in data}:
+        c = 0
+        for d in sorted((d for d in data if d[0] == key), key=lambda d: (d[1], d[2])):
+            c += d[2] % 2
+            expw[d[2]] = c
+    assert w == expw

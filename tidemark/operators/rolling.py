@@ -6,10 +6,9 @@ would serialise the whole job.  ``over_series`` therefore runs in two parts:
 
 * **cold keys** (at most ``hot_key_rows`` rows): a plain partitioned window;
 * **hot keys**: rows get an exact position inside their key without a
-  per-key sort.  The order column is cut into per-key buckets whose width is
-  chosen from the key's row count (one bounded pre-aggregate), a bucket count
-  table gives each bucket its offset, and ``row_number`` runs per
-  ``(key, bucket)``.  Rows are then dealt into chunks of ``chunk_rows``
+  per-key sort (``positions``: range partitions of the whole order tuple,
+  sorted and numbered inside each range, offsets from a small
+  ``(range, key)`` count table).  Rows are then dealt into chunks of ``chunk_rows``
   positions; each chunk also receives ``halo_before`` rows of the previous
   chunk and ``halo_after`` rows of the next one, so every frame that stays
   within the halo sees exactly the rows it would see in one big partition.
@@ -27,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import order_number
+from tidemark.session import materialize
 
 RN = "_rn"
 DEFAULT_HOT_KEY_ROWS = 4_000_000
@@ -63,24 +63,22 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         r = bucket_sizes(df, keys, num, chunk_rows).first()
         if r is None or r["_n"] <= hot_key_rows:
             return _plain(df, keys, order, columns)
-        pos = positions(df, [], order, bucket_col)
+        pos = positions(df, [], order, n=r["_n"])
         return chunk_windows(pos, [], columns, halo_before, halo_after, chunk_rows)
 
     sizes = bucket_sizes(df, keys, num, chunk_rows).where(F.col("_n") > hot_key_rows)
     # one small action: the number of hot keys is at most rows / hot_key_rows
-    n_hot = sizes.count()
+    agg = sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("rows")).first()
+    n_hot = agg["k"]
     if n_hot == 0:
         return _plain(df, keys, order, columns)
-
-    # the number of buckets per hot key is chosen so that a bucket holds about
-    # chunk_rows rows on average; the bucket table stays small
-    sizes = sizes.select(*keys, "_lo", "_width", F.lit(True).alias("_hot"))
+    sizes = sizes.select(*keys, F.lit(True).alias("_hot"))
     if n_hot <= BROADCAST_KEY_LIMIT:
         sizes = F.broadcast(sizes)
     tagged = df.join(sizes, keys, "left")
-    cold = _plain(tagged.where(F.col("_hot").isNull()).drop("_lo", "_width", "_hot"), keys, order, columns)
+    cold = _plain(tagged.where(F.col("_hot").isNull()).drop("_hot"), keys, order, columns)
     hot = _chunked(tagged.where(F.col("_hot")), keys, order, columns, halo_before, halo_after,
-                   bucket_col, num, chunk_rows)
+                   bucket_col, num, chunk_rows, n=agg["rows"])
     return cold.unionByName(hot)
 
 
@@ -91,80 +89,57 @@ def _plain(df: DataFrame, keys, order, columns) -> DataFrame:
 
 
 def bucket_sizes(df: DataFrame, keys, num: Column, chunk_rows: int) -> DataFrame:
-    """Per key: row count, range of the bucketed order value and a bucket width
-    that puts about ``chunk_rows`` rows into a bucket."""
+    """Per key: row count and range of the first order value (hot-key detection)."""
     grouped = df.groupBy(*keys) if keys else df.groupBy()
-    s = grouped.agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
-    return s.withColumn("_width", F.greatest(
-        (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(chunk_rows)), F.lit(1e-9)))
+    return grouped.agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
 
 
 def positions(df: DataFrame, keys, order, bucket_col: str | None = None,
               chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes: DataFrame | None = None,
-              bucket_rows: int = 10_000_000, weight: str | None = None) -> DataFrame:
+              part_rows: int = 2_000_000, weight: str | None = None, n: int | None = None) -> DataFrame:
     """1-based position ``_rn`` of every row inside its key (``keys`` may be
-    empty: a global position), without sorting a key in one task.
-
-    Buckets of the order value are counted (small table), offsets come from a
-    running sum over the bucket table and ``row_number`` runs per bucket.
-    Keyed series use equal-width buckets per key; the global series uses
-    approximate quantiles as bucket boundaries (about ``bucket_rows`` rows per
-    bucket), so a skewed value column still spreads over many tasks.
-
-    With ``weight`` (a 0/1 column) ``_rn`` is instead the running count of
-    weighted rows up to and including the row (an as-of rank).
+    empty: a global position), balanced whatever the skew.
+
+    ``repartitionByRange`` over the whole ``(keys, order)`` tuple cuts the
+    total order into contiguous ranges of about ``part_rows`` rows -- Spark
+    samples the bounds on the full tuple, so a hot key, a burst in time and a
+    duplicated order value are all split.  Rows are sorted inside their range,
+    stamped with the range id and a monotonic id and written once (the ids are
+    then fixed even if a task is re-run).  A small table of ``(range, key)``
+    counts (at most ranges + keys rows) gives each key's offset per range.
+
+    With ``weight`` (a 0/1 column) ``_rn`` is the running count of weighted
+    rows up to and including the row (an as-of rank) instead.
     """
     keys, order = list(keys), list(order)
-    bucket_col = bucket_col or order[0]
-    num = order_number(F.col(bucket_col), df.schema[bucket_col].dataType)
-    if not keys:
-        return _positions(_quantile_buckets(df, num, bucket_rows), keys, order, bucket_col, None, weight)
-    if sizes is None:
-        sizes = bucket_sizes(df, keys, num, chunk_rows).select(*keys, "_lo", "_width")
-    df = df.join(sizes, keys, "inner")
-    return _positions(df, keys, order, bucket_col, num, weight)
-
-
-def _quantile_buckets(df: DataFrame, num: Column, bucket_rows: int) -> DataFrame:
-    """Adds ``_b``: the bucket of ``num`` between approximate quantiles."""
-    from pyspark.ml.feature import Bucketizer
-
-    n = df.count()
-    nb = -(-n // bucket_rows) if n else 1
-    if nb <= 1:
-        return df.withColumn("_b", F.lit(0).cast("bigint"))
-    probs = [i / nb for i in range(1, nb)]
-    # nb - 1 numbers (rows / bucket_rows): a bounded sketch result
-    qs = df.agg(F.percentile_approx(num, probs, max(10_000, 20 * nb))).first()[0]
-    splits = [float("-inf")] + sorted(set(float(q) for q in qs if q is not None)) + [float("inf")]
-    tmp = df.withColumn("_num", num)
-    out = Bucketizer(splits=splits, inputCol="_num", outputCol="_b", handleInvalid="keep").transform(tmp)
-    return out.withColumn("_b", F.col("_b").cast("bigint")).drop("_num")
-
-
-def _positions(df: DataFrame, keys, order, bucket_col, num, weight: str | None = None) -> DataFrame:
-    lead = order[: order.index(bucket_col)]  # exact order columns before the bucketed one
-    if num is not None:
-        df = df.withColumn("_b", F.floor((num - F.col("_lo")) / F.col("_width")).cast("bigint"))
-    bkeys = keys + lead + ["_b"]
-    wcol = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    counts = df.groupBy(*bkeys).agg(F.sum(wcol).alias("_bn"))
-    # the bucket table has about rows / chunk_rows rows; a running sum over it
-    # is cheap even when it is not split by key
-    wb = Window.partitionBy(*keys).orderBy(*(lead + ["_b"])).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*bkeys, F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
-    # joined on the keys the row_number below partitions by: one exchange for both
-    df = df.join(offsets, bkeys, "inner")
-    wrow = Window.partitionBy(*bkeys).orderBy(*order)
-    inner = (F.sum(wcol).over(wrow.rowsBetween(Window.unboundedPreceding, 0)) if weight
-             else F.row_number().over(wrow))
-    df = df.withColumn(RN, F.col("_off") + inner)
-    return df.drop("_lo", "_width", "_hot", "_b", "_off", "_n", "_hi")
+    spark = df.sparkSession
+    if n is None:
+        n = df.count()
+    parts = max(spark.sparkContext.defaultParallelism, -(-n // part_rows), 1)
+    r = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+    r = r.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+    r = materialize(r, "positions")
+    g = r.groupBy("_pid", *keys)
+    if weight:
+        cnt = g.agg(F.sum(F.col(weight).cast("bigint")).alias("_c"))
+    else:
+        cnt = g.agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
+    # (range, key) pairs: at most ranges + keys - 1 rows; keyless: one row per range
+    wk = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    cnt = cnt.withColumn("_off", F.coalesce(F.sum("_c").over(wk), F.lit(0)))
+    from tidemark.operators.scaling import join_params
+    out = join_params(r, cnt.drop("_c"), ["_pid", *keys])
+    if weight:
+        wrow = Window.partitionBy("_pid", *keys).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn(RN, F.col("_off") + F.sum(F.col(weight).cast("bigint")).over(wrow))
+    else:
+        out = out.withColumn(RN, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
+    return out.drop("_pid", "_mid", "_m0", "_off")
 
 
 def _chunked(df: DataFrame, keys, order, columns, halo_before, halo_after,
-             bucket_col, num, chunk_rows) -> DataFrame:
-    df = _positions(df, keys, order, bucket_col, num)
+             bucket_col, num, chunk_rows, n: int | None = None) -> DataFrame:
+    df = positions(df.drop("_lo", "_width", "_hot", "_n", "_hi"), keys, order, n=n)
     return chunk_windows(df, keys, columns, halo_before, halo_after, chunk_rows)
 
 
