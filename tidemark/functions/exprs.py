@@ -62,3 +62,16 @@ def detection(is_anomaly, score, kind) -> dict[str, Column]:
 
 def round6(c) -> Column:
     return F.round(col(c), 6)
+
+
+def sorted_quantile(arr, q: float) -> Column:
+    """Linearly interpolated q-quantile of an ascending ``array<double>``
+    (numpy's ``percentile`` rule, including its lerp form for t >= 0.5)."""
+    arr = col(arr)
+    n = F.size(arr)
+    h = (n - 1).cast("double") * F.lit(float(q))
+    lo = F.floor(h).cast("int")
+    t = h - lo
+    a = F.element_at(arr, lo + 1)
+    b = F.element_at(arr, F.least(lo + 2, n))
+    return F.when(n > 0, F.when(t >= 0.5, b - (b - a) * (1.0 - t)).otherwise(a + (b - a) * t))
