@@ -946,3 +946,33 @@ def value_default_chain(spark, sf):
                            T.StructField("data", T.DoubleType())])
     dec = dc.flatten(dc.decode_json(msgs, "value", schema))
     return dc.value_chain(dec, "value", ("data",)).select("event_id", "value")
+
+
+@register("stream_zscore_event_time",
+          "SELECT event_id, source, value, is_anomaly, anomaly_score, anomaly_type FROM ("
+          + _zscore_sql("event_id, timestamp, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id",
+                        "value")
+          + ") z WHERE timestamp <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY")
+def stream_zscore_event_time(spark, sf):
+    """Out-of-order replay (per time slice, odd ids arrive before even ids);
+    rows wait for the watermark and are scored in event-time order.  Rows
+    newer than the final watermark (max time - 2 days) stay pending."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.stats import read_stream
+    from tidemark.streaming.stateful import rolling_detector_event_time
+    ev = tb.readings(spark, sf).select("event_id", F.col("timestamp").cast("timestamp").alias("event_time"),
+                                       "source", "value")
+    replay = scratch_path(spark, "events-ooo")
+    lo, hi = ev.agg(F.min(F.col("event_time").cast("double")), F.max(F.col("event_time").cast("double"))).first()
+    step, i = (hi - lo) / 2, 0
+    for k in range(2):
+        t = F.col("event_time").cast("double")
+        sl = ev.where((t >= lo + k * step) & ((t < lo + (k + 1) * step) if k == 0 else F.lit(True)))
+        for par in (1, 0):
+            sl.where(F.col("event_id") % 2 == par).write.parquet(f"{replay}/p{i}")
+            i += 1
+    s = read_stream(spark, "parquet", f"{replay}/p*", ev.schema, max_files_per_trigger=1)
+    scored = rolling_detector_event_time(s, ["source"], "event_time", "event_id", "value", "zscore",
+                                         watermark="2 days")
+    out = _run_to_table(spark, scored, "stream-zscore-et")
+    return out.select("event_id", "source", "value", *detection_cols())

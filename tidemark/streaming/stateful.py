@@ -90,3 +90,78 @@ def rolling_detector_stream(df: DataFrame, keys: Sequence[str], order: Sequence[
 
     return df.groupBy(*keys).applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
                                                     GroupStateTimeout.NoTimeout)
+
+
+BUFFERED_STATE = "vals array<double>, seen long, pending binary"
+
+
+def _to_ipc(pdf: pd.DataFrame) -> bytes:
+    import pyarrow as pa
+    table = pa.Table.from_pandas(pdf, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_ipc(data: bytes) -> pd.DataFrame:
+    import pyarrow as pa
+    return pa.ipc.open_stream(pa.py_buffer(bytes(data))).read_all().to_pandas()
+
+
+def _ms(ts: pd.Series) -> pd.Series:
+    return pd.to_datetime(ts).astype("datetime64[ms]").astype("int64")
+
+
+def rolling_detector_event_time(df: DataFrame, keys: Sequence[str], time_col: str, tie: str, value: str = "value",
+                                method: str = "zscore", threshold: float = 3.0, window_size: int = 100,
+                                min_history: int = 10, watermark: str = "30 seconds") -> DataFrame:
+    """Event-time variant: a key's rows wait in state until the watermark
+    passes them, then are scored in ``(time_col, tie)`` order.  Any arrival
+    order within the watermark delay gives the batch result; rows that arrive
+    behind already-scored rows of their key are scored at once (arrival order).
+    ``time_col`` must be a ``timestamp`` column.  Pending rows are kept in the
+    state as Arrow IPC bytes (exact; bounded by the watermark delay x key rate)."""
+    keys = list(keys)
+    cols = df.columns
+    out_schema = T.StructType(df.schema.fields + [
+        T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_score", T.DoubleType()),
+        T.StructField("anomaly_type", T.StringType())])
+    order = [time_col, tie]
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state):
+        if state.exists:
+            vals, seen, pending_bin = state.get
+            prev = np.asarray(vals if vals is not None else [], dtype=float)
+            pending = _from_ipc(pending_bin) if pending_bin else pd.DataFrame(columns=cols)
+        else:
+            prev, seen, pending = np.zeros(0), 0, pd.DataFrame(columns=cols)
+        frames = [p for p in pdfs] if not state.hasTimedOut else []
+        if frames:
+            new = pd.concat(frames, ignore_index=True)
+            pending = new if pending.empty else pd.concat([pending, new], ignore_index=True)
+        wm = state.getCurrentWatermarkMs()
+        if pending.empty:
+            state.update((prev.tolist(), int(seen), None))
+            return
+        ts_ms = _ms(pending[time_col])
+        ready = pending[ts_ms <= wm].sort_values(order, kind="mergesort")
+        rest = pending[ts_ms > wm]
+        if len(ready):
+            cur = ready[value].to_numpy(dtype=float)
+            arr = np.concatenate([prev, cur])
+            flags, scores, kinds = _score(arr, len(prev), int(seen), window_size, threshold, min_history, method)
+            prev = arr[-(window_size - 1):] if window_size > 1 else arr[:0]
+            seen = int(seen) + len(cur)
+            res = ready[cols].copy()
+            res["is_anomaly"], res["anomaly_score"], res["anomaly_type"] = flags, scores, kinds
+        else:
+            res = None
+        state.update((prev.tolist(), int(seen), _to_ipc(rest.reset_index(drop=True)) if len(rest) else None))
+        if len(rest):
+            state.setTimeoutTimestamp(int(_ms(rest[time_col]).min()))
+        if res is not None:
+            yield res
+
+    return (df.withWatermark(time_col, watermark).groupBy(*keys)
+            .applyInPandasWithState(fn, out_schema, BUFFERED_STATE, "append", GroupStateTimeout.EventTimeTimeout))
