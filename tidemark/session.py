@@ -38,16 +38,20 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and stream checkpoints.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (a local test session) a private folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
+    folder), else the SparkContext's checkpoint directory.  Only a session with
+    neither -- a local test session -- gets a private folder, registered with
+    ``setCheckpointDir`` (``spark.checkpoint.dir`` cannot change at runtime).
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
