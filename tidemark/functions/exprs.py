@@ -18,12 +18,6 @@ def safe_div(a, b) -> Column:
     return F.try_divide(col(a), col(b))
 
 
-def capped(x, cap: float = 1.0) -> Column:
-    """min(x, cap) that keeps NULL as NULL (``least(NULL, 1)`` is 1 in Spark)."""
-    x = col(x)
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.least(x, F.lit(cap)))
-
-
 def md5_unit(*parts) -> Column:
     """Repeatable uniform number in [0, 1) from md5 of the '|'-joined parts.
 
@@ -46,24 +40,6 @@ def order_number(c: Column, dtype: T.DataType) -> Column:
     return c.cast("double")
 
 
-def iso_timestamp(c) -> Column:
-    """ISO-8601 text like Python's ``datetime.isoformat()`` (microseconds)."""
-    return F.date_format(col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-
-
-def detection(is_anomaly, score, kind) -> dict[str, Column]:
-    """The canonical detection columns."""
-    return {
-        "is_anomaly": col(is_anomaly).cast("boolean"),
-        "anomaly_score": col(score).cast("double"),
-        "anomaly_type": (F.lit(kind) if isinstance(kind, str) else kind).cast("string"),
-    }
-
-
-def round6(c) -> Column:
-    return F.round(col(c), 6)
-
-
 def sorted_quantile(arr, q: float) -> Column:
     """Linearly interpolated q-quantile of an ascending ``array<double>``
     (numpy's ``percentile`` rule, including its lerp form for t >= 0.5)."""
