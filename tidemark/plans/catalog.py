@@ -357,12 +357,9 @@ SELECT fold::INTEGER AS fold, role, count(*) AS n_rows, min(event_id) AS first_i
   SELECT b.fold, 'test' AS role, p.event_id FROM p JOIN b ON p.pos >= b.s AND p.pos < b.e) x
 GROUP BY 1, 2""")
 def time_series_folds_q(spark, sf):
-    from tidemark.operators.split import time_series_folds
+    from tidemark.operators.split import fold_summary
     ev = tb.table(spark, sf, "events").select("event_id", "ts")
-    out = time_series_folds(ev, ["ts", "event_id"], k=5)
-    return (out.groupBy("fold", "role")
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("event_id").alias("first_id"),
-                 F.max("event_id").alias("last_id")))
+    return fold_summary(ev, ["ts", "event_id"], "event_id", k=5)
 
 
 @register("union_labelled", """
@@ -520,7 +517,7 @@ GLOBAL_EVENTS = SeriesSpec((), ("timestamp", "event_id"), "value", "event_id")
 @register("isolation_forest_scores")
 def isolation_forest_scores(spark, sf):
     from tidemark.operators.isolation_forest import IsolationForestDetector
-    m = IsolationForestDetector(GLOBAL_EVENTS, contamination=0.1).fit(_train_events(spark, sf))
+    m = IsolationForestDetector(GLOBAL_EVENTS, contamination=0.1).fit(tb.readings(spark, sf))
     out = m.transform(tb.readings(spark, sf))
     return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
 
@@ -528,13 +525,13 @@ def isolation_forest_scores(spark, sf):
 @register("one_class_svm_scores")
 def one_class_svm_scores(spark, sf):
     from tidemark.operators.ocsvm import OneClassSVMDetector
-    m = OneClassSVMDetector(GLOBAL_EVENTS, nu=0.1).fit(_train_events(spark, sf))
+    m = OneClassSVMDetector(GLOBAL_EVENTS, nu=0.1).fit(tb.readings(spark, sf))
     out = m.transform(tb.readings(spark, sf))
     return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
 
 
 LOF_SQL = f"""
-WITH tr AS (SELECT event_id AS id, value AS x FROM events WHERE {TRAIN_PRED}),
+WITH tr AS (SELECT event_id AS id, value AS x FROM events),
 sdv AS (SELECT CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd FROM tr),
 p AS (SELECT id, x, row_number() OVER (ORDER BY x, id) AS rn FROM tr),
 c AS (SELECT a.rn, b.rn AS nrn, abs(a.x - b.x) AS dr
@@ -563,7 +560,7 @@ FROM sc, off"""
 @register("lof_scores", LOF_SQL)
 def lof_scores(spark, sf):
     from tidemark.operators.lof import LOFDetector
-    m = LOFDetector(GLOBAL_EVENTS, contamination=0.1, n_neighbors=20).fit(_train_events(spark, sf))
+    m = LOFDetector(GLOBAL_EVENTS, contamination=0.1, n_neighbors=20).fit(tb.readings(spark, sf))
     out = m.transform(tb.readings(spark, sf))
     return out.select("event_id", "is_anomaly", r6("reference_score").alias("reference_score"))
 
@@ -911,7 +908,7 @@ def _iforest_sql(train_sql: str, score_sql: str, trees: int = 100, psi_max: int
 
 
 ORACLE["isolation_forest_scores"] = _iforest_sql(
-    f"SELECT event_id AS id, value AS x FROM events WHERE {TRAIN_PRED}", "SELECT event_id AS id, value AS x FROM events")
+    "SELECT event_id AS id, value AS x FROM events", "SELECT event_id AS id, value AS x FROM events")
 
 
 # ---------------------------------------------------------------- E5 seeded history, B1 default chain
