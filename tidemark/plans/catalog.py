@@ -502,9 +502,6 @@ def result_envelope_json(spark, sf):
 
 
 # ---------------------------------------------------------------- H2 / H3 / H4 / H5
-TRAIN_PRED = _u("CAST(event_id AS VARCHAR)") + " < 0.7"
-
-
 def _train_events(spark, sf):
     from tidemark.operators.split import hash_split
     ev = tb.readings(spark, sf)
@@ -594,6 +591,44 @@ def _labelled_events(spark, sf):
     return injected_events(spark, sf).drop("normal_value", "anomaly_kind")
 
 
+def _report_sql(src: str) -> str:
+    """Weighted precision / recall / f1 and accuracy of (label, pred) rows."""
+    return f"""
+SELECT round((p0 * (tn + fp) + p1 * (tp + fn)) / n, 6) AS precision,
+       round((r0 * (tn + fp) + r1 * (tp + fn)) / n, 6) AS recall,
+       round((coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) * (tn + fp)
+            + coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) * (tp + fn)) / n, 6) AS f1_score,
+       round((tn + tp) / n, 6) AS accuracy
+FROM (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
+             coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
+             tn + fp + fn + tp AS n
+      FROM (SELECT count(*) FILTER (WHERE NOT label AND NOT pred) AS tn,
+                   count(*) FILTER (WHERE NOT label AND pred) AS fp,
+                   count(*) FILTER (WHERE label AND NOT pred) AS fn,
+                   count(*) FILTER (WHERE label AND pred) AS tp FROM ({src}) s) c) m"""
+
+
+def _train_many_sql() -> str:
+    split = _u("CAST(event_id AS VARCHAR)") + " < 0.7"
+    inj = f"SELECT *, {split} AS is_train FROM ({INJECTED_SQL}) i"
+    train = f"SELECT event_id AS id, injected_value AS x FROM ({inj}) t WHERE is_train"
+    valid = f"SELECT event_id AS id, injected_value AS x FROM ({inj}) v WHERE NOT is_train"
+    forest = _iforest_sql(train, valid, contamination=0.05)
+    # statistical member: training rows are the buffer history, validation rows are scored after them
+    seeded = f"SELECT event_id, timestamp, source, injected_value, is_anomaly AS label, CASE WHEN is_train THEN 0 ELSE 1 END AS seg FROM ({inj}) u"
+    z = _zscore_sql("event_id, seg, label", seeded, "source", "seg, timestamp, event_id", "injected_value",
+                    digits=None)
+    zval = f"SELECT event_id, label, is_anomaly AS pred, anomaly_score AS s FROM ({z}) z WHERE seg = 1"
+    fval = (f"SELECT f.event_id, i.is_anomaly AS label, f.is_anomaly AS pred, f.anomaly_score AS s "
+            f"FROM ({forest}) f JOIN ({INJECTED_SQL}) i USING (event_id)")
+    ens = (f"SELECT z.event_id, z.label, (0.6 * f.s + 0.4 * z.s) / 1.0 > 0.5 AS pred "
+           f"FROM ({zval}) z JOIN ({fval}) f USING (event_id)")
+    parts = [(0, "isolation_forest", fval), (1, "statistical", zval), (2, "ensemble", ens)]
+    return " UNION ALL ".join(
+        f"SELECT {i} AS trial_order, '{name}' AS model_type, r.*, CAST(NULL AS VARCHAR) AS error "
+        f"FROM ({_report_sql(src)}) r" for i, name, src in parts)
+
+
 @register("train_many")
 def train_many_q(spark, sf):
     from tidemark.operators.split import hash_split
@@ -973,3 +1008,11 @@ def stream_zscore_event_time(spark, sf):
                                          watermark="2 days")
     out = _run_to_table(spark, scored, "stream-zscore-et")
     return out.select("event_id", "source", "value", *detection_cols())
+
+
+# the training oracles use the SQL forest defined above
+TRAIN_MANY_SQL = _train_many_sql()
+ORACLE["train_many"] = TRAIN_MANY_SQL
+ORACLE["auto_select"] = f"""
+SELECT model_type AS best_model, f1_score AS best_score FROM ({TRAIN_MANY_SQL}) t
+WHERE error IS NULL ORDER BY f1_score DESC, trial_order LIMIT 1"""
