@@ -33,6 +33,7 @@ from tidemark.operators.rolling import RN, positions, chunk_windows
 from tidemark.session import materialize
 
 EPS = 1e-10
+BROADCAST_TRAIN_ROWS = 2_000_000
 
 
 class LOFModel(Model):
@@ -59,7 +60,9 @@ class LOFModel(Model):
             .select("_id", "_x", F.col(RN).alias("_r"))
         cand = r.select("_id", "_x", F.explode(F.sequence(F.greatest(F.col("_r") - (k - 1), F.lit(1)),
                                                           F.least(F.col("_r") + k, F.lit(self.n)))).alias("rn"))
-        cand = cand.join(self.train.select("rn", "x", "kd", "lrd"), "rn")
+        tr = self.train.select("rn", "x", "kd", "lrd")
+        # the training table's size is known from fit: broadcast it only when small
+        cand = cand.join(F.broadcast(tr) if self.n <= BROADCAST_TRAIN_ROWS else tr, "rn")
         cand = cand.withColumn("dr", F.abs(F.col("x") - F.col("_x")))
         agg = (cand.groupBy("_id")
                .agg(F.slice(F.sort_array(F.collect_list(F.struct("dr", "rn", "kd", "lrd"))), 1, k).alias("nb")))
