@@ -81,3 +81,22 @@ def test_rules_skip_missing_metrics(spark):
     m = spark.createDataFrame([("a", 0.2), ("b", 0.05)], "source string, anomaly_rate double")
     out = evaluate_rules(m, keep=["source"]).collect()
     assert [(r.rule, r.source) for r in out] == [("high_anomaly_rate", "a")]
+
+
+def test_pipeline_metrics_latency_accuracy_and_errors(spark):
+    rows = [(0, True, True, 2.0), (1, False, True, 4.0), (2, False, False, 6.0)]
+    df = spark.createDataFrame(rows, "s long, is_anomaly boolean, label boolean, lat double") \
+        .withColumn("timestamp", F.col("s").cast("timestamp")) \
+        .withColumn("processed_at", (F.col("s") + F.col("lat")).cast("timestamp"))
+    bad = df.limit(1).select("timestamp")
+    m = ag.pipeline_metrics(df, bad, duration="1 hour", processing_col="processed_at", label="label").first()
+    assert (m.processed_count, m.bad_count, m.anomaly_count) == (3, 1, 1)
+    assert abs(m.accuracy - 2 / 3) < 1e-12 and abs(m.latency_mean_s - 4.0) < 1e-9
+    assert abs(m.error_rate - 0.25) < 1e-12 and abs(m.rows_per_second - 3 / 3600) < 1e-12
+
+
+def test_kafka_sink_options():
+    from tidemark.streaming.stats import kafka_options, kafka_sink_options
+    o = kafka_sink_options(["a:9092", "b:9092"], "anomaly-results")
+    assert o["kafka.bootstrap.servers"] == "a:9092,b:9092" and o["kafka.acks"] == "all" and o["kafka.retries"] == "3"
+    assert kafka_options(["a:9092"], "raw-data")["startingOffsets"] == "latest"

@@ -76,25 +76,32 @@ def anomaly_trend(results: DataFrame, time_col: str = "timestamp", duration: str
 
 def pipeline_metrics(results: DataFrame, quarantine: DataFrame | None = None, time_col: str = "timestamp",
                      duration: str = "1 hour", flag: str = "is_anomaly",
-                     processing_col: str | None = None) -> DataFrame:
+                     processing_col: str | None = None, label: str | None = None) -> DataFrame:
     """Per window: rows, rows per second, anomaly rate, bad rows and error rate;
-    with ``processing_col`` also mean / p95 latency in seconds."""
+    with ``processing_col`` also mean / p95 latency in seconds; with ``label``
+    also the detection accuracy (model performance)."""
     seconds = F.lit(_seconds(duration))
     good = results.select(F.window(time_col, duration).start.alias("window_start"),
                           F.coalesce(F.col(flag), F.lit(False)).alias("_flag"),
                           ((F.col(processing_col).cast("double") - F.col(time_col).cast("timestamp").cast("double"))
                            if processing_col else F.lit(None).cast("double")).alias("_lat"),
-                          F.lit(0).alias("_bad"))
+                          F.lit(0).alias("_bad"),
+                          ((F.coalesce(F.col(label).cast("boolean"), F.lit(False)) ==
+                            F.coalesce(F.col(flag), F.lit(False))).cast("double") if label
+                           else F.lit(None).cast("double")).alias("_hit"))
     rows = good
     if quarantine is not None:
         bad = quarantine.select(F.window(time_col, duration).start.alias("window_start"), F.lit(False).alias("_flag"),
-                                F.lit(None).cast("double").alias("_lat"), F.lit(1).alias("_bad"))
+                                F.lit(None).cast("double").alias("_lat"), F.lit(1).alias("_bad"),
+                                F.lit(None).cast("double").alias("_hit"))
         rows = good.unionByName(bad)
     aggs = [F.count_if(F.col("_bad") == 0).alias("processed_count"),
             F.count_if(F.col("_flag")).alias("anomaly_count"),
             F.sum("_bad").cast("bigint").alias("bad_count")]
     if processing_col:
         aggs += [F.avg("_lat").alias("latency_mean_s"), F.percentile_approx("_lat", 0.95).alias("latency_p95_s")]
+    if label:
+        aggs.append(F.avg("_hit").alias("accuracy"))
     out = rows.groupBy("window_start").agg(*aggs)
     total = F.col("processed_count") + F.col("bad_count")
     return out.withColumns({

@@ -47,6 +47,14 @@ def kafka_options(bootstrap_servers: Sequence[str], topic: str, starting_offsets
             "startingOffsets": starting_offsets}
 
 
+def kafka_sink_options(bootstrap_servers: Sequence[str], topic: str, acks: str = "all", retries: int = 3,
+                       linger_ms: int = 10, batch_size: int = 16384) -> dict:
+    """Writer options for a keyed result topic (producer settings of the
+    original configuration: acks=all, 3 retries, 10 ms linger, 16 KiB batches)."""
+    return {"kafka.bootstrap.servers": ",".join(bootstrap_servers), "topic": topic, "kafka.acks": acks,
+            "kafka.retries": str(retries), "kafka.linger.ms": str(linger_ms), "kafka.batch.size": str(batch_size)}
+
+
 def decode_messages(df: DataFrame, schema: T.StructType = READING, keep: Sequence[str] = ()) -> DataFrame:
     """``from_json(value::string)`` then ``data.*`` (plus ``_corrupt``)."""
     return flatten(decode_json(df, "value", schema, keep=tuple(keep)))
@@ -82,7 +90,8 @@ def dropped_by_watermark(query) -> int:
 
 def write_time_ordered(df: DataFrame, time_col: str, path: str, slices: int, fmt: str = "parquet") -> list[str]:
     """Write ``df`` as ``slices`` files of consecutive time ranges, one after the
-    other (file streams order files by modification time)."""
+    other (file streams order files by modification time).  A replay / test
+    helper: each slice becomes one file, so choose ``slices`` from the size."""
     num = F.col(time_col).cast("timestamp").cast("double")
     lo, hi = df.agg(F.min(num), F.max(num)).first()
     if lo is None:
