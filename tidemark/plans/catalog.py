@@ -735,11 +735,17 @@ def drift_psi(spark, sf):
 
 # ---------------------------------------------------------------- D12 / K9
 @register("pipeline_metrics", f"""
-SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start, count(*) AS processed_count,
-       count(*) FILTER (WHERE is_anomaly) AS anomaly_count, CAST(0 AS BIGINT) AS bad_count,
-       round(count(*) / 3600.0, 6) AS rows_per_second,
-       round(count(*) FILTER (WHERE is_anomaly) / count(*), 6) AS anomaly_rate, 0.0 AS error_rate
-FROM ({ZRES_SQL}) r GROUP BY 1""")
+WITH good AS (SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start, count(*) AS processed_count,
+                     count(*) FILTER (WHERE is_anomaly) AS anomaly_count
+              FROM ({ZRES_SQL}) r GROUP BY 1),
+bad AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, count(*) AS bad_count FROM events
+        WHERE event_type IS NULL OR value IS NULL OR isnan(value) OR ts IS NULL GROUP BY 1)
+SELECT window_start, coalesce(processed_count, 0) AS processed_count, coalesce(anomaly_count, 0) AS anomaly_count,
+       coalesce(bad_count, 0) AS bad_count, round(coalesce(processed_count, 0) / 3600.0, 6) AS rows_per_second,
+       round(coalesce(anomaly_count / nullif(processed_count, 0), 0.0), 6) AS anomaly_rate,
+       round(CAST(coalesce(coalesce(bad_count, 0) / nullif(coalesce(processed_count, 0) + coalesce(bad_count, 0), 0),
+                           0.0) AS DOUBLE), 6) AS error_rate
+FROM good FULL OUTER JOIN bad USING (window_start)""")
 def pipeline_metrics_q(spark, sf):
     from tidemark.operators import aggregates as ag
     from tidemark.operators.quality import reading_reason, split_valid
