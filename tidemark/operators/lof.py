@@ -15,9 +15,11 @@ Each pass is a chunked window over ``_rn`` (``chunk_windows``), so a large
 training set is split into chunks with a k-row halo instead of one task.
 
 Novelty scoring of new values: a new value's insertion rank ``r`` among the
-training values is (its position in training+new order) - (its position among
-new values); its candidate neighbours are training positions ``r-k+1 .. r+k``
-(an equi-join on the exploded positions).  ``decision = -LOF - offset``;
+training values is the running count of training rows before it in the
+union order; its candidate neighbours are training positions ``r-k+1 .. r+k``,
+all inside ONE block of the model's block table (blocks of consecutive
+positions with a k-row halo), so each new row joins exactly one block row --
+no candidate explosion, no join back to the input.  ``decision = -LOF - offset``;
 anomaly iff ``decision < 0``; ``anomaly_score = clamp(-decision, 0, 1)`` and
 ``reference_score = 1 - decision``.
 """
@@ -27,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection, UnfittedModel
+from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection, UnfittedModel, out_names
 from tidemark.operators.quantile import exact_percentile
 from tidemark.operators.rolling import RN, positions, chunk_windows
 from tidemark.session import materialize
@@ -39,46 +41,62 @@ BROADCAST_TRAIN_ROWS = 2_000_000
 class LOFModel(Model):
     kind = "local_outlier_factor"
 
-    def __init__(self, spec, mean, sd, k, n, offset, train: DataFrame, chunk_rows):
+    def __init__(self, spec, mean, sd, k, n, offset, train: DataFrame, chunk_rows, block: int | None = None):
         self.spec, self.mean, self.sd, self.k, self.n = spec, mean, sd, k, n
         self.offset, self.train, self.chunk_rows = offset, train, chunk_rows
+        self.block = block or max(256, 8 * k)
+        self._blocks = None
 
     def _x(self, df):
         return F.col(self.spec.value).cast("double")
 
+    def blocks(self) -> DataFrame:
+        """Training rows grouped into blocks of ``block`` consecutive positions
+        plus the ``k``-row halo on each side: one bounded array per block
+        (``block + 2k + 2`` entries at most), about (1 + 2k/block) x the
+        training table in all.  Built once per model and written."""
+        if self._blocks is None:
+            k, B = self.k, self.block
+            rn = F.col("rn")
+            lo = F.greatest(F.floor((rn - k - 1) / B), F.lit(0))
+            hi = F.floor((rn + k) / B)
+            ex = self.train.select("rn", "x", "kd", "lrd", F.explode(F.sequence(lo, hi)).alias("_blk"))
+            blk = ex.groupBy("_blk").agg(F.collect_list(F.struct("rn", "x", "kd", "lrd")).alias("_cand"))
+            self._blocks = materialize(blk, "lof-blocks")
+        return self._blocks
+
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
-        spec, k = self.spec, self.k
-        idc = spec.id
-        new = df.withColumn("_x", self._x(df))
-        keyed = new.select(F.col(idc).cast("bigint").alias("_id"), "_x")
+        k, B = self.k, self.block
+        cols = df.columns
         # insertion rank r of a new value = training rows ordered before it
-        # (ties: training first) = running count of training rows in the union
-        both = (self.train.select(F.col("x").alias("_x"), F.lit(0).alias("_f"), F.col("rn").alias("_id"))
-                .unionByName(keyed.select("_x", F.lit(1).alias("_f"), "_id"))
-                .withColumn("_t", (F.col("_f") == 0).cast("int")))
-        r = positions(both, [], ["_x", "_f", "_id"], weight="_t").where("_f = 1") \
-            .select("_id", "_x", F.col(RN).alias("_r"))
-        cand = r.select("_id", "_x", F.explode(F.sequence(F.greatest(F.col("_r") - (k - 1), F.lit(1)),
-                                                          F.least(F.col("_r") + k, F.lit(self.n)))).alias("rn"))
-        tr = self.train.select("rn", "x", "kd", "lrd")
-        # the training table's size is known from fit: broadcast it only when small
-        cand = cand.join(F.broadcast(tr) if self.n <= BROADCAST_TRAIN_ROWS else tr, "rn")
-        cand = cand.withColumn("dr", F.abs(F.col("x") - F.col("_x")))
-        agg = (cand.groupBy("_id")
-               .agg(F.slice(F.sort_array(F.collect_list(F.struct("dr", "rn", "kd", "lrd"))), 1, k).alias("nb")))
+        # (ties: training first) = running count of training rows in the union;
+        # new rows carry all their columns through, so nothing is joined back
+        new = df.withColumns({"_x": self._x(df), "_f": F.lit(1), "_oid": F.monotonically_increasing_id()})
+        tr = self.train.select(F.col("x").alias("_x"), F.lit(0).alias("_f"), F.col("rn").alias("_oid"))
+        both = new.unionByName(tr, allowMissingColumns=True).withColumn("_t", (F.col("_f") == 0).cast("int"))
+        r = positions(both, [], ["_x", "_f", "_oid"], weight="_t").where("_f = 1").withColumnRenamed(RN, "_r")
+        # one block per new row: block b covers ranks b*B+1 .. (b+1)*B
+        r = r.withColumn("_blk", F.floor(F.greatest(F.col("_r") - 1, F.lit(0)) / B))
+        blk = self.blocks()
+        j = r.join(F.broadcast(blk) if self.n <= BROADCAST_TRAIN_ROWS else blk, "_blk", "left")
+        lo, hi = F.col("_r") - (k - 1), F.col("_r") + k
+        cand = F.filter("_cand", lambda e: (e["rn"] >= lo) & (e["rn"] <= hi))
         sd = F.lit(self.sd or 1.0)
-        agg = agg.withColumn("nb", F.transform("nb", lambda e: e.withField("d", e["dr"] / sd)))
-        reach = F.aggregate(F.transform("nb", lambda e: F.greatest(e["d"], e["kd"])), F.lit(0.0),
-                            lambda a, b: a + b) / F.size("nb")
+        near = F.slice(F.sort_array(F.transform(cand, lambda e: F.struct(
+            F.abs(e["x"] - F.col("_x")).alias("dr"), e["rn"].alias("rn"), e["kd"].alias("kd"),
+            e["lrd"].alias("lrd")))), 1, k)
+        j = j.withColumn("_nb", near)
+        reach = F.aggregate(F.transform("_nb", lambda e: F.greatest(e["dr"] / sd, e["kd"])), F.lit(0.0),
+                            lambda a, b: a + b) / F.size("_nb")
         lrd_new = 1.0 / (reach + F.lit(EPS))
-        mean_lrd = F.aggregate(F.transform("nb", lambda e: e["lrd"]), F.lit(0.0), lambda a, b: a + b) / F.size("nb")
-        scored = agg.select("_id", (mean_lrd / lrd_new).alias("_lof"))
-        out = new.join(scored, new[idc].cast("bigint") == scored["_id"], "left").drop("_id")
+        mean_lrd = F.aggregate(F.transform("_nb", lambda e: e["lrd"]), F.lit(0.0), lambda a, b: a + b) / F.size("_nb")
+        out = j.withColumn("_lof", mean_lrd / lrd_new)
         decision = -F.col("_lof") - F.lit(self.offset)
         out = with_detection(out, F.coalesce(decision < 0, F.lit(False)),
                              F.coalesce(F.least(F.greatest(-decision, F.lit(0.0)), F.lit(1.0)), F.lit(0.0)),
                              self.kind, prefix)
-        return out.withColumn(f"{prefix}reference_score", 1.0 - decision).drop("_x", "_lof")
+        out = out.withColumn(f"{prefix}reference_score", 1.0 - decision)
+        return out.select(*cols, *out_names(prefix), f"{prefix}reference_score")
 
 
 class LOFDetector(Detector):
