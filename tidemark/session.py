@@ -26,7 +26,10 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None,
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.python.unix.domain.socket.enabled", "true")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "16g")
+         .config("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -69,3 +72,14 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state (per-key buffers, window aggregates) in RocksDB on
+    local disk with changelog checkpoints instead of the executor heap; set
+    before a query starts (it is fixed in the query's checkpoint)."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
