@@ -100,3 +100,11 @@ def test_kafka_sink_options():
     o = kafka_sink_options(["a:9092", "b:9092"], "anomaly-results")
     assert o["kafka.bootstrap.servers"] == "a:9092,b:9092" and o["kafka.acks"] == "all" and o["kafka.retries"] == "3"
     assert kafka_options(["a:9092"], "raw-data")["startingOffsets"] == "latest"
+
+
+def test_bounded_retention(spark):
+    df = spark.createDataFrame([(i, i % 2 == 0) for i in range(50)], "event_id long, is_anomaly boolean") \
+        .withColumn("timestamp", F.col("event_id").cast("timestamp"))
+    shown = [r.event_id for r in topk.bounded_retention(df, keep=10, show=3).collect()]
+    assert shown == [48, 46, 44]
+    assert topk.recent_anomalies(df, 1000).count() == 25

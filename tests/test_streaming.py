@@ -134,3 +134,16 @@ def test_event_time_buffering_equals_batch_out_of_order(spark):
         e = exp[r.event_id]
         assert (r.is_anomaly, r.anomaly_type) == (e.is_anomaly, e.anomaly_type)
         assert abs(r.anomaly_score - e.anomaly_score) < 1e-9
+
+
+def test_processing_time_console_and_report(spark):
+    from tidemark.sources.sinks import start_console, write_report
+    base, s = _replay(spark, SF001, 1)
+    stamped = stats.event_time(s, processing_time=True)
+    assert dict(stamped.dtypes)["event_time"] == "timestamp"
+    q = start_console(stamped.where("value < 0"), checkpoint=os.path.join(base, "c"))
+    q.processAllAvailable()
+    q.stop()
+    rep = spark.createDataFrame([("statistical", 0.9)], "model_type string, f1_score double")
+    write_report(rep, os.path.join(base, "report"))
+    assert spark.read.json(os.path.join(base, "report")).first().model_type == "statistical"
