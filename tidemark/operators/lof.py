@@ -123,7 +123,7 @@ class LOFDetector(Detector):
         # enough chunks to use the cluster, each far larger than the 3k halo
         chunk = self.chunk_rows or min(1_000_000, max(-(-n // df.sparkSession.sparkContext.defaultParallelism),
                                                       50 * k, 1000))
-        pos = positions(x, [], ["x", "_id"], chunk_rows=chunk).withColumnRenamed(RN, "rn") \
+        pos = positions(x, [], ["x", "_id"], chunk_rows=chunk, n=n).withColumnRenamed(RN, "rn") \
             .withColumn(RN, F.col("rn"))
 
         sdv = F.lit(sd or 1.0)
