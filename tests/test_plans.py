@@ -53,3 +53,14 @@ def test_envelope_and_filters(spark):
     assert flagged.count() == 217
     assert flagged.where(F.col("source") == "view").count() == \
         res.where((F.col("source") == "view") & F.col("is_anomaly")).count()
+
+
+def test_release_scratch(spark):
+    import os
+    from tidemark.session import materialize, release_scratch
+    t = materialize(spark.range(10), "tmp-test")
+    assert t.count() == 10
+    path = t.inputFiles()[0].replace("file:", "")
+    assert os.path.exists(path)
+    assert release_scratch(spark) >= 1
+    assert not os.path.exists(path)

@@ -65,13 +65,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint
     folder and reading it back: one job (``Dataset.checkpoint`` computes its
-    input twice), and the result survives the loss of any executor."""
-    path = scratch_path(df.sparkSession, name)
+    input twice), and the result survives the loss of any executor.  The path
+    is remembered for ``release_scratch``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the tables ``materialize`` wrote in this application (through the
+    Hadoop FileSystem of each path, so HDFS and object stores work too).  Call
+    it once results and fitted models built on them are no longer used."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
