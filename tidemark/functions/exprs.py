@@ -31,15 +31,6 @@ def md5_unit_of(s: Column) -> Column:
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32)
 
 
-def order_number(c: Column, dtype: T.DataType) -> Column:
-    """Monotone double image of an orderable column (for bucketing)."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return c.cast("timestamp").cast("double")
-    if isinstance(dtype, T.DateType):
-        return c.cast("timestamp").cast("double")
-    return c.cast("double")
-
-
 def sorted_quantile(arr, q: float) -> Column:
     """Linearly interpolated q-quantile of an ascending ``array<double>``
     (numpy's ``percentile`` rule, including its lerp form for t >= 0.5)."""

@@ -25,7 +25,6 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import order_number
 from tidemark.session import materialize
 
 RN = "_rn"
@@ -42,7 +41,6 @@ def _ordered_window(keys: Sequence[str], order: Sequence) -> Window:
 def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 columns: Callable[[Window], dict[str, Column]],
                 halo_before: int, halo_after: int = 0, *,
-                bucket_col: str | None = None,
                 hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``columns(w)`` computed over the series ``keys`` ordered by ``order``.
@@ -55,18 +53,15 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if hot_key_rows is None:
         return _plain(df, keys, order, columns)
     chunk_rows = max(chunk_rows, halo_before + halo_after + 1)
-    bucket_col = bucket_col or order[0]
-
-    num = order_number(F.col(bucket_col), df.schema[bucket_col].dataType)
     if not keys:
         # one global series: small enough for one task, or chunked by position
-        r = bucket_sizes(df, keys, num, chunk_rows).first()
-        if r is None or r["_n"] <= hot_key_rows:
+        n = df.count()
+        if n <= hot_key_rows:
             return _plain(df, keys, order, columns)
-        pos = positions(df, [], order, n=r["_n"])
+        pos = positions(df, [], order, n=n)
         return chunk_windows(pos, [], columns, halo_before, halo_after, chunk_rows)
 
-    sizes = bucket_sizes(df, keys, num, chunk_rows).where(F.col("_n") > hot_key_rows)
+    sizes = key_counts(df, keys).where(F.col("_n") > hot_key_rows)
     # one small action: the number of hot keys is at most rows / hot_key_rows
     agg = sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("rows")).first()
     n_hot = agg["k"]
@@ -78,7 +73,7 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     tagged = df.join(sizes, keys, "left")
     cold = _plain(tagged.where(F.col("_hot").isNull()).drop("_hot"), keys, order, columns)
     hot = _chunked(tagged.where(F.col("_hot")), keys, order, columns, halo_before, halo_after,
-                   bucket_col, num, chunk_rows, n=agg["rows"])
+                   chunk_rows, n=agg["rows"])
     return cold.unionByName(hot)
 
 
@@ -88,15 +83,13 @@ def _plain(df: DataFrame, keys, order, columns) -> DataFrame:
     return df.withColumns(columns(w))
 
 
-def bucket_sizes(df: DataFrame, keys, num: Column, chunk_rows: int) -> DataFrame:
-    """Per key: row count and range of the first order value (hot-key detection)."""
-    grouped = df.groupBy(*keys) if keys else df.groupBy()
-    return grouped.agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
+def key_counts(df: DataFrame, keys) -> DataFrame:
+    """Rows per key (hot-key detection; map-side combined)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def positions(df: DataFrame, keys, order, bucket_col: str | None = None,
-              chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes: DataFrame | None = None,
-              part_rows: int = 2_000_000, weight: str | None = None, n: int | None = None) -> DataFrame:
+def positions(df: DataFrame, keys, order, part_rows: int = 2_000_000, weight: str | None = None,
+              n: int | None = None, **_) -> DataFrame:
     """1-based position ``_rn`` of every row inside its key (``keys`` may be
     empty: a global position), balanced whatever the skew.
 
@@ -138,8 +131,8 @@ def positions(df: DataFrame, keys, order, bucket_col: str | None = None,
 
 
 def _chunked(df: DataFrame, keys, order, columns, halo_before, halo_after,
-             bucket_col, num, chunk_rows, n: int | None = None) -> DataFrame:
-    df = positions(df.drop("_lo", "_width", "_hot", "_n", "_hi"), keys, order, n=n)
+             chunk_rows, n: int | None = None) -> DataFrame:
+    df = positions(df.drop("_hot"), keys, order, n=n)
     return chunk_windows(df, keys, columns, halo_before, halo_after, chunk_rows)
 
 

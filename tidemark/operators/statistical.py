@@ -77,7 +77,6 @@ class StatisticalModel(Model):
             order = [SEG] + order
         out = over_series(data, spec.keys, order, self._frame_columns,
                           halo_before=self.window_size - 1,
-                          bucket_col=spec.order[0],
                           hot_key_rows=self.hot_key_rows, chunk_rows=self.chunk_rows)
         v = F.col(spec.value)
         if self.kind == "iqr":
