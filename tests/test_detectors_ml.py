@@ -85,3 +85,33 @@ def test_lof_equals_brute_force(spark, chunk):
         assert abs(r["reference_score"] - (1 - dec)) < 1e-9, (v, r["reference_score"], 1 - dec)
         assert r["is_anomaly"] == (dec < 0)
     assert out[100002]["is_anomaly"] and out[100003]["is_anomaly"]
+
+
+def test_lof_duplicates_match_brute_force_with_same_tie_rule(spark):
+    # integer values repeated many times: zero distances and distance ties.
+    # Ties are broken by position in (value, id) order; the brute force uses the
+    # same rule by indexing the data in that order.
+    rng = np.random.default_rng(11)
+    vals = rng.integers(0, 12, 240).astype(float)
+    ids = np.arange(240)
+    order = np.lexsort((ids, vals))
+    sv, sid = vals[order], ids[order]
+    df = spark.createDataFrame([(int(i), float(v)) for i, v in zip(sid, sv)], "id long, value double")
+    m = LOFDetector(SPEC, contamination=0.1, n_neighbors=10).fit(df)
+    x = (sv - sv.mean()) / sv.std()
+    lof, _ = _brute_lof(x, 10, np.array([0.0]))
+    got = {r["_id"]: r["lof"] for r in m.train.select("_id", "lof").collect()}
+    for pos, i in enumerate(sid):
+        assert abs(got[int(i)] - lof[pos]) <= 1e-9 * max(1.0, abs(lof[pos])), (i, got[int(i)], lof[pos])
+
+
+def test_empty_and_missing_inputs(spark):
+    from tidemark.operators.evaluate import evaluate
+    empty = spark.createDataFrame([], "id long, value double")
+    with pytest.raises(ValueError):
+        IsolationForestDetector(SPEC).fit(empty)
+    with pytest.raises(ValueError):
+        LOFDetector(SPEC).fit(empty)
+    scored = spark.createDataFrame([(True, 0.9), (False, 0.1)], "is_anomaly boolean, anomaly_score double")
+    r = evaluate(scored, "label").first()  # no label column -> unlabelled metrics
+    assert set(r.asDict()) == {"anomaly_rate", "avg_score", "score_std"} and r.anomaly_rate == 0.5
