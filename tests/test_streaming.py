@@ -147,3 +147,23 @@ def test_processing_time_console_and_report(spark):
     rep = spark.createDataFrame([("statistical", 0.9)], "model_type string, f1_score double")
     write_report(rep, os.path.join(base, "report"))
     assert spark.read.json(os.path.join(base, "report")).first().model_type == "statistical"
+
+
+def test_vectorised_scorer_equals_list_replay():
+    import random
+    import numpy as np
+    from test_rolling import _replay
+    from tidemark.streaming.stateful import _score
+    rnd = random.Random(5)
+    vals = [rnd.gauss(50, 10) for _ in range(260)] + [5.0] * 40 + [rnd.gauss(50, 10) for _ in range(50)]
+    vals[120] = 400.0
+    for method in ("zscore", "iqr"):
+        for w in (10, 100):
+            exp = _replay(vals, window=w, method=method)
+            # all at once, and split into a state part + a batch part
+            for start in (0, 137):
+                arr = np.array(vals, dtype=float)
+                f, s, k = _score(arr, start, start, w, 3.0, 10, method, block=64)
+                for i, e in enumerate(exp[start:]):
+                    assert (bool(f[i]), k[i]) == (e[0], e[2]), (method, w, start, i)
+                    assert abs(s[i] - e[1]) < 1e-9

@@ -9,8 +9,9 @@ window operator, so a stream replayed in time order gives exactly the batch
 result.  Rows that arrive after later rows of their key were already scored
 are scored in arrival order (the original detector's behaviour).
 
-The per-key work per batch is a numpy pass over (state + batch) values; the
-state stays bounded (``window_size - 1`` doubles per key).
+The per-key work per batch is a vectorised numpy pass over (state + batch)
+values in bounded blocks (no per-row Python); the state stays bounded
+(``window_size - 1`` doubles per key).
 """
 
 from __future__ import annotations
@@ -26,40 +27,73 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 STATE_SCHEMA = "vals array<double>, seen long"
 
 
-def _score(arr: np.ndarray, start: int, seen0: int, window: int, thr: float, gate: int, method: str):
-    """Score arr[start:] given the previous values arr[:start]."""
+def _score(arr: np.ndarray, start: int, seen0: int, window: int, thr: float, gate: int, method: str,
+           block: int = 20_000):
+    """Score arr[start:] given the previous values arr[:start], vectorised.
+
+    Each row's buffer is the ``window - 1`` values before it (fewer at the
+    start); rows are taken in blocks so memory stays ``block x (window - 1)``.
+    """
     n = len(arr) - start
     flags = np.zeros(n, dtype=bool)
     scores = np.zeros(n, dtype=float)
-    kinds = np.empty(n, dtype=object)
-    for i in range(n):
-        j = start + i
-        prev = arr[max(0, j - (window - 1)):j]
-        before = seen0 + i
-        if before < gate or len(prev) == 0:
-            kinds[i] = "statistical"
+    kinds = np.full(n, "statistical", dtype=object)
+    w = window - 1
+    if n == 0 or w < 1:
+        return flags, scores, kinds
+    padded = np.concatenate([np.full(w, np.nan), arr])
+    views = np.lib.stride_tricks.sliding_window_view(padded, w)  # row j: values before arr[j]
+    warm = (seen0 + np.arange(n)) >= gate
+    for b0 in range(0, n, block):
+        b1 = min(n, b0 + block)
+        idx = np.arange(b0, b1)
+        ok = warm[b0:b1] & (start + idx > 0)
+        if not ok.any():
             continue
-        v = arr[j]
+        rows = idx[ok]
+        win = views[start + rows]          # (m, w) previous values, NaN-padded
+        v = arr[start + rows]
+        valid = ~np.isnan(win)
         if method == "iqr":
-            kinds[i] = "iqr"
-            q1, q3 = np.percentile(prev, [25, 75])
+            kinds[rows] = "iqr"
+            q1, q3 = _nan_quartiles(win, valid)
             iqr = q3 - q1
             lo, hi = q1 - thr * iqr, q3 + thr * iqr
-            if v < lo or v > hi:
-                flags[i] = True
-                d = (lo - v) if v < lo else (v - hi)
-                scores[i] = 1.0 if iqr == 0 else min(d / iqr / thr, 1.0)
+            out = (v < lo) | (v > hi)
+            dist = np.where(v < lo, lo - v, v - hi)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                sc = np.where(iqr == 0, 1.0, np.minimum(dist / iqr / thr, 1.0))
+            flags[rows] = out
+            scores[rows] = np.where(out, sc, 0.0)
         else:
-            kinds[i] = "zscore"
-            m = prev.mean()
-            sd = np.sqrt(np.mean((prev - m) ** 2))
-            if sd > 0:
-                z = abs((v - m) / sd)
-                flags[i] = bool(z > thr)
-                scores[i] = min(z / thr, 1.0)
+            kinds[rows] = "zscore"
+            cnt = valid.sum(axis=1)
+            m = np.where(valid, win, 0.0).sum(axis=1) / cnt
+            sd = np.sqrt(np.where(valid, (win - m[:, None]) ** 2, 0.0).sum(axis=1) / cnt)
+            use = sd > 0
+            with np.errstate(divide="ignore", invalid="ignore"):
+                z = np.abs((v - m) / sd)
+            flags[rows] = use & (z > thr)
+            scores[rows] = np.where(use, np.minimum(z / thr, 1.0), 0.0)
     return flags, scores, kinds
 
 
+def _nan_quartiles(win: np.ndarray, valid: np.ndarray):
+    """Linear 25th / 75th percentiles of each row's non-NaN values (numpy rule)."""
+    cnt = valid.sum(axis=1)
+    srt = np.sort(np.where(valid, win, np.inf), axis=1)  # NaN padding sorts last
+    out = []
+    for q in (0.25, 0.75):
+        h = (cnt - 1) * q
+        lo = np.floor(h).astype(int)
+        hi = np.minimum(lo + 1, cnt - 1)
+        t = h - lo
+        a = np.take_along_axis(srt, lo[:, None], axis=1)[:, 0]
+        b = np.take_along_axis(srt, hi[:, None], axis=1)[:, 0]
+        out.append(np.where(t >= 0.5, b - (b - a) * (1 - t), a + (b - a) * t))
+    return out[0], out[1]
+
+
 def rolling_detector_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = "value",
                             method: str = "zscore", threshold: float = 3.0, window_size: int = 100,
                             min_history: int = 10) -> DataFrame:
