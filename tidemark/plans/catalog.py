@@ -1022,3 +1022,21 @@ ORACLE["train_many"] = TRAIN_MANY_SQL
 ORACLE["auto_select"] = f"""
 SELECT model_type AS best_model, f1_score AS best_score FROM ({TRAIN_MANY_SQL}) t
 WHERE error IS NULL ORDER BY f1_score DESC, trial_order LIMIT 1"""
+
+
+@register("stream_zscore_microbatch",
+          _zscore_sql("event_id, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value"))
+def stream_zscore_microbatch(spark, sf):
+    """The rolling detector as one distributed batch job per micro-batch
+    (state in versioned tables, hot keys chunked inside each micro-batch)."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.stats import write_time_ordered
+    from tidemark.streaming.microbatch import start_rolling_detector
+    replay = scratch_path(spark, "events-replay")
+    write_time_ordered(tb.table(spark, sf, "events"), "ts", replay, 4)
+    s = _events_stream(spark, sf, path=f"{replay}/part=*", max_files=1)
+    sink = scratch_path(spark, "stream-zscore-mb")
+    q = start_rolling_detector(s, ["source"], ["timestamp", "event_id"], "value", sink,
+                               trigger={"availableNow": True}, method="zscore", window_size=100)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("event_id", "source", "value", *detection_cols())
