@@ -53,6 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(d)
         return d
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is not visible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return sc.getCheckpointDir()
 
