@@ -75,7 +75,8 @@ FROM s"""
 
 
 def _iqr_sql(select_cols: str, src: str, part: str, order: str, value: str,
-             window: int = 100, thr: float = 3.0, min_hist: int = 10) -> str:
+             window: int = 100, thr: float = 3.0, min_hist: int = 10, digits: int | None = 6) -> str:
+    rnd, end = ("round(", ", 6)") if digits else ("(", ")")
     return f"""
 WITH s AS (
   SELECT *, row_number() OVER w0 AS rn,
@@ -88,10 +89,10 @@ WITH s AS (
 )
 SELECT {select_cols},
   CASE WHEN rn - 1 < {min_hist} THEN false ELSE ({value} < lo OR {value} > hi) END AS is_anomaly,
-  round(CASE WHEN rn - 1 < {min_hist} THEN 0.0
+  {rnd}CASE WHEN rn - 1 < {min_hist} THEN 0.0
              WHEN {value} < lo THEN CASE WHEN iqr = 0 THEN 1.0 ELSE least((lo - {value}) / iqr / {thr}, 1.0) END
              WHEN {value} > hi THEN CASE WHEN iqr = 0 THEN 1.0 ELSE least(({value} - hi) / iqr / {thr}, 1.0) END
-             ELSE 0.0 END, 6) AS anomaly_score,
+             ELSE 0.0 END{end} AS anomaly_score,
   CASE WHEN rn - 1 < {min_hist} THEN 'statistical' ELSE 'iqr' END AS anomaly_type
 FROM b"""
 
@@ -375,7 +376,7 @@ def union_labelled_q(spark, sf):
 
 # ---------------------------------------------------------------- D6 / D7 / D8 / I3
 EVAL_SQL = _zscore_sql("event_id, is_anomaly AS label, injected_value AS value",
-                       INJECTED_SQL.replace("AS injected_value", "AS injected_value"), "source",
+                       INJECTED_SQL, "source",
                        "timestamp, event_id", "injected_value", digits=None)
 
 
@@ -563,9 +564,7 @@ def lof_scores(spark, sf):
 
 
 ZS_SQL = _zscore_sql("event_id", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value", digits=None)
-IQ_SQL = _iqr_sql("event_id", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value").replace(
-    "round(CASE WHEN rn - 1 < 10 THEN 0.0", "(CASE WHEN rn - 1 < 10 THEN 0.0").replace(
-    "ELSE 0.0 END, 6) AS anomaly_score", "ELSE 0.0 END) AS anomaly_score")
+IQ_SQL = _iqr_sql("event_id", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value", digits=None)
 
 
 @register("ensemble_scores", f"""
