@@ -612,7 +612,7 @@ def _train_many_sql() -> str:
     inj = f"SELECT *, {split} AS is_train FROM ({INJECTED_SQL}) i"
     train = f"SELECT event_id AS id, injected_value AS x FROM ({inj}) t WHERE is_train"
     valid = f"SELECT event_id AS id, injected_value AS x FROM ({inj}) v WHERE NOT is_train"
-    forest = _iforest_sql(train, valid, contamination=0.05)
+    forest = _iforest_sql(train, valid, contamination=0.05, digits=None)
     # statistical member: training rows are the buffer history, validation rows are scored after them
     seeded = f"SELECT event_id, timestamp, source, injected_value, is_anomaly AS label, CASE WHEN is_train THEN 0 ELSE 1 END AS seg FROM ({inj}) u"
     z = _zscore_sql("event_id, seg, label", seeded, "source", "seg, timestamp, event_id", "injected_value",
@@ -902,7 +902,7 @@ def csv_roundtrip(spark, sf):
 
 
 def _iforest_sql(train_sql: str, score_sql: str, trees: int = 100, psi_max: int = 256, seed: int = 42,
-                 contamination: float = 0.1) -> str:
+                 contamination: float = 0.1, digits: int | None = 6) -> str:
     """Isolation forest grown level by level in SQL with the same md5 randomness."""
     import math
     k = trees * psi_max
@@ -943,8 +943,9 @@ def _iforest_sql(train_sql: str, score_sql: str, trees: int = 100, psi_max: int
     ctes.append(f"sc AS ({score_sql})")
     ctes.append(f"scs AS (SELECT q.id, pow(2.0, -avg(l.path ORDER BY l.tree) / ({cpsi})) AS s "
                 f"FROM sc q JOIN leaves l ON q.x > l.lo AND q.x <= l.hi GROUP BY q.id)")
+    score = "round(s, 6)" if digits else "s"
     return ("WITH " + ",\n".join(ctes) +
-            "\nSELECT id AS event_id, s > (SELECT t FROM thr) AS is_anomaly, round(s, 6) AS anomaly_score FROM scs")
+            f"\nSELECT id AS event_id, s > (SELECT t FROM thr) AS is_anomaly, {score} AS anomaly_score FROM scs")
 
 
 ORACLE["isolation_forest_scores"] = _iforest_sql(
@@ -1039,3 +1040,44 @@ def stream_zscore_microbatch(spark, sf):
                                trigger={"availableNow": True}, method="zscore", window_size=100)
     q.awaitTermination()
     return spark.read.parquet(sink).select("event_id", "source", "value", *detection_cols())
+
+
+def _stream_ensemble_sql() -> str:
+    z = _zscore_sql("event_id, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value",
+                    digits=None)
+    forest = _iforest_sql("SELECT event_id AS id, value AS x FROM events",
+                          "SELECT event_id AS id, value AS x FROM events", contamination=0.1, digits=None)
+    return f"""
+SELECT z.event_id, z.source, z.value,
+       (0.4 * f.anomaly_score + 0.3 * z.anomaly_score) / 0.7 > 0.5 AS is_anomaly,
+       round((0.4 * f.anomaly_score + 0.3 * z.anomaly_score) / 0.7, 6) AS anomaly_score,
+       'ensemble' AS anomaly_type, z.is_anomaly AS zscore_flag, f.is_anomaly AS forest_flag
+FROM ({z}) z JOIN ({forest}) f USING (event_id)"""
+
+
+@register("stream_ensemble")
+def stream_ensemble(spark, sf):
+    """Configured ensemble on a stream: stateful z-score + isolation forest
+    (fitted on the events table), weights 0.4 / 0.3 of the default config."""
+    from tidemark.operators.isolation_forest import IsolationForestDetector
+    from tidemark.session import scratch_path
+    from tidemark.streaming.stats import write_time_ordered
+    from tidemark.streaming.microbatch import start_rolling_detector
+    forest = IsolationForestDetector(GLOBAL_EVENTS, contamination=0.1).fit(tb.readings(spark, sf))
+    replay = scratch_path(spark, "events-replay")
+    write_time_ordered(tb.table(spark, sf, "events"), "ts", replay, 4)
+    s = _events_stream(spark, sf, path=f"{replay}/part=*", max_files=1)
+    sink = scratch_path(spark, "stream-ensemble")
+    q = start_rolling_detector(s, ["source"], ["timestamp", "event_id"], "value", sink,
+                               trigger={"availableNow": True}, method="zscore", window_size=100,
+                               members={"isolation_forest": forest},
+                               weights={"isolation_forest": 0.4, "statistical": 0.3}, ensemble_threshold=0.5)
+    q.awaitTermination()
+    out = spark.read.parquet(sink)
+    dr = F.col("detector_results")
+    return out.select("event_id", "source", "value", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
+                      "anomaly_type", dr["statistical"]["is_anomaly"].alias("zscore_flag"),
+                      dr["isolation_forest"]["is_anomaly"].alias("forest_flag"))
+
+
+ORACLE["stream_ensemble"] = _stream_ensemble_sql()

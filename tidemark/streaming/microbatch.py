@@ -45,7 +45,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: Sequence[str], value: str,
                      sink_path: str, state_path: str, method: str = "zscore", threshold: float = 3.0,
                      window_size: int = 100, min_history: int = 10,
-                     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS, chunk_rows: int = 1_000_000) -> None:
+                     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS, chunk_rows: int = 1_000_000,
+                     members: dict | None = None, weights: dict | None = None,
+                     ensemble_threshold: float = 0.5) -> None:
+    """Score one micro-batch.  With ``members`` (fitted models by name, e.g.
+    an isolation forest) the rolling detector becomes the ``statistical``
+    member of an ensemble: ``score = sum(w * s) / sum(w)``, flag iff
+    ``score > ensemble_threshold``, plus ``detector_results``."""
     spark = batch.sparkSession
     keys, order = list(keys), list(order)
     cols = batch.columns
@@ -91,8 +97,10 @@ def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: S
         out = with_detection(out.where(F.col(SEG) == 1), F.when(warm, flag).otherwise(False),
                              F.when(warm, score).otherwise(0.0),
                              F.when(warm, F.lit(kind)).otherwise(F.lit("statistical")))
-        out.select(*cols, "is_anomaly", "anomaly_score", "anomaly_type") \
-            .write.mode("overwrite").parquet(f"{sink_path}/batch_id={epoch}")
+        out = out.select(*cols, "is_anomaly", "anomaly_score", "anomaly_type")
+        if members:
+            out = _ensemble(out, members, weights or {}, ensemble_threshold)
+        out.write.mode("overwrite").parquet(f"{sink_path}/batch_id={epoch}")
 
         # next state: each key's last W-1 rows (a per-key top-k: bounded per
         # partition before the shuffle) and the seen counts
@@ -114,11 +122,34 @@ def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: S
         base.unpersist()
 
 
+def _ensemble(scored: DataFrame, members: dict, weights: dict, threshold: float) -> DataFrame:
+    """Combine the statistical detection with other fitted members."""
+    out = scored.withColumnsRenamed({"is_anomaly": "_m_statistical_is_anomaly",
+                                     "anomaly_score": "_m_statistical_anomaly_score",
+                                     "anomaly_type": "_m_statistical_anomaly_type"})
+    names = ["statistical"] + list(members)
+    for name, model in members.items():
+        out = model.transform(out, prefix=f"_m_{name}_")
+    total, wsum, entries = F.lit(0.0), 0.0, []
+    for name in names:
+        p = f"_m_{name}_"
+        w = float(weights.get(name, 1.0))
+        total, wsum = total + F.col(f"{p}anomaly_score") * F.lit(w), wsum + w
+        entries += [F.lit(name), F.struct(F.col(f"{p}is_anomaly").alias("is_anomaly"),
+                                          F.col(f"{p}anomaly_score").alias("score"),
+                                          F.col(f"{p}anomaly_type").alias("type"))]
+    final = total / F.lit(wsum) if wsum > 0 else F.lit(0.0)
+    out = out.withColumn("detector_results", F.create_map(*entries))
+    out = with_detection(out, final > F.lit(threshold), final, "ensemble")
+    return out.drop(*[c for c in out.columns if c.startswith("_m_")])
+
+
 def start_rolling_detector(stream: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                            sink_path: str, state_path: str | None = None, checkpoint: str | None = None,
                            trigger: dict | None = None, **params):
     """Start the query; ``params`` go to ``score_microbatch`` (method, threshold,
-    window_size, min_history, hot_key_rows, chunk_rows)."""
+    window_size, min_history, hot_key_rows, chunk_rows, members, weights,
+    ensemble_threshold)."""
     spark = stream.sparkSession
     state_path = state_path or scratch_path(spark, "detector-state")
 
