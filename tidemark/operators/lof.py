@@ -171,7 +171,7 @@ class LOFDetector(Detector):
                            3 * k, 3 * k, chunk)
         train = materialize(p3.select("rn", "x", "kd", "lrd", "lof", "_id"), "lof-train")
         neg = train.select((-F.col("lof")).alias("neg_lof"))
-        offset = exact_percentile(neg, "neg_lof", self.contamination).first()[0]
+        offset = exact_percentile(neg, "neg_lof", self.contamination, n=n).first()[0]
         return LOFModel(spec, mean, sd, k, n, float(offset), train, chunk)
 
     def unfitted(self):

@@ -29,8 +29,13 @@ from tidemark.session import materialize
 
 def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (), *,
                      bins: int = 1024, max_candidates: int = 200_000, out: str = "percentile",
-                     max_rounds: int = 12) -> DataFrame:
+                     max_rounds: int = 12, n: int | None = None) -> DataFrame:
+    """``n``: the caller's known row count; at most ``max_candidates`` rows
+    (one group) fit one exact ``percentile`` buffer, so no bracket rounds."""
     keys = list(keys)
+    if not keys and n is not None and n <= max_candidates:
+        v = F.col(value).cast("double")
+        return df.where(v.isNotNull() & ~F.isnan(v)).agg(F.percentile(v, F.lit(float(q))).alias(out))
     if not keys:
         # one global group: a constant key keeps every step an ordinary keyed job
         res = exact_percentile(df.withColumn("_g", F.lit(0)), value, q, ["_g"], bins=bins,

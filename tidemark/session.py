@@ -19,6 +19,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None,
     parts = shuffle_partitions or (8 if cores == "*" else int(cores))
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
