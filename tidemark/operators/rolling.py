@@ -89,7 +89,7 @@ def key_counts(df: DataFrame, keys) -> DataFrame:
 
 
 def positions(df: DataFrame, keys, order, part_rows: int = 2_000_000, weight: str | None = None,
-              n: int | None = None, **_) -> DataFrame:
+              n: int | None = None, max_parts: int = 50_000, **_) -> DataFrame:
     """1-based position ``_rn`` of every row inside its key (``keys`` may be
     empty: a global position), balanced whatever the skew.
 
@@ -103,12 +103,16 @@ def positions(df: DataFrame, keys, order, part_rows: int = 2_000_000, weight: st
 
     With ``weight`` (a 0/1 column) ``_rn`` is the running count of weighted
     rows up to and including the row (an as-of rank) instead.
+
+    The number of ranges is capped at ``max_parts`` (a shuffle with more
+    reducers costs more in block metadata than it saves); beyond that the
+    ranges grow (each is one external, spillable sort).
     """
     keys, order = list(keys), list(order)
     spark = df.sparkSession
     if n is None:
         n = df.count()
-    parts = max(spark.sparkContext.defaultParallelism, -(-n // part_rows), 1)
+    parts = min(max(spark.sparkContext.defaultParallelism, -(-n // part_rows), 1), max_parts)
     r = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
     r = r.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
     r = materialize(r, "positions")
