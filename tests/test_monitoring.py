@@ -108,3 +108,14 @@ def test_bounded_retention(spark):
     shown = [r.event_id for r in topk.bounded_retention(df, keep=10, show=3).collect()]
     assert shown == [48, 46, 44]
     assert topk.recent_anomalies(df, 1000).count() == 25
+
+
+def test_per_source_within_retention(spark):
+    # the last 4 anomalies overall are ids 18, 15, 12, 9 (sources s0, s1, s0, s1)
+    df = spark.createDataFrame([(i, f"s{i % 2}", i % 3 == 0) for i in range(20)],
+                               "event_id long, source string, is_anomaly boolean") \
+        .withColumn("timestamp", F.col("event_id").cast("timestamp"))
+    got = [r.event_id for r in topk.recent_anomalies(df, 50, source="s1", retention=4).collect()]
+    assert got == [15, 9]
+    per = topk.recent_per_source(df, 5, retention=4)
+    assert sorted((r.source, r.event_id) for r in per.collect()) == [("s0", 12), ("s0", 18), ("s1", 9), ("s1", 15)]

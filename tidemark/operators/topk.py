@@ -19,10 +19,21 @@ def _desc(order: Sequence[str]):
     return [F.col(c).desc() for c in order]
 
 
-def recent_anomalies(results: DataFrame, n: int = 100, order: Sequence[str] = ("timestamp", "event_id"),
-                     flag: str = "is_anomaly", source: str | None = None, source_col: str = "source") -> DataFrame:
-    """Last ``n`` flagged rows (optionally of one source); ``n <= 0`` gives none."""
+def _retained(results: DataFrame, retention: int | None, order, flag: str) -> DataFrame:
+    """Flagged rows, optionally only the last ``retention`` of them overall (the
+    serving page keeps a bounded recent list and filters within it)."""
     df = results.where(F.col(flag))
+    if retention is not None:
+        df = df.orderBy(*_desc(order)).limit(max(retention, 0))
+    return df
+
+
+def recent_anomalies(results: DataFrame, n: int = 100, order: Sequence[str] = ("timestamp", "event_id"),
+                     flag: str = "is_anomaly", source: str | None = None, source_col: str = "source",
+                     retention: int | None = None) -> DataFrame:
+    """Last ``n`` flagged rows (optionally of one source, optionally within the
+    last ``retention`` flagged rows overall); ``n <= 0`` gives none."""
+    df = _retained(results, retention, order, flag)
     if source is not None:
         df = df.where(F.col(source_col) == source)
     if n <= 0:
@@ -31,10 +42,11 @@ def recent_anomalies(results: DataFrame, n: int = 100, order: Sequence[str] = ("
 
 
 def recent_per_source(results: DataFrame, n: int = 50, order: Sequence[str] = ("timestamp", "event_id"),
-                      flag: str = "is_anomaly", source_col: str = "source") -> DataFrame:
-    """Last ``n`` flagged rows of every source, with ``recency_rank`` 1 = newest."""
+                      flag: str = "is_anomaly", source_col: str = "source", retention: int | None = None) -> DataFrame:
+    """Last ``n`` flagged rows of every source (optionally within the last
+    ``retention`` flagged rows overall), with ``recency_rank`` 1 = newest."""
     w = Window.partitionBy(source_col).orderBy(*_desc(order))
-    df = results.where(F.col(flag)).withColumn("recency_rank", F.row_number().over(w))
+    df = _retained(results, retention, order, flag).withColumn("recency_rank", F.row_number().over(w))
     return df.where(F.col("recency_rank") <= n)
 
 
