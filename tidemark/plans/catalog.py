@@ -1081,3 +1081,37 @@ def stream_ensemble(spark, sf):
 
 
 ORACLE["stream_ensemble"] = _stream_ensemble_sql()
+
+
+@register("stream_messages_end_to_end", f"""
+SELECT source AS key, source, value, metric,
+       is_anomaly, round(anomaly_score, 6) AS anomaly_score, 'baseline_zscore' AS anomaly_type
+FROM ({BASELINE_SQL}) s""")
+def stream_messages_end_to_end(spark, sf):
+    """events -> JSON message files -> stream: decode, quarantine, score with a
+    fitted baseline, envelope, keyed JSON sink; read back and unpacked."""
+    from pyspark.sql import types as T
+    from tidemark.session import scratch_path
+    from tidemark.sources.decode import encode_json
+    from tidemark.streaming.scoring import BaselineModel, score_messages
+    ev = tb.readings(spark, sf)
+    msgs_dir = scratch_path(spark, "messages")
+    encode_json(ev.select("source", "value", "metric",
+                          F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")), "source") \
+        .select("value").write.text(msgs_dir)
+    stream = spark.readStream.schema("value string").text(msgs_dir)
+    model = BaselineModel.fit(ev, ["source"], "value", 3.0)
+    sink, quarantine = scratch_path(spark, "messages-out"), scratch_path(spark, "messages-bad")
+    q = score_messages(stream, model, sink, quarantine, trigger={"availableNow": True})
+    q.awaitTermination()
+    env = T.StructType([T.StructField("original_data", T.StructType([
+        T.StructField("source", T.StringType()), T.StructField("value", T.DoubleType()),
+        T.StructField("metric", T.StringType()), T.StructField("timestamp", T.StringType())])),
+        T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_score", T.DoubleType()),
+        T.StructField("anomaly_type", T.StringType())])
+    out = spark.read.schema("key string, value string").json(sink)
+    body = F.from_json("value", env)
+    return out.select("key", body["original_data"]["source"].alias("source"),
+                      body["original_data"]["value"].alias("value"),
+                      body["original_data"]["metric"].alias("metric"), body["is_anomaly"].alias("is_anomaly"),
+                      r6(body["anomaly_score"]).alias("anomaly_score"), body["anomaly_type"].alias("anomaly_type"))

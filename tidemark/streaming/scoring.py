@@ -113,3 +113,42 @@ def deploy(spark, registry_root: str, name: str, stream: DataFrame) -> DataFrame
         return rolling_detector_stream(stream, model.spec.keys, model.spec.order, model.spec.value,
                                        model.method, model.threshold, model.window_size, model.min_history)
     return model.transform(stream)
+
+
+def score_messages(messages: DataFrame, model: Model, sink_path: str, quarantine_path: str,
+                   checkpoint: str | None = None, trigger: dict | None = None, fmt: str = "json",
+                   options: dict | None = None):
+    """The per-record path as one streaming query: JSON message text (``value``)
+    -> typed reading -> quarantine of bad records (with ``reason``) -> score
+    with a stateless model -> result envelope -> keyed ``(key, value=json)``
+    messages.  Each micro-batch writes its results and its quarantined rows
+    under its batch id (idempotent)."""
+    from tidemark.operators.quality import reading_reason
+    from tidemark.sources.decode import decode_json, encode_json, flatten, parse_timestamp
+    from tidemark.sources.sinks import envelope
+
+    spark = messages.sparkSession
+    dec = flatten(decode_json(messages, "value"))
+    dec = dec.withColumn("event_time", parse_timestamp(F.col("timestamp")))
+    tagged = dec.withColumn("reason", reading_reason("value", "event_time", "source", "_corrupt"))
+
+    def write(batch: DataFrame, epoch: int):
+        batch = batch.persist()
+        try:
+            good = batch.where(F.col("reason").isNull()).drop("reason", "_corrupt")
+            scored = model.transform(good)
+            env = envelope(scored, ["source", "value", "metric", "timestamp"],
+                           ["source", "value", "metric", "event_time"])
+            out = encode_json(env, "source")
+            w = out.write.mode("overwrite").format(fmt)
+            for k, v in (options or {}).items():
+                w = w.option(k, v)
+            w.save(f"{sink_path}/batch_id={epoch}")
+            batch.where(F.col("reason").isNotNull()).write.mode("overwrite") \
+                .parquet(f"{quarantine_path}/batch_id={epoch}")
+        finally:
+            batch.unpersist()
+
+    w = (tagged.writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "messages-ckpt")))
+    return (w.trigger(**trigger) if trigger else w).start()
