@@ -1115,3 +1115,22 @@ def stream_messages_end_to_end(spark, sf):
                       body["original_data"]["value"].alias("value"),
                       body["original_data"]["metric"].alias("metric"), body["is_anomaly"].alias("is_anomaly"),
                       r6(body["anomaly_score"]).alias("anomaly_score"), body["anomaly_type"].alias("anomaly_type"))
+
+
+@register("stream_window_stats_1m", f"""
+WITH w AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
+                  time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS window_end,
+                  event_type AS source, 'user_' || CAST(user_id AS VARCHAR) AS metric,
+                  {D6("avg(value)")} AS avg_value, {D6("stddev_samp(value)")} AS std_value, count(value) AS count
+           FROM events GROUP BY 1, 2, 3, 4)
+SELECT * FROM w WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 30 SECOND""")
+def stream_window_stats_1m(spark, sf):
+    """The original streaming statistics: 1-minute windows, 30 s watermark,
+    per (source, metric), on event time."""
+    from tidemark.streaming.stats import event_time, window_stats
+    s = event_time(_events_stream(spark, sf), "timestamp")
+    ws = window_stats(s, "event_time", "1 minute", "30 seconds", ["source", "metric"])
+    out = _run_to_table(spark, ws, "stream-window-stats-1m")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "source", "metric",
+                      dec6("avg_value").alias("avg_value"), dec6("std_value").alias("std_value"), "count")
