@@ -503,12 +503,6 @@ def result_envelope_json(spark, sf):
 
 
 # ---------------------------------------------------------------- H2 / H3 / H4 / H5
-def _train_events(spark, sf):
-    from tidemark.operators.split import hash_split
-    ev = tb.readings(spark, sf)
-    return hash_split(ev, "event_id", 0.7).where("is_train").drop("is_train")
-
-
 GLOBAL_EVENTS = SeriesSpec((), ("timestamp", "event_id"), "value", "event_id")
 
 
@@ -693,7 +687,7 @@ def model_registry_latest(spark, sf):
     from tidemark.plans import registry
     from tidemark.session import scratch_path
     root = scratch_path(spark, "registry")
-    train = _train_events(spark, sf)
+    train = tb.readings(spark, sf)
     registry.save_model(spark, StatisticalDetector(EVENTS_BY_TYPE).fit(None), root, "zscore")
     registry.save_model(spark, StatisticalDetector(EVENTS_BY_TYPE, threshold=2.5).fit(None), root, "zscore")
     registry.save_model(spark, IsolationForestDetector(GLOBAL_EVENTS, n_estimators=20).fit(train), root, "forest")
