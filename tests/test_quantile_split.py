@@ -58,7 +58,7 @@ def test_global_positions_skewed_values(spark):
     from tidemark.operators.rolling import positions, RN
     data = [(i, math.exp(i % 97 / 4.0) if i % 5 else 1e9 + i) for i in range(3000)]
     df = spark.createDataFrame(data, "id long, v double")
-    got = {r["id"]: r[RN] for r in positions(df, [], ["v", "id"], part_rows=200).collect()}
+    got = {r["id"]: r[RN] for r in positions(df, [], ["v", "id"], part_rows=200, single_task_rows=0).collect()}
     exp = {i: k + 1 for k, (i, _) in enumerate(sorted(data, key=lambda t: (t[1], t[0])))}
     assert got == exp
 
@@ -84,3 +84,17 @@ def test_positions_hot_key_with_duplicate_order_values(spark):
             c += d[2] % 2
             expw[d[2]] = c
     assert w == expw
+
+
+def test_keyless_weighted_positions_both_paths(spark):
+    from tidemark.operators.rolling import positions, RN
+    data = [(i, float(i % 37), i % 3 == 0) for i in range(2000)]
+    df = spark.createDataFrame(data, "id long, v double, w boolean").withColumn("w", F.col("w").cast("int"))
+    exp, c = {}, 0
+    for i, v, w in sorted(data, key=lambda d: (d[1], d[0])):
+        c += int(w)
+        exp[i] = c
+    for single in (0, 10**6):
+        got = {r["id"]: r[RN] for r in positions(df, [], ["v", "id"], part_rows=100, weight="w",
+                                                  single_task_rows=single).collect()}
+        assert got == exp

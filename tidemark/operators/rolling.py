@@ -89,7 +89,8 @@ def key_counts(df: DataFrame, keys) -> DataFrame:
 
 
 def positions(df: DataFrame, keys, order, part_rows: int = 2_000_000, weight: str | None = None,
-              n: int | None = None, max_parts: int = 50_000, **_) -> DataFrame:
+              n: int | None = None, max_parts: int = 50_000, single_task_rows: int = 1_000_000,
+              **_) -> DataFrame:
     """1-based position ``_rn`` of every row inside its key (``keys`` may be
     empty: a global position), balanced whatever the skew.
 
@@ -106,12 +107,21 @@ def positions(df: DataFrame, keys, order, part_rows: int = 2_000_000, weight: st
 
     The number of ranges is capped at ``max_parts`` (a shuffle with more
     reducers costs more in block metadata than it saves); beyond that the
-    ranges grow (each is one external, spillable sort).
+    ranges grow (each is one external, spillable sort).  A keyless series of at
+    most ``single_task_rows`` rows is numbered by one ordered window instead
+    (one bounded task; no write).
     """
     keys, order = list(keys), list(order)
     spark = df.sparkSession
     if n is None:
         n = df.count()
+    if not keys and n <= single_task_rows:
+        w = Window.orderBy(*order)
+        if weight:
+            rn = F.sum(F.col(weight).cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        else:
+            rn = F.row_number().over(w)
+        return df.withColumn(RN, rn)
     parts = min(max(spark.sparkContext.defaultParallelism, -(-n // part_rows), 1), max_parts)
     r = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
     r = r.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
