@@ -115,3 +115,21 @@ def test_empty_and_missing_inputs(spark):
     scored = spark.createDataFrame([(True, 0.9), (False, 0.1)], "is_anomaly boolean, anomaly_score double")
     r = evaluate(scored, "label").first()  # no label column -> unlabelled metrics
     assert set(r.asDict()) == {"anomaly_rate", "avg_score", "score_std"} and r.anomaly_rate == 0.5
+
+
+def test_one_class_svm_scoring_matches_numpy(spark):
+    from tidemark.operators.ocsvm import OneClassSVMDetector
+    df, vals = _normal_df(spark, n=1500, seed=9)
+    m = OneClassSVMDetector(SPEC, nu=0.1, max_iter=50).fit(df)
+    # the fit's mean / std are the population statistics of the data
+    assert abs(m.mean - vals.mean()) < 1e-9 and abs(m.sd - vals.std()) < 1e-9
+    probe = np.array([50.0, 61.3, 75.0, 100.0, 0.0, 20.5])
+    got = {r["value"]: r["reference_score"] for r in m.transform(_probe(spark, probe)).collect()}
+    x = (probe - m.mean) / m.sd
+    phi = np.sqrt(2.0 / len(m.W)) * np.cos(np.outer(x, m.W) + m.B)
+    dec = phi @ m.w - m.rho
+    for v, d in zip(probe, dec):
+        assert abs(got[v] - (1.0 - d)) < 1e-9
+    # flagged share on the training rows is close to nu (rho is the nu-quantile)
+    share = m.transform(df).where("is_anomaly").count() / 1500
+    assert abs(share - 0.1) < 0.02
