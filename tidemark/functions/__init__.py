@@ -1 +1 @@
-"""functions."""
+"""Column-expression helpers shared by the operators (JVM-side only)."""
