@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01, rows
+from conftest import SF001, rows
 from tidemark.operators.base import SeriesSpec
 from tidemark.operators import statistical as st
 from tidemark.sources import tables as tb

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TWO_POW_32 = 4294967296.0
 
