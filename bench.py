@@ -53,20 +53,24 @@ def main() -> None:
     spark = get_spark(cores=cpus, shuffle_partitions=int(cpus) if cpus != "*" else 8)
     # warm-up (JIT, Python workers) on a small table
     catalog.QUERIES["window_stats_1d"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times, first = {}, {}
+    times, first, errors = {}, {}, {}
     for name in (only or HEADLINE):
         runs = []
-        for _ in range(2):
-            t0 = time.time()
-            df = catalog.QUERIES[name](spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
-            runs.append(round(time.time() - t0, 3))
+        try:
+            for _ in range(2):
+                t0 = time.time()
+                df = catalog.QUERIES[name](spark, sf_dir)
+                df.write.format("noop").mode("overwrite").save()
+                runs.append(round(time.time() - t0, 3))
+        except Exception as e:  # noqa: BLE001 - report the failure, keep benchmarking the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         times[name], first[name] = min(runs), runs[0]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else sf_dir
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus, "first_run": first,
-                      "first_run_total": round(sum(first.values()), 3)}))
+                      "first_run_total": round(sum(first.values()), 3), **({"errors": errors} if errors else {})}))
     spark.stop()
 
 
