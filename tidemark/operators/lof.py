@@ -61,7 +61,9 @@ class LOFModel(Model):
             lo = F.greatest(F.floor((rn - k - 1) / B), F.lit(0))
             hi = F.floor((rn + k) / B)
             ex = self.train.select("rn", "x", "kd", "lrd", F.explode(F.sequence(lo, hi)).alias("_blk"))
-            blk = ex.groupBy("_blk").agg(F.collect_list(F.struct("rn", "x", "kd", "lrd")).alias("_cand"))
+            # sorted by position (rn is the first field): candidates are a slice
+            blk = ex.groupBy("_blk").agg(F.sort_array(F.collect_list(F.struct("rn", "x", "kd", "lrd"))).alias("_cand"),
+                                         F.min("rn").alias("_bfirst"))
             self._blocks = materialize(blk, "lof-blocks")
         return self._blocks
 
@@ -79,8 +81,9 @@ class LOFModel(Model):
         r = r.withColumn("_blk", F.floor(F.greatest(F.col("_r") - 1, F.lit(0)) / B))
         blk = self.blocks()
         j = r.join(F.broadcast(blk) if self.n <= BROADCAST_TRAIN_ROWS else blk, "_blk", "left")
-        lo, hi = F.col("_r") - (k - 1), F.col("_r") + k
-        cand = F.filter("_cand", lambda e: (e["rn"] >= lo) & (e["rn"] <= hi))
+        lo = F.greatest(F.col("_r") - (k - 1), F.lit(1))
+        hi = F.least(F.col("_r") + k, F.lit(self.n))
+        cand = F.slice("_cand", (lo - F.col("_bfirst") + 1).cast("int"), (hi - lo + 1).cast("int"))
         sd = F.lit(self.sd or 1.0)
         near = F.slice(F.sort_array(F.transform(cand, lambda e: F.struct(
             F.abs(e["x"] - F.col("_x")).alias("dr"), e["rn"].alias("rn"), e["kd"].alias("kd"),
