@@ -144,3 +144,15 @@ def test_global_series_chunked_equals_plain(spark):
     b = st.rolling_zscore(df, spec, hot_key_rows=1000, chunk_rows=900)
     k = ("event_id", "is_anomaly", "anomaly_type")
     assert rows(a, *k) == rows(b, *k)
+
+
+def test_null_key_hot_and_cold(spark):
+    # a NULL key is a series too, also when it is hot
+    df = tb.readings(spark, SF01).withColumn(
+        "source", F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("source")))
+    plain = st.rolling_zscore(df, EVENTS_BY_TYPE, hot_key_rows=None)
+    hot = st.rolling_zscore(df, EVENTS_BY_TYPE, hot_key_rows=1500, chunk_rows=600)
+    k = ("event_id", "is_anomaly", "anomaly_type")
+    a, b = rows(plain, *k), rows(hot, *k)
+    assert len(b) == 10000 and a == b
+    assert plain.where(F.col("source").isNull()).count() == 3334

@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.scaling import join_params
+from tidemark.operators.scaling import join_params, null_safe_join
 
 
 def psi(baseline: DataFrame, current: DataFrame, value: str = "value", keys: Sequence[str] = (),
@@ -36,12 +36,14 @@ def psi(baseline: DataFrame, current: DataFrame, value: str = "value", keys: Seq
         b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).cast("int")
         return j.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
-    hb = binned(baseline).withColumnRenamed("n", "nb")
-    hc = binned(current).withColumnRenamed("n", "nc")
-    h = hb.join(hc, keys + ["bin"], "full_outer").fillna(0, ["nb", "nc"])
-    tot = rng.select(*keys, "base_n").join(cur_stats.select(*keys, "cur_n"), keys, "inner") if keys else None
+    hb = binned(baseline).select(*keys, "bin", F.col("n").alias("nb"), F.lit(0).cast("bigint").alias("nc"))
+    hc = binned(current).select(*keys, "bin", F.lit(0).cast("bigint").alias("nb"), F.col("n").alias("nc"))
+    # union + group-by (a NULL key is a group) instead of a full outer join
+    h = hb.unionByName(hc).groupBy(*keys, "bin").agg(F.sum("nb").alias("nb"), F.sum("nc").alias("nc"))
+    tot = null_safe_join(rng.select(*keys, "base_n"), cur_stats.select(*keys, "cur_n"), keys, "inner") \
+        if keys else None
     if keys:
-        h = h.join(tot, keys, "inner")
+        h = join_params(h, tot, keys)
     else:
         r = rng.select("base_n").first()[0], cur_stats.select("cur_n").first()[0]
         h = h.withColumns({"base_n": F.lit(r[0]), "cur_n": F.lit(r[1])})
@@ -50,7 +52,7 @@ def psi(baseline: DataFrame, current: DataFrame, value: str = "value", keys: Seq
     term = (pc - pb) * F.log(pc / pb)
     g = h.groupBy(*keys) if keys else h.groupBy()
     out = g.agg(F.sum(term).alias("psi"))
-    stats = rng.drop("_mn", "_mx").join(cur_stats, keys, "inner") if keys else None
+    stats = null_safe_join(rng.drop("_mn", "_mx"), cur_stats, keys, "inner") if keys else None
     if keys:
-        out = out.join(stats, keys, "inner")
+        out = null_safe_join(out, stats, keys, "inner")
     return out.withColumn("drift", F.col("psi") > F.lit(threshold))

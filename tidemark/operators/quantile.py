@@ -23,7 +23,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scaling import join_params
+from tidemark.operators.scaling import join_params, null_safe_join
 from tidemark.session import materialize
 
 
@@ -58,7 +58,7 @@ def exact_percentile(df: DataFrame, value: str, q: float, keys: Sequence[str] =
     cand = cand.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")) & (F.col("_lo") < F.col("_hi")))
     # at most max_candidates values per key
     vals = cand.groupBy(*keys).agg(F.array_sort(F.collect_list("_v")).alias("_vals"))
-    res = br.join(vals, keys, "left")
+    res = null_safe_join(br, vals, keys, "left")
     i = F.col("_r") - F.col("_below")
     x0 = F.try_element_at("_vals", (i + 1).cast("int"))
     x1 = F.coalesce(F.try_element_at("_vals", (i + 2).cast("int")), x0)
@@ -78,7 +78,7 @@ def _narrow(data: DataFrame, br: DataFrame, keys, bins: int) -> DataFrame:
     # the histogram has at most `bins` rows per key
     w = Window.partitionBy(*keys).orderBy("_bin")
     hist = hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    hist = hist.join(br.select(*keys, "_r", "_below"), keys, "inner")
+    hist = null_safe_join(hist, br.select(*keys, "_r", "_below"), keys, "inner")
     start = F.col("_below") + F.col("_cum") - F.col("_c")  # rank of the first row in the bin
     end = F.col("_below") + F.col("_cum") - 1
     r = F.col("_r")
@@ -86,4 +86,4 @@ def _narrow(data: DataFrame, br: DataFrame, keys, bins: int) -> DataFrame:
     nb = hist.where(need).groupBy(*keys).agg(
         F.min("_bmin").alias("_lo"), F.max("_bmax").alias("_hi"), F.sum("_c").alias("_inside"),
         F.min(start).alias("_below"))
-    return br.drop("_lo", "_hi", "_inside", "_below").join(nb, keys, "inner")
+    return null_safe_join(br.drop("_lo", "_hi", "_inside", "_below"), nb, keys, "inner")

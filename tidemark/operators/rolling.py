@@ -68,9 +68,9 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if n_hot == 0:
         return _plain(df, keys, order, columns)
     sizes = sizes.select(*keys, F.lit(True).alias("_hot"))
-    if n_hot <= BROADCAST_KEY_LIMIT:
-        sizes = F.broadcast(sizes)
-    tagged = df.join(sizes, keys, "left")
+    from tidemark.operators.scaling import null_safe_join
+    # null-safe: a NULL key that is hot is still split
+    tagged = null_safe_join(df, sizes, keys, "left", broadcast=n_hot <= BROADCAST_KEY_LIMIT)
     cold = _plain(tagged.where(F.col("_hot").isNull()).drop("_hot"), keys, order, columns)
     hot = _chunked(tagged.where(F.col("_hot")), keys, order, columns, halo_before, halo_after,
                    chunk_rows, n=agg["rows"])

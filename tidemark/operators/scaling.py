@@ -18,9 +18,26 @@ from tidemark.operators.rolling import RN, over_series, DEFAULT_HOT_KEY_ROWS
 BROADCAST_ROWS = 100_000
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
+                   broadcast: bool = False) -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL (a NULL key is a group too);
+    the result keeps the left key columns once."""
+    keys = list(keys)
+    ren = {k: f"_rk_{k}" for k in keys}
+    r = right.withColumnsRenamed(ren)
+    if broadcast:
+        r = F.broadcast(r)
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[ren[k]])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*ren.values())
+
+
 def join_params(df: DataFrame, params: DataFrame, keys: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
     """Attach a per-key parameter table.  No keys: the single global row is read
-    as literals.  Keys: broadcast join only after checking the table size."""
+    as literals.  Keys: broadcast join only after checking the table size;
+    NULL keys match (null-safe equality)."""
     keys = list(keys)
     if not keys:
         r = params.first()
@@ -28,7 +45,7 @@ def join_params(df: DataFrame, params: DataFrame, keys: Sequence[str], limit: in
             raise ValueError("empty parameter table")
         return df.withColumns({c: F.lit(r[c]) for c in params.columns})
     n = params.count()
-    return df.join(F.broadcast(params) if n <= limit else params, keys, "left")
+    return null_safe_join(df, params, keys, "left", broadcast=n <= limit)
 
 
 class ScalerModel:

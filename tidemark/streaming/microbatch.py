@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.base import with_detection
 from tidemark.operators.rolling import RN, over_series, DEFAULT_HOT_KEY_ROWS
-from tidemark.operators.scaling import join_params
+from tidemark.operators.scaling import join_params, null_safe_join
 from tidemark.operators.statistical import iqr_columns, zscore_columns
 from tidemark.functions.exprs import sorted_quantile
 from tidemark.session import scratch_path
@@ -71,7 +71,7 @@ def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: S
         if seen is not None:
             # rows of a key seen before but no longer in the W-1 buffer still count for the gate
             held = data.where(F.col(SEG) == 0).groupBy(*keys).agg(F.count(F.lit(1)).alias("_held"))
-            extra = seen.join(held, keys, "left").select(
+            extra = null_safe_join(seen, held, keys, "left").select(
                 *keys, (F.col("_seen") - F.coalesce("_held", F.lit(0))).alias("_extra"))
             data = join_params(data, extra, keys)
         else:
@@ -110,8 +110,9 @@ def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: S
                 .select(*cols))
         here = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         if seen is not None:
-            nseen = seen.join(here, keys, "full_outer").select(
-                *keys, (F.coalesce("_seen", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("_seen"))
+            # union + group-by keeps a NULL key as one group
+            nseen = (seen.select(*keys, "_seen").unionByName(here.select(*keys, F.col("_n").alias("_seen")))
+                     .groupBy(*keys).agg(F.sum("_seen").alias("_seen")))
         else:
             nseen = here.select(*keys, F.col("_n").alias("_seen"))
         cur = f"{state_path}/epoch={epoch}"

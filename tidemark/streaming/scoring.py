@@ -42,8 +42,8 @@ class BaselineModel(Model):
         return cls(p, keys, value, threshold, p.count() <= BROADCAST_ROWS)
 
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
-        p = F.broadcast(self.params) if self.small else self.params
-        j = df.join(p, self.keys, "left")
+        from tidemark.operators.scaling import null_safe_join
+        j = null_safe_join(df, self.params, self.keys, "left", broadcast=self.small)
         z = F.abs(safe_div(F.col(self.value) - F.col("_mean"), F.col("_sd")))
         ok = F.col("_sd").isNotNull() & (F.col("_sd") > 0)
         out = with_detection(j, F.coalesce(ok & (z > self.threshold), F.lit(False)),
