@@ -191,3 +191,21 @@ def test_microbatch_detector_equals_batch_with_hot_keys(spark):
             e = exp[r.event_id]
             assert (r.is_anomaly, r.anomaly_type) == (e.is_anomaly, e.anomaly_type), (method, r.event_id)
             assert abs(r.anomaly_score - e.anomaly_score) < 1e-9
+
+
+def test_microbatch_detector_null_key(spark):
+    from tidemark.streaming.microbatch import start_rolling_detector
+    base = tempfile.mkdtemp(prefix="tidemark-mbnull-")
+    ev = tb.readings(spark, SF001).select("event_id", "timestamp", "value", F.when(
+        F.col("event_id") % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("source")).alias("source"))
+    stats.write_time_ordered(ev, "timestamp", os.path.join(base, "in"), 3)
+    s = stats.read_stream(spark, "parquet", os.path.join(base, "in", "part=*"), ev.schema, max_files_per_trigger=1)
+    sink = os.path.join(base, "out")
+    q = start_rolling_detector(s, ["source"], ["timestamp", "event_id"], "value", sink,
+                               checkpoint=os.path.join(base, "ck"), trigger={"availableNow": True}, window_size=30)
+    q.awaitTermination()
+    got = spark.read.parquet(sink)
+    spec = SeriesSpec(("source",), ("timestamp", "event_id"), "value")
+    exp = st.rolling_zscore(ev, spec, window_size=30)
+    k = ("event_id", "is_anomaly", "anomaly_type")
+    assert got.count() == 1000 and rows(got, *k) == rows(exp, *k)
