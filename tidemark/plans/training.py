@@ -8,8 +8,8 @@
 Every step is Spark jobs over whole tables; only one metrics row per trained
 model comes back to the driver.  A statistical (rolling) detector fitted on
 the rows before a fold scores the fold exactly as one rolling pass over the
-whole series does, so its grid search scores each parameter set with ONE pass
-and aggregates per fold instead of refitting per fold.
+whole series does, so its grid search scores ALL parameter sets with one
+window pass (one frame per window size) and one aggregate over the folds.
 """
 
 from __future__ import annotations
@@ -125,6 +125,55 @@ def _binary_f1(scored: DataFrame, label: str, pred: str = "is_anomaly", by: Sequ
     return out.withColumn("f1", F.when(den > 0, 2 * F.col("tp") / den).otherwise(0.0)).drop("tp", "fp", "fn")
 
 
+def _statistical_grid(pos: DataFrame, combos: list[dict], spec: SeriesSpec, label: str, fold, base: dict):
+    """All parameter combinations of the rolling detector in ONE window pass:
+    every window size is its own frame over the same window specification (one
+    exchange, one sort), every combination's flag is a column, and one
+    aggregate per fold counts tp / fp / fn for all combinations."""
+    from tidemark.operators.rolling import RN, over_series
+    from tidemark.operators.statistical import StatisticalDetector, iqr_columns, zscore_columns
+    from tidemark.functions.exprs import sorted_quantile
+    dets = [StatisticalDetector(spec, **{**base, **c}) for c in combos]
+    sizes = sorted({d.window_size for d in dets})
+
+    def cols(w):
+        out = {}
+        v = F.col(spec.value)
+        for W in sizes:
+            fr = w.rowsBetween(-(W - 1), -1)
+            if any(d.method != "iqr" and d.window_size == W for d in dets):
+                out[f"_m{W}"], out[f"_sd{W}"] = F.avg(v).over(fr), F.stddev_pop(v).over(fr)
+            if any(d.method == "iqr" and d.window_size == W for d in dets):
+                out[f"_q{W}"] = F.sort_array(F.collect_list(v).over(fr))
+        return out
+
+    scored = over_series(pos, spec.keys, spec.order, cols, halo_before=max(sizes) - 1,
+                         hot_key_rows=dets[0].hot_key_rows, chunk_rows=dets[0].chunk_rows)
+    v = F.col(spec.value)
+    flags = {}
+    for ci, d in enumerate(dets):
+        W = d.window_size
+        if d.method == "iqr":
+            flag, _ = iqr_columns(v, sorted_quantile(f"_q{W}", 0.25), sorted_quantile(f"_q{W}", 0.75), d.threshold)
+        else:
+            flag, _ = zscore_columns(v, F.col(f"_m{W}"), F.col(f"_sd{W}"), d.threshold)
+        flags[ci] = F.when((F.col(RN) - 1) >= d.min_history, flag).otherwise(F.lit(False))
+    y = F.coalesce(F.col(label).cast("boolean"), F.lit(False))
+    aggs = []
+    for ci, fl in flags.items():
+        aggs += [F.count_if(y & fl).alias(f"tp{ci}"), F.count_if(~y & fl).alias(f"fp{ci}"),
+                 F.count_if(y & ~fl).alias(f"fn{ci}")]
+    per_fold = scored.withColumn("fold", fold).where(F.col("fold").isNotNull()).groupBy("fold").agg(*aggs)
+    # unpivot the (folds x combinations) counts: a small table
+    entries = F.array(*[F.struct(F.lit(ci).alias("combo"), F.lit(json.dumps(c, sort_keys=True)).alias("params"),
+                                 F.col(f"tp{ci}").alias("tp"), F.col(f"fp{ci}").alias("fp"),
+                                 F.col(f"fn{ci}").alias("fn")) for ci, c in enumerate(combos)])
+    long = per_fold.select("fold", F.explode(entries).alias("e")).select("e.combo", "e.params", "fold",
+                                                                         "e.tp", "e.fp", "e.fn")
+    den = 2 * F.col("tp") + F.col("fp") + F.col("fn")
+    return long.select("combo", "params", "fold", F.when(den > 0, 2 * F.col("tp") / den).otherwise(0.0).alias("f1"))
+
+
 def grid_search(spark: SparkSession, model_type: str, df: DataFrame, param_grid: dict[str, list],
                 spec: SeriesSpec, label_column: str = "is_anomaly", n_splits: int = 5,
                 base_config: dict | None = None) -> tuple[DataFrame, dict]:
@@ -142,15 +191,12 @@ def grid_search(spark: SparkSession, model_type: str, df: DataFrame, param_grid:
     first, t = bounds[0][1], bounds[0][2] - bounds[0][1]
     fold = F.when(F.col("_pos") >= first, F.floor((F.col("_pos") - first) / t)).cast("int")
     parts = []
-    for ci, params in enumerate(combos):
-        cfg = {**(base_config or {}), **params}
-        ptxt = json.dumps(params, sort_keys=True)
-        if model_type == "statistical":
-            det = create_detector("statistical", cfg, spec)
-            scored = det.fit(None).transform(pos).withColumn("fold", fold).where(F.col("fold").isNotNull())
-            f1 = _binary_f1(scored, label_column, by=["fold"])
-            parts.append(f1.select(F.lit(ci).alias("combo"), F.lit(ptxt).alias("params"), "fold", "f1"))
-        else:
+    if model_type == "statistical":
+        parts.append(_statistical_grid(pos, combos, spec, label_column, fold, base_config or {}))
+    else:
+        for ci, params in enumerate(combos):
+            cfg = {**(base_config or {}), **params}
+            ptxt = json.dumps(params, sort_keys=True)
             for i, s, e in bounds:
                 det = create_detector(model_type, cfg, spec)
                 model = det.fit(pos.where(F.col("_pos") < s).drop(label_column))
