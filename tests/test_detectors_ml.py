@@ -133,3 +133,11 @@ def test_one_class_svm_scoring_matches_numpy(spark):
     # flagged share on the training rows is close to nu (rho is the nu-quantile)
     share = m.transform(df).where("is_anomaly").count() / 1500
     assert abs(share - 0.1) < 0.02
+
+
+def test_isolation_forest_auto_contamination(spark):
+    df, _ = _normal_df(spark, n=800, seed=4)
+    m = IsolationForestDetector(SPEC, contamination="auto", n_estimators=30).fit(df)
+    assert m.threshold == 0.5
+    out = m.transform(df).select("is_anomaly", "anomaly_score").collect()
+    assert all(r.is_anomaly == (r.anomaly_score > 0.5) for r in out)
