@@ -74,9 +74,11 @@ class EnsembleDetector(Detector):
         self.weights = dict(weights or {})
         self.threshold, self.compat = float(threshold), bool(compat_scores)
 
-    def fit(self, df: DataFrame) -> EnsembleModel:
-        """Fits every member on ``df`` (a statistical member takes it as buffer history)."""
-        members = {name: d.fit(df) for name, d in self.detectors.items()}
+    def fit(self, df: DataFrame, prefit: dict | None = None) -> EnsembleModel:
+        """Fits every member on ``df`` (a statistical member takes it as buffer
+        history); ``prefit`` supplies members already fitted on the same data."""
+        prefit = prefit or {}
+        members = {name: prefit[name] if name in prefit else d.fit(df) for name, d in self.detectors.items()}
         return EnsembleModel(members, self.weights, self.threshold, self.compat)
 
     def unfitted(self):

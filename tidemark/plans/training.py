@@ -70,13 +70,29 @@ def evaluate_model(model, test: DataFrame, label_column: str = "is_anomaly") ->
     return evaluate(model.transform(test), None)
 
 
+def _cfg_key(model_type: str, config: dict | None) -> tuple[str, str]:
+    return model_type, json.dumps(config or {}, sort_keys=True, default=str)
+
+
 def train_model(model_type: str, train: DataFrame, validation: DataFrame | None = None,
-                config: dict | None = None, spec: SeriesSpec = SeriesSpec(), label_column: str = "is_anomaly"):
-    """Returns ``(model, result_dict)``."""
+                config: dict | None = None, spec: SeriesSpec = SeriesSpec(), label_column: str = "is_anomaly",
+                fitted: dict | None = None):
+    """Returns ``(model, result_dict)``.  ``fitted`` maps (type, config) to models
+    already fitted on the same training rows; an ensemble reuses those members."""
     det = create_detector(model_type, config or {}, spec)
     tr, _ = prepare(train, spec, label_column)
+    data = tr.drop(label_column) if label_column in tr.columns else tr
     t0 = time.time()
-    model = det.fit(tr.drop(label_column) if label_column in tr.columns else tr)
+    if model_type == "ensemble" and fitted:
+        members = {}
+        for name, mcfg in (config or {}).get("detectors", {}).items():
+            mcfg = dict(mcfg or {})
+            key = _cfg_key(mcfg.pop("type", name), mcfg)
+            if key in fitted:
+                members[name] = fitted[key]
+        model = det.fit(data, prefit=members)
+    else:
+        model = det.fit(data)
     training_time = time.time() - t0
     res = {"model_type": model_type, "training_time": training_time,
            "config": json.dumps(config or {}, sort_keys=True, default=str),
@@ -94,11 +110,13 @@ def train_many(spark: SparkSession, train: DataFrame, validation: DataFrame | No
                model_types: Sequence[str] = DEFAULT_TYPES, configs: dict | None = None,
                spec: SeriesSpec = SeriesSpec(), label_column: str = "is_anomaly"):
     """Results table (one row per type, ``error`` set when a type failed) and the models."""
-    rows, models = [], {}
+    rows, models, fitted = [], {}, {}
     for i, mt in enumerate(model_types):
         try:
-            model, res = train_model(mt, train, validation, (configs or {}).get(mt, {}), spec, label_column)
+            cfg = (configs or {}).get(mt, {})
+            model, res = train_model(mt, train, validation, cfg, spec, label_column, fitted)
             models[mt] = model
+            fitted[_cfg_key(mt, cfg)] = model
             res["error"] = None
         except Exception as e:  # noqa: BLE001 - a failing type must not stop the others
             res = {"model_type": mt, "error": f"{type(e).__name__}: {e}"}
