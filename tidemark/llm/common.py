@@ -25,17 +25,16 @@ def doc_texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def slices(batches):
-    """(ids, texts) lists of at most SLICE_DOCS documents and about SLICE_CHARS characters
-    from the Arrow batches of a ``mapInArrow`` over ``doc_texts``."""
+def slices(batches, docs: int = SLICE_DOCS, most: int = SLICE_CHARS):
+    """(ids, texts) lists of at most ``docs`` documents and about ``most`` characters from the Arrow batches of a ``mapInArrow`` over ``doc_texts``."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_DOCS):
-            part = batch.slice(at, SLICE_DOCS)
+        for at in range(0, batch.num_rows, docs):
+            part = batch.slice(at, docs)
             ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
             first = chars = 0
             for i, text in enumerate(texts):
                 chars += len(text)
-                if chars >= SLICE_CHARS:
+                if chars >= most:
                     yield ids[first:i + 1], texts[first:i + 1]
                     first, chars = i + 1, 0
             if first < len(ids):

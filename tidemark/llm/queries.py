@@ -3,10 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
 
+def op2_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    from .pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
+def op4_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of their decoding."""
+    from .bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    from .language import identify
+
+    return (identify(table(spark, sf_dir, "documents"))
+            .select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans")))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near-duplicates."""
     from .neardup import near_duplicates
@@ -15,4 +45,4 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select("doc_id", "class_id", "class_size", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op9_near_duplicates,)}
+QUERIES = {f.__name__: f for f in (op2_weak_pii, op4_contaminated, op5_trie_bpe, op6_language, op9_near_duplicates)}
