@@ -9,6 +9,7 @@ share are encoded once."""
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 from functools import lru_cache
@@ -22,7 +23,7 @@ from .wordpieces import SPECIAL, byte_letters, words_of
 #: distinct words in one trie
 TRIE_WORDS = 20_000
 #: words whose encodings a task holds at most, besides those of the documents at hand
-HELD_WORDS = 250_000
+HELD_WORDS = 500_000
 #: neighbours whose fit a task remembers at most
 HELD_PAIRS = 1_000_000
 
@@ -45,7 +46,7 @@ class Vocabulary:
         self.final = {"".join(map(to_byte.get, t[:-len(self.end)])): i for t, i in ids.items()
                       if t.endswith(self.end) and all(c in to_byte for c in t[:-len(self.end)])}
         self.text = {i: (t, False) for t, i in self.inner.items()} | {i: (t, True) for t, i in self.final.items()}
-        self.longest = max(map(len, (*self.inner, *self.final)))
+        self.inner_sizes, self.final_sizes = _sizes(self.inner), _sizes(self.final)
         self.merged = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
@@ -95,23 +96,38 @@ class Vocabulary:
         return " ".join([self.strings[i] for i in ids])
 
 
+def _sizes(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
+    """The lengths, longest first, of the tokens of two bytes or more that end in the same three (or all) bytes."""
+    out: dict[str, set[int]] = {}
+    two = {t for t in tokens if len(t) == 2}
+    for t in tokens:
+        if len(t) > 1:
+            out.setdefault(t[-3:], set()).add(len(t))
+    for t, sizes in out.items():
+        if t[-2:] in two:
+            sizes.add(2)
+    return {k: tuple(sorted(v, reverse=True)) for k, v in out.items()}
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _last_token(v: Vocabulary, tokens: dict[str, int], prefix: str, last: list[int]) -> int:
+def _last_token(v: Vocabulary, tokens: dict[str, int], sizes: dict[str, tuple[int, ...]], prefix: str,
+                last: list[int]) -> int:
     """The last token of the encoding of ``prefix`` among ``tokens``; ``last[d]`` is that of its first d bytes."""
     n = len(prefix)
     fits = v.fits
-    for size in range(min(n, v.longest), 0, -1):
-        token = tokens.get(prefix[n - size:])
-        if token is not None:
-            left = last[n - size]
-            known = fits.get((left + 1) << 32 | token)
-            if known or known is None and v.fit(left, token):
-                return token
-    raise ValueError(f"no token of the vocabulary ends {prefix!r}")
+    for size in sizes.get(prefix[-3:]) or (2,):
+        if size <= n:
+            token = tokens.get(prefix[n - size:])
+            if token is not None:
+                left = last[n - size]
+                known = fits.get((left + 1) << 32 | token)
+                if known or known is None and v.fit(left, token):
+                    return token
+    return tokens[prefix[-1]]  # every byte is a token, and one of those that end here is the last
 
 
 def encode_words(v: Vocabulary, words: list[str]) -> list[list[int]]:
@@ -132,14 +148,14 @@ def encode_words(v: Vocabulary, words: list[str]) -> list[list[int]]:
         n = len(prefix)
         if n:
             del last[n:]
-            last.append(_last_token(v, inner, prefix, last))
+            last.append(_last_token(v, inner, v.inner_sizes, prefix, last))
         for c, below in node.items():
             if c is not None:
                 stack.append((prefix + c, below))
                 continue
             for end, i in below:
                 word = prefix + end
-                token, at = _last_token(v, final, word, last), n + 1
+                token, at = _last_token(v, final, v.final_sizes, word, last), n + 1
                 ids = [token]
                 at -= len(text[token][0])
                 while at:
@@ -152,10 +168,10 @@ def encode_words(v: Vocabulary, words: list[str]) -> list[list[int]]:
 
 
 class Encoder:
-    """Encodings of words, kept from batch to batch."""
+    """Encodings of words, kept from batch to batch and from task to task of a worker."""
 
     def __init__(self, path: str):
-        self.path, self.v, self.held = path, vocabulary(path), {}
+        self.v, self.held = vocabulary(path), {}
 
     def add(self, words) -> None:
         """Encodes those of ``words`` that are not held, neighbours in order in the same trie."""
@@ -175,6 +191,15 @@ class Encoder:
             self.held.clear()
 
 
+@lru_cache(maxsize=2)
+def encoder(kind: type, path: str) -> Encoder:
+    """A worker's encoder. The vocabulary's many small objects are kept out of later garbage collections."""
+    out = kind(path)
+    gc.collect()
+    gc.freeze()
+    return out
+
+
 class DigestEncoder(Encoder):
     """Holds each word as its ids in decimals and its decoded text."""
 
@@ -196,7 +221,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches):
-        enc = Encoder(path)
+        enc = encoder(Encoder, path)
         for ids, texts in slices(batches):
             words = [words_of(t, path) for t in texts]
             enc.add(words)
@@ -232,7 +257,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches):
-        enc = DigestEncoder(path)
+        enc = encoder(DigestEncoder, path)
         for ids, texts in slices(batches):
             words = [words_of(t, path) for t in texts]
             enc.add(words)
