@@ -37,6 +37,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans")))
 
 
+def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdict of every document."""
+    from .quality import quality
+
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near-duplicates."""
     from .neardup import near_duplicates
@@ -45,4 +52,4 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select("doc_id", "class_id", "class_size", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op2_weak_pii, op4_contaminated, op5_trie_bpe, op6_language, op9_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op2_weak_pii, op4_contaminated, op5_trie_bpe, op6_language, op8_perplexity_rules, op9_near_duplicates)}
