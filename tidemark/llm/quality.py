@@ -22,7 +22,7 @@ CELLS = 1 << 22
 LANGUAGES = 256
 #: the band runs from the lower quartile less REACH to the upper plus REACH quartile ranges, the
 #: range being LEAST_RANGE log units at least
-REACH, LEAST_RANGE = 3.0, 0.1
+REACH, LEAST_RANGE = 3.0, 0.2
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: white space of str.split that is not of the rule's

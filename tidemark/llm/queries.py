@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages read back from archives with segments of 8 KB, so that many records are reassembled."""
+    from .warc import round_trip
+
+    return (round_trip(table(spark, sf_dir, "pages"), segment_bytes=8192)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op2_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     from .pii import find
@@ -37,6 +45,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans")))
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and digest in a written token store."""
+    from .token_store import store_and_read
+
+    return store_and_read(table(spark, sf_dir, "documents"))
+
+
 def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdict of every document."""
     from .quality import quality
@@ -52,4 +67,6 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select("doc_id", "class_id", "class_size", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op2_weak_pii, op4_contaminated, op5_trie_bpe, op6_language, op8_perplexity_rules, op9_near_duplicates)}
+QUERIES = {f.__name__: f for f in (
+    op1_warc_segments, op2_weak_pii, op4_contaminated, op5_trie_bpe, op6_language, op7_token_store, op8_perplexity_rules,
+    op9_near_duplicates)}
