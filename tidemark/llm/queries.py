@@ -67,6 +67,17 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select("doc_id", "class_id", "class_size", "n_links")
 
 
+def op10_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations, and of one whose texts hold control strings."""
+    from .chat import round_trip
+
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                "conv_id long, turn long, role string, text string")
+    cols = own.columns
+    return round_trip(table(spark, sf_dir, "conversations").select(*cols).unionByName(own))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_segments, op2_weak_pii, op4_contaminated, op5_trie_bpe, op6_language, op7_token_store, op8_perplexity_rules,
-    op9_near_duplicates)}
+    op9_near_duplicates, op10_chat_templates)}
