@@ -23,6 +23,13 @@ def op2_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def op3_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of all documents that state a licence, with its family."""
+    from .licenses import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
 def op4_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item."""
     from .decontaminate import contaminated
@@ -79,5 +86,5 @@ def op10_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_segments, op2_weak_pii, op4_contaminated, op5_trie_bpe, op6_language, op7_token_store, op8_perplexity_rules,
-    op9_near_duplicates, op10_chat_templates)}
+    op1_warc_segments, op2_weak_pii, op3_license_notices, op4_contaminated, op5_trie_bpe, op6_language, op7_token_store,
+    op8_perplexity_rules, op9_near_duplicates, op10_chat_templates)}
