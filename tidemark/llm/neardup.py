@@ -9,7 +9,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -17,6 +17,8 @@ from .common import GOLDEN, Memo, doc_texts, mix, slices, with_ids
 from .components import connected_components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
+#: keys of the second meeting, and registers of each
+FINE_KEYS, FINE_ROWS = 640, 24
 
 
 # --- inside a task ----------------------------------------------------------
@@ -157,7 +159,26 @@ def _bags(size: int):
                 bags.append(np.sort(mix(np.repeat(e, w) + copy.astype(np.uint64) * GOLDEN)).tobytes())
             word_hash.trim()
             yield pa.record_batch([pa.array([_content(w) for w in words], pa.binary()),
-                                   pa.array(bags, pa.binary())], ["node", "bag"])
+                                   pa.array(bags, pa.binary())], ["words", "bag"])
+    return run
+
+
+def _fine(m: int):
+    """Finer keys of bags: hashes of FINE_KEYS choices of FINE_ROWS registers, the choices being the same for all."""
+    pick = np.random.default_rng(1).permuted(np.tile(np.arange(m), (FINE_KEYS, 1)), axis=1)[:, :FINE_ROWS]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                bags = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column(1)]
+                bits = bag_signatures([(b, np.ones(len(b), np.int64)) for b in bags], m).view(np.uint64)
+                acc = np.broadcast_to(mix(np.arange(1, FINE_KEYS + 1, dtype=np.uint64) * GOLDEN), (len(bags), FINE_KEYS)).copy()
+                for k in range(FINE_ROWS):
+                    acc = mix(acc * GOLDEN + bits[:, pick[:, k]])
+                keys = pa.array(acc.view(np.int64).ravel(), pa.int64())
+                offsets = pa.array(np.arange(len(bags) + 1, dtype=np.int32) * FINE_KEYS)
+                yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(offsets, keys)], ["node", "keys"])
     return run
 
 
@@ -185,16 +206,36 @@ def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame
     join is one of two sorted sides, which adaptive execution splits."""
     left = pairs.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
     full = left.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a").select("a", "b", "x", "y")
-    return full.mapInArrow(_overlap(similarity), "a binary, b binary, similarity double")
+    return full.mapInArrow(_overlap(similarity), "a long, b long, similarity double")
 
 
+def _met(buckets: DataFrame, name: str) -> DataFrame:
+    """``band, node, n, central`` of the rows of ``buckets(band, node)`` that share their bucket: n its size, central the
+    sum of the sizes of all of the node's buckets."""
+    buckets = materialize(buckets, name)
+    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = materialize(buckets.join(sizes, "band"), name)
+    central = met.groupBy("node").agg(F.sum("n").alias("central"))
+    return materialize(met.join(central, "node").select("band", "node", "n", "central"), name)
+
+
+def _distinct(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1))).select("a", "b")
+
+
+def _split(met: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows of ``met``, with their component, whose bucket holds several components."""
+    placed = met.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
+    return placed.join(split, "band")
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = WORDS,
                     bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(members, links) of ``docs(doc_id, text)``.
 
-    members: a row per input row: ``doc_id, node, class_node, class_id, class_size, n_links, is_first``;
-    links: verified pairs of different texts ``(a, b, similarity)`` by node. ``node`` stands for a
-    sequence of words (MD5): texts that differ in white space only are copies. ``class_id`` is the
+    members: a row per input row: ``doc_id, words, node, class_node, class_id, class_size, n_links, is_first``;
+    links: verified pairs of different texts ``(a, b, similarity)`` by node. ``node`` numbers the
+    sequences of words (``words``, an MD5): texts that differ in white space only are copies. ``class_id`` is the
     least doc_id of the connected component, ``class_size`` counts rows, ``n_links`` counts the
     links found for the row's text, ``is_first`` marks the rows with doc_id = class_id.
 
@@ -206,80 +247,65 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     Each distinct text is signed (bands x rows registers) and meets others in equal bands. With 32
     bands of 6 rows a pair at similarity 0.8 is met with probability 1 - 6e-5, one at 0.9 with
     1 - 1e-10. In a bucket, members are compared with its most central member (the one whose bands
-    meet most others) instead of all with all; while a bucket still holds members of several
-    components, each member is compared with the next 4, 16, 64, ... central members of other
-    components, until all have been leaders: no pair that meets in a bucket stays unresolved, and
-    a large group of copies of one text takes one comparison a member."""
-    spark = docs.sparkSession
+    meet most others) instead of all with all, so a large group of copies of one text takes one
+    comparison a member. What is not linked by that meets again: members of buckets that still hold several
+    components get FINE_KEYS finer keys of FINE_ROWS registers, which texts of lesser similarity hardly ever
+    share (a pair at 0.8 shares one with probability 0.95, at 0.82 with 0.996, at 0.85 with 1 - 2e-6), and there
+    each is compared with the most central, then the next 4, 16, 64, ... members of other components until all have led."""
     texts = doc_texts(docs)
     signed = materialize(texts.mapInArrow(_sign(bands, rows, size),
                                           "doc_id long, node binary, bands array<long>"), "signed")
-    nodes = (signed.groupBy("node")
+    nodes = (signed.groupBy(F.col("node").alias("words"))
              .agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"),
-                  F.max(F.col("doc_id").isNull()).alias("null_id")))
-    nodes = materialize(nodes.withColumn("rep", F.when(~F.col("null_id"), F.col("least")))
-                        .select("node", "rep", "copies", F.col("least").alias("some_id")), "nodes")
-    bands_of = (signed.where("bands IS NOT NULL").select("node", F.explode("bands").alias("band"))
-                .groupBy("band", "node").agg(F.count(F.lit(1))).select("band", "node"))
-    bands_of = materialize(bands_of, "bands")
-    sizes = bands_of.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = materialize(bands_of.join(sizes, "band"), "met")
-    central = met.groupBy("node").agg(F.sum("n").alias("central"))
-    met = materialize(met.join(central, "node").select("band", "node", "n", "central"), "met")
+                  F.max(F.col("doc_id").isNull()).alias("null_id"), F.max("bands").alias("bands")))
+    # a number for each distinct text, fixed by the table it is written into
+    nodes = materialize(nodes.select("words", F.monotonically_increasing_id().alias("node"), "least", "copies", "null_id", "bands"),
+                        "nodes")
+    met = _met(nodes.select("node", F.explode("bands").alias("band")).select("band", "node"), "bands")
     # the texts of nodes that meet others, once each, by a doc_id that holds them
-    ids = met.select("node").distinct().join(nodes, "node").select("some_id").distinct()
-    bags = (with_ids(texts, ids, "left_semi").mapInArrow(_bags(size), "node binary, bag binary")
-            .groupBy("node").agg(F.max("bag").alias("bag")))
-    bags = materialize(bags, "bags")
-
-    rank = F.struct("central", "node")
-    lead = met.groupBy("band").agg(F.max(rank).alias("lead"))
-    pairs = (met.join(lead, "band").select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
-             .where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1))).select("a", "b"))
-    links = materialize(_verified(pairs, bags, similarity), "links")
-    parts = [links]
+    meets = met.groupBy("node").agg(F.count(F.lit(1))).select("node")
+    wanted = materialize(meets.join(nodes.select("node", "words", "least"), "node"), "wanted")
+    read = (with_ids(texts, wanted.select("least").distinct(), "left_semi").mapInArrow(_bags(size), "words binary, bag binary"))
+    bags = materialize(read.join(wanted.select("node", "words"), "words").groupBy("node").agg(F.max("bag").alias("bag")), "bags")
+
+    lead = met.groupBy("band").agg(F.max(F.struct("central", "node")).alias("lead"))
+    pairs = met.join(lead, "band").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).where("a <> b")
+    links = materialize(_verified(_distinct(pairs), bags, similarity), "links")
     comps = connected_components(links)
-    done, upto = 1, 4
-    largest = met.agg(F.max("n")).first()[0] or 0
-    while done < largest:
-        placed = (met.join(comps, "node", "left")
-                  .select("band", "node", "central", F.coalesce("comp", "node").alias("comp")))
-        split = (placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                 .where("x <> y").select("band"))
-        placed = materialize(placed.join(split, "band"), "placed")
-        if placed.isEmpty():
-            break
-        placed.createOrReplaceTempView("_neardup_placed")
-        leads = spark.sql(f"""
-            SELECT band, node AS a, comp AS ca, central AS xa FROM (
-              SELECT *, row_number() OVER (PARTITION BY band ORDER BY central DESC, node DESC) AS r
-              FROM _neardup_placed) WHERE r > {done} AND r <= {upto}""")
-        spark.catalog.dropTempView("_neardup_placed")
-        # both being leaders of this round, the more central one leads
-        pairs = (placed.join(leads, "band").where("comp <> ca")
-                 .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-                 .groupBy("a", "b").agg(F.count(F.lit(1))).select("a", "b"))
-        more = materialize(_verified(pairs, bags, similarity), "links")
-        if not more.isEmpty():
-            parts.append(more)
-            links = parts[0]
-            for p in parts[1:]:
-                links = links.union(p)
-            comps = connected_components(links)
-        done, upto = upto, upto * 4
+    # a second meeting, of those whose buckets hold several components
+    left = materialize(_split(met, comps).select("node").distinct(), "left")
+    if not left.isEmpty():
+        fine = bags.join(left, "node").select("node", "bag").mapInArrow(_fine(bands * rows), "node long, keys array<long>")
+        met = _met(fine.select(F.explode("keys").alias("band"), "node"), "fine")
+        largest, done, upto = met.agg(F.max("n")).first()[0] or 0, 0, 1
+        order = Window.partitionBy("band").orderBy(F.col("central").desc(), F.col("node").desc())
+        while done < largest:
+            placed = materialize(_split(met, comps), "placed")
+            if placed.isEmpty():
+                break
+            leads = (placed.withColumn("r", F.row_number().over(order)).where(f"r <= {upto}").where(f"r > {done}")
+                     .select("band", F.col("node").alias("a"), F.col("comp").alias("of")))
+            pairs = (placed.join(leads, "band").where("comp <> of")
+                     .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
+            more = materialize(_verified(_distinct(pairs), bags, similarity), "links")
+            if not more.isEmpty():
+                links = materialize(links.union(more).groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "links")
+                comps = connected_components(links)
+            done, upto = upto, upto * 4
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    placed = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    classes = placed.groupBy("comp").agg(F.sum("copies").alias("class_size"), F.min("rep").alias("least"),
-                                         F.max(F.col("rep").isNull()).alias("has_null"))
+    placed = (nodes.drop("bands").withColumn("rep", F.when(~F.col("null_id"), F.col("least")))
+              .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    classes = placed.groupBy("comp").agg(F.sum("copies").alias("class_size"), F.min("rep").alias("first"),
+                                         F.max("null_id").alias("has_null"))
     of_node = (placed.join(classes, "comp").join(degree, "node", "left")
-               .select("node", F.col("comp").alias("class_node"),
-                       F.when(~F.col("has_null"), F.col("least")).alias("class_id"), "class_size",
+               .select("words", "node", F.col("comp").alias("class_node"),
+                       F.when(~F.col("has_null"), F.col("first")).alias("class_id"), "class_size",
                        F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    members = (signed.select("doc_id", "node").join(of_node, "node")
+    members = (signed.select("doc_id", F.col("node").alias("words")).join(of_node, "words")
                .withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("class_id")))
-               .select("doc_id", "node", "class_node", "class_id", "class_size", "n_links", "is_first"))
+               .select("doc_id", "words", "node", "class_node", "class_id", "class_size", "n_links", "is_first"))
     return members, links
 
 
@@ -301,7 +327,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     rest = rest.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), row)
     schema = f"doc_id long, node binary, row {rest.schema['row'].dataType.simpleString()}"
     rest = rest.mapInArrow(_nodes, schema)
-    lead = first.select(F.col("doc_id").alias("id"), F.col("node").alias("of"), "class_node").distinct()
+    lead = first.select(F.col("doc_id").alias("id"), F.col("words").alias("of"), "class_node").distinct()
     one = (rest.join(lead, rest["doc_id"].eqNullSafe(lead["id"]) & (rest["node"] == lead["of"]))
            .groupBy("id", "class_node").agg(F.min("row").alias("row")).select("row.*"))
     return once.unionByName(one)
