@@ -175,7 +175,7 @@ class Encoder:
 
     def add(self, words) -> None:
         """Encodes those of ``words`` that are not held, neighbours in order in the same trie."""
-        new = sorted({w for ws in words for w in ws if w not in self.held})
+        new = sorted(set().union(*words).difference(self.held))
         for w in [w for w in new if w in self.v.special]:
             self.held[w] = self.entry([self.v.special[w]])
         new = [w for w in new if w not in self.v.special]
@@ -263,7 +263,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
             enc.add(words)
             n, coded, decoded = [], [], []
             for ws in words:
-                got = [enc.held[w] for w in ws]
+                got = list(map(enc.held.__getitem__, ws))
                 a = " ".join([g[0] for g in got])
                 n.append(a.count(" ") + 1 if a else 0)
                 coded.append(hashlib.sha256(a.encode()).hexdigest())

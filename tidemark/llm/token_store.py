@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .bpe import default_path
 from .common import GOLDEN, doc_texts, mix, slices
-from .wordpieces import tokenizer, words_of
+from .wordpieces import SPECIAL, tokenizer, words_of
 
 #: ids and documents after which a shard is closed: 4 MB of payload unless one text has more
 SHARD_IDS, SHARD_DOCS = 1_000_000, 4096
 #: id that ends each document
 END_ID = 1
 #: words whose ids a task holds at most
-HELD_WORDS = 500_000
+HELD_WORDS = 1_000_000
 
 SHARD_SCHEMA = ("part int, shard int, first_key long, last_key long, n_docs long, n_ids long, part_start long, "
                 "width int, payload binary, keys binary, starts binary, seeds binary, slots binary")
@@ -122,19 +122,33 @@ class Shard:
 
 # --- writing -----------------------------------------------------------------------
 
+#: words that go to the library in one text
+TOGETHER = 200
+
+
 class _Ids(dict):
-    """Raw ids of words, encoded by the library once each."""
+    """Raw ids of words, encoded by the library once each. Many words go to it as one text with blanks between
+    them; each word's ids end with a token that holds the end-of-word mark."""
 
     def __init__(self, path: str, width: int):
         super().__init__()
-        self.tok, self.kind = tokenizer(path), f"<u{width}"
+        self.tok, self.kind, self.width = tokenizer(path), f"<u{width}", width
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>") or SPECIAL.fullmatch(t)]] = True
 
     def add(self, words: list[list[str]]) -> None:
-        new = list({w for ws in words for w in ws if w not in self})
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self[w] = np.array(e.ids, self.kind).tobytes()
+        new = list(set().union(*words).difference(self))
+        parts = [new[i:i + TOGETHER] for i in range(0, len(new), TOGETHER)]
+        for part, e in zip(parts, self.tok.encode_batch_fast(list(map(" ".join, parts)), add_special_tokens=False)):
+            ids = np.array(e.ids, self.kind)
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
+            if len(cuts) == len(part):
+                raw = ids.tobytes()
+                self.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+            else:  # some word is not cut as it was: each for itself
+                for w in part:
+                    self[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, self.kind).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -181,7 +195,7 @@ def write(docs: DataFrame, to: str, path: str | None = None, partitions: int | N
             words = [words_of(t, path) for t in texts]
             held.add(words)
             for key, ws in zip(some, words):
-                one = b"".join([held[w] for w in ws]) + end
+                one = b"".join(map(held.__getitem__, ws)) + end
                 keys.append(key)
                 ids.append(one)
                 size += len(one) // width

@@ -45,8 +45,12 @@ def words_of(text: str, path: str) -> list[str]:
 
 def _plain(text: str, path: str) -> list[str]:
     low = text.lower()
-    if not _FAR.search(text) and not _FAR.search(low):  # a lower-case letter may lie farther than its capital
+    try:
+        text.encode("latin-1")  # a quick look first
         return _WORDS.findall(low)
+    except UnicodeEncodeError:
+        if not _FAR.search(text) and not _FAR.search(low):  # a lower-case letter may lie farther than its capital
+            return _WORDS.findall(low)
     tok = tokenizer(path)
     text = tok.normalizer.normalize_str(text)
     return [text[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(text)]
