@@ -241,28 +241,29 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         model = held.value
-        known: dict = {}
+        known: dict[str, tuple[dict, np.ndarray]] = {}  # by language: numbers of words, and their log probabilities
         for batch in batches:
             for s in range(0, batch.num_rows, 1000):
                 part = batch.slice(s, 1000)
                 ids, texts, langs = (c.to_pylist() for c in part.columns)
                 words = [words_of(t) for t in texts]
-                number: dict[str, int] = {}
-                cols: list[list] = [[] for _ in range(6)]
-                new: dict[str, dict] = {}
+                of_lang: dict[str, list] = {}
                 for ws, lang in zip(words, langs):
-                    have, add = known.setdefault(lang, {}), new.setdefault(lang, {})
-                    add.update(dict.fromkeys(w for w in ws if w not in have))
-                for lang, add in new.items():
-                    if add:
-                        known[lang].update(zip(add, model.words(list(add), model.lang[lang]).tolist()))
+                    of_lang.setdefault(lang, []).append(ws)
+                for lang, those in of_lang.items():
+                    number, logp = known.setdefault(lang, ({}, np.zeros(0)))
+                    new = list(set().union(*those).difference(number))
+                    if new:
+                        number.update(zip(new, range(len(number), len(number) + len(new))))
+                        known[lang] = number, np.concatenate((logp, model.words(new, model.lang[lang])))
+                cols: list[list] = [[] for _ in range(6)]
                 for t, ws, lang in zip(texts, words, langs):
-                    at = np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int64, len(ws))
+                    number, logp = known[lang]
+                    at = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
                     n = base_counts(t, ws, at)
-                    total = sum(map(known[lang].__getitem__, ws))
-                    for c, v in zip(cols, (*n, -total / (n[1] + n[0]) if ws else None)):
+                    for c, v in zip(cols, (*n, -float(logp[at].sum()) / (n[1] + n[0]) if ws else None)):
                         c.append(v)
-                if sum(map(len, known.values())) > 400_000:
+                if sum(len(n) for n, _ in known.values()) > 400_000:
                     known.clear()
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(langs, pa.string()),
                                        *(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())], names)

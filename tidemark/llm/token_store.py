@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .bpe import default_path
 from .common import GOLDEN, doc_texts, mix, slices
-from .wordpieces import SPECIAL, tokenizer, words_of
+from .wordpieces import SPECIAL, tokenizer, word_tokenizer, words_of
 
 #: ids and documents after which a shard is closed: 4 MB of payload unless one text has more
 SHARD_IDS, SHARD_DOCS = 1_000_000, 4096
@@ -132,7 +132,7 @@ class _Ids(dict):
 
     def __init__(self, path: str, width: int):
         super().__init__()
-        self.tok, self.kind, self.width = tokenizer(path), f"<u{width}", width
+        self.tok, self.kind, self.width = word_tokenizer(path), f"<u{width}", width
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>") or SPECIAL.fullmatch(t)]] = True

@@ -35,6 +35,16 @@ def tokenizer(path: str):
     return tok
 
 
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str):
+    """The same without its normaliser, for words that are normalised already: to do it twice is not always the same."""
+    from tokenizers import normalizers
+
+    tok = type(tokenizer(path)).from_str(tokenizer(path).to_str())
+    tok.normalizer = normalizers.Sequence([])
+    return tok
+
+
 def words_of(text: str, path: str) -> list[str]:
     """The words of a text in order, special tokens among them as they stand."""
     if "<|" in text:
