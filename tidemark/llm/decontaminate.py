@@ -5,15 +5,15 @@ from __future__ import annotations
 
 import math
 import re
-import string
 from collections import Counter, defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, doc_texts, slices
+from .common import doc_texts, slices
 
 #: words between the starts of passages; a passage is twice as long, so every run of PASSAGE
 #: words lies whole in one of them. Longer items are indexed as pieces of so many words.
@@ -27,16 +27,17 @@ BLOCK = 16
 #: characters of items in one index; a larger benchmark is taken in blocks, each against all documents
 INDEX_CHARS = 16_000_000
 
-_EDGES = string.punctuation + "“”‘’«»…–—¿¡"
-
-
-def term(word: str) -> str:
-    """Lower case, without punctuation at the ends."""
-    return word.lower().strip(_EDGES)
+#: signs that stand for blanks (fixed values)
+_SIGNS = ".,;:!?\"()[]{}<>|*#%&$~`“”«»…¿¡"
 
 
 def terms(text: str) -> list[str]:
-    return [t for t in map(term, text.split()) if t]
+    """Words in lower case, cut at white space and at signs other than apostrophes and dashes."""
+    text = text.lower()
+    for c in _SIGNS:
+        if c in text:
+            text = text.replace(c, " ")
+    return text.split()
 
 
 def question_answer(text: str) -> tuple[list[str], list[str]]:
@@ -103,6 +104,23 @@ def _spread(ptr: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(ptr[t], size), owner
 
 
+def _distinct(key: np.ndarray) -> np.ndarray:
+    key = np.sort(key)
+    return key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
+
+
+def _sums(key: np.ndarray, weight: np.ndarray, least: float, space: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys below ``space`` whose weights add up to ``least`` or more, and their sums."""
+    if space <= 1 << 22:
+        total = np.bincount(key, weight, minlength=space)
+        keys = np.flatnonzero(total >= least - 1e-9)
+        return keys, total[keys]
+    keys, at = np.unique(key, return_inverse=True)
+    total = np.bincount(at, weight, minlength=len(keys))
+    on = total >= least - 1e-9
+    return keys[on], total[on]
+
+
 def retrieve(index: Index, docs: list[np.ndarray], threshold: float) -> list[tuple[int, int, int, float]]:
     """(document, passage, piece, score) of all passages that score ``threshold`` or more; documents
     are arrays of term ids, -1 for terms outside the index."""
@@ -116,30 +134,35 @@ def retrieve(index: Index, docs: list[np.ndarray], threshold: float) -> list[tup
     word = np.concatenate(docs)
     known = word >= 0
     where, first, word = where[known], first[known], word[known]
-    key = np.concatenate((where * vocab + word, ((where - 1) * vocab + word)[~first]))
-    key = np.unique(key)
-    win, word = key // vocab, key % vocab
     n = int(base[-1])
-    # 1: no piece can reach the threshold if the terms' ceilings do not
+
+    def in_passages(where, first, word):
+        """Distinct (passage, term): a word is in the passage that starts at its step and in the one before."""
+        key = where * vocab + word
+        key = _distinct(np.concatenate((key, key[~first] - vocab)))
+        return key // vocab, key % vocab
+
+    # 1: no piece can reach the threshold if the ceilings of a passage's rare terms and the bound on the others do not
     rare = index.rare[word]
-    reach = np.bincount(win[rare], index.ceiling[word[rare]], minlength=n) + np.minimum(
-        np.bincount(win[~rare], index.ceiling[word[~rare]], minlength=n), index.common_most)
-    alive = reach >= threshold
+    win, term = in_passages(where[rare], first[rare], word[rare])
+    alive = np.bincount(win, index.ceiling[term], minlength=n) + index.common_most >= threshold
     on = alive[win]
-    win, word, rare = win[on], word[on], rare[on]
+    win, term = win[on], term[on]
     # 2: the same for each block of pieces
-    cell, owner = _spread(index.cell_ptr, word[rare])
-    pair = win[rare][owner] * index.blocks + index.cell_block[cell]
-    pairs, at = np.unique(pair, return_inverse=True)
+    cell, owner = _spread(index.cell_ptr, term)
     left = threshold - index.common_most
     if left <= 0:
         pairs = (np.flatnonzero(alive)[:, None] * index.blocks + np.arange(index.blocks)).ravel()
     else:
-        pairs = pairs[np.bincount(at, index.cell_max[cell], minlength=len(pairs)) >= left - 1e-9]
+        pairs, _ = _sums(win[owner] * index.blocks + index.cell_block[cell], index.cell_max[cell], left, n * index.blocks)
     if not len(pairs):
         return []
     # 3: scores of the pieces of the blocks that are left
-    on = np.isin(win, pairs // index.blocks)
+    left = np.zeros(n, bool)
+    left[pairs // index.blocks] = True
+    on = left[where] | left[np.maximum(where - 1, 0)]
+    win, word = in_passages(where[on], first[on], word[on])
+    on = left[win]
     win, word = win[on], word[on]
     out = []
     step = 2_000_000
@@ -155,10 +178,8 @@ def retrieve(index: Index, docs: list[np.ndarray], threshold: float) -> list[tup
         e, owner = _spread(index.ptr, word[last:c])
         w = win[last:c][owner]
         hit = np.isin(w * index.blocks + index.post[e] // BLOCK, pairs)
-        cells, at = np.unique(w[hit] * len(index.item) + index.post[e[hit]], return_inverse=True)
-        score = np.bincount(at, index.impact[e[hit]], minlength=len(cells))
-        good = score >= threshold - 1e-9
-        for x, s in zip(cells[good], score[good]):
+        cells, score = _sums(w[hit] * len(index.item) + index.post[e[hit]], index.impact[e[hit]], threshold, n * len(index.item))
+        for x, s in zip(cells, score):
             p = int(x // len(index.item))
             d = int(np.searchsorted(base, p, "right")) - 1
             out.append((d, p - int(base[d]), int(x % len(index.item)), float(s)))
@@ -166,12 +187,12 @@ def retrieve(index: Index, docs: list[np.ndarray], threshold: float) -> list[tup
     return out
 
 
-def _leaks(index: Index, texts: list[str], memo: Memo, threshold: float, overlap: float):
+def _leaks(index: Index, texts: list[str], threshold: float, overlap: float):
     """For each text its leaks: {item: (score, question overlap, answer overlap)}."""
-    words = [t.split() for t in texts]
+    words = [terms(t) for t in texts]
     found: list[dict] = [{} for _ in texts]
-    docs = [np.fromiter(map(memo.__getitem__, w), np.int64, len(w)) for w in words]
-    memo.trim()
+    number = index.term_id.get
+    docs = [np.fromiter(map(number, w, repeat(-1)), np.int64, len(w)) for w in words]
     best: dict[tuple[int, int], list] = defaultdict(list)
     for d, p, e, s in retrieve(index, docs, threshold) if any(map(len, docs)) else []:
         best[d, int(index.item[e])].append((s, p))
@@ -181,7 +202,7 @@ def _leaks(index: Index, texts: list[str], memo: Memo, threshold: float, overlap
         got: list[float] = [0.0, 0.0]
         for s, p in sorted(hits, reverse=True):
             # the passage, and on both sides as much text as the item has
-            near = terms(" ".join(words[d][max(0, p * PASSAGE - need):(p + 2) * PASSAGE + need]))
+            near = words[d][max(0, p * PASSAGE - need):(p + 2) * PASSAGE + need]
             g = {z: {tuple(near[i:i + z]) for i in range(len(near) - z + 1)}
                  for z in {GRAM, min(GRAM, len(q)), min(GRAM, len(a) or GRAM)}}
             hit_q = sum(x in g[len(x)] for x in ask) / len(ask)
@@ -207,10 +228,6 @@ def indexes(benchmark: DataFrame):
             yield Index(rows)
 
 
-def _memo(index: Index) -> Memo:
-    return Memo(lambda w: index.term_id.get(term(w), -1))
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                  overlap: float = OVERLAP) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap, leak`` for every document that
@@ -237,10 +254,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
         def run(batches, held=held):
             index = held.value
-            memo = _memo(index)
             for ids, part in slices(batches):
                 rows = [(i, k, *x, "question and answer" if x[2] >= overlap else "question")
-                        for i, f in zip(ids, _leaks(index, part, memo, threshold, overlap)) for k, x in f.items()]
+                        for i, f in zip(ids, _leaks(index, part, threshold, overlap)) for k, x in f.items()]
                 cols = list(zip(*rows)) if rows else [[]] * 6
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.string()]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)],
@@ -260,12 +276,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float =
 
         def run(batches, held=held):
             index = held.value
-            memo = _memo(index)
             for batch in batches:
                 for s in range(0, batch.num_rows, 1000):
                     part = batch.slice(s, 1000)
                     texts = [t or "" for t in part.column(at).to_pylist()]
-                    found = _leaks(index, texts, memo, threshold, overlap)
+                    found = _leaks(index, texts, threshold, overlap)
                     yield part.filter(pa.array([not f for f in found], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
