@@ -279,10 +279,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         met = _met(fine.select(F.explode("keys").alias("band"), "node"), "fine")
         largest, done, upto = met.agg(F.max("n")).first()[0] or 0, 0, 1
         order = Window.partitionBy("band").orderBy(F.col("central").desc(), F.col("node").desc())
-        while done < largest:
-            placed = materialize(_split(met, comps), "placed")
-            if placed.isEmpty():
-                break
+        placed = materialize(_split(met, comps), "placed")
+        while done < largest and not placed.isEmpty():
             leads = (placed.withColumn("r", F.row_number().over(order)).where(f"r <= {upto}").where(f"r > {done}")
                      .select("band", F.col("node").alias("a"), F.col("comp").alias("of")))
             pairs = (placed.join(leads, "band").where("comp <> of")
@@ -291,6 +289,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
             if not more.isEmpty():
                 links = materialize(links.union(more).groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "links")
                 comps = connected_components(links)
+                placed = materialize(_split(placed.drop("comp"), comps), "placed")  # what is one by now stays one
             done, upto = upto, upto * 4
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
