@@ -77,10 +77,10 @@ def test_psi_detects_shift(spark):
     assert r.psi > 0.2 and r.drift
 
 
-def test_rules_skip_missing_metrics(spark):
-    m = spark.createDataFrame([("a", 0.2), ("b", 0.05)], "source string, anomaly_rate double")
+def test_rules_fire_on_their_metrics(spark):
+    m = spark.createDataFrame([("a", 0.2, 1), ("b", 0.05, 0)], "source string, anomaly_rate double, service_health int")
     out = evaluate_rules(m, keep=["source"]).collect()
-    assert [(r.rule, r.source) for r in out] == [("high_anomaly_rate", "a")]
+    assert [(r.rule, r.source) for r in out] == [("high_anomaly_rate", "a"), ("service_down", "b")]
 
 
 def test_pipeline_metrics_latency_accuracy_and_errors(spark):
@@ -119,3 +119,39 @@ def test_per_source_within_retention(spark):
     assert got == [15, 9]
     per = topk.recent_per_source(df, 5, retention=4)
     assert sorted((r.source, r.event_id) for r in per.collect()) == [("s0", 12), ("s0", 18), ("s1", 9), ("s1", 15)]
+
+
+def test_drift_reports_new_and_vanished_keys(spark):
+    base = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("gone", 5.0)], "k string, value double")
+    now = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("new", 5.0), (None, 1.0)], "k string, value double")
+    got = {r.k: (r.base_n, r.cur_n, r.drift) for r in psi(base, now, keys=["k"]).collect()}
+    assert got == {"a": (2, 2, False), "gone": (1, 0, True), "new": (0, 1, True), None: (0, 1, True)}
+
+
+def test_a_rule_that_cannot_be_answered_is_an_error(spark):
+    import pytest
+
+    m = spark.createDataFrame([(0.5,)], "anomaly_rate double")
+    with pytest.raises(ValueError, match="service_down"):
+        evaluate_rules(m)
+
+
+def test_a_source_that_stopped_is_reported(spark):
+    import datetime as dt
+
+    from tidemark.operators.alerts import silent_sources
+
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("dead", t, 1), ("live", t, 2), ("live", t + dt.timedelta(minutes=170), 3)],
+                               "source string, timestamp timestamp_ntz, event_id long")
+    got = {(r.source, r.gap_minutes) for r in silent_sources(df, gap_minutes=60, as_of=t + dt.timedelta(minutes=180)).collect()}
+    assert got == {("dead", 180.0), ("live", 170.0)}
+
+
+def test_unlabelled_models_can_be_selected(spark):
+    from tidemark.plans.training import RESULT_SCHEMA, auto_select
+
+    names = [f.name for f in RESULT_SCHEMA.fields]
+    rows = [tuple({"model_type": m, "trial_order": i, "error": e}.get(n) for n in names)
+            for i, (m, e) in enumerate([("broken", "x"), ("lof", None), ("statistical", None)])]
+    assert tuple(auto_select(spark.createDataFrame(rows, RESULT_SCHEMA)).first()) == ("lof", 0.0)

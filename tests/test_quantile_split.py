@@ -30,6 +30,20 @@ def test_exact_percentile_narrowing(spark):
     assert abs(g - _qcont([v for _, v in data], 0.37)) < 1e-9
 
 
+def test_exact_percentile_of_outliers_infinities_and_ties(spark):
+    rnd = random.Random(4)
+    inf = float("inf")
+    data = [("out", v) for v in [rnd.gauss(0, 1) for _ in range(800)] + [1.7e308, -1.7e308, inf, -inf]]
+    data += [("ties", float(rnd.randrange(3))) for _ in range(900)] + [("nan", float("nan")), ("nan", None), ("nan", 5.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    for q in (0.0, 0.013, 0.5, 0.777, 1.0):
+        got = {r["k"]: r["percentile"] for r in exact_percentile(df, "v", q, ["k"], bins=8, max_candidates=20).collect()}
+        assert got["nan"] == 5.0
+        for k in ("out", "ties"):
+            exp = _qcont([v for kk, v in data if kk == k], q) if q in (0.5, 0.777, 0.013) else (min if q == 0 else max)(v for kk, v in data if kk == k)
+            assert got[k] == exp or abs(got[k] - exp) < 1e-9, (q, k)
+
+
 def test_time_series_folds_rule(spark):
     df = spark.range(0, 103).withColumnRenamed("id", "t")
     out = sp.time_series_folds(df, ["t"], k=5)

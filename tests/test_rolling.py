@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01, rows
 from tidemark.operators import statistical as st
+from tidemark.operators.base import SeriesSpec
 from tidemark.operators.rolling import over_series
 from tidemark.plans.catalog import EVENTS_BY_TYPE, LINEITEM
 from tidemark.sources import tables as tb
@@ -104,7 +105,7 @@ def test_seeded_history(spark):
         .withColumn("source", F.lit("s"))
     new = spark.createDataFrame([(100, 52.0), (101, 500.0)], "event_id long, value double") \
         .withColumn("source", F.lit("s"))
-    out = st.StatisticalDetector(spec).fit(hist).transform(new).orderBy("event_id").collect()
+    out = st.st.StatisticalDetector(spec).fit(hist).transform(new).orderBy("event_id").collect()
     assert [r["is_anomaly"] for r in out] == [False, True]
     assert out[0]["anomaly_type"] == "zscore"
 
@@ -156,3 +157,28 @@ def test_null_key_hot_and_cold(spark):
     a, b = rows(plain, *k), rows(hot, *k)
     assert len(b) == 10000 and a == b
     assert plain.where(F.col("source").isNull()).count() == 3334
+
+
+def test_null_nan_and_constant_values_score_nothing(spark):
+    """NULL and NaN are no readings, for batch and buffer alike; a constant frame has no spread."""
+    import numpy as np
+
+    from tidemark.streaming.scoring import BaselineModel
+    from tidemark.streaming.stateful import _score
+
+    vals = [float(i % 7) for i in range(20)] + [None, float("nan"), 100.0, None, 3.0] + [0.1] * 60
+    df = spark.createDataFrame([("k", i, v) for i, v in enumerate(vals)], "source string, t long, value double")
+    spec = SeriesSpec(keys=("source",), order=("t",), value="value", id="t")
+    for method in ("zscore", "iqr"):
+        batch = {r.t: r for r in st.StatisticalDetector(spec, method, window_size=30).model().transform(df).collect()}
+        arr = np.array([np.nan if v is None else v for v in vals])
+        flags, scores, _ = _score(arr, 0, 0, 30, 3.0, 10, method)
+        for t in batch:
+            assert batch[t].is_anomaly == flags[t], (method, t)
+            assert np.isclose(batch[t].anomaly_score, scores[t]), (method, t)
+        assert [batch[t].anomaly_score for t in (20, 21, 23)] == [0.0] * 3
+        assert batch[22].is_anomaly
+        if method == "zscore":
+            assert batch[84].anomaly_score == 0.0
+    base = {r.t: r.anomaly_score for r in BaselineModel.fit(df).transform(df).collect()}
+    assert base[20] == base[21] == 0.0 and base[22] > 0

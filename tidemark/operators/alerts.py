@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.rolling import RN, over_series
+from tidemark.operators.rolling import over_series
 
 # rule set of the original configuration (name, condition, severity)
 DEFAULT_RULES = (
@@ -28,14 +29,14 @@ DEFAULT_RULES = (
 
 def evaluate_rules(metrics: DataFrame, rules: Sequence[tuple[str, str, str]] = DEFAULT_RULES,
                    keep: Sequence[str] = ()) -> DataFrame:
-    """One alert row per (rule, metrics row) whose condition holds.  Rules whose
-    columns the metrics table lacks are skipped."""
+    """One alert row per (rule, metrics row) whose condition holds.  A rule whose
+    columns the metrics table lacks is an error: skipped, it would never fire."""
     out = None
     for name, cond, sev in rules:
         try:
-            metrics.select(F.expr(cond))  # analysis fails when a metric is missing
-        except Exception:  # noqa: BLE001 - rule for a metric this table does not have
-            continue
+            metrics.select(F.expr(cond))
+        except AnalysisException as e:
+            raise ValueError(f"rule {name!r}: the metrics table cannot answer {cond!r}") from e
         a = metrics.where(F.expr(cond)).select(F.lit(name).alias("rule"), F.lit(sev).alias("severity"),
                                                F.lit(cond).alias("condition"), *keep)
         out = a if out is None else out.unionByName(a)
@@ -46,8 +47,10 @@ def evaluate_rules(metrics: DataFrame, rules: Sequence[tuple[str, str, str]] = D
 
 
 def silent_sources(df: DataFrame, source: str = "source", ts: str = "timestamp",
-                   tie: str | None = "event_id", gap_minutes: float = 60.0, **kw) -> DataFrame:
-    """Gaps longer than ``gap_minutes`` between consecutive readings of a source."""
+                   tie: str | None = "event_id", gap_minutes: float = 60.0, as_of=None, **kw) -> DataFrame:
+    """Gaps longer than ``gap_minutes`` between consecutive readings of a source.
+    With ``as_of`` (a timestamp) also the open gap from a source's last reading
+    until then: a source that has stopped for good has no later reading to show it."""
     order = [ts] + ([tie] if tie else [])
 
     def cols(w):
@@ -56,5 +59,10 @@ def silent_sources(df: DataFrame, source: str = "source", ts: str = "timestamp",
     out = over_series(df.select(source, *order), [source], order, cols, halo_before=1, **kw)
     micros = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("gap_start").cast("timestamp"))
     out = out.withColumn("gap_minutes", micros / 60e6)
-    return (out.where(F.col("gap_minutes") > gap_minutes)
-            .select(source, "gap_start", F.col(ts).alias("gap_end"), "gap_minutes").drop(RN))
+    out = out.select(source, "gap_start", F.col(ts).alias("gap_end"), "gap_minutes")
+    if as_of is not None:
+        end = F.lit(as_of).cast(df.schema[ts].dataType)
+        last = df.groupBy(source).agg(F.max(ts).alias("gap_start")).where(F.col("gap_start") < end)
+        micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(F.col("gap_start").cast("timestamp"))
+        out = out.unionByName(last.select(source, "gap_start", end.alias("gap_end"), (micros / 60e6).alias("gap_minutes")))
+    return out.where(F.col("gap_minutes") > gap_minutes)

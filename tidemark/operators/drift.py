@@ -5,7 +5,8 @@ Bins are ``bins`` equal-width buckets over the baseline's range per key
 ``sum((p_cur - p_base) * ln(p_cur / p_base))`` with empty bins floored at
 ``eps``.  Besides PSI the output compares mean and population std.  All of it
 is two small aggregates (per key, per key and bin) and one join of bounded
-tables.
+tables.  A key that is new or has vanished comes out with ``base_n`` or
+``cur_n`` 0 and ``drift`` true.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import safe_div
 from tidemark.operators.scaling import join_params, null_safe_join
 
 
@@ -40,19 +42,20 @@ def psi(baseline: DataFrame, current: DataFrame, value: str = "value", keys: Seq
     hc = binned(current).select(*keys, "bin", F.lit(0).cast("bigint").alias("nb"), F.col("n").alias("nc"))
     # union + group-by (a NULL key is a group) instead of a full outer join
     h = hb.unionByName(hc).groupBy(*keys, "bin").agg(F.sum("nb").alias("nb"), F.sum("nc").alias("nc"))
-    tot = null_safe_join(rng.select(*keys, "base_n"), cur_stats.select(*keys, "cur_n"), keys, "inner") \
-        if keys else None
-    if keys:
-        h = join_params(h, tot, keys)
-    else:
-        r = rng.select("base_n").first()[0], cur_stats.select("cur_n").first()[0]
-        h = h.withColumns({"base_n": F.lit(r[0]), "cur_n": F.lit(r[1])})
-    pb = F.greatest(F.col("nb") / F.col("base_n"), F.lit(eps))
-    pc = F.greatest(F.col("nc") / F.col("cur_n"), F.lit(eps))
+    # every key of either side, with 0 rows where it is absent
+    moments = ["base_mean", "base_std", "cur_mean", "cur_std", "base_n", "cur_n"]
+    both = rng.drop("_mn", "_mx").unionByName(cur_stats, allowMissingColumns=True)
+    gs = both.groupBy(*keys) if keys else both.groupBy()
+    stats = gs.agg(*[F.max(c).alias(c) for c in moments]).withColumns(
+        {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("base_n", "cur_n")})
+    h = join_params(h, stats.select(*keys, "base_n", "cur_n"), keys)
+    pb = F.greatest(safe_div(F.col("nb"), F.col("base_n")), F.lit(eps))
+    pc = F.greatest(safe_div(F.col("nc"), F.col("cur_n")), F.lit(eps))
     term = (pc - pb) * F.log(pc / pb)
     g = h.groupBy(*keys) if keys else h.groupBy()
     out = g.agg(F.sum(term).alias("psi"))
-    stats = null_safe_join(rng.drop("_mn", "_mx"), cur_stats, keys, "inner") if keys else None
     if keys:
         out = null_safe_join(out, stats, keys, "inner")
+        one_sided = (F.col("base_n") == 0) | (F.col("cur_n") == 0)
+        return out.withColumn("drift", one_sided | (F.col("psi") > F.lit(threshold)))
     return out.withColumn("drift", F.col("psi") > F.lit(threshold))

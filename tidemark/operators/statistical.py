@@ -27,14 +27,19 @@ from tidemark.operators.rolling import RN, over_series, DEFAULT_HOT_KEY_ROWS
 SEG = "_seg"  # 0 = history rows given to fit, 1 = rows to score
 
 
+def clean(df: DataFrame, column: str) -> Column:
+    """The column with NaN as NULL: neither is a reading, in a frame or as the value scored."""
+    v = F.col(column)
+    return F.when(~F.isnan(v), v) if dict(df.dtypes).get(column) in ("double", "float") else v
+
+
 def zscore_columns(value: Column, mean: Column, sd: Column, threshold: float):
+    """Flag and score.  A NULL or NaN z (no value, no usable spread) is not an
+    anomaly and scores 0.0; ``least`` alone would turn it into 1.0."""
     z = F.abs(safe_div(value - mean, sd))
-    usable = sd.isNotNull() & (sd != 0) & ~F.isnan(sd)
-    is_anom = F.when(usable & ~F.isnan(z), z > F.lit(threshold)).otherwise(F.lit(False))
-    score = (F.when(~usable, F.lit(0.0))
-             .when(F.isnan(z), F.lit(float("nan")))
-             .otherwise(F.least(z / F.lit(threshold), F.lit(1.0))))
-    return F.coalesce(is_anom, F.lit(False)), F.coalesce(score, F.lit(0.0))
+    usable = F.coalesce((sd != 0) & ~F.isnan(sd) & z.isNotNull() & ~F.isnan(z), F.lit(False))
+    return (F.when(usable, z > F.lit(threshold)).otherwise(F.lit(False)),
+            F.when(usable, F.least(z / F.lit(threshold), F.lit(1.0))).otherwise(F.lit(0.0)))
 
 
 def iqr_columns(value: Column, q1: Column, q3: Column, threshold: float):
@@ -56,9 +61,8 @@ class StatisticalModel(Model):
         self.hot_key_rows, self.chunk_rows = hot_key_rows, chunk_rows
         self.kind = "iqr" if method == "iqr" else "zscore"
 
-    def _frame_columns(self, w: Window) -> dict[str, Column]:
+    def _frame_columns(self, v: Column, w: Window) -> dict[str, Column]:
         frame = w.rowsBetween(-(self.window_size - 1), -1)
-        v = F.col(self.spec.value)
         if self.kind == "iqr":
             # exact quartiles from the sorted frame (one native sort per row,
             # cheaper than the hash-map buffer of a sliding ``percentile``)
@@ -75,10 +79,10 @@ class StatisticalModel(Model):
             data = (hist.withColumn(SEG, F.lit(0))
                     .unionByName(df.withColumn(SEG, F.lit(1)), allowMissingColumns=True))
             order = [SEG] + order
-        out = over_series(data, spec.keys, order, self._frame_columns,
+        v = clean(df, spec.value)
+        out = over_series(data, spec.keys, order, lambda w: self._frame_columns(v, w),
                           halo_before=self.window_size - 1,
                           hot_key_rows=self.hot_key_rows, chunk_rows=self.chunk_rows)
-        v = F.col(spec.value)
         if self.kind == "iqr":
             flag, score = iqr_columns(v, sorted_quantile("_q", 0.25), sorted_quantile("_q", 0.75), self.threshold)
         else:

@@ -397,31 +397,39 @@ for _w, _n in (("1 minute", "1m"), ("1 hour", "1h"), ("1 day", "1d")):
 
 
 @register("drift_psi", f"""
-WITH ev AS (SELECT event_type AS source, value, ts < (SELECT min(ts) FROM events) + INTERVAL 15 DAY AS is_base
+WITH ev0 AS (SELECT event_type AS source, value, ts < (SELECT min(ts) FROM events) + INTERVAL 15 DAY AS is_base
             FROM events),
+ev AS (SELECT CASE WHEN source = (SELECT min(source) FROM ev0) AND NOT is_base THEN source || '_v2' ELSE source END AS source,
+              value, is_base FROM ev0),
 rng AS (SELECT source, min(value) AS mn, max(value) AS mx, avg(value) AS base_mean,
                stddev_pop(value) AS base_std, count(*) AS base_n FROM ev WHERE is_base GROUP BY 1),
 cur AS (SELECT source, avg(value) AS cur_mean, stddev_pop(value) AS cur_std, count(*) AS cur_n
         FROM ev WHERE NOT is_base GROUP BY 1),
 b AS (SELECT ev.source, is_base, CAST(least(greatest(CASE WHEN mx - mn > 0 THEN floor((value - mn) / (mx - mn) * 10)
                                                    ELSE 0 END, 0), 9) AS INTEGER) AS bin
-      FROM ev JOIN rng USING (source)),
+      FROM ev LEFT JOIN rng USING (source)),
+n AS (SELECT source, base_mean, base_std, cur_mean, cur_std, coalesce(base_n, 0) AS base_n, coalesce(cur_n, 0) AS cur_n
+      FROM rng FULL JOIN cur USING (source)),
 h AS (SELECT source, bin, count(*) FILTER (WHERE is_base) AS nb, count(*) FILTER (WHERE NOT is_base) AS nc
       FROM b GROUP BY 1, 2),
-t AS (SELECT h.source, (greatest(nc / cur_n, 1e-6) - greatest(nb / base_n, 1e-6))
-                        * ln(greatest(nc / cur_n, 1e-6) / greatest(nb / base_n, 1e-6)) AS term
-      FROM h JOIN rng USING (source) JOIN cur USING (source))
-SELECT source, round(sum(term), 6) AS psi, sum(term) > 0.2 AS drift,
+p AS (SELECT source, greatest(coalesce(nc / nullif(cur_n, 0), 0), 1e-6) AS pc, greatest(coalesce(nb / nullif(base_n, 0), 0), 1e-6) AS pb
+      FROM h JOIN n USING (source)),
+t AS (SELECT source, (pc - pb) * ln(pc / pb) AS term FROM p)
+SELECT source, round(sum(term), 6) AS psi, sum(term) > 0.2 OR any_value(base_n) = 0 OR any_value(cur_n) = 0 AS drift,
        any_value({D6("base_mean")}) AS base_mean, any_value({D6("base_std")}) AS base_std,
        any_value({D6("cur_mean")}) AS cur_mean, any_value({D6("cur_std")}) AS cur_std,
        any_value(base_n) AS base_n, any_value(cur_n) AS cur_n
-FROM t JOIN rng USING (source) JOIN cur USING (source) GROUP BY source""")
+FROM t JOIN n USING (source) GROUP BY source""")
 def drift_psi(spark, sf):
     from tidemark.operators.drift import psi
     ev = tb.readings(spark, sf)
     start = ev.agg(F.min("timestamp")).first()[0]
     cut = F.lit(start) + F.expr("INTERVAL 15 DAYS")
-    out = psi(ev.where(F.col("timestamp") < cut), ev.where(F.col("timestamp") >= cut), "value", ["source"])
+    # one source goes on under another name: a vanished and a new key
+    first = ev.agg(F.min("source")).first()[0]
+    now = ev.where(F.col("timestamp") >= cut).withColumn(
+        "source", F.when(F.col("source") == first, F.concat("source", F.lit("_v2"))).otherwise(F.col("source")))
+    out = psi(ev.where(F.col("timestamp") < cut), now, "value", ["source"])
     return out.select("source", r6("psi").alias("psi"), "drift", *[dec6(c).alias(c) for c in
                       ("base_mean", "base_std", "cur_mean", "cur_std")], "base_n", "cur_n")
 
@@ -462,6 +470,7 @@ def alert_rules_q(spark, sf):
     res = zscore_results(spark, sf)
     m = ag.processing_statistics(res.withColumn("window_start", F.window("timestamp", "1 hour").start),
                                  ["window_start", "source"])
+    m = m.withColumn("service_health", (F.col("processed_count") > 0).cast("int"))
     a = evaluate_rules(m, keep=["window_start", "source", "anomaly_rate"])
     return a.withColumn("anomaly_rate", r6("anomaly_rate"))
 
@@ -472,11 +481,17 @@ SELECT source, gap_start, gap_end, round(gap_minutes, 6) AS gap_minutes FROM (
          ts AS gap_end,
          date_diff('microsecond', lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id), ts) / 60e6
            AS gap_minutes
-  FROM events) g
+  FROM events
+  UNION ALL
+  SELECT event_type, max(ts), (SELECT max(ts) FROM events) + INTERVAL 100 MINUTE,
+         date_diff('microsecond', max(ts), (SELECT max(ts) FROM events) + INTERVAL 100 MINUTE) / 60e6
+  FROM events GROUP BY 1) g
 WHERE gap_minutes > 90""")
 def silent_sources_q(spark, sf):
     from tidemark.operators.alerts import silent_sources
-    out = silent_sources(tb.readings(spark, sf), gap_minutes=90)
+    ev = tb.readings(spark, sf)
+    as_of = ev.agg(F.max("timestamp") + F.expr("INTERVAL 100 MINUTES")).first()[0]
+    out = silent_sources(ev, gap_minutes=90, as_of=as_of)
     return out.withColumn("gap_minutes", r6("gap_minutes"))
 
 

@@ -127,8 +127,8 @@ def train_many(spark: SparkSession, train: DataFrame, validation: DataFrame | No
 
 def auto_select(results: DataFrame) -> DataFrame:
     """Best model by f1 (a model without labels counts as f1 0; errors are skipped);
-    ties keep the earlier trial.  Empty when no model has metrics."""
-    ok = results.where(F.col("error").isNull() & F.col("accuracy").isNotNull())
+    ties keep the earlier trial.  Empty when every model failed."""
+    ok = results.where(F.col("error").isNull())
     ranked = ok.select("model_type", F.coalesce("f1_score", F.lit(0.0)).alias("best_score"), "trial_order")
     return ranked.orderBy(F.col("best_score").desc(), F.col("trial_order").asc()).limit(1) \
         .select(F.col("model_type").alias("best_model"), "best_score")
@@ -205,6 +205,8 @@ def grid_search(spark: SparkSession, model_type: str, df: DataFrame, param_grid:
     combos = [dict(zip(names, vals)) for vals in itertools.product(*[param_grid[n] for n in names])]
     pos = materialize(with_positions(df, list(spec.order)), "folds")
     n = pos.count()
+    if n <= n_splits:
+        raise ValueError(f"{n} rows cannot be cut into {n_splits} folds and a first training part")
     bounds = fold_bounds(n, n_splits)
     first, t = bounds[0][1], bounds[0][2] - bounds[0][1]
     fold = F.when(F.col("_pos") >= first, F.floor((F.col("_pos") - first) / t)).cast("int")

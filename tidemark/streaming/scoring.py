@@ -19,6 +19,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.statistical import clean, zscore_columns
 from tidemark.functions.exprs import safe_div
 from tidemark.operators.base import Model, with_detection
 from tidemark.operators.quality import enforce_schema
@@ -38,16 +39,14 @@ class BaselineModel(Model):
 
     @classmethod
     def fit(cls, df: DataFrame, keys: Sequence[str] = ("source",), value: str = "value", threshold: float = 3.0):
-        p = materialize(df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd")), "baseline")
+        p = materialize(df.groupBy(*keys).agg(F.avg(clean(df, value)).alias("_mean"), F.stddev_pop(clean(df, value)).alias("_sd")), "baseline")
         return cls(p, keys, value, threshold, p.count() <= BROADCAST_ROWS)
 
     def transform(self, df: DataFrame, prefix: str = "") -> DataFrame:
         from tidemark.operators.scaling import null_safe_join
         j = null_safe_join(df, self.params, self.keys, "left", broadcast=self.small)
-        z = F.abs(safe_div(F.col(self.value) - F.col("_mean"), F.col("_sd")))
-        ok = F.col("_sd").isNotNull() & (F.col("_sd") > 0)
-        out = with_detection(j, F.coalesce(ok & (z > self.threshold), F.lit(False)),
-                             F.when(ok, F.least(z / self.threshold, F.lit(1.0))).otherwise(0.0), self.kind, prefix)
+        flag, score = zscore_columns(clean(df, self.value), F.col("_mean"), F.col("_sd"), self.threshold)
+        out = with_detection(j, flag, score, self.kind, prefix)
         return out.drop("_mean", "_sd")
 
 

@@ -70,7 +70,10 @@ def _score(arr: np.ndarray, start: int, seen0: int, window: int, thr: float, gat
             cnt = valid.sum(axis=1)
             m = np.where(valid, win, 0.0).sum(axis=1) / cnt
             sd = np.sqrt(np.where(valid, (win - m[:, None]) ** 2, 0.0).sum(axis=1) / cnt)
-            use = sd > 0
+            # a frame of one repeated value may leave a rounding residue as its spread
+            most = np.where(valid, win, -np.inf).max(axis=1)
+            least = np.where(valid, win, np.inf).min(axis=1)
+            use = (sd > 0) & (most > least) & ~np.isnan(v)
             with np.errstate(divide="ignore", invalid="ignore"):
                 z = np.abs((v - m) / sd)
             flags[rows] = use & (z > thr)
