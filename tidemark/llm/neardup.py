@@ -282,9 +282,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         placed = materialize(_split(met, comps), "placed")
         while done < largest and not placed.isEmpty():
             leads = (placed.withColumn("r", F.row_number().over(order)).where(f"r <= {upto}").where(f"r > {done}")
-                     .select("band", F.col("node").alias("a"), F.col("comp").alias("of")))
-            pairs = (placed.join(leads, "band").where("comp <> of")
-                     .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
+                     .select("band", F.col("node").alias("a"), F.col("comp").alias("of"), F.struct("central", "node").alias("place")))
+            # whoever comes before a leader in the order has met it as a leader
+            pairs = (placed.join(leads, "band").where((F.col("comp") != F.col("of")) & (F.struct("central", "node") < F.col("place")))
+                     .select("a", F.col("node").alias("b")))
             more = materialize(_verified(_distinct(pairs), bags, similarity), "links")
             if not more.isEmpty():
                 links = materialize(links.union(more).groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "links")
