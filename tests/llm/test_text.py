@@ -160,6 +160,20 @@ def test_quality_counts(odd, none, small):
     assert quality.quality(none).collect() == []
 
 
+def test_large_models_are_joined_with_the_same_result(odd, none, small, monkeypatch):
+    for docs in (odd, small, none):
+        want = quality.quality(docs).collect()
+        with monkeypatch.context() as m:
+            m.setattr(quality, "MODEL_ROWS", 0)
+            m.setattr(quality, "LANGUAGES", 0)
+            got = quality.quality(docs).collect()
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, *r[1:8])
+        want, got = sorted(want, key=key), sorted(got, key=key)
+        assert [key(r) for r in got] == [key(r) for r in want]
+        for a, b in zip(got, want):
+            assert all((x is None) == (y is None) and (x is None or abs(x - y) < 1e-6 * y) for x, y in zip(a[8:], b[8:]))
+
+
 def test_model_is_a_distribution(spark):
     rows = [("en", w) for w in "banana bandana cabana nab abba".split()]
     texts = spark.createDataFrame([(i, w, lang) for i, (lang, w) in enumerate(rows)], "doc_id long, text string, lang string")

@@ -3,6 +3,7 @@ under a modified Kneser-Ney model of each language, counted over all documents."
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 
@@ -16,10 +17,8 @@ from .common import GOLDEN, mix
 
 #: characters of the longest n-gram
 ORDER = 4
-#: entries of one order of the stored model, at most: of n-grams in one cell the most frequent stays
-CELLS = 1 << 22
-#: languages, at most; more are an error, never dropped
-LANGUAGES = 256
+#: rows and languages of a model that goes to the workers as arrays (about 100 MB); a larger one is joined with the words
+MODEL_ROWS, LANGUAGES = 4_000_000, 256
 #: the band runs from the lower quartile less REACH to the upper plus REACH quartile ranges, the
 #: range being LEAST_RANGE log units at least
 REACH, LEAST_RANGE = 3.0, 0.2
@@ -143,6 +142,8 @@ def kneser_ney(grams: DataFrame) -> DataFrame:
         if size < ORDER:
             level = level.groupBy("lang", F.expr(f"substring(gram, 2, {size})").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         level = materialize(level, "ngrams")
+        if size == ORDER:
+            few_langs = level.select("lang").distinct().limit(LANGUAGES + 1).count() <= LANGUAGES
         few = level.groupBy("lang").agg(*[F.count(F.when(F.col("n") == k, 1)).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)])
         y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
 
@@ -153,7 +154,7 @@ def kneser_ney(grams: DataFrame) -> DataFrame:
         few = few.select("lang", discount(1), discount(2), discount(3))
         prior = F.expr(f"substring(gram, 1, {size - 1})")
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        with_d = level.join(F.broadcast(few), "lang").withColumn("d", cut).withColumn("prior", prior)
+        with_d = level.join(F.broadcast(few) if few_langs else few, "lang").withColumn("d", cut).withColumn("prior", prior)
         ctx = with_d.groupBy("lang", "prior").agg(F.sum("n").alias("total"), F.sum("d").alias("taken"))
         part = (with_d.join(ctx, ["lang", "prior"])
                 .select("lang", F.lit(size).alias("size"), "gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("own"),
@@ -162,10 +163,9 @@ def kneser_ney(grams: DataFrame) -> DataFrame:
                           F.col("total").alias("n"), (F.col("taken") / F.col("total")).alias("left"))
         both = part.unionByName(back)
         out = both if out is None else out.unionByName(both)
-    # one row per window, and one window per cell of the fixed table
-    out = (out.groupBy("lang", "size", "gram").agg(F.max("own").alias("own"), F.max("n").alias("n"), F.max("left").alias("left")))
-    cell = F.pmod(F.xxhash64("lang", "gram"), F.lit(CELLS)).alias("cell")
-    return (out.groupBy("size", cell).agg(F.max(F.struct("n", "lang", "gram", "own", "left")).alias("r")).select("size", "r.*"))
+    # one row per window
+    return (out.groupBy("lang", "size", "gram")
+            .agg(F.max("own").alias("own"), F.max("n").alias("n"), F.max("left").alias("left")))
 
 
 def _hash(code: np.ndarray, lang: int) -> np.ndarray:
@@ -181,8 +181,6 @@ class Model:
 
     def __init__(self, rows):
         langs = sorted(set(rows["lang"]))
-        if len(langs) > LANGUAGES:
-            raise ValueError(f"more than {LANGUAGES} languages")
         self.lang = {x: i for i, x in enumerate(langs)}
         self.keys, self.logp, self.left = {}, {}, {}
         for lang, i in self.lang.items():
@@ -242,36 +240,102 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         model = held.value
         known: dict[str, tuple[dict, np.ndarray]] = {}  # by language: numbers of words, and their log probabilities
-        for batch in batches:
-            for s in range(0, batch.num_rows, 1000):
-                part = batch.slice(s, 1000)
-                ids, texts, langs = (c.to_pylist() for c in part.columns)
-                words = [words_of(t) for t in texts]
-                of_lang: dict[str, list] = {}
-                for ws, lang in zip(words, langs):
-                    of_lang.setdefault(lang, []).append(ws)
-                for lang, those in of_lang.items():
-                    number, logp = known.setdefault(lang, ({}, np.zeros(0)))
-                    new = list(set().union(*those).difference(number))
-                    if new:
-                        number.update(zip(new, range(len(number), len(number) + len(new))))
-                        known[lang] = number, np.concatenate((logp, model.words(new, model.lang[lang])))
-                cols: list[list] = [[] for _ in range(6)]
-                for t, ws, lang in zip(texts, words, langs):
-                    number, logp = known[lang]
-                    at = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
-                    n = base_counts(t, ws, at)
-                    for c, v in zip(cols, (*n, -float(logp[at].sum()) / (n[1] + n[0]) if ws else None)):
-                        c.append(v)
-                if sum(len(n) for n, _ in known.values()) > 400_000:
-                    known.clear()
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(langs, pa.string()),
-                                       *(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())], names)
+        for ids, texts, langs in _parts(batches):
+            words = [words_of(t) for t in texts]
+            of_lang: dict[str, list] = {}
+            for ws, lang in zip(words, langs):
+                of_lang.setdefault(lang, []).append(ws)
+            for lang, those in of_lang.items():
+                number, logp = known.setdefault(lang, ({}, np.zeros(0)))
+                new = list(set().union(*those).difference(number))
+                if new:
+                    number.update(zip(new, range(len(number), len(number) + len(new))))
+                    known[lang] = number, np.concatenate((logp, model.words(new, model.lang[lang])))
+            cols: list[list] = [[] for _ in range(6)]
+            for t, ws, lang in zip(texts, words, langs):
+                number, logp = known[lang]
+                at = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
+                n = base_counts(t, ws, at)
+                for c, v in zip(cols, (*n, -float(logp[at].sum()) / (n[1] + n[0]) if ws else None)):
+                    c.append(v)
+            if sum(len(n) for n, _ in known.values()) > 400_000:
+                known.clear()
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(langs, pa.string()),
+                                   *(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())], names)
 
     return docs.mapInArrow(run, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, "
                                 "n_dup_lines long, n_repeat_words long, log_ppl double")
 
 
+def log_probabilities(rows: DataFrame) -> DataFrame:
+    """``lang, gram, logp`` of all windows of ORDER characters, from the rows of ``kneser_ney``, by joins: a
+    window's share plus its context's weight times the probability of the window without its first character."""
+    least = rows.where("size = 1").groupBy("lang").agg((1 / F.greatest(F.count(F.lit(1)) + 1, F.lit(2))).alias("p"))
+    below = least.select("lang", F.lit("").alias("gram"), "p")
+    for size in range(1, ORDER + 1):
+        own = (rows.where((F.col("size") == size) & F.col("own").isNotNull())
+               .select("lang", "gram", "own", F.expr(f"substring(gram, 1, {size - 1})").alias("prior"),
+                       F.expr(f"substring(gram, 2, {size - 1})").alias("rest")))
+        weight = rows.where((F.col("size") == size - 1) & F.col("left").isNotNull()).select("lang", F.col("gram").alias("prior"), "left")
+        below = materialize(own.join(weight, ["lang", "prior"]).join(below.withColumnRenamed("gram", "rest"), ["lang", "rest"])
+                            .select("lang", "gram", (F.col("own") + F.col("left") * F.col("p")).alias("p")), "probabilities")
+    return below.select("lang", "gram", F.log("p").alias("logp"))
+
+
+def score_by_join(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``score`` for a model of any size: distinct words are cut into windows and meet the model by a join,
+    and the words of each distinct text meet theirs (a frequent word's rows are a sorted side, which adaptive
+    execution splits)."""
+    schema = "doc_id long, lang string, h binary, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+
+    def count(batches):
+        for ids, texts, langs in _parts(batches):
+            cols: list[list] = [[] for _ in range(5)]
+            for t in texts:
+                ws = words_of(t)
+                number = {w: k for k, w in enumerate(set(ws))}
+                for c, v in zip(cols, base_counts(t, ws, np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)))):
+                    c.append(v)
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(map(_digest, texts), pa.binary()),
+                                   *(pa.array(c, pa.int64()) for c in cols)], [f.split()[0] for f in schema.split(", ")])
+
+    def occur(batches):
+        for _, texts, langs in _parts(batches):
+            for t, lang in zip(texts, langs):
+                n = Counter(words_of(t))
+                yield pa.record_batch([pa.array([lang] * len(n), pa.string()), pa.array([_digest(t)] * len(n), pa.binary()),
+                                       pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())],
+                                      ["lang", "h", "word", "times"])
+
+    def cut(batches):
+        for batch in batches:
+            langs, words, grams = [], [], []
+            for lang, w in zip(*(c.to_pylist() for c in batch.columns)):
+                t = START * (ORDER - 1) + w + END
+                grams += [t[i:i + ORDER] for i in range(len(w) + 1)]
+                langs += [lang] * (len(w) + 1)
+                words += [w] * (len(w) + 1)
+            yield pa.record_batch([pa.array(x, pa.string()) for x in (langs, words, grams)], ["lang", "word", "gram"])
+
+    used = materialize(docs.mapInArrow(occur, "lang string, h binary, word string, times long")
+                       .groupBy("lang", "h", "word").agg(F.max("times").alias("times")), "occurrences")
+    grams = used.select("lang", "word").distinct().mapInArrow(cut, "lang string, word string, gram string")
+    of_word = grams.join(log_probabilities(rows), ["lang", "gram"]).groupBy("lang", "word").agg(F.sum("logp").alias("logp"))
+    of_text = (used.join(of_word, ["lang", "word"]).groupBy("lang", "h").agg(F.sum(F.col("times") * F.col("logp")).alias("logp")))
+    return (docs.mapInArrow(count, schema).join(of_text, ["lang", "h"], "left")
+            .withColumn("log_ppl", -F.col("logp") / (F.col("word_chars") + F.col("n_words"))).drop("h", "logp"))
+
+
+def _parts(batches):
+    for batch in batches:
+        for s in range(0, batch.num_rows, 1000):
+            yield tuple(c.to_pylist() for c in batch.slice(s, 1000).columns)
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def bands(scored: DataFrame) -> DataFrame:
     """``lang, lower, upper``: quartiles of log perplexity (in steps of 0.001) over all documents of 50 words
     or more of a language, less and plus REACH times their range. Weights of equal steps are added up
@@ -294,7 +358,8 @@ def quality(docs: DataFrame) -> DataFrame:
     perplexity, lower, upper`` for every row of ``docs(doc_id, text, lang)``.
 
     Base rules are exact counts over the whole text. The model holds character windows of all words of all
-    documents, a model for each ``lang`` (a null lang is a language of its own); perplexity is that of
+    documents, a model for each ``lang`` (a null lang is a language of its own); up to MODEL_ROWS rows it is
+    looked up in sorted hash arrays, beyond that it is joined, with the same results; perplexity is that of
     the words' characters and ends. A document is kept if it passes the base rules and its perplexity lies in
     its language's band, ends included; where no document has 50 words there is no band and no
     rejection by it. Null and empty texts have no words, fail the base rules and have no perplexity.
@@ -302,12 +367,14 @@ def quality(docs: DataFrame) -> DataFrame:
     are not read."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
-    rows = kneser_ney(count_ngrams(texts)).toPandas()
-    # languages of texts without words have no windows, but are looked up all the same
-    scored = materialize(score(texts, Model(rows)), "scored")
+    rows = materialize(kneser_ney(count_ngrams(texts)), "model")
+    few_langs = rows.select("lang").distinct().limit(LANGUAGES + 1).count() <= LANGUAGES
+    in_arrays = few_langs and rows.count() <= MODEL_ROWS
+    scored = materialize(score(texts, Model(rows.toPandas())) if in_arrays else score_by_join(texts, rows), "scored")
+    limits = F.broadcast(bands(scored)) if few_langs else bands(scored)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     within = F.col("log_ppl").between(F.col("lower"), F.col("upper"))
-    return (scored.join(F.broadcast(bands(scored)), "lang", "left").withColumn("base_failed", failed)
+    return (scored.join(limits, "lang", "left").withColumn("base_failed", failed)
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     (~F.col("base_failed") & F.coalesce(within, F.lit(True))).alias("kept"),
                     F.exp("log_ppl").alias("perplexity"), F.exp("lower").alias("lower"), F.exp("upper").alias("upper")))
