@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -168,6 +169,11 @@ def kneser_ney(grams: DataFrame) -> DataFrame:
             .agg(F.max("own").alias("own"), F.max("n").alias("n"), F.max("left").alias("left")))
 
 
+def _held(rows: DataFrame) -> pd.DataFrame:
+    """The rows of ``kneser_ney`` at the driver, strings side by side in Arrow's memory and not as objects."""
+    return rows.select("lang", "size", "gram", "own", "left").toArrow().to_pandas(types_mapper=pd.ArrowDtype, self_destruct=True)
+
+
 def _hash(code: np.ndarray, lang: int) -> np.ndarray:
     """Hashes of rows of code points."""
     acc = np.full(len(code), mix(np.array([lang + 1], np.uint64) * GOLDEN)[0])
@@ -180,7 +186,7 @@ class Model:
     """Log probabilities and back-off weights in arrays sorted by hash, per language and size."""
 
     def __init__(self, rows):
-        langs = sorted(set(rows["lang"]))
+        langs = sorted(rows["lang"].unique())
         self.lang = {x: i for i, x in enumerate(langs)}
         self.keys, self.logp, self.left = {}, {}, {}
         for lang, i in self.lang.items():
@@ -370,7 +376,7 @@ def quality(docs: DataFrame) -> DataFrame:
     rows = materialize(kneser_ney(count_ngrams(texts)), "model")
     few_langs = rows.select("lang").distinct().limit(LANGUAGES + 1).count() <= LANGUAGES
     in_arrays = few_langs and rows.count() <= MODEL_ROWS
-    scored = materialize(score(texts, Model(rows.toPandas())) if in_arrays else score_by_join(texts, rows), "scored")
+    scored = materialize(score(texts, Model(_held(rows))) if in_arrays else score_by_join(texts, rows), "scored")
     limits = F.broadcast(bands(scored)) if few_langs else bands(scored)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     within = F.col("log_ppl").between(F.col("lower"), F.col("upper"))
