@@ -106,3 +106,27 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     got = {r.node: r.comp for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_second_meeting_loses_no_pair(spark):
+    # 300 pairs of similarity 0.80 to 0.82 on one template: all meet in one crowd, none is linked before
+    rng = np.random.default_rng(7)
+    new = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    template, bags = new(60), []
+    for i in range(300):
+        n = int(rng.integers(100, 400))
+        own, other = new(n - 60 if n % 2 else n), round(n * (0.25 - 0.014 * rng.random()) / 2)
+        shared = np.concatenate((template, own)) if n % 2 else own
+        bags += [np.sort(np.concatenate((shared, new(other)))), np.sort(np.concatenate((shared, new(other))))]
+    alike = [len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for x, y in zip(bags[::2], bags[1::2])]
+    want = {(2 * i, 2 * i + 1) for i, s in enumerate(alike) if s >= 0.8}
+    assert len(want) > 250 and max(alike) < 0.83
+    df = spark.createDataFrame([(i, bytearray(b.tobytes())) for i, b in enumerate(bags)], "node long, bag binary")
+    links = spark.createDataFrame([], "a long, b long, similarity double")
+    links, comps = neardup._second_meeting(df, links, connected_components(links), 0.8)
+    assert {(min(r.a, r.b), max(r.a, r.b)) for r in links.collect()} == want
+    assert {r.node: r.comp for r in comps.collect()} == {x: min(p) for p in want for x in p}
+    # the share of these pairs that has a common element in the prefixes does not depend on the order
+    for often in (np.zeros(neardup.COUNTERS, np.int64), rng.integers(0, 9, neardup.COUNTERS)):
+        keys = [set(neardup.prefix(b, often, 0.8).tolist()) for b in bags]
+        assert all(keys[a] & keys[b] for a, b in want)

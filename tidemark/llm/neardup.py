@@ -17,8 +17,10 @@ from .common import GOLDEN, Memo, doc_texts, mix, slices, with_ids
 from .components import connected_components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
-#: keys of the second meeting, and registers of each
-FINE_KEYS, FINE_ROWS = 640, 24
+#: counters that order the elements of bags by how often they occur; elements that share one only share their place
+COUNTERS = 1 << 21
+#: rows of keys after which a batch ends
+KEY_ROWS = 500_000
 
 
 # --- inside a task ----------------------------------------------------------
@@ -163,22 +165,49 @@ def _bags(size: int):
     return run
 
 
-def _fine(m: int):
-    """Finer keys of bags: hashes of FINE_KEYS choices of FINE_ROWS registers, the choices being the same for all."""
-    pick = np.random.default_rng(1).permuted(np.tile(np.arange(m), (FINE_KEYS, 1)), axis=1)[:, :FINE_ROWS]
+def _slot(bag: np.ndarray) -> np.ndarray:
+    return (bag % np.uint64(COUNTERS)).astype(np.int64)
 
+
+def _count_elements(batches):
+    n = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for x in batch.column(1):
+            np.add.at(n, _slot(np.frombuffer(x.as_buffer(), np.uint64)), 1)
+    at = np.flatnonzero(n)
+    yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["slot", "n"])
+
+
+def prefix(bag: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
+    """The first elements of a bag in one order for all bags, rare ones first: so many that two bags of ``similarity``
+    or more have one of them in common, whatever the order."""
+    order = np.lexsort((bag, often[_slot(bag)]))
+    return bag[order[:int(len(bag) * (1 - similarity) + 1e-9) + 1]]
+
+
+def _prefixes(often, similarity: float):
+    """A row for each element of a bag's prefix: its place there and the size of the bag."""
     def run(batches):
+        def rows():
+            size = [len(k) for k in keys]
+            at = np.concatenate([np.arange(n) for n in size])
+            return pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(nodes, size), pa.int64()),
+                                    pa.array(at, pa.int64()), pa.array(np.repeat(sizes, size), pa.int64())],
+                                   ["band", "node", "at", "size"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                bags = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column(1)]
-                bits = bag_signatures([(b, np.ones(len(b), np.int64)) for b in bags], m).view(np.uint64)
-                acc = np.broadcast_to(mix(np.arange(1, FINE_KEYS + 1, dtype=np.uint64) * GOLDEN), (len(bags), FINE_KEYS)).copy()
-                for k in range(FINE_ROWS):
-                    acc = mix(acc * GOLDEN + bits[:, pick[:, k]])
-                keys = pa.array(acc.view(np.int64).ravel(), pa.int64())
-                offsets = pa.array(np.arange(len(bags) + 1, dtype=np.int32) * FINE_KEYS)
-                yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(offsets, keys)], ["node", "keys"])
+            nodes, sizes, keys, n = [], [], [], 0
+            for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                bag = np.frombuffer(x.as_buffer(), np.uint64)
+                nodes.append(node)
+                sizes.append(len(bag))
+                keys.append(prefix(bag, often.value, similarity))
+                n += len(keys[-1])
+                if n >= KEY_ROWS:
+                    yield rows()
+                    nodes, sizes, keys, n = [], [], [], 0
+            if keys:
+                yield rows()
     return run
 
 
@@ -210,13 +239,14 @@ def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame
 
 
 def _met(buckets: DataFrame, name: str) -> DataFrame:
-    """``band, node, n, central`` of the rows of ``buckets(band, node)`` that share their bucket: n its size, central the
+    """The rows of ``buckets(band, node, ...)`` that share their bucket, with ``n, central``: n its size, central the
     sum of the sizes of all of the node's buckets."""
+    cols = buckets.columns
     buckets = materialize(buckets, name)
     sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = materialize(buckets.join(sizes, "band"), name)
     central = met.groupBy("node").agg(F.sum("n").alias("central"))
-    return materialize(met.join(central, "node").select("band", "node", "n", "central"), name)
+    return materialize(met.join(central, "node").select(*cols, "n", "central"), name)
 
 
 def _distinct(pairs: DataFrame) -> DataFrame:
@@ -229,6 +259,37 @@ def _split(met: DataFrame, comps: DataFrame) -> DataFrame:
     split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
     return placed.join(split, "band")
 
+
+def _second_meeting(bags: DataFrame, links: DataFrame, comps: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(links, components) with all pairs of ``bags`` compared that are not in one component yet. Buckets are the elements of
+    prefixes, which every pair of ``similarity`` shares; a pair whose sizes, or the rests of whose bags from a common
+    element on, are too small for the overlap is left out. The first common element of a similar pair always passes."""
+    counts = bags.mapInArrow(_count_elements, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    often = np.zeros(COUNTERS, np.int64)
+    often[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    held = bags.sparkSession.sparkContext.broadcast(often)
+    met = _met(bags.mapInArrow(_prefixes(held, similarity), "band long, node long, at long, size long"), "fine")
+    largest, done, upto = met.agg(F.max("n")).first()[0] or 0, 0, 1
+    order = Window.partitionBy("band").orderBy(F.col("central").desc(), F.col("node").desc())
+    enough = (F.least(F.col("size") - F.col("at"), F.col("lead_size") - F.col("lead_at")) * (1 + similarity)
+              >= similarity * (F.col("size") + F.col("lead_size")) - 1e-6)
+    placed = materialize(_split(met, comps), "placed")
+    while done < largest and not placed.isEmpty():
+        leads = (placed.withColumn("r", F.row_number().over(order)).where(f"r <= {upto}").where(f"r > {done}")
+                 .select("band", F.col("node").alias("a"), F.col("comp").alias("of"), F.struct("central", "node").alias("place"),
+                         F.col("at").alias("lead_at"), F.col("size").alias("lead_size")))
+        # whoever comes before a leader in the order has met it as a leader
+        pairs = (placed.join(leads, "band").where((F.col("comp") != F.col("of")) & enough & (F.struct("central", "node") < F.col("place")))
+                 .select("a", F.col("node").alias("b")))
+        more = materialize(_verified(_distinct(pairs), bags, similarity), "links")
+        if not more.isEmpty():
+            links = materialize(links.union(more).groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "links")
+            comps = connected_components(links)
+            placed = materialize(_split(placed.drop("comp"), comps), "placed")  # what is one by now stays one
+        done, upto = upto, upto * 4
+    return links, comps
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = WORDS,
                     bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(members, links) of ``docs(doc_id, text)``.
@@ -249,9 +310,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     1 - 1e-10. In a bucket, members are compared with its most central member (the one whose bands
     meet most others) instead of all with all, so a large group of copies of one text takes one
     comparison a member. What is not linked by that meets again: members of buckets that still hold several
-    components get FINE_KEYS finer keys of FINE_ROWS registers, which texts of lesser similarity hardly ever
-    share (a pair at 0.8 shares one with probability 0.95, at 0.82 with 0.996, at 0.85 with 1 - 2e-6), and there
-    each is compared with the most central, then the next 4, 16, 64, ... members of other components until all have led."""
+    components meet by the elements of their prefixes (see ``prefix``), which loses no pair, and there
+    each is compared with the most central, then the next 4, 16, 64, ... members of other components until all have led.
+    So what can be missed are pairs that met in no band."""
     texts = doc_texts(docs)
     signed = materialize(texts.mapInArrow(_sign(bands, rows, size),
                                           "doc_id long, node binary, bands array<long>"), "signed")
@@ -275,23 +336,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     # a second meeting, of those whose buckets hold several components
     left = materialize(_split(met, comps).select("node").distinct(), "left")
     if not left.isEmpty():
-        fine = bags.join(left, "node").select("node", "bag").mapInArrow(_fine(bands * rows), "node long, keys array<long>")
-        met = _met(fine.select(F.explode("keys").alias("band"), "node"), "fine")
-        largest, done, upto = met.agg(F.max("n")).first()[0] or 0, 0, 1
-        order = Window.partitionBy("band").orderBy(F.col("central").desc(), F.col("node").desc())
-        placed = materialize(_split(met, comps), "placed")
-        while done < largest and not placed.isEmpty():
-            leads = (placed.withColumn("r", F.row_number().over(order)).where(f"r <= {upto}").where(f"r > {done}")
-                     .select("band", F.col("node").alias("a"), F.col("comp").alias("of"), F.struct("central", "node").alias("place")))
-            # whoever comes before a leader in the order has met it as a leader
-            pairs = (placed.join(leads, "band").where((F.col("comp") != F.col("of")) & (F.struct("central", "node") < F.col("place")))
-                     .select("a", F.col("node").alias("b")))
-            more = materialize(_verified(_distinct(pairs), bags, similarity), "links")
-            if not more.isEmpty():
-                links = materialize(links.union(more).groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "links")
-                comps = connected_components(links)
-                placed = materialize(_split(placed.drop("comp"), comps), "placed")  # what is one by now stays one
-            done, upto = upto, upto * 4
+        again = materialize(bags.join(left, "node").select("node", "bag"), "again")
+        links, comps = _second_meeting(again, links, comps, similarity)
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
