@@ -132,6 +132,33 @@ def test_retrieval_equals_plain_scores():
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_question_alone_is_found(spark):
+    rng = np.random.default_rng(3)
+    say = lambda n: " ".join("v%d" % x for x in rng.integers(0, 900, n))
+    # short questions and long answers, the reverse, short questions that do not count alone, and no answer
+    items = [(i, f"{say(q)}? {say(a)}." if a else say(q)) for i, (q, a) in enumerate(
+        [(9, 40), (8, 55), (12, 30), (11, 200), (90, 20), (40, 5), (6, 40), (5, 12), (20, 0), (100, 100)] * 4)]
+    parts = {i: decontaminate.question_answer(t) for i, t in items}
+    texts = []
+    for i, t in items:
+        q, a = parts[i]
+        texts += [f"{say(70)} {' '.join(x)} {say(90)}" for x in (q, a, q + a, q[:len(q) // 2] + a)]
+    got = {(r.doc_id, r.item_id): (r.question_overlap, r.leak) for r in decontaminate.contaminated(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for d, t in enumerate(texts):  # plain verification of every item in every text
+        have = {z: {tuple(w[i:i + z]) for i in range(len(w))} for w in [t.split()] for z in range(1, 6)}
+        for i, (q, a) in parts.items():
+            ask, answer = decontaminate.grams(q), decontaminate.grams(a)
+            hit_q, hit_a = (sum(x in have[len(x)] for x in g) for g in (ask, answer))
+            if len(q) >= 8 and hit_q >= 0.8 * len(ask) or hit_q + hit_a >= 0.8 * (len(ask) + len(answer)):
+                want.add((d, i))
+    assert set(got) == want
+    alone = {(4 * i, i) for i, (q, a) in parts.items() if len(q) >= 8 and a}
+    assert alone <= want and all(got[k] == (1, "question") for k in alone)
+
+
 def test_licences(spark, odd, none):
     docs = table(spark, SF01, "documents")
     lines = {"Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT",

@@ -58,25 +58,38 @@ def grams(words: list[str]) -> set[tuple[str, ...]]:
 
 class Index:
     """Impacts of terms in pieces of items, each as a share of the piece's own score, with their
-    maxima per block of BLOCK pieces. Holds items of INDEX_CHARS characters at most."""
+    maxima per block of BLOCK pieces. Holds items of INDEX_CHARS characters at most.
+
+    Beside the whole item, its question is cut into pieces of its own where it counts alone or is the greater part, and
+    its answer where that is the greater part: whatever part a text holds of an item that it leaks, one of them tells."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.parts = [question_answer(t) for _, t in items]
-        pieces = [(k, (q + a)[s:s + PASSAGE]) for k, (q, a) in enumerate(self.parts)
-                  for s in range(0, max(1, len(q) + len(a)), PASSAGE) if q]
-        # a short tail says little: it is joined to no piece of its own unless the item has no other
-        pieces = [p for p in pieces if len(p[1]) >= 16 or len(sum(self.parts[p[0]], [])) <= PASSAGE]
+        runs = [(k, q + a, True) for k, (q, a) in enumerate(self.parts) if q]
+        for k, (q, a) in enumerate(self.parts):
+            more = len(grams(a)) > len(grams(q))
+            if a and (len(q) >= LONE_QUESTION or not more):
+                runs.append((k, q, False))
+            if more:
+                runs.append((k, a, False))
+        # a short tail says little: it is joined to no piece of its own unless the run has no other
+        pieces = [(k, words[s:s + PASSAGE], whole) for k, words, whole in runs for s in range(0, len(words), PASSAGE)
+                  if len(words) - s >= 16 or len(words) <= PASSAGE]
         pieces.sort(key=lambda p: len(p[1]))
-        self.item = np.array([k for k, _ in pieces], np.int64)
-        n, mean = len(pieces), sum(len(w) for _, w in pieces) / max(1, len(pieces))
+        self.item = np.array([k for k, _, _ in pieces], np.int64)
+        n, wholes = len(pieces), [w for _, w, whole in pieces if whole]
+        mean = sum(map(len, wholes)) / max(1, len(wholes))
         posts: dict[str, list] = defaultdict(list)
-        for e, (_, words) in enumerate(pieces):
+        for e, (_, words, _) in enumerate(pieces):
             for t, tf in Counter(words).items():
                 posts[t].append((e, tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))))
         self.term_id = {t: i for i, t in enumerate(posts)}
         df = np.array([len(p) for p in posts.values()], np.float64)
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        # parts on their own change no weight: terms are counted in whole items
+        among = Counter(t for w in wholes for t in set(w))
+        held = np.array([among[t] for t in posts], np.float64)
+        idf = np.log(1 + (len(wholes) - held + 0.5) / (held + 0.5))
         self.ptr = np.concatenate(([0], np.cumsum(df))).astype(np.int64)
         self.post = np.array([e for p in posts.values() for e, _ in p], np.int64)
         impact = np.array([x for p in posts.values() for _, x in p]) * np.repeat(idf, df.astype(np.int64))
@@ -234,8 +247,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     holds a test item.
 
     Each document is cut into passages of 2 x PASSAGE words at steps of PASSAGE, all of it; each
-    passage queries the index with its distinct terms and retrieves every piece whose BM25 score is
-    at least ``threshold`` of the piece's score against itself. Blocks whose maxima cannot reach that are not
+    passage queries the index with its distinct terms and retrieves every piece (of an item, its question or
+    its answer) whose BM25 score is at least ``threshold`` of the piece's score against itself. Blocks whose maxima cannot reach that are not
     scored. A retrieved item is verified by the 5-word windows of its question and answer around the
     passage: it is a leak if ``overlap`` of the question's windows are there (a question of less
     than 8 words only together with the answer) or that share of all windows; ``leak`` is
