@@ -63,12 +63,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # --- candidates and labelers -------------------------------------------------
 
-#: looser shapes per kind; a text without any of the hints is not searched
+#: looser shapes per kind; a text is searched where the hint, which every match of the shape implies, is found in it
 _LOOSE = [
-    ("email", "(", re.compile(r"\b[\w.+-]+ ?[(\[](?:at|AT)[)\]] ?[\w-]+(?: ?[(\[](?:dot|DOT)[)\]] ?[\w-]+|\.[\w-]+)+")),
+    ("email", re.compile(r"[(\[](?:at|AT)[)\]]"), re.compile(r"\b[\w.+-]+ ?[(\[](?:at|AT)[)\]] ?[\w-]+(?: ?[(\[](?:dot|DOT)[)\]] ?[\w-]+|\.[\w-]+)+")),
     ("email", "[", re.compile(r"\b[\w.+-]+ ?\[(?:at|AT)\] ?[\w-]+(?: ?\[(?:dot|DOT)\] ?[\w-]+|\.[\w-]+)+")),
     ("ip", ":", re.compile(r"(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])")),
-    ("phone", "-", re.compile(r"(?<![\w+.-])(?:\([0-9]{2,4}\) ?)?[0-9]{2,4}[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![\w.-]?[0-9])")),
+    ("phone", re.compile(r"[0-9][ .-][0-9]{3}"), re.compile(r"(?<![\w+.-])(?:\([0-9]{2,4}\) ?)?[0-9]{2,4}[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![\w.-]?[0-9])")),
     ("phone", ")", re.compile(r"(?<![\w+.-])\([0-9]{2,4}\) ?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![\w.-]?[0-9])")),
     ("secret", "AKIA", re.compile(r"\bAKIA[0-9A-Z]{16}\b")),
     ("secret", "=", re.compile(r"\b[A-Za-z_]{2,20} ?= ?\"?[A-Za-z0-9_/+-]{12,}\"?")),
@@ -122,7 +122,7 @@ def candidates(text: str) -> tuple[list, list]:
     base = base_spans(text)
     spans = [(s, e, k, True) for k, s, e in base]
     for kind, hint, loose in _LOOSE:
-        if hint in text:
+        if hint in text if isinstance(hint, str) else hint.search(text):
             spans += [(*m.span(), kind, False) for m in loose.finditer(text)]
     if not spans:
         return base, []
