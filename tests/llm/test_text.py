@@ -188,6 +188,38 @@ def test_licences(spark, odd, none):
     assert licenses.find(odd).where("confirmed").count() == 0 and licenses.find(none).collect() == []
 
 
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software."""
+
+
+def test_wrapped_licences(spark):
+    prose = "the cat sat on the mat and the dog ran off\nto the park with a big red ball"
+    docs, want = [], set()
+    for text, family in ((GPL, "GPL-3.0"), (BSD, "BSD-3-Clause"), (MIT, "MIT")):
+        for sign in ("", "# ", " * ", "// ", "dnl "):
+            lines = text.split("\n")
+            body = "\n".join(sign + x for x in lines)
+            for before in (0, 2):  # after a blank line (of a comment), and directly below prose
+                docs.append("/*\n" + sign.rstrip() + "\n" + body if not before else prose + "\n" + body + "\n" + prose)
+                want.add((len(docs) - 1, 0 if before else 2, family))
+    rows = licenses.find(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.paragraph, r.family) for r in rows if r.confirmed} == want
+    # a notice that is confirmed alone parts the lines around it
+    mixed = "Released under the MIT License.\n" + GPL + "\nLicensed under CC BY 4.0."
+    rows = licenses.find(spark.createDataFrame([(1, mixed)], "doc_id long, text string")).where("confirmed").collect()
+    assert {(r.paragraph, r.family) for r in rows} == {(0, "MIT"), (1, "GPL-3.0"), (5, "CC-BY-4.0")}
+
+
 def test_quality_counts(odd, none, small):
     word = re.compile(r"[^\x20\x09-\x0D]+")
     for docs in (odd, small):

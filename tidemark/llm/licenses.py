@@ -65,22 +65,89 @@ def words_of(text: str) -> list[str]:
 SPEAKING = frozenset(w for ts in TEMPLATES.values() for t in ts for w in words_of(t)) - _COMMON
 
 
+#: trigrams of the templates, with their family
+SHAPES = [(f, {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))}) for f, ts in TEMPLATES.items() for w in map(words_of, ts)]
+#: words that stand before a comment's text in some languages; other comment signs hold no word
+_REMARK = re.compile(r"[^\w\n]*(?:dnl|rem)\b", re.IGNORECASE)
+
+
 def ngrams(words: list[str]) -> set[str]:
     """N-grams of one to three words that hold a speaking word."""
-    return {" ".join(words[i:i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1)
-            if not SPEAKING.isdisjoint(words[i:i + k])}
+    last = len(words)
+    return {" ".join(words[i:i + k]) for at, w in enumerate(words) if w in SPEAKING
+            for k in (1, 2, 3) for i in range(max(0, at - k + 1), min(at, last - k) + 1)}
+
+
+def overlap(words: list[str], family: str | None = None) -> float:
+    """Greatest share of a template's trigrams (of ``family``, or of any) that stand in ``words``."""
+    have = {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
+    return max(len(have & shape) / len(shape) for f, shape in SHAPES if family is None or f == family)
+
+
+def parts(words: list[str]):
+    """(part, first word, words) of the overlapping parts that hold a speaking word."""
+    for part, at in enumerate(range(0, max(1, len(words) - PART_WORDS // 2), PART_WORDS // 2)):
+        piece = words[at:at + PART_WORDS]
+        if not SPEAKING.isdisjoint(piece):
+            yield part, at, piece
 
 
-def paragraphs(text: str):
-    """(number, part, words) of the paragraphs (lines) that hold a speaking word, long ones in overlapping parts."""
+def runs(text: str, alone):
+    """Lists of (number, words) of consecutive lines that hold words, without comment signs. A line of which ``alone``
+    is true is a list of its own and parts those around it."""
+    run: list = []
     for n, line in enumerate(text.split("\n")):
-        words = words_of(line)
-        if SPEAKING.isdisjoint(words):
+        m = _REMARK.match(line)
+        words = words_of(line[m.end():] if m else line)
+        if words and not alone(words):
+            run.append((n, words))
             continue
-        for part, at in enumerate(range(0, max(1, len(words) - PART_WORDS // 2), PART_WORDS // 2)):
-            piece = words[at:at + PART_WORDS]
-            if not SPEAKING.isdisjoint(piece):
-                yield n, part, piece
+        if run:
+            yield run
+            run = []
+        if words:
+            yield [(n, words)]
+    if run:
+        yield run
+
+
+def stated(words: list[str]) -> bool:
+    return not SPEAKING.isdisjoint(words) and overlap(words) >= CONFIRM
+
+
+def pieces(text: str):
+    """Words of all lines and of all joined lines, in parts, that can be judged."""
+    for run in runs(text, stated):
+        for _, words in run:
+            yield from (w for _, _, w in parts(words))
+        if len(run) > 1:
+            yield from (w for _, _, w in parts([w for _, words in run for w in words]))
+
+
+def notices(text: str, judge):
+    """(number of the first line, part, *judgement) of the paragraphs of a text that ``judge(words)`` says something of:
+    (family, probability, overlap, confirmed) or None. Paragraphs are lines that are confirmed alone, and the joined
+    consecutive lines between these and blank lines; a line that alone names a family, which the joined parts around it do
+    not name, is told too."""
+    seen: dict = {}
+
+    def of_line(words):
+        key = " ".join(words)
+        if key not in seen:
+            seen[key] = [(part, at, said) for part, at, piece in parts(words) if (said := judge(piece))]
+        return seen[key]
+
+    for run in runs(text, lambda words: any(said[3] for _, _, said in of_line(words))):
+        joined = []
+        if len(run) > 1:
+            joined = [(part, at, said) for part, at, piece in parts([w for _, words in run for w in words]) if (said := judge(piece))]
+            yield from ((run[0][0], part, *said) for part, _, said in joined)
+        first = 0
+        for n, words in run:
+            for part, at, said in of_line(words):
+                if not any(said[0] == s[0] and x <= first + at < x + PART_WORDS for _, x, s in joined):
+                    yield (n, part, *said)
+            first += len(words)
 
 
 def may_speak(text: str) -> bool:
@@ -91,8 +158,6 @@ def may_speak(text: str) -> bool:
 class Model:
     def __init__(self, feature: dict[str, int], weights: np.ndarray, temperature: float):
         self.feature, self.weights, self.temperature = feature, weights, temperature
-        self.shapes = [(f, {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))})
-                       for f, ts in TEMPLATES.items() for w in map(words_of, ts)]
 
     def chances(self, words: list[str]) -> np.ndarray:
         at = [0, *(self.feature[g] for g in ngrams(words) if g in self.feature)]
@@ -100,9 +165,14 @@ class Model:
         e = np.exp(z - z.max())
         return e / e.sum()
 
-    def overlap(self, words: list[str], family: str) -> float:
-        have = {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
-        return max(len(have & shape) / len(shape) for f, shape in self.shapes if f == family)
+    def judge(self, words: list[str], probability: float, confirm: float) -> tuple | None:
+        """(family, probability, overlap, confirmed) of a part that states a licence."""
+        p = self.chances(words)
+        k = int(p.argmax())
+        if not k or p[k] < probability:
+            return None
+        share = overlap(words, FAMILIES[k])
+        return FAMILIES[k], float(p[k]), share, share >= confirm
 
 
 def _training(corpus: list[list[str]]) -> list[tuple[list[str], int]]:
@@ -166,14 +236,14 @@ def train(corpus: list[list[str]], rounds: int = 300) -> Model:
 def fit(docs: DataFrame) -> Model:
     """A model whose unknown class is learned from at most CORPUS_PARAGRAPHS paragraphs of ``docs``, those with the least
     hashes among the paragraphs that hold a speaking word and no trigram of a template."""
-    shapes = {tuple(w[i:i + 3]) for ts in TEMPLATES.values() for w in map(words_of, ts) for i in range(max(1, len(w) - 2))}
+    shapes = set().union(*(shape for _, shape in SHAPES))
 
     def run(batches):
         for _, texts in slices(batches):
             found = Counter()
             for t in texts:
                 if may_speak(t):
-                    found.update(" ".join(w[:60]) for _, _, w in paragraphs(t)
+                    found.update(" ".join(w[:60]) for w in pieces(t)
                                  if not any(tuple(w[i:i + 3]) in shapes for i in range(len(w))))
             yield pa.record_batch([pa.array(list(found), pa.string())], ["paragraph"])
 
@@ -185,8 +255,9 @@ def fit(docs: DataFrame) -> Model:
 def find(docs: DataFrame, probability: float = PROBABILITY, confirm: float = CONFIRM) -> DataFrame:
     """``doc_id, paragraph, part, family, probability, template_overlap, confirmed``: every paragraph of every document whose
     likeliest class is a licence family with at least ``probability``. ``confirmed`` says that ``confirm`` of the word trigrams of
-    one of the family's templates stand in it. Paragraphs are lines, counted from 0; one of more than PART_WORDS words is
-    judged in overlapping parts. A paragraph without a speaking word has no feature and is unknown.
+    one of the family's templates stand in it. Paragraphs are runs of consecutive lines without comment signs, numbered by their
+    first line, counted from 0; blank lines and lines that are confirmed alone cut them (see ``notices``). One of more than
+    PART_WORDS words is judged in overlapping parts. A paragraph without a speaking word has no feature and is unknown.
 
     Null and empty texts give no row; repeated rows give repeated rows; empty tables give empty results; ties go to the
     family first in order. Other columns are not read."""
@@ -201,12 +272,7 @@ def find(docs: DataFrame, probability: float = PROBABILITY, confirm: float = CON
             for i, t in zip(ids, texts):
                 if not may_speak(t):
                     continue
-                for n, part, words in paragraphs(t):
-                    p = m.chances(words)
-                    k = int(p.argmax())
-                    if k and p[k] >= probability:
-                        share = m.overlap(words, FAMILIES[k])
-                        rows.append((i, n, part, FAMILIES[k], float(p[k]), share, share >= confirm))
+                rows += [(i, *x) for x in notices(t, lambda words: m.judge(words, probability, confirm))]
             kinds = [pa.int64()] * 3 + [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
             cols = list(zip(*rows)) if rows else [[]] * len(kinds)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], [f.split()[0] for f in schema.split(", ")])
