@@ -220,6 +220,14 @@ def test_wrapped_licences(spark):
     assert {(r.paragraph, r.family) for r in rows} == {(0, "MIT"), (1, "GPL-3.0"), (5, "CC-BY-4.0")}
 
 
+def test_licence_training_reads_whole_parts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(licenses, "train", lambda corpus: seen.extend(corpus))
+    text = " ".join("w%d" % i for i in range(150)) + " license " + " ".join("w%d" % i for i in range(150, 300))
+    licenses.fit(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert sorted(seen) == sorted(w for _, _, w in licenses.parts(licenses.words_of(text))) and max(map(len, seen)) == 200
+
+
 def test_quality_counts(odd, none, small):
     word = re.compile(r"[^\x20\x09-\x0D]+")
     for docs in (odd, small):

@@ -235,7 +235,7 @@ def train(corpus: list[list[str]], rounds: int = 300) -> Model:
 
 def fit(docs: DataFrame) -> Model:
     """A model whose unknown class is learned from at most CORPUS_PARAGRAPHS paragraphs of ``docs``, those with the least
-    hashes among the paragraphs that hold a speaking word and no trigram of a template."""
+    hashes among the parts of paragraphs that hold a speaking word and no trigram of a template, as whole as they are judged."""
     shapes = set().union(*(shape for _, shape in SHAPES))
 
     def run(batches):
@@ -243,7 +243,7 @@ def fit(docs: DataFrame) -> Model:
             found = Counter()
             for t in texts:
                 if may_speak(t):
-                    found.update(" ".join(w[:60]) for w in pieces(t)
+                    found.update(" ".join(w) for w in pieces(t)
                                  if not any(tuple(w[i:i + 3]) in shapes for i in range(len(w))))
             yield pa.record_batch([pa.array(list(found), pa.string())], ["paragraph"])
 
