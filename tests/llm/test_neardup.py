@@ -130,3 +130,9 @@ def test_second_meeting_loses_no_pair(spark):
     for often in (np.zeros(neardup.COUNTERS, np.int64), rng.integers(0, 9, neardup.COUNTERS)):
         keys = [set(neardup.prefix(b, often, 0.8).tolist()) for b in bags]
         assert all(keys[a] & keys[b] for a, b in want)
+
+
+def test_link_column_says_what_it_counts(spark):
+    from tidemark.llm.queries import op9_near_duplicates
+
+    assert op9_near_duplicates(spark, "/root/testdata/sf0.001").columns == ["doc_id", "class_id", "class_size", "n_joining_links"]

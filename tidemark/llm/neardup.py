@@ -294,11 +294,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
                     bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(members, links) of ``docs(doc_id, text)``.
 
-    members: a row per input row: ``doc_id, words, node, class_node, class_id, class_size, n_links, is_first``;
+    members: a row per input row: ``doc_id, words, node, class_node, class_id, class_size, n_joining_links, is_first``;
     links: verified pairs of different texts ``(a, b, similarity)`` by node. ``node`` numbers the
     sequences of words (``words``, an MD5): texts that differ in white space only are copies. ``class_id`` is the
-    least doc_id of the connected component, ``class_size`` counts rows, ``n_links`` counts the
-    links found for the row's text, ``is_first`` marks the rows with doc_id = class_id.
+    least doc_id of the connected component, ``class_size`` counts rows, ``n_joining_links`` counts those
+    of its links that joined the row's text to its class (members of one class are not all compared), ``is_first`` marks the rows with doc_id = class_id.
 
     Similarity is Σmin/Σmax over the multisets of ``size``-word windows; a shorter text is one
     window. Null and empty texts have no words and form one class of copies. Repeated rows are
@@ -340,7 +340,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         links, comps = _second_meeting(again, links, comps, similarity)
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_joining_links"))
     placed = (nodes.drop("bands").withColumn("rep", F.when(~F.col("null_id"), F.col("least")))
               .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     classes = placed.groupBy("comp").agg(F.sum("copies").alias("class_size"), F.min("rep").alias("first"),
@@ -348,10 +348,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     of_node = (placed.join(classes, "comp").join(degree, "node", "left")
                .select("words", "node", F.col("comp").alias("class_node"),
                        F.when(~F.col("has_null"), F.col("first")).alias("class_id"), "class_size",
-                       F.coalesce("n_links", F.lit(0)).alias("n_links")))
+                       F.coalesce("n_joining_links", F.lit(0)).alias("n_joining_links")))
     members = (signed.select("doc_id", F.col("node").alias("words")).join(of_node, "words")
                .withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("class_id")))
-               .select("doc_id", "words", "node", "class_node", "class_id", "class_size", "n_links", "is_first"))
+               .select("doc_id", "words", "node", "class_node", "class_id", "class_size", "n_joining_links", "is_first"))
     return members, links
 
 

@@ -67,11 +67,11 @@ def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its class of near-duplicates."""
+    """Every document with its class of near-duplicates, and how many links used to join the class its text has."""
     from .neardup import near_duplicates
 
     members, _ = near_duplicates(table(spark, sf_dir, "documents"))
-    return members.select("doc_id", "class_id", "class_size", "n_links")
+    return members.select("doc_id", "class_id", "class_size", "n_joining_links")
 
 
 def op10_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
