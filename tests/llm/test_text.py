@@ -93,6 +93,18 @@ def test_language(spark, odd, none):
     assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} >= {1, 4, 8, 2**62}
 
 
+def test_copies_do_not_thin_the_sample(spark):
+    rng = np.random.default_rng(11)
+    ids = iter(i for i in range(100_000) if zlib.crc32(str(i).encode()) % 4 != 2)
+    say = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(30))
+    texts = [(say("abcdef"), "a") for _ in range(30)] + [(say("defghi"), "b") for _ in range(30)]
+    once = [(next(ids), t, x) for t, x in texts]
+    often = once + [(next(ids), t, x) for t, x in texts if x == "a" for _ in range(200)]
+    models = [language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 20) for rows in (once, often)]
+    assert models[0].table.any() and (models[0].table == models[1].table).all()
+    assert models[0].of_script.keys() == models[1].of_script.keys()
+
+
 def test_language_spans_of_mixed_text(spark):
     docs = table(spark, SF01, "documents")
     one = {r.lang: r.text for r in docs.where("n_chars BETWEEN 800 AND 1500 AND source <> 'src0'").orderBy("doc_id").collect()}

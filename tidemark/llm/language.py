@@ -138,13 +138,15 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     hashed window counts: BUCKETS x LANGUAGES numbers at most."""
     labelled = (docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out(F.col("doc_id")))
                 .select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")))
-    size = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()}
+    hashes = labelled.select("lang", F.xxhash64("text").alias("h")).groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))
+    found = hashes.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).limit(LANGUAGES + 1).collect()
+    size = {r.lang: r.n for r in found}
     if len(size) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     if not size:
         return None
-    # hashes below a share of four times the need hold enough texts; the exact choice is made among them
-    share = F.create_map(*[x for k, n in size.items() for x in (F.lit(k), F.lit(min(1.0, 4 * train_docs / n)))])
+    # of the distinct texts' hashes those below a share of four times the need are enough; the exact choice is made among them
+    share = F.create_map(*[x for r in found for x in (F.lit(r.lang), F.lit(min(1.0, 4 * train_docs / r.texts)))])
     near = labelled.withColumn("h", F.xxhash64("text")).where(
         F.pmod("h", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30))
     one = Window.partitionBy("lang").orderBy("h")
