@@ -255,7 +255,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     ``question and answer`` if the answer's share reaches ``overlap`` too, else ``question``.
     Score and overlaps are the greatest of the document.
 
-    Null and empty texts have no row, nor do items without text; an item of fewer than five words
+    Null and empty texts have no row, nor do items without text or with a null item_id; an item of fewer than five words
     is one window. Repeated document rows give repeated rows, repeated items none. Empty tables
     give an empty result. Extra columns are not read."""
     spark = docs.sparkSession
