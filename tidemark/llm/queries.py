@@ -85,6 +85,13 @@ def op10_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "conversations").select(*cols).unionByName(own))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's byte-level token ids and of their decoding."""
+    from .byte_bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_segments, op2_weak_pii, op3_license_notices, op4_contaminated, op5_trie_bpe, op6_language, op7_token_store,
-    op8_perplexity_rules, op9_near_duplicates, op10_chat_templates)}
+    op8_perplexity_rules, op9_near_duplicates, op10_chat_templates, op11_byte_bpe)}
