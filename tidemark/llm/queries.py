@@ -92,6 +92,21 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with its subtree's totals."""
+    from .prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance for the benchmark's distribution, and its rank if it is drawn."""
+    from .resample import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_segments, op2_weak_pii, op3_license_notices, op4_contaminated, op5_trie_bpe, op6_language, op7_token_store,
-    op8_perplexity_rules, op9_near_duplicates, op10_chat_templates, op11_byte_bpe)}
+    op8_perplexity_rules, op9_near_duplicates, op10_chat_templates, op11_byte_bpe, op12_prefix_trie,
+    op13_importance_resampling)}
