@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,20 +26,22 @@ def doc_texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def slices(batches, docs: int = SLICE_DOCS, most: int = SLICE_CHARS):
-    """(ids, texts) lists of at most ``docs`` documents and about ``most`` characters from the Arrow batches of a ``mapInArrow`` over ``doc_texts``."""
+def text_slices(batches, at: int, most: int = SLICE_CHARS, docs: int = SLICE_DOCS):
+    """Parts of Arrow batches of at most ``docs`` rows and about ``most`` bytes of text in column ``at``; a longer text is a part alone."""
     for batch in batches:
-        for at in range(0, batch.num_rows, docs):
-            part = batch.slice(at, docs)
-            ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            first = chars = 0
-            for i, text in enumerate(texts):
-                chars += len(text)
-                if chars >= most:
-                    yield ids[first:i + 1], texts[first:i + 1]
-                    first, chars = i + 1, 0
-            if first < len(ids):
-                yield ids[first:], texts[first:]
+        size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(size, dtype=np.int64), 0
+        while first < batch.num_rows:
+            done = ends[first - 1] if first else 0
+            last = min(max(first + 1, int(np.searchsorted(ends, done + most, "right"))), first + docs)
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def slices(batches, docs: int = SLICE_DOCS, most: int = SLICE_CHARS):
+    """(ids, texts) lists of the ``text_slices`` of a ``mapInArrow`` over ``doc_texts``."""
+    for part in text_slices(batches, 1, most, docs):
+        yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
 def with_ids(docs: DataFrame, ids: DataFrame, how: str, column: str = "doc_id") -> DataFrame:

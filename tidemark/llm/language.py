@@ -4,6 +4,8 @@ pass with a switching penalty labels the spans of mixed texts."""
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -12,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, doc_texts, mix, slices
+from .common import GOLDEN, doc_texts, mix, slices, text_slices
 
 #: labelled documents that a language is learned from, at most
 TRAIN_DOCS = 2000
@@ -25,7 +27,14 @@ LANGUAGES = 256
 #: share of a text's letters in its main language below which ``keep_identified`` drops it
 MIN_SCORE = 0.4
 
-_WORDS = re.compile(r"[^\W\d_]+")
+#: characters of texts that are labelled together, and cells of their scores, about; a longer text is labelled alone
+LABEL_CHARS, LABEL_CELLS = 2_000_000, 10_000_000
+#: words scored at once, and words a worker remembers
+SCORE_WORDS, HELD_WORDS = 20_000, 400_000
+
+#: number signs that are no digits, such as fractions and Roman numerals, are no letters
+_SIGNS = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Nl", "No"))
+_WORDS = re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 #: first code points of script ranges and their names (fixed values); letters below U+0250 are Latin
 _SCRIPTS = [(0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"),
@@ -42,7 +51,7 @@ def script(word: str) -> str:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case."""
+    """Runs of letters (Unicode category L) in lower case."""
     return _WORDS.findall(text.lower())
 
 
@@ -192,19 +201,48 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     return Model(langs, counts, scripts, size)
 
 
+class _Numbers(dict):
+    """Numbers of words in the order of their first use; ``new`` holds those added since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
+def _forget(known: dict, k: int) -> None:
+    """Empties ``known``, a worker's words: their numbers, and their scores and lengths in arrays that grow in place."""
+    known["at"], known["n"] = _Numbers(), 0
+    known["table"], known["size"] = np.zeros((SCORE_WORDS, k), np.float32), np.zeros(SCORE_WORDS, np.int32)
+
+
+def _ids(model: Model, texts: list[str], known: dict) -> tuple[np.ndarray, list[int]]:
+    """Numbers of the words of all texts, cut text by text, and how many each text has."""
+    at, out = known["at"], []
+    for text in texts:
+        words = words_of(text)
+        out.append(np.fromiter(map(at.__getitem__, words), np.int32, len(words)))
+    while len(at) > len(known["size"]):
+        for name in ("table", "size"):
+            known[name] = np.concatenate((known[name], np.zeros_like(known[name])))
+    for first in range(0, len(at.new), SCORE_WORDS):
+        part = at.new[first:first + SCORE_WORDS]
+        rows = slice(known["n"], known["n"] + len(part))
+        known["table"][rows], known["size"][rows] = model.scores(part), [len(w) for w in part]
+        known["n"] += len(part)
+    at.new.clear()
+    return np.concatenate(out) if out else np.zeros(0, np.int32), [len(x) for x in out]
+
+
 def _label(model: Model, texts: list[str], known: dict, switch: float):
-    """(language or None, share of letters in it, word count, spans) of each text."""
-    words = [words_of(t) for t in texts]
-    table = known["table"]
-    new = list(dict.fromkeys(w for ws in words for w in ws if w not in known["at"]))
-    if new:
-        at, base = known["at"], len(table)
-        at.update((w, base + i) for i, w in enumerate(new))
-        table = known["table"] = np.concatenate((table, model.scores(new)))
-        known["size"] = np.concatenate((known["size"], [len(w) for w in new]))
-    ids = np.fromiter((known["at"][w] for ws in words for w in ws), np.int64)
-    lengths = [len(w) for w in words]
-    path = viterbi(table[ids], lengths, switch)
+    """(language or None, share of letters in it, spans) of each text."""
+    ids, lengths = _ids(model, texts, known)
+    score = known["table"][ids]
+    path = viterbi(score, lengths, switch)
     size = known["size"][ids]
     out, first = [], 0
     k = len(model.langs)
@@ -214,18 +252,19 @@ def _label(model: Model, texts: list[str], known: dict, switch: float):
             continue
         p = path[first:first + n]
         chars = np.bincount(p, size[first:first + n], minlength=k)
-        top = int(chars.argmax()) if table[ids[first:first + n]].any() else model.prior
+        top = int(chars.argmax()) if score[first:first + n].any() else model.prior
         cuts = np.flatnonzero(np.diff(p)) + 1
         spans = [(int(a), int(b), model.langs[p[a]]) for a, b in zip([0, *cuts], [*cuts, n])]
         out.append((model.langs[top], float(chars[top] / chars.sum()), spans))
         first += n
-    if len(known["at"]) > 400_000:
+    if known["n"] > HELD_WORDS:
         _forget(known, k)
     return out
 
 
-def _forget(known: dict, k: int) -> None:
-    known["at"], known["table"], known["size"] = {}, np.zeros((0, k), np.float32), np.zeros(0)
+def _label_chars(model: Model) -> int:
+    """Characters of a slice: fewer with many languages, so that the scores of its words stay bounded (a word has some six letters)."""
+    return min(LABEL_CHARS, 6 * LABEL_CELLS // max(1, len(model.langs)))
 
 
 def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, switch: float = SWITCH) -> DataFrame:
@@ -250,7 +289,7 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, switch: float = SWIT
     def run(batches):
         model, known = held.value, {}
         _forget(known, len(model.langs))
-        for ids, texts in slices(batches, 5000, 20_000_000):
+        for ids, texts in slices(batches, most=_label_chars(model)):
             got = _label(model, texts, known, switch)
             spans = [[{"first": a, "end": b, "lang": x} for a, b, x in s] for _, _, s in got]
             keep = [zlib.crc32(("" if i is None else str(i)).encode()) % 4 == 2 for i in ids]
@@ -263,7 +302,8 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, switch: float = SWIT
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, **options) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or holds less than ``min_score`` of the letters;
-    all columns as they are. Each row is judged by its own text. Without labelled documents no
+    all columns as they are, whatever their names. Each row is judged by its own text, so repeated rows stay or go
+    together; null and empty texts go; an empty table gives an empty table. Without labelled documents no
     language is known and only texts without letters go."""
     model = learn(docs, **options)
     at = docs.columns.index("text")
@@ -273,14 +313,12 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, **options) ->
         model, known = held.value, {}
         if model is not None:
             _forget(known, len(model.langs))
-        for batch in batches:
-            for s in range(0, batch.num_rows, 5000):
-                part = batch.slice(s, 5000)
-                texts = [t or "" for t in part.column(at).to_pylist()]
-                if model is None:
-                    keep = [bool(_WORDS.search(t)) for t in texts]
-                else:
-                    keep = [g[0] is not None and g[1] >= min_score for g in _label(model, texts, known, SWITCH)]
-                yield part.filter(pa.array(keep, pa.bool_()))
+        for part in text_slices(batches, at, LABEL_CHARS if model is None else _label_chars(model)):
+            texts = [t or "" for t in part.column(at).to_pylist()]
+            if model is None:
+                keep = [bool(_WORDS.search(t)) for t in texts]
+            else:
+                keep = [g[0] is not None and g[1] >= min_score for g in _label(model, texts, known, SWITCH)]
+            yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
