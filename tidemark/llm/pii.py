@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, slices
+from .common import doc_texts, slices, text_slices
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
@@ -22,7 +23,8 @@ BASE = KINDS[:4]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# a match starts where a run of digits does: no run is tried again from its middle
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
@@ -53,7 +55,7 @@ def _luhn(digits: str) -> bool:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by kind as in KINDS and then by start."""
     out = [("email", s, e) for s, e in _emails(text)]
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(d := p.lstrip("0")) < 4 and int(d or 0) < 256 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := _NOT_DIGIT.sub("", m[0])) <= 19 and _luhn(d):
             out.append(("card", *m.span()))
@@ -75,14 +77,65 @@ _LOOSE = [
     ("secret", "-----", re.compile(r"-----BEGIN [A-Z ]+KEY-----")),
 ]
 
-#: gazetteers and cues (fixed values)
-_NAMED = {
-    "email": ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk"),
-    "ip": ("fe80", "2001", "fc00", "fd00"),
-    "card": ("34", "37", "4", "51", "52", "53", "54", "55", "6011"),
-    "phone": ("+1", "+33", "+34", "+44", "+49"),
-    "secret": ("AKIA", "password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "key"),
-}
+#: what stands between the parts of a spelled-out address, and its rest from there on (for the first two shapes above)
+_AT = [re.compile(r"[(\[](?:at|AT)[)\]]"), re.compile(r"\[(?:at|AT)\]")]
+_REST = [re.compile(r" ?[\w-]++(?: ?[(\[](?:dot|DOT)[)\]] ?[\w-]++|\.[\w-]++)++"), re.compile(r" ?[\w-]++(?: ?\[(?:dot|DOT)\] ?[\w-]++|\.[\w-]++)++")]
+
+
+def _wordy(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def _spelled(text: str, j: int):
+    """Matches of shape j of _LOOSE, found from each spelled-out @ on, as ``_emails`` does: the run before it is read once."""
+    last = 0
+    for m in _AT[j].finditer(text):
+        if m.start() <= last:
+            continue
+        end = m.start() - (text[m.start() - 1] == " ")
+        start = end
+        while start > last and (_wordy(text[start - 1]) or text[start - 1] in ".+-"):
+            start -= 1
+        while start < end and _wordy(text[start]) == (start > 0 and _wordy(text[start - 1])):  # a word's edge
+            start += 1
+        rest = _REST[j].match(text, m.end()) if start < end else None
+        if rest:
+            yield start, rest.end()
+            last = rest.end()
+
+
+# gazetteers and cues (fixed values)
+_SUFFIXES = frozenset((
+    "com org net edu gov mil int info biz name pro io ai app dev cloud online site shop store blog tech me tv co eu "
+    "ae ar at au be bg br ca ch cl cn cz de dk ee eg es fi fr gr hk hr hu id ie il in ir is it jp ke kr lt lu lv ma mx my ng nl no nz "
+    "pe ph pk pl pt ro rs ru sa se sg si sk th tn tr tw ua uk us uy ve vn za").split())
+#: issuers: first and last prefix, and the lengths of their numbers
+_ISSUERS = (
+    ("34", "34", (15,)), ("37", "37", (15,)), ("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)),
+    ("6011", "6011", (16, 17, 18, 19)), ("644", "649", (16, 17, 18, 19)), ("65", "65", (16, 17, 18, 19)),
+    ("300", "305", (14, 16, 17, 18, 19)), ("36", "36", (14, 16, 17, 18, 19)), ("38", "39", (14, 16, 17, 18, 19)),
+    ("3528", "3589", (16, 17, 18, 19)), ("62", "62", (16, 17, 18, 19)), ("50", "50", (13, 14, 15, 16, 17, 18, 19)),
+    ("56", "58", (13, 14, 15, 16, 17, 18, 19)), ("6304", "6304", (16, 18, 19)), ("6759", "6763", (16, 18, 19)), ("2200", "2204", (16, 17, 18, 19)))
+#: country codes, and the least and most digits of a number in that country
+_DIAL = {
+    "1": (10, 10), "7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9),
+    "36": (8, 9), "39": (6, 11), "40": (9, 9), "41": (9, 9), "43": (4, 13), "44": (9, 10), "45": (8, 8), "46": (7, 13), "47": (5, 8),
+    "48": (9, 9), "49": (6, 13), "51": (8, 9), "52": (10, 10), "53": (6, 8), "54": (10, 11), "55": (10, 11), "56": (9, 9), "57": (10, 10),
+    "58": (10, 10), "60": (7, 10), "61": (9, 9), "62": (7, 12), "63": (10, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10),
+    "82": (8, 10), "84": (9, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10), "92": (9, 10), "93": (9, 9), "94": (9, 9), "98": (10, 10),
+    "212": (9, 9), "213": (8, 9), "216": (8, 8), "234": (7, 10), "254": (9, 10), "351": (9, 9), "352": (5, 11), "353": (7, 9), "354": (7, 9),
+    "358": (5, 12), "359": (7, 9), "370": (8, 8), "371": (8, 8), "372": (7, 8), "380": (9, 9), "381": (8, 9), "385": (8, 9), "386": (8, 8),
+    "420": (9, 9), "421": (9, 9), "852": (8, 8), "886": (8, 9), "966": (9, 9), "971": (8, 9), "972": (8, 9)}
+#: what credentials are assigned to, and how known keys begin
+_KEYS = ("password", "passwd", "passwort", "pwd", "pass", "secret", "token", "api_key", "apikey", "access_key", "accesskey", "auth",
+         "private_key", "client_secret", "credential", "session", "bearer", "key", "contrasena", "mot_de_passe")
+_KEY_HEADS = ("AKIA", "ASIA", "ghp_", "gho_", "sk_live", "sk_test", "xoxb", "xoxp", "AIza", "-----BEGIN")
+#: given names that stand in the local part of an address
+_GIVEN = frozenset((
+    "alex alice ana andrea anna anne antonio barbara carlos charles chris claire claudia daniel david elena emily emma eric eva felix "
+    "frank george hans helen henry ivan jack james jan jean jennifer john jorge jose juan julia karl kate kevin klaus laura linda lisa louis "
+    "lucas luis maria marie mark martin mary matthias michael miguel monika nicolas nina olga oliver pablo patricia paul pedro peter "
+    "philippe pierre rachel robert sandra sarah simon sofia stefan steven susan thomas tom ursula wolfgang").split())
 _CUES = {
     "email": ("mail", "contact", "write", "correo", "courriel", "schreib"),
     "ip": ("ip", "host", "server", "address", "addr"),
@@ -90,30 +143,46 @@ _CUES = {
     "phone": ("phone", "call", "tel", "fax", "mobile", "telefon", "anruf"),
     "secret": ("password", "token", "secret", "login", "credential", "key", "access"),
 }
+
+
+def _known(kind: str, span: str) -> bool:
+    """Whether the gazetteers know a span: a suffix, an issuer's range and length, a country's dial plan, an address block, a credential's name."""
+    low, digits = span.lower(), _NOT_DIGIT.sub("", span)
+    if kind == "email":
+        return re.split(r"[\W_]+", low.rstrip(")]"))[-1] in _SUFFIXES
+    if kind == "card":
+        return any(first <= digits[:len(first)] <= last and len(digits) in sizes for first, last, sizes in _ISSUERS)
+    if kind == "phone":
+        if span.startswith("+"):
+            return any(low <= len(digits) - n <= high for n in (1, 2, 3) for low, high in [_DIAL.get(digits[:n], (99, 0))])
+        return len(digits) == 10 and digits[0] > "1" and digits[3] > "1"
+    if kind == "ip":
+        head = int(low.partition(":")[0], 16) if ":" in low else -1
+        return 0x2000 <= head <= 0x3fff or 0xfc00 <= head <= 0xfdff or 0xfe80 <= head <= 0xfebf
+    return span.startswith(_KEY_HEADS) or low.partition("=")[0].strip().endswith(_KEYS)
+
+
 LABELERS = ("pattern", "gazetteer", "context", "shape", "neighbour")
 
 
 def votes(kind: str, span: str, before: str, is_base: bool, near: bool) -> tuple[int, ...]:
     """A vote per labeler: 1 for personal data, -1 against, 0 for none."""
-    low, alnum = span.lower(), [c for c in span if c.isalnum()]
+    alnum, named = [c for c in span if c.isalnum()], _known(kind, span)
     digits, variety = sum(c.isdigit() for c in span), len(set(alnum))
     if kind == "email":
-        named = low.rstrip(")]").rpartition(".")[2].rpartition(" ")[2] in _NAMED[kind]
         shape = 1 if variety >= 6 else -1
     elif kind == "ip":
-        named = low.startswith(_NAMED[kind])
         shape = 1 if variety >= 3 else -1
     elif kind == "card":
-        named = span.startswith(_NAMED[kind])
         shape = 1 if variety >= 4 else -1
     elif kind == "phone":
-        named = span.startswith(_NAMED[kind])
         shape = 1 if 9 <= digits <= 15 and variety >= 3 else -1
     else:
-        named = low.startswith(tuple(x.lower() for x in _NAMED[kind]))
         shape = 1 if digits >= 4 and variety >= 8 else -1
     strict = is_base or kind == "secret" and (span.startswith(("AKIA", "-----BEGIN")) or digits >= 4 and "=" in span)
     cue = any(c in before.lower() for c in _CUES[kind])
+    if kind == "email":
+        cue = cue or any(part in _GIVEN for part in re.split(r"[\W_0-9]+", span.lower())[:2])
     return (1 if strict else -1, 1 if named else 0 if is_base else -1, 1 if cue else 0, shape, 1 if near else 0)
 
 
@@ -121,18 +190,23 @@ def candidates(text: str) -> tuple[list, list]:
     """(base spans, [(kind, start, end, is_base, features)]): base spans and loose spans that touch none."""
     base = base_spans(text)
     spans = [(s, e, k, True) for k, s, e in base]
-    for kind, hint, loose in _LOOSE:
+    for j, (kind, hint, loose) in enumerate(_LOOSE):
         if hint in text if isinstance(hint, str) else hint.search(text):
-            spans += [(*m.span(), kind, False) for m in loose.finditer(text)]
+            found = _spelled(text, j) if j < len(_AT) else (m.span() for m in loose.finditer(text))
+            spans += [(s, e, kind, False) for s, e in found]
     if not spans:
         return base, []
     spans.sort(key=lambda x: (not x[3], x[0], -x[1]))
     taken, out = sorted((s, e) for s, e, _, b in spans if b), []
-    free: list[tuple] = []
+    starts, upto, most = [s for s, _ in taken], [], 0
+    for _, e in taken:
+        upto.append(most := max(most, e))
+    free = 0  # where the last loose span that was taken ends
     for s, e, k, b in spans:
-        if b or not any(s < y and x < e for x, y in taken) and not any(s < y and x < e for x, y, *_ in free):
+        before = bisect_left(starts, e)
+        if b or s >= free and not (before and upto[before - 1] > s):
             if not b:
-                free.append((s, e))
+                free = e
             out.append((s, e, k, b))
     out.sort()
     rows = []
@@ -239,7 +313,7 @@ def _digest(spans) -> str:
 
 
 def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added`` for every row of ``docs``.
+    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans`` for every row of ``docs``.
 
     Base spans follow the four patterns, leftmost and without overlap in a kind, over the whole text.
     Loose candidates (spelled-out addresses, numbers without a country, long IP
@@ -253,19 +327,19 @@ def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     fitted here, so results follow the input."""
     weights = fit(docs)
     schema = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-              "spans string, n_added long")
+              "spans string, n_added long, n_spans long")
 
     def run(batches):
         chance = _chances(weights) if weights is not None else None
         for ids, texts in slices(batches):
-            cols: list[list] = [[] for _ in range(7)]
+            cols: list[list] = [[] for _ in range(8)]
             for t in texts:
                 base, spans = all_spans(t, chance, threshold)
                 n = Counter(k for k, _, _ in base)
                 for c, v in zip(cols, (*(n[k] for k in BASE), hashlib.sha256(_digest(base).encode()).hexdigest(),
-                                       _digest(spans), len(spans) - len(base))):
+                                       _digest(spans), len(spans) - len(base), len(spans))):
                     c.append(v)
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] * 2
             yield pa.record_batch([pa.array(ids, pa.int64()), *(pa.array(c, k) for c, k in zip(cols, kinds))],
                                   [f.split()[0] for f in schema.split(", ")])
 
@@ -285,14 +359,15 @@ def mask(text: str, spans) -> str:
 def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` with all spans of ``find`` in ``text`` replaced by their kinds' names, row by row; null
     stays null. ``n_chars``, where it is there, becomes the new length of changed texts. All
-    columns and rows stay, whatever other columns are called."""
+    columns and rows stay, whatever other columns are called; repeated rows stay repeated, an empty table
+    stays empty. Time grows with a text's length, whatever runs of digits, dots or letters it holds."""
     weights = fit(docs)
     at = docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches):
         chance = _chances(weights) if weights is not None else None
-        for batch in batches:
+        for batch in text_slices(batches, at):
             texts = batch.column(at).to_pylist()
             new = []
             sizes = batch.column(chars).to_pylist() if chars is not None else None
