@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.rolling import over_series
+from tidemark.operators.scaling import null_safe_join
 
 # rule set of the original configuration (name, condition, severity)
 DEFAULT_RULES = (
@@ -46,6 +47,22 @@ def evaluate_rules(metrics: DataFrame, rules: Sequence[tuple[str, str, str]] = D
     return out
 
 
+def with_empty_windows(metrics: DataFrame, window: str, duration: str, keys: Sequence[str],
+                       zeros: Sequence[str]) -> DataFrame:
+    """``metrics`` with a row for every window of every key between the first and the last window of the table;
+    in the added rows the columns ``zeros`` are 0 and all others NULL.  A source that sends nothing has no
+    metrics row of its own, so a rule about silence can only hold on such a spine.  The windows are
+    made per key by ``sequence``; the table of keys is all that is repeated."""
+    keys = list(keys)
+    ends = metrics.agg(F.min(window).alias("a"), F.max(window).alias("b")).first()
+    if ends["a"] is None:
+        return metrics
+    kind = metrics.schema[window].dataType
+    spine = metrics.select(*keys).distinct().withColumn(window, F.explode(F.sequence(
+        F.lit(ends["a"]).cast(kind), F.lit(ends["b"]).cast(kind), F.expr(f"INTERVAL {duration}"))))
+    return null_safe_join(spine, metrics, [*keys, window], "left").fillna(0, list(zeros))
+
+
 def silent_sources(df: DataFrame, source: str = "source", ts: str = "timestamp",
                    tie: str | None = "event_id", gap_minutes: float = 60.0, as_of=None, **kw) -> DataFrame:
     """Gaps longer than ``gap_minutes`` between consecutive readings of a source.

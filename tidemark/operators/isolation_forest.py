@@ -4,12 +4,11 @@ Fit
 1. the value is used as it is: splits at ``min + u * (max - min)`` make the
    trees invariant to shifting and scaling, so standardising first would
    give the same forest;
-2. sample ``psi = min(max_samples, n)`` rows per tree without replacement.
-   Randomness is ``md5(id, seed)``: with ``n >= trees * psi`` the
-   ``trees * psi`` rows of smallest hash are dealt round-robin to the trees
-   (a narrow Bernoulli pre-filter keeps the top-k bounded, so no partition
-   ever ships more than a few thousand rows to the final top-k); otherwise
-   every tree ranks all rows by ``md5(id, seed, tree)`` and keeps ``psi``;
+2. sample ``psi = min(max_samples, n)`` rows per tree without replacement, by
+   one rule for every ``n``: the rows are shuffled by ``md5(id, seed, round)``
+   and each round deals its first rows in blocks of ``psi`` to ``n // psi`` trees
+   (all of them in one round where the rows suffice; a narrow Bernoulli pre-filter
+   keeps the shuffled part at a few times ``trees * psi`` rows whatever ``n``);
 3. grow all trees level by level with DataFrame rounds over the sample
    (``trees * psi`` rows at most): per node count / min / max, split at
    ``min + u * (max - min)`` with ``u = md5(seed, tree, node)``, left child
@@ -101,29 +100,24 @@ class IsolationForestDetector(Detector):
 
     # -- sampling ---------------------------------------------------------
     def _sample(self, x: DataFrame, n: int, psi: int) -> DataFrame:
-        """Materialized sample ``(tree, _x)``: ``trees * psi`` rows at most."""
+        """Materialized sample ``(tree, _x)`` of ``trees * psi`` rows."""
         T, seed, idc = self.n_estimators, self.seed, self.spec.id
-        if n >= T * psi:
-            k = T * psi
-            h = md5_unit(idc, F.lit(str(seed)))
-            # keep about 3k candidates with a narrow filter, then a bounded top-k;
-            # the rare short draw is detected on the written sample and redone wider
-            frac = min(1.0, 3.0 * k / n + 1e-9)
-            cand = x.select(idc, "_x", h.alias("_h"))
-            while True:
-                top = cand.where(F.col("_h") < F.lit(frac)).orderBy("_h", idc).limit(k)
-                # bounded (k rows): numbering them in one task is fine
-                w = Window.orderBy("_h", idc)
-                smp = materialize(top.select(((F.row_number().over(w) - 1) % T).cast("int").alias("tree"), "_x"),
-                                  "iforest-sample")
-                if frac >= 1.0 or smp.count() >= k:
-                    return smp
-                frac = min(1.0, frac * 2.0)
-        e = x.select(idc, "_x", F.explode(F.sequence(F.lit(0), F.lit(T - 1))).alias("tree"))
-        e = e.withColumn("_h", md5_unit(idc, F.lit(str(seed)), F.col("tree")))
-        w = Window.partitionBy("tree").orderBy("_h", idc)
-        return materialize(e.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= psi)
-                           .select("tree", "_x"), "iforest-sample")
+        per_round = min(T, n // psi)  # trees dealt from one shuffle
+        rounds = -(-T // per_round)
+        k = per_round * psi
+        e = x.select(idc, "_x", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("_round"))
+        e = e.withColumn("_h", md5_unit(idc, F.lit(str(seed)), F.col("_round")))
+        # bounded: about 3k rows a round pass the filter (all n where that is less)
+        w = Window.partitionBy("_round").orderBy("_h", idc)
+        frac = min(1.0, 3.0 * k / n + 1e-9)
+        while True:
+            dealt = e.where(F.col("_h") < F.lit(frac)).withColumn("_r", F.row_number().over(w) - 1).where(F.col("_r") < k)
+            tree = F.col("_round") * per_round + F.floor(F.col("_r") / psi).cast("int")
+            smp = materialize(dealt.select(tree.cast("int").alias("tree"), "_x").where(F.col("tree") < T), "iforest-sample")
+            # a draw that came short is done again with a wider filter
+            if frac >= 1.0 or smp.count() >= T * psi:
+                return smp
+            frac = min(1.0, frac * 2.0)
 
     # -- growth -----------------------------------------------------------
     def _grow(self, sample: DataFrame, psi: int) -> DataFrame:

@@ -7,18 +7,21 @@ explicit feature map::
 
     minimise 1/2 |w|^2 - rho + 1/(nu*n) * sum_i max(0, rho - w . phi(x_i))
 
-on the standardised value (``gamma='scale'`` = 1 / (n_features * var) = 1).
-
-The objective depends on the data only through the distribution of the
-standardised value, so the training rows are first reduced by ONE distributed
-aggregate to a weighted summary: counts per ``resolution``-wide bin of x
-(clamped to +-``clip`` standard deviations; at most ``2 * clip / resolution``
-rows whatever the data size).  The sub-gradient iterations (``w <- w - eta_t
-(w - sum_viol phi / (nu n))``, ``rho`` = the weighted ``nu``-quantile of
-``w . phi``) then run on that bounded summary.  Scoring is a pure column
-expression (64 cosines, whole-stage codegen).  Decision ``w . phi(x) - rho``;
-anomaly iff ``< 0``.  Not bit-equal to libsvm; checked by its properties
-(flagged share ~ nu, far values flagged).
+on the exact standardised value (``gamma='scale'`` = 1 / (n_features * var) = 1).
+
+The sub-gradient iterations are distributed: the standardised column is written
+once, and each step is one pass over it in which every task returns D partial
+sums (``sum of phi over the violators``) and a count, so the driver holds D + 1
+numbers whatever the data size::
+
+    w   <- w - eta_t (w - sum_viol phi / (nu n)),   eta_t = 1 / (t + 1)
+    rho <- rho - eta_t (share of violators - nu)
+
+The final ``rho`` is the exact ``nu``-quantile of ``w . phi`` (rank brackets),
+so the flagged share of the training rows is ``nu`` whatever their spread.
+Nothing is rounded or clamped.  Scoring is a pure column expression (D
+cosines, whole-stage codegen).  Decision ``w . phi(x) - rho``; anomaly iff
+``< 0``.  Not bit-equal to libsvm; the steps equal the same steps in SQL.
 """
 
 from __future__ import annotations
@@ -26,11 +29,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection, UnfittedModel
+from tidemark.operators.quantile import exact_percentile
 from tidemark.operators.scaling import fit_standard
+from tidemark.session import materialize
+
+#: rows whose features a task holds at once
+CHUNK_ROWS = 16_384
 
 
 def _phi(x: Column, W, B, D) -> list[Column]:
@@ -45,16 +54,31 @@ def _dot(phis: list[Column], w) -> Column:
     return out
 
 
-def _wquantile(v: np.ndarray, c: np.ndarray, q: float) -> float:
-    """Linearly interpolated q-quantile of values ``v`` with integer weights ``c``."""
-    order = np.argsort(v, kind="stable")
-    v, c = v[order], c[order]
-    cum = np.cumsum(c)
-    h = (cum[-1] - 1) * q
-    lo = int(np.floor(h))
-    i0 = int(np.searchsorted(cum, lo + 1))
-    i1 = int(np.searchsorted(cum, min(lo + 2, cum[-1])))
-    return float(v[i0] + (h - lo) * (v[i1] - v[i0]))
+def random_features(D: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequencies and phases of the map."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, math.sqrt(2.0 * gamma), D), rng.uniform(0.0, 2.0 * math.pi, D)
+
+
+def _sums(x: DataFrame, W: np.ndarray, B: np.ndarray, w: np.ndarray | None, rho: float) -> np.ndarray:
+    """(sums of phi over the rows with ``w . phi < rho``, their number); over all rows without ``w``.
+    Every task adds up its rows and returns one row."""
+    D = len(W)
+
+    def partial(batches):
+        total = np.zeros(D + 1)
+        for batch in batches:
+            v = batch.column(0).to_numpy()
+            for first in range(0, len(v), CHUNK_ROWS):
+                phi = math.sqrt(2.0 / D) * np.cos(np.outer(v[first:first + CHUNK_ROWS], W) + B)
+                if w is not None:
+                    phi = phi[phi @ w < rho]
+                total[:D] += phi.sum(axis=0)
+                total[D] += len(phi)
+        yield pa.record_batch([pa.array([c]) for c in total], [f"c{j}" for j in range(D + 1)])
+
+    sums = x.mapInArrow(partial, ", ".join(f"c{j} double" for j in range(D + 1)))
+    return np.array(sums.agg(*[F.sum(f"c{j}") for j in range(D + 1)]).first(), dtype=float)
 
 
 class OneClassSVMModel(Model):
@@ -81,45 +105,40 @@ class OneClassSVMDetector(Detector):
     name = "one_class_svm"
 
     def __init__(self, spec: SeriesSpec = READINGS, nu: float = 0.1, kernel: str = "rbf", gamma="scale",
-                 n_components: int = 64, max_iter: int = 200, random_state: int = 42,
-                 resolution: float = 1e-3, clip: float = 50.0, **_):
+                 n_components: int = 64, max_iter: int = 200, random_state: int = 42, tol: float = 1e-3, **_):
         super().__init__(spec)
         if kernel != "rbf":
             raise ValueError("only the rbf kernel is supported")
         self.nu, self.gamma, self.D = float(nu), gamma, int(n_components)
-        self.max_iter, self.seed = int(max_iter), int(random_state)
-        self.resolution, self.clip = float(resolution), float(clip)
+        self.max_iter, self.seed, self.tol = int(max_iter), int(random_state), float(tol)
 
     def fit(self, df: DataFrame) -> OneClassSVMModel:
+        """Stops after ``max_iter`` steps, or when no weight moves by more than ``tol``.  NULL, NaN and
+        infinite values are no readings."""
         spec = self.spec
-        sc = fit_standard(df, spec.value).params.first()
-        mean, sd = float(sc["_mean"] or 0.0), float(sc["_sd"] or 0.0)
-        x = ((F.col(spec.value).cast("double") - mean) / (sd or 1.0))
-        xb = F.round(F.greatest(F.least(x, F.lit(self.clip)), F.lit(-self.clip)) / self.resolution)
-        summary = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(xb.cast("bigint").alias("b"))
-                   .agg(F.count(F.lit(1)).alias("c")))
-        # bounded by 2 * clip / resolution rows, independent of the data size
-        rows = summary.collect()
-        if not rows:
+        v = F.col(spec.value).cast("double")
+        finite = df.select(v.alias(spec.value)).where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+        sc = fit_standard(finite, spec.value).params.first()
+        if sc["_mean"] is None:
             raise ValueError("cannot fit a one-class SVM on no rows")
-        xs = np.array([r["b"] for r in rows], dtype=float) * self.resolution
-        cs = np.array([r["c"] for r in rows], dtype=float)
-        n = cs.sum()
+        mean, sd = float(sc["_mean"]), float(sc["_sd"] or 0.0)
+        x = materialize(finite.select(((F.col(spec.value) - mean) / (sd or 1.0)).alias("x")), "svm-values")
         gamma = 1.0 if self.gamma in ("scale", "auto") else float(self.gamma)
-        rng = np.random.default_rng(self.seed)
-        W = rng.normal(0.0, math.sqrt(2.0 * gamma), self.D)
-        B = rng.uniform(0.0, 2.0 * math.pi, self.D)
-        phi = math.sqrt(2.0 / self.D) * np.cos(np.outer(xs, W) + B)
-        w = (cs[:, None] * phi).sum(axis=0) / n
-        rho = _wquantile(phi @ w, cs, self.nu)
+        W, B = random_features(self.D, gamma, self.seed)
+        first = _sums(x, W, B, None, 0.0)
+        n, w = first[-1], first[:-1] / first[-1]
+        rho = float(w @ w)
         for t in range(1, self.max_iter + 1):
-            f = phi @ w
-            viol = f < rho
-            grad = w - (cs[viol, None] * phi[viol]).sum(axis=0) / (self.nu * n)
-            w = w - (1.0 / (t + 1.0)) * grad
-            rho = _wquantile(phi @ w, cs, self.nu)
-        return OneClassSVMModel(spec, mean, sd, W, B, w, float(rho),
-                                {"nu": self.nu, "gamma": gamma, "n_components": self.D, "n_train": int(n)})
+            s = _sums(x, W, B, w, rho)
+            eta = 1.0 / (t + 1.0)
+            move = eta * (w - s[:-1] / (self.nu * n))
+            w, rho = w - move, rho - eta * (s[-1] / n - self.nu)
+            if np.abs(move).max() < self.tol:
+                break
+        f = _dot(_phi(F.col("x"), W, B, self.D), w)
+        rho = float(exact_percentile(x.select(f.alias("f")), "f", self.nu).first()[0])
+        return OneClassSVMModel(spec, mean, sd, W, B, w, rho,
+                                {"nu": self.nu, "gamma": gamma, "n_components": self.D, "n_train": int(n), "steps": t if self.max_iter else 0})
 
     def unfitted(self):
         return UnfittedModel("unknown")

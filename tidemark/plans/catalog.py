@@ -160,23 +160,20 @@ def _iforest_sql(train_sql: str, score_sql: str, trees: int = 100, psi_max: int
                  contamination: float = 0.1, digits: int | None = 6) -> str:
     """Isolation forest grown level by level in SQL with the same md5 randomness."""
     import math
-    k = trees * psi_max
     depth = int(math.ceil(math.log2(psi_max)))
-    h0 = _u(f"concat_ws('|', CAST(id AS VARCHAR), '{seed}')")
-    ht = _u(f"concat_ws('|', CAST(id AS VARCHAR), '{seed}', CAST(tree AS VARCHAR))")
+    hr = _u(f"concat_ws('|', CAST(id AS VARCHAR), '{seed}', CAST(round AS VARCHAR))")
     us = _u(f"concat_ws('|', 'split{seed}', CAST(tree AS VARCHAR), CAST(node AS VARCHAR))")
     c = ("CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 "
          "ELSE 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} END")
     ctes = [f"tr AS ({train_sql})",
             "nn AS (SELECT count(*) AS n FROM tr)",
-            f"big AS (SELECT id, x, CAST((row_number() OVER (ORDER BY h, id) - 1) % {trees} AS INTEGER) AS tree "
-            f"FROM (SELECT id, x, {h0} AS h FROM tr ORDER BY h, id LIMIT {k}) t)",
-            f"small AS (SELECT tree, x FROM (SELECT id, x, tree, row_number() OVER (PARTITION BY tree ORDER BY h, id) AS j "
-            f"FROM (SELECT id, x, tree, {ht} AS h FROM tr, (SELECT CAST(unnest(range({trees})) AS INTEGER) AS tree) tt) e) e2 "
-            f"WHERE j <= {psi_max})",
-            f"s0 AS (SELECT tree, x, CAST(1 AS BIGINT) AS node, CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi "
-            f"FROM (SELECT tree, x FROM big WHERE (SELECT n FROM nn) >= {k} "
-            f"UNION ALL SELECT tree, x FROM small WHERE (SELECT n FROM nn) < {k}) smp)"]
+            f"m AS (SELECT least({psi_max}, n) AS psi, least({trees}, n // least({psi_max}, n)) AS per_round FROM nn)",
+            f"rounds AS (SELECT CAST(unnest(range(CAST(ceil({trees} / per_round) AS BIGINT))) AS INTEGER) AS round FROM m)",
+            f"deal AS (SELECT x, round, row_number() OVER (PARTITION BY round ORDER BY h, id) - 1 AS r "
+            f"FROM (SELECT id, x, round, {hr} AS h FROM tr, rounds) e)",
+            f"s0 AS (SELECT CAST(round * per_round + r // psi AS INTEGER) AS tree, x, CAST(1 AS BIGINT) AS node, "
+            f"CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi "
+            f"FROM deal, m WHERE r < per_round * psi AND round * per_round + r // psi < {trees})"]
     leaves = []
     for d in range(depth + 1):
         ctes.append(f"st{d} AS (SELECT tree, node, lo, hi, count(*) AS cnt, min(x) AS mn, max(x) AS mx "
@@ -434,6 +431,65 @@ def drift_psi(spark, sf):
                       ("base_mean", "base_std", "cur_mean", "cur_std")], "base_n", "cur_n")
 
 
+DRIFT_NULLS_SQL = f"""
+WITH ev AS (SELECT source, value, timestamp < (SELECT min(ts) FROM events) + INTERVAL 15 DAY AS is_base FROM ({{BROKEN}}) b),
+rng AS (SELECT source, min(value) AS mn, max(value) AS mx, avg(value) AS base_mean, count(value) AS base_n,
+               count(*) - count(value) AS base_nulls FROM ev WHERE is_base GROUP BY 1),
+cur AS (SELECT source, avg(value) AS cur_mean, count(value) AS cur_n, count(*) - count(value) AS cur_nulls FROM ev WHERE NOT is_base GROUP BY 1),
+b AS (SELECT ev.source, is_base, CAST(least(greatest(floor((value - mn) / (mx - mn) * 10), 0), 9) AS INTEGER) AS bin
+      FROM ev JOIN rng USING (source) WHERE value IS NOT NULL),
+h AS (SELECT source, bin, count(*) FILTER (WHERE is_base) AS nb, count(*) FILTER (WHERE NOT is_base) AS nc FROM b GROUP BY 1, 2),
+p AS (SELECT source, greatest(nc / cur_n, 1e-6) AS pc, greatest(nb / base_n, 1e-6) AS pb FROM h JOIN rng USING (source) JOIN cur USING (source))
+SELECT source, round(sum((pc - pb) * ln(pc / pb)), 6) AS psi, sum((pc - pb) * ln(pc / pb)) > 0.2 AS drift,
+       any_value({D6("base_mean")}) AS base_mean, any_value({D6("cur_mean")}) AS cur_mean, any_value(base_n) AS base_n,
+       any_value(cur_n) AS cur_n, any_value(base_nulls) AS base_nulls, any_value(cur_nulls) AS cur_nulls
+FROM p JOIN rng USING (source) JOIN cur USING (source) GROUP BY source"""
+
+
+@register("drift_nulls")
+def drift_nulls(spark, sf):
+    """Drift over readings some of which are NULL or NaN: they are counted apart and move neither bins nor means."""
+    from tidemark.operators.drift import psi
+    ev = tb.readings(spark, sf).withColumn("value", _broken_value())
+    cut = F.lit(ev.agg(F.min("timestamp")).first()[0]) + F.expr("INTERVAL 15 DAYS")
+    out = psi(ev.where(F.col("timestamp") < cut), ev.where(F.col("timestamp") >= cut), "value", ["source"])
+    return out.select("source", r6("psi").alias("psi"), "drift", dec6("base_mean").alias("base_mean"),
+                      dec6("cur_mean").alias("cur_mean"), "base_n", "cur_n", "base_nulls", "cur_nulls")
+
+
+@register("drift_quantiles", """
+WITH e AS (SELECT event_type AS source, ts, value FROM events),
+cut AS (SELECT time_bucket(INTERVAL '1 day', min(ts)) + INTERVAL 10 DAY AS c FROM e),
+base AS (SELECT source, value, row_number() OVER (PARTITION BY source ORDER BY value) AS rn, count(*) OVER (PARTITION BY source) AS n
+         FROM e, cut WHERE ts < c),
+cur AS (SELECT source, time_bucket(INTERVAL '1 day', ts) AS window_start, value FROM e, cut WHERE ts >= c),
+ranked AS (SELECT value, row_number() OVER (ORDER BY value) AS rn, count(*) OVER () AS n FROM base),
+ed AS (SELECT i, min(value) AS edge FROM ranked, range(1, 10) t(i) WHERE rn * 10 >= i * n GROUP BY 1),
+bu AS (SELECT source, i, count(*) FILTER (WHERE value <= edge) / count(*) AS u FROM ed, base GROUP BY 1, 2),
+cu AS (SELECT source, window_start, i, count(*) FILTER (WHERE value <= edge) / count(*) AS u FROM ed, cur GROUP BY 1, 2, 3),
+j AS (SELECT cu.source, window_start, i, bu.u AS b, cu.u AS c, coalesce(lag(bu.u) OVER w, 0) AS b0, coalesce(lag(cu.u) OVER w, 0) AS c0
+      FROM cu JOIN bu USING (source, i) WINDOW w AS (PARTITION BY cu.source, window_start ORDER BY i)),
+s AS (SELECT source, window_start, greatest(b - b0, 1e-6) AS pb, greatest(c - c0, 1e-6) AS pc FROM j
+      UNION ALL SELECT source, window_start, greatest(1 - b, 1e-6), greatest(1 - c, 1e-6) FROM j WHERE i = 9),
+med AS (SELECT source, min(value) AS base_median, any_value(n) AS base_n FROM base WHERE rn * 2 >= n GROUP BY 1),
+cm AS (SELECT source, window_start, min(value) AS median, any_value(n) AS n FROM (
+         SELECT *, row_number() OVER (PARTITION BY source, window_start ORDER BY value) AS rn, count(*) OVER (PARTITION BY source, window_start) AS n FROM cur) x
+       WHERE rn * 2 >= n GROUP BY 1, 2)
+SELECT source, window_start, any_value(n) AS n, any_value(base_n) AS base_n, round(any_value(base_median), 6) AS base_median,
+       round(any_value(median), 6) AS median, round(sum((pc - pb) * ln(pc / pb)), 6) AS psi, sum((pc - pb) * ln(pc / pb)) > 0.2 AS drift
+FROM s JOIN med USING (source) JOIN cm USING (source, window_start) GROUP BY 1, 2""")
+def drift_quantiles(spark, sf):
+    """One sketch per source and day in one scan; the first ten days merged are the baseline of the others."""
+    from tidemark.operators.sketches import merge_sketches, quantile_drift, window_sketches
+    from tidemark.session import materialize
+    days = materialize(window_sketches(tb.readings(spark, sf), ["source"], "timestamp", "1 day"), "sketches")
+    cut = F.lit(days.agg(F.min("window_start")).first()[0]) + F.expr("INTERVAL 10 DAYS")
+    base = merge_sketches(days.where(F.col("window_start") < cut), ["source"])
+    out = quantile_drift(base, days.where(F.col("window_start") >= cut), ["source"])
+    return out.select("source", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", "base_n",
+                      r6("base_median").alias("base_median"), r6("median").alias("median"), r6("psi").alias("psi"), "drift")
+
+
 @register("pipeline_metrics", f"""
 WITH good AS (SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start, count(*) AS processed_count,
                      count(*) FILTER (WHERE is_anomaly) AS anomaly_count
@@ -458,18 +514,24 @@ def pipeline_metrics_q(spark, sf):
 
 
 @register("alert_rules", f"""
+WITH m AS (SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start, source, count(*) AS n,
+                  count(*) FILTER (WHERE is_anomaly) / count(*) AS anomaly_rate
+           FROM ({ZRES_SQL}) r GROUP BY 1, 2),
+spine AS (SELECT source, unnest(generate_series((SELECT min(window_start) FROM m), (SELECT max(window_start) FROM m), INTERVAL '1 hour')) AS window_start
+          FROM (SELECT DISTINCT source FROM m) s),
+h AS (SELECT spine.window_start, spine.source, coalesce(n, 0) AS n, coalesce(anomaly_rate, 0.0) AS anomaly_rate
+      FROM spine LEFT JOIN m USING (source, window_start))
 SELECT 'high_anomaly_rate' AS rule, 'warning' AS severity, 'anomaly_rate > 0.1' AS condition,
-       window_start, source, round(anomaly_rate, 6) AS anomaly_rate FROM (
-  SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start, source,
-         count(*) FILTER (WHERE is_anomaly) / count(*) AS anomaly_rate
-  FROM ({ZRES_SQL}) r GROUP BY 1, 2) m
-WHERE anomaly_rate > 0.1""")
+       window_start, source, round(anomaly_rate, 6) AS anomaly_rate FROM h WHERE anomaly_rate > 0.1
+UNION ALL
+SELECT 'service_down', 'critical', 'service_health == 0', window_start, source, 0.0 FROM h WHERE n = 0""")
 def alert_rules_q(spark, sf):
     from tidemark.operators import aggregates as ag
-    from tidemark.operators.alerts import evaluate_rules
+    from tidemark.operators.alerts import evaluate_rules, with_empty_windows
     res = zscore_results(spark, sf)
     m = ag.processing_statistics(res.withColumn("window_start", F.window("timestamp", "1 hour").start),
                                  ["window_start", "source"])
+    m = with_empty_windows(m, "window_start", "1 hour", ["source"], ["processed_count", "anomaly_rate"])
     m = m.withColumn("service_health", (F.col("processed_count") > 0).cast("int"))
     a = evaluate_rules(m, keep=["window_start", "source", "anomaly_rate"])
     return a.withColumn("anomaly_rate", r6("anomaly_rate"))
@@ -764,31 +826,70 @@ def one_class_svm_scores(spark, sf):
     return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
 
 
-LOF_SQL = f"""
-WITH tr AS (SELECT event_id AS id, value AS x FROM events),
+def _svm_sql(src: str, nu: float, D: int, steps: int, seed: int = 42) -> str:
+    """The sub-gradient steps of the one-class SVM, unrolled: ``s{t}`` holds the weights and rho after step t."""
+    from tidemark.operators.ocsvm import random_features
+    W, B = random_features(D, 1.0, seed)
+    scale = repr((2.0 / D) ** 0.5)
+    js = range(D)
+    phi = ", ".join(f"{scale} * cos((x - m) / sd * {float(W[j])!r} + {float(B[j])!r}) AS p{j}" for j in js)
+    dot = " + ".join(f"p{j} * a{j}" for j in js)
+    ctes = [f"src AS ({src})",
+            "st AS (SELECT avg(x) AS m, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd FROM src)",
+            f"p AS MATERIALIZED (SELECT id, {phi} FROM src, st)",
+            f"w0 AS (SELECT {', '.join(f'avg(p{j}) AS a{j}' for j in js)} FROM p)",
+            f"s0 AS MATERIALIZED (SELECT *, {' + '.join(f'a{j} * a{j}' for j in js)} AS rho FROM w0)"]
+    for t in range(1, steps + 1):
+        eta = repr(1.0 / (t + 1.0))
+        cols = ", ".join(f"any_value(a{j}) - {eta} * (any_value(a{j}) - coalesce(sum(p{j}) FILTER (WHERE v), 0) / ({nu} * count(*))) AS a{j}" for j in js)
+        ctes.append(f"s{t} AS MATERIALIZED (SELECT {cols}, any_value(rho) - {eta} * (count(*) FILTER (WHERE v) / count(*) - {nu}) AS rho "
+                    f"FROM (SELECT *, {dot} < rho AS v FROM p, s{t - 1}) x)")
+    return (f"WITH {', '.join(ctes)}, f AS (SELECT id, {dot} AS f FROM p, s{steps}), q AS (SELECT quantile_cont(f, {nu}) AS r FROM f) "
+            "SELECT id AS event_id, f - r < 0 AS is_anomaly, round(least(greatest(r - f, 0), 1), 6) AS anomaly_score FROM f, q")
+
+
+@register("one_class_svm_steps", _svm_sql("SELECT event_id AS id, value AS x FROM events", 0.1, 16, 20))
+def one_class_svm_steps(spark, sf):
+    """A fixed number of distributed steps on 16 features, the same as the unrolled SQL."""
+    from tidemark.operators.ocsvm import OneClassSVMDetector
+    m = OneClassSVMDetector(GLOBAL_EVENTS, nu=0.1, n_components=16, max_iter=20, tol=0.0).fit(tb.readings(spark, sf))
+    out = m.transform(tb.readings(spark, sf))
+    return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
+
+
+def _lof_sql(train: str, score: str, k: int = 20, contamination: float = 0.1) -> str:
+    """(event_id, dec): the decision of LOF with neighbours in rank order, fitted on ``train`` and applied to ``score`` (both id, x)."""
+    return f"""
+WITH tr AS ({train}), te AS ({score}),
 sdv AS (SELECT CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd FROM tr),
 p AS (SELECT id, x, row_number() OVER (ORDER BY x, id) AS rn FROM tr),
 c AS (SELECT a.rn, b.rn AS nrn, abs(a.x - b.x) AS dr
-      FROM p a JOIN p b ON b.rn BETWEEN a.rn - 20 AND a.rn + 20 AND b.rn <> a.rn),
+      FROM p a JOIN p b ON b.rn BETWEEN a.rn - {k} AND a.rn + {k} AND b.rn <> a.rn),
 nb AS (SELECT rn, nrn, dr / (SELECT sd FROM sdv) AS d
-       FROM (SELECT *, row_number() OVER (PARTITION BY rn ORDER BY dr, nrn) AS j FROM c) c2 WHERE j <= 20),
+       FROM (SELECT *, row_number() OVER (PARTITION BY rn ORDER BY dr, nrn) AS j FROM c) c2 WHERE j <= {k}),
 kd AS (SELECT rn, max(d) AS kd FROM nb GROUP BY rn),
 lrd AS (SELECT nb.rn, 1.0 / (avg(greatest(nb.d, kd.kd)) + 1e-10) AS lrd
         FROM nb JOIN kd ON kd.rn = nb.nrn GROUP BY nb.rn),
 tl AS (SELECT nb.rn, avg(l2.lrd) / any_value(l1.lrd) AS lof
        FROM nb JOIN lrd l2 ON l2.rn = nb.nrn JOIN lrd l1 ON l1.rn = nb.rn GROUP BY nb.rn),
-off AS (SELECT quantile_cont(-lof, 0.1) AS off_v FROM tl),
-u AS (SELECT x, 0 AS f, rn AS id FROM p UNION ALL SELECT value AS x, 1 AS f, event_id AS id FROM events),
+off AS (SELECT quantile_cont(-lof, {contamination}) AS off_v FROM tl),
+u AS (SELECT x, 0 AS f, rn AS id FROM p UNION ALL SELECT x, 1 AS f, id FROM te),
 r AS (SELECT id, x, r FROM (
         SELECT id, x, f, row_number() OVER (ORDER BY x, f, id)
                          - row_number() OVER (PARTITION BY f ORDER BY x, id) AS r FROM u) u2 WHERE f = 1),
-nc AS (SELECT r.id, p.rn, abs(p.x - r.x) AS dr FROM r JOIN p ON p.rn BETWEEN r.r - 19 AND r.r + 20),
+nc AS (SELECT r.id, p.rn, abs(p.x - r.x) AS dr FROM r JOIN p ON p.rn BETWEEN r.r - {k - 1} AND r.r + {k}),
 nn AS (SELECT id, rn, dr / (SELECT sd FROM sdv) AS d
-       FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dr, rn) AS j FROM nc) n2 WHERE j <= 20),
+       FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dr, rn) AS j FROM nc) n2 WHERE j <= {k}),
 sc AS (SELECT nn.id, avg(lrd.lrd) * (avg(greatest(nn.d, kd.kd)) + 1e-10) AS lof
        FROM nn JOIN kd ON kd.rn = nn.rn JOIN lrd ON lrd.rn = nn.rn GROUP BY nn.id)
-SELECT id AS event_id, (-lof - off_v) < 0 AS is_anomaly, round(1 - (-lof - off_v), 6) AS reference_score
-FROM sc, off"""
+SELECT id AS event_id, -lof - off_v AS dec FROM sc, off"""
+
+
+_EVENT_VALUES = "SELECT event_id AS id, value AS x FROM events"
+
+
+LOF_SQL = (f"SELECT event_id, dec < 0 AS is_anomaly, round(1 - dec, 6) AS reference_score FROM "
+           f"({_lof_sql(_EVENT_VALUES, _EVENT_VALUES)}) l")
 
 
 @register("lof_scores", LOF_SQL)
@@ -822,6 +923,72 @@ def ensemble_scores(spark, sf):
                       "anomaly_type")
 
 
+def _default_ensemble_sql(columns: str = "z.event_id") -> str:
+    """The configured ensemble: forest 0.4, LOF 0.3, rolling z-score 0.3."""
+    forest = _iforest_sql(_EVENT_VALUES, _EVENT_VALUES, contamination=0.1, digits=None)
+    z = _zscore_sql("event_id, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value", digits=None)
+    score = "(0.4 * f.anomaly_score + 0.3 * least(greatest(-l.dec, 0), 1) + 0.3 * z.anomaly_score)"
+    return f"""
+SELECT {columns}, {score} > 0.5 AS is_anomaly, round({score}, 6) AS anomaly_score, 'ensemble' AS anomaly_type,
+       z.is_anomaly AS zscore_flag, l.dec < 0 AS lof_flag, f.is_anomaly AS forest_flag
+FROM ({z}) z JOIN ({forest}) f USING (event_id) JOIN ({_lof_sql(_EVENT_VALUES, _EVENT_VALUES)}) l USING (event_id)"""
+
+
+def _default_members(spark, sf):
+    """The three members: forest and LOF fitted on all events, rolling z-score per source with empty buffers."""
+    from tidemark.operators.isolation_forest import IsolationForestDetector
+    from tidemark.operators.lof import LOFDetector
+    ev = tb.readings(spark, sf)
+    return {"isolation_forest": IsolationForestDetector(GLOBAL_EVENTS, contamination=0.1).fit(ev),
+            "lof": LOFDetector(GLOBAL_EVENTS, contamination=0.1, n_neighbors=20).fit(ev),
+            "statistical": st.StatisticalDetector(EVENTS_BY_TYPE, "zscore").model()}
+
+
+DEFAULT_WEIGHTS = {"isolation_forest": 0.4, "lof": 0.3, "statistical": 0.3}
+
+
+def _ensemble_columns(out, *first: str):
+    dr = F.col("detector_results")
+    return out.select(*first, "is_anomaly", r6("anomaly_score").alias("anomaly_score"), "anomaly_type",
+                      *[dr[m]["is_anomaly"].alias(n) for m, n in (("statistical", "zscore_flag"), ("lof", "lof_flag"),
+                                                                  ("isolation_forest", "forest_flag"))])
+
+
+@register("ensemble_default", _default_ensemble_sql())
+def ensemble_default(spark, sf):
+    from tidemark.operators.ensemble import EnsembleModel
+    model = EnsembleModel(_default_members(spark, sf), DEFAULT_WEIGHTS, 0.5, False)
+    return _ensemble_columns(model.transform(tb.readings(spark, sf)), "event_id")
+
+
+@register("registry_ensemble", _default_ensemble_sql())
+def registry_ensemble(spark, sf):
+    """The default ensemble saved twice, the later version loaded by name and applied."""
+    from tidemark.operators.ensemble import EnsembleModel
+    from tidemark.plans import registry
+    from tidemark.session import scratch_path
+    root, members = scratch_path(spark, "registry"), _default_members(spark, sf)
+    registry.save_model(spark, EnsembleModel(members, {"statistical": 1.0}, 0.9, False), root, "default")
+    registry.save_model(spark, EnsembleModel(members, DEFAULT_WEIGHTS, 0.5, False), root, "default")
+    return _ensemble_columns(registry.load_latest(spark, root, "default").transform(tb.readings(spark, sf)), "event_id")
+
+
+@register("registry_baseline", """
+WITH b AS (SELECT event_type AS source, avg(value) AS m, stddev_pop(value) AS sd FROM events GROUP BY 1)
+SELECT event_id, coalesce(sd > 0 AND abs((value - m) / sd) > 3.0, false) AS is_anomaly,
+       round(CASE WHEN sd > 0 THEN least(abs((value - m) / sd) / 3.0, 1.0) ELSE 0.0 END, 6) AS anomaly_score
+FROM events JOIN b ON event_type = source""")
+def registry_baseline(spark, sf):
+    """The per-source baseline, saved, loaded by name and applied."""
+    from tidemark.plans import registry
+    from tidemark.session import scratch_path
+    from tidemark.streaming.scoring import BaselineModel
+    root = scratch_path(spark, "registry")
+    registry.save_model(spark, BaselineModel.fit(tb.readings(spark, sf), ["source"], "value", 3.0), root, "baseline")
+    out = registry.load_latest(spark, root, "baseline").transform(tb.readings(spark, sf))
+    return out.select("event_id", "is_anomaly", r6("anomaly_score").alias("anomaly_score"))
+
+
 # ---------------------------------------------------------------- I1-I5, A9-A10 training, selection, registry
 
 
@@ -838,9 +1005,12 @@ def _train_many_sql() -> str:
     zval = f"SELECT event_id, label, is_anomaly AS pred, anomaly_score AS s FROM ({z}) z WHERE seg = 1"
     fval = (f"SELECT f.event_id, i.is_anomaly AS label, f.is_anomaly AS pred, f.anomaly_score AS s "
             f"FROM ({forest}) f JOIN ({INJECTED_SQL}) i USING (event_id)")
-    ens = (f"SELECT z.event_id, z.label, (0.6 * f.s + 0.4 * z.s) / 1.0 > 0.5 AS pred "
-           f"FROM ({zval}) z JOIN ({fval}) f USING (event_id)")
-    parts = [(0, "isolation_forest", fval), (1, "statistical", zval), (2, "ensemble", ens)]
+    lof = _lof_sql(train, valid, contamination=0.05)
+    lval = (f"SELECT l.event_id, i.is_anomaly AS label, l.dec < 0 AS pred, least(greatest(-l.dec, 0), 1) AS s "
+            f"FROM ({lof}) l JOIN ({INJECTED_SQL}) i USING (event_id)")
+    ens = (f"SELECT z.event_id, z.label, (0.4 * f.s + 0.3 * l.s + 0.3 * z.s) > 0.5 AS pred "
+           f"FROM ({zval}) z JOIN ({fval}) f USING (event_id) JOIN ({lval}) l USING (event_id)")
+    parts = [(0, "isolation_forest", fval), (1, "statistical", zval), (2, "lof", lval), (3, "ensemble", ens)]
     return " UNION ALL ".join(
         f"SELECT {i} AS trial_order, '{name}' AS model_type, r.*, CAST(NULL AS VARCHAR) AS error "
         f"FROM ({_report_sql(src)}) r" for i, name, src in parts)
@@ -855,12 +1025,13 @@ def train_many_q(spark, sf):
     from tidemark.plans.training import train_many
     data = hash_split(_labelled_events(spark, sf), "event_id", 0.7)
     spec = SeriesSpec(("source",), ("timestamp", "event_id"), "value", "event_id")
-    cfgs = {"ensemble": {"detectors": {"isolation_forest": {"contamination": 0.05},
+    lof = {"contamination": 0.05, "n_neighbors": 20}
+    cfgs = {"ensemble": {"detectors": {"isolation_forest": {"contamination": 0.05}, "lof": lof,
                                        "statistical": {"method": "zscore", "threshold": 3.0}},
-                         "weights": {"isolation_forest": 0.6, "statistical": 0.4}, "threshold": 0.5},
-            "isolation_forest": {"contamination": 0.05}}
+                         "weights": DEFAULT_WEIGHTS, "threshold": 0.5},
+            "isolation_forest": {"contamination": 0.05}, "lof": lof}
     res, _ = train_many(spark, data.where("is_train").drop("is_train"), data.where("not is_train").drop("is_train"),
-                        ["isolation_forest", "statistical", "ensemble"], cfgs, spec)
+                        ["isolation_forest", "statistical", "lof", "ensemble"], cfgs, spec)
     return res.select("trial_order", "model_type", *[r6(c).alias(c) for c in
                                                      ("precision", "recall", "f1_score", "accuracy")], "error")
 
@@ -952,6 +1123,14 @@ def _run_to_table(spark, df, name: str, mode: str = "append"):
     return spark.read.parquet(out)
 
 
+BASELINE_SQL = """
+WITH b AS (SELECT event_type, avg(value) AS m, stddev_pop(value) AS sd FROM events GROUP BY 1)
+SELECT e.event_id, e.ts AS timestamp, e.event_type AS source, 'user_' || CAST(e.user_id AS VARCHAR) AS metric,
+       e.value, coalesce(b.sd > 0 AND abs((e.value - b.m) / b.sd) > 3.0, false) AS is_anomaly,
+       CASE WHEN b.sd > 0 THEN least(abs((e.value - b.m) / b.sd) / 3.0, 1.0) ELSE 0.0 END AS anomaly_score
+FROM events e JOIN b USING (event_type)"""
+
+
 @register("stream_window_stats", f"""
 WITH w AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
                   time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, event_type AS source,
@@ -1001,20 +1180,19 @@ def stream_zscore(spark, sf):
     return out.select("event_id", "source", "value", *detection_cols())
 
 
-@register("stream_zscore_event_time",
-          "SELECT event_id, source, value, is_anomaly, anomaly_score, anomaly_type FROM ("
-          + _zscore_sql("event_id, timestamp, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id",
-                        "value")
-          + ") z WHERE timestamp <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY")
-def stream_zscore_event_time(spark, sf):
-    """Out-of-order replay (per time slice, odd ids arrive before even ids);
-    rows wait for the watermark and are scored in event-time order.  Rows
-    newer than the final watermark (max time - 2 days) stay pending."""
+def _heartbeat(rows, time_col: str, ahead: str):
+    """One row without any value, later than all others: lets the watermark of a finished replay pass them."""
+    late = rows.agg((F.max(time_col) + F.expr(f"INTERVAL {ahead}")).alias(time_col))
+    return late.select(*[F.col(time_col) if f.name == time_col else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+
+
+def _out_of_order_events(spark, sf, nulls: bool = False):
+    """The events as a stream in which odd ids arrive before even ids, in two time slices, and a heartbeat at the end."""
     from tidemark.session import scratch_path
     from tidemark.streaming.stats import read_stream
-    from tidemark.streaming.stateful import rolling_detector_event_time
+    value = _broken_value() if nulls else F.col("value")
     ev = tb.readings(spark, sf).select("event_id", F.col("timestamp").cast("timestamp").alias("event_time"),
-                                       "source", "value")
+                                       "source", value.alias("value"))
     replay = scratch_path(spark, "events-ooo")
     lo, hi = ev.agg(F.min(F.col("event_time").cast("double")), F.max(F.col("event_time").cast("double"))).first()
     step, i = (hi - lo) / 2, 0
@@ -1022,15 +1200,131 @@ def stream_zscore_event_time(spark, sf):
         t = F.col("event_time").cast("double")
         sl = ev.where((t >= lo + k * step) & ((t < lo + (k + 1) * step) if k == 0 else F.lit(True)))
         for par in (1, 0):
-            sl.where(F.col("event_id") % 2 == par).write.parquet(f"{replay}/p{i}")
+            sl.where(F.col("event_id") % 2 == par).coalesce(1).write.parquet(f"{replay}/p{i}")
             i += 1
-    s = read_stream(spark, "parquet", f"{replay}/p*", ev.schema, max_files_per_trigger=1)
-    scored = rolling_detector_event_time(s, ["source"], "event_time", "event_id", "value", "zscore",
-                                         watermark="2 days")
+    _heartbeat(ev, "event_time", "60 days").coalesce(1).write.parquet(f"{replay}/p{i}")
+    return read_stream(spark, "parquet", f"{replay}/p*", ev.schema, max_files_per_trigger=1)
+
+
+def _broken_value():
+    """The value, NULL or NaN for some rows chosen by id."""
+    return (F.when(F.col("event_id") % 53 == 0, F.lit(None).cast("double")).when(F.col("event_id") % 47 == 0, F.lit(float("nan")))
+            .otherwise(F.col("value")))
+
+
+BROKEN_SQL = ("SELECT event_id, ts AS timestamp, event_type AS source, "
+              "CASE WHEN event_id % 53 = 0 OR event_id % 47 = 0 THEN NULL ELSE value END AS value FROM events")
+
+
+ORACLE["drift_nulls"] = DRIFT_NULLS_SQL.format(BROKEN=BROKEN_SQL)
+
+
+@register("rolling_zscore_nulls", "SELECT event_id, source, coalesce(is_anomaly, false) AS is_anomaly, "
+          "CASE WHEN is_anomaly IS NULL THEN 0.0 ELSE anomaly_score END AS anomaly_score, anomaly_type FROM ("
+          + _zscore_sql("event_id, source", BROKEN_SQL, "source", "timestamp, event_id", "value") + ") z")
+def rolling_zscore_nulls(spark, sf):
+    ev = tb.readings(spark, sf).withColumn("value", _broken_value())
+    return st.rolling_zscore(ev, EVENTS_BY_TYPE).select("event_id", "source", *detection_cols())
+
+
+@register("stream_zscore_nulls", "SELECT event_id, source, coalesce(is_anomaly, false) AS is_anomaly, "
+          "CASE WHEN is_anomaly IS NULL THEN 0.0 ELSE anomaly_score END AS anomaly_score, anomaly_type FROM ("
+          + _zscore_sql("event_id, source", BROKEN_SQL, "source", "timestamp, event_id", "value") + ") z")
+def stream_zscore_nulls(spark, sf):
+    from tidemark.streaming.timers import rolling_detector_event_time
+    scored = rolling_detector_event_time(_out_of_order_events(spark, sf, nulls=True), ["source"], "event_time", "event_id",
+                                         "value", "zscore", watermark="30 days")
+    return _run_to_table(spark, scored, "stream-zscore-nulls").select("event_id", "source", *detection_cols())
+
+
+@register("stream_zscore_event_time",
+          _zscore_sql("event_id, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value"))
+def stream_zscore_event_time(spark, sf):
+    """Out-of-order replay (per time slice, odd ids arrive before even ids): rows wait in state for the
+    watermark, timers score them in event-time order, and a heartbeat at the end lets all of them out."""
+    from tidemark.streaming.timers import rolling_detector_event_time
+    scored = rolling_detector_event_time(_out_of_order_events(spark, sf), ["source"], "event_time", "event_id", "value",
+                                         "zscore", watermark="30 days")
     out = _run_to_table(spark, scored, "stream-zscore-et")
     return out.select("event_id", "source", "value", *detection_cols())
 
 
+@register("stream_service_down", """
+SELECT source, ts AS last_seen, ts + INTERVAL 90 MINUTE AS due FROM (
+  SELECT event_type AS source, ts, lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS following FROM events) g
+WHERE following IS NULL OR date_diff('microsecond', ts, following) > 90 * 60000000""")
+def stream_service_down(spark, sf):
+    """Silences longer than 90 minutes, told by timers; the heartbeat shows that every source has stopped at the end."""
+    from tidemark.streaming.timers import silent_sources_stream
+    down = silent_sources_stream(_out_of_order_events(spark, sf), ["source"], "event_time", "90 minutes", "30 days")
+    out = _run_to_table(spark, down, "service-down").where("source IS NOT NULL")
+    return out.select("source", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), F.col("due").cast("timestamp_ntz").alias("due"))
+
+
+@register("stream_accuracy", f"""
+WITH p AS (SELECT event_id, source, timestamp, is_anomaly FROM ({BASELINE_SQL}) s),
+l AS (SELECT event_id, event_id % 7 = 0 OR value > 200 AS label FROM events WHERE (event_id * 7) % 120 <= 60 AND event_id % 5 <> 0),
+j AS (SELECT time_bucket(INTERVAL '1 day', timestamp) AS window_start, source, is_anomaly AS p, label AS y FROM p LEFT JOIN l USING (event_id)),
+c AS (SELECT window_start, source, count(*) AS n, count(y) AS n_labelled, count(*) FILTER (WHERE y AND p) AS tp,
+             count(*) FILTER (WHERE NOT y AND p) AS fp, count(*) FILTER (WHERE y AND NOT p) AS fn, count(*) FILTER (WHERE NOT y AND NOT p) AS tn
+      FROM j GROUP BY 1, 2)
+SELECT window_start, source, n, n_labelled, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1,
+       round(coalesce((tp + tn) / nullif(n_labelled, 0), 0), 6) AS accuracy FROM c""")
+def stream_accuracy(spark, sf):
+    """Scored events meet labels that come up to two hours later (after one hour they no longer count; some never come)."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.accuracy import match_labels, windowed_accuracy
+    from tidemark.streaming.scoring import BaselineModel, score_stream
+    from tidemark.streaming.stats import read_stream
+    ev = tb.readings(spark, sf).select("event_id", F.col("timestamp").cast("timestamp").alias("event_time"), "source", "value")
+    i = F.col("event_id")
+    minutes = (i * 7) % 120
+    said = ev.where(i % 5 != 0).select(i, F.timestamp_micros(F.unix_micros("event_time") + minutes * 60_000_000).alias("label_time"),
+                                       ((i % 7 == 0) | (F.col("value") > 200)).alias("label"))
+    streams = []
+    for name, rows, time in (("predictions", ev, "event_time"), ("labels", said, "label_time")):
+        path = scratch_path(spark, name)
+        rows.write.parquet(f"{path}/p0")
+        _heartbeat(rows, time, "60 days").write.parquet(f"{path}/p1")
+        streams.append(read_stream(spark, "parquet", f"{path}/p*", rows.schema))
+    model = BaselineModel.fit(tb.readings(spark, sf), ["source"], "value", 3.0)
+    matched = match_labels(score_stream(streams[0], model), streams[1])
+    out = _run_to_table(spark, windowed_accuracy(matched), "accuracy").where("source IS NOT NULL")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "source", "n", "n_labelled",
+                      *[r6(c).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
+
+
+@register("stream_late_rows", """
+WITH b AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS pos, count(*) OVER () AS n FROM events),
+f AS (SELECT event_id, ts, CASE WHEN event_id % 10 = 0 THEN 4 ELSE CAST(floor((pos - 1) * 4 / n) AS BIGINT) END AS batch FROM b),
+m AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS watermark FROM f GROUP BY batch)
+SELECT event_id, batch AS batch_id, coalesce(ts < watermark, false) AS late, CASE WHEN ts < watermark THEN watermark END AS watermark
+FROM f JOIN m USING (batch)""")
+def stream_late_rows(spark, sf):
+    """Four time slices, then every tenth row a slice too late: rows more than a day behind come out in the late table."""
+    from pyspark.sql import Window
+    from tidemark.operators.rolling import positions
+    from tidemark.session import scratch_path
+    from tidemark.streaming.stats import read_stream
+    from tidemark.streaming.timers import split_late
+    ev = tb.readings(spark, sf).select("event_id", F.col("timestamp").cast("timestamp").alias("event_time"))
+    n = ev.count()
+    pos = positions(ev, [], ["event_time", "event_id"], n=n)
+    batch = F.when(F.col("event_id") % 10 == 0, 4).otherwise(F.floor((F.col("_rn") - 1) * 4 / n)).cast("int")
+    pos = pos.select("event_id", "event_time", batch.alias("b"))
+    replay = scratch_path(spark, "events-late")
+    for b in range(5):
+        pos.where(F.col("b") == b).drop("b").coalesce(1).write.parquet(f"{replay}/p{b}")
+    s = read_stream(spark, "parquet", f"{replay}/p*", ev.schema, max_files_per_trigger=1)
+    good, late = scratch_path(spark, "on-time"), scratch_path(spark, "late")
+    split_late(s, "event_time", "1 day", good, late, trigger={"availableNow": True}).awaitTermination()
+    one = spark.read.parquet(good).select("event_id", "batch_id", F.lit(False).alias("late"), F.lit(None).cast("timestamp").alias("watermark"))
+    two = spark.read.parquet(late).select("event_id", "batch_id", F.lit(True).alias("late"), "watermark")
+    return one.unionByName(two).select("event_id", F.col("batch_id").cast("bigint").alias("batch_id"), "late",
+                                       F.col("watermark").cast("timestamp_ntz").alias("watermark"))
+
+
 @register("stream_zscore_microbatch",
           _zscore_sql("event_id, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value"))
 def stream_zscore_microbatch(spark, sf):
@@ -1049,14 +1343,6 @@ def stream_zscore_microbatch(spark, sf):
     return spark.read.parquet(sink).select("event_id", "source", "value", *detection_cols())
 
 
-BASELINE_SQL = """
-WITH b AS (SELECT event_type, avg(value) AS m, stddev_pop(value) AS sd FROM events GROUP BY 1)
-SELECT e.event_id, e.ts AS timestamp, e.event_type AS source, 'user_' || CAST(e.user_id AS VARCHAR) AS metric,
-       e.value, coalesce(b.sd > 0 AND abs((e.value - b.m) / b.sd) > 3.0, false) AS is_anomaly,
-       CASE WHEN b.sd > 0 THEN least(abs((e.value - b.m) / b.sd) / 3.0, 1.0) ELSE 0.0 END AS anomaly_score
-FROM events e JOIN b USING (event_type)"""
-
-
 def _baseline_scored_stream(spark, sf):
     from tidemark.streaming.scoring import BaselineModel, score_stream
     model = BaselineModel.fit(tb.readings(spark, sf), ["source"], "value", 3.0)
@@ -1099,45 +1385,24 @@ def stream_alerts(spark, sf):
                       "anomaly_type")
 
 
-def _stream_ensemble_sql() -> str:
-    z = _zscore_sql("event_id, source, value", EVENTS_BY_TYPE_SQL, "source", "timestamp, event_id", "value",
-                    digits=None)
-    forest = _iforest_sql("SELECT event_id AS id, value AS x FROM events",
-                          "SELECT event_id AS id, value AS x FROM events", contamination=0.1, digits=None)
-    return f"""
-SELECT z.event_id, z.source, z.value,
-       (0.4 * f.anomaly_score + 0.3 * z.anomaly_score) / 0.7 > 0.5 AS is_anomaly,
-       round((0.4 * f.anomaly_score + 0.3 * z.anomaly_score) / 0.7, 6) AS anomaly_score,
-       'ensemble' AS anomaly_type, z.is_anomaly AS zscore_flag, f.is_anomaly AS forest_flag
-FROM ({z}) z JOIN ({forest}) f USING (event_id)"""
-
-
-@register("stream_ensemble")
+@register("stream_ensemble", _default_ensemble_sql("z.event_id, z.source, z.value"))
 def stream_ensemble(spark, sf):
-    """Configured ensemble on a stream: stateful z-score + isolation forest
-    (fitted on the events table), weights 0.4 / 0.3 of the default config."""
-    from tidemark.operators.isolation_forest import IsolationForestDetector
+    """The configured ensemble on a stream: stateful z-score, forest and LOF (fitted on the events
+    table), weights 0.3 / 0.4 / 0.3."""
     from tidemark.session import scratch_path
     from tidemark.streaming.stats import write_time_ordered
     from tidemark.streaming.microbatch import start_rolling_detector
-    forest = IsolationForestDetector(GLOBAL_EVENTS, contamination=0.1).fit(tb.readings(spark, sf))
+    members = _default_members(spark, sf)
+    members.pop("statistical")
     replay = scratch_path(spark, "events-replay")
     write_time_ordered(tb.table(spark, sf, "events"), "ts", replay, 4)
     s = _events_stream(spark, sf, path=f"{replay}/part=*", max_files=1)
     sink = scratch_path(spark, "stream-ensemble")
     q = start_rolling_detector(s, ["source"], ["timestamp", "event_id"], "value", sink,
                                trigger={"availableNow": True}, method="zscore", window_size=100,
-                               members={"isolation_forest": forest},
-                               weights={"isolation_forest": 0.4, "statistical": 0.3}, ensemble_threshold=0.5)
+                               members=members, weights=DEFAULT_WEIGHTS, ensemble_threshold=0.5)
     q.awaitTermination()
-    out = spark.read.parquet(sink)
-    dr = F.col("detector_results")
-    return out.select("event_id", "source", "value", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
-                      "anomaly_type", dr["statistical"]["is_anomaly"].alias("zscore_flag"),
-                      dr["isolation_forest"]["is_anomaly"].alias("forest_flag"))
-
-
-ORACLE["stream_ensemble"] = _stream_ensemble_sql()
+    return _ensemble_columns(spark.read.parquet(sink), "event_id", "source", "value")
 
 
 @register("stream_messages_end_to_end", f"""

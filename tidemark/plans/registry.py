@@ -3,7 +3,8 @@
 A fitted model is written as parquet tables under ``<root>/<model_id>/``:
 ``params`` (one row: type, creation time, scalar parameters as JSON) plus the
 model's own bounded tables (isolation-forest intervals, LOF training table,
-statistical history).  The registry index ``<root>/_index`` has one row per
+statistical history, a baseline's parameters).  An ensemble is its members' ids,
+weights and threshold; the members lie under ``<root>/_members``.  The registry index ``<root>/_index`` has one row per
 saved model; ``latest`` keeps the newest row per model type with
 ``row_number()`` (a window partitioned by type over the small index).
 """
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.base import SeriesSpec
+from tidemark.operators.ensemble import EnsembleModel
 from tidemark.operators.isolation_forest import IsolationForestModel
 from tidemark.operators.lof import LOFModel
 from tidemark.operators.ocsvm import OneClassSVMModel
 from tidemark.operators.rolling import DEFAULT_HOT_KEY_ROWS
 from tidemark.operators.statistical import StatisticalModel
+from tidemark.streaming.scoring import BaselineModel
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("model_id", T.StringType()), T.StructField("model_type", T.StringType()),
@@ -54,12 +57,22 @@ def model_params(model) -> tuple[str, dict, dict[str, DataFrame]]:
         return ("statistical", {"method": model.method, "threshold": model.threshold,
                                 "window_size": model.window_size, "min_history": model.min_history,
                                 "has_history": bool(tables)}, tables)
+    if isinstance(model, BaselineModel):
+        return ("baseline", {"keys": model.keys, "value": model.value, "threshold": model.threshold, "small": model.small},
+                {"params": model.params})
     raise TypeError(f"cannot save {type(model).__name__}")
 
 
 def save_model(spark: SparkSession, model, root: str, name: str | None = None) -> str:
-    mtype, params, tables = model_params(model)
-    params["spec"] = _spec_dict(model.spec)
+    """Write a fitted model; an ensemble's members are written first, as models of their own that only it names."""
+    if isinstance(model, EnsembleModel):
+        members = {m: save_model(spark, part, os.path.join(root, "_members"), m) for m, part in model.members.items()}
+        mtype, params, tables = "ensemble", {"members": members, "weights": model.weights, "threshold": model.threshold,
+                                             "compat": model.compat}, {}
+    else:
+        mtype, params, tables = model_params(model)
+    if hasattr(model, "spec"):
+        params["spec"] = _spec_dict(model.spec)
     model_id = f"{name or mtype}_{datetime.now(timezone.utc).strftime('%Y%m%d_%H%M%S')}_{uuid.uuid4().hex[:8]}"
     path = os.path.join(root, model_id)
     for tname, tdf in tables.items():
@@ -88,6 +101,11 @@ def load_model(spark: SparkSession, root: str, model_id: str):
     if r is None:
         raise KeyError(model_id)
     p = json.loads(r["params"])
+    if r["model_type"] == "ensemble":
+        members = {m: load_model(spark, os.path.join(root, "_members"), i) for m, i in p["members"].items()}
+        return EnsembleModel(members, p["weights"], p["threshold"], p["compat"])
+    if r["model_type"] == "baseline":
+        return BaselineModel(spark.read.parquet(os.path.join(r["path"], "params")), p["keys"], p["value"], p["threshold"], p["small"])
     s = p.pop("spec")
     spec = SeriesSpec(tuple(s["keys"]), tuple(s["order"]), s["value"], s["id"])
     if r["model_type"] == "isolation_forest":

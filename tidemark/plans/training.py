@@ -149,14 +149,15 @@ def _statistical_grid(pos: DataFrame, combos: list[dict], spec: SeriesSpec, labe
     exchange, one sort), every combination's flag is a column, and one
     aggregate per fold counts tp / fp / fn for all combinations."""
     from tidemark.operators.rolling import RN, over_series
-    from tidemark.operators.statistical import StatisticalDetector, iqr_columns, zscore_columns
+    from tidemark.operators.statistical import StatisticalDetector, clean, iqr_columns, zscore_columns
     from tidemark.functions.exprs import sorted_quantile
+    reading = clean(pos, spec.value)  # NaN is no reading, as in the detector this tunes
     dets = [StatisticalDetector(spec, **{**base, **c}) for c in combos]
     sizes = sorted({d.window_size for d in dets})
 
     def cols(w):
         out = {}
-        v = F.col(spec.value)
+        v = reading
         for W in sizes:
             fr = w.rowsBetween(-(W - 1), -1)
             if any(d.method != "iqr" and d.window_size == W for d in dets):
@@ -167,7 +168,7 @@ def _statistical_grid(pos: DataFrame, combos: list[dict], spec: SeriesSpec, labe
 
     scored = over_series(pos, spec.keys, spec.order, cols, halo_before=max(sizes) - 1,
                          hot_key_rows=dets[0].hot_key_rows, chunk_rows=dets[0].chunk_rows)
-    v = F.col(spec.value)
+    v = reading
     flags = {}
     for ci, d in enumerate(dets):
         W = d.window_size

@@ -12,7 +12,9 @@ batch problem inside ``foreachBatch``:
   windows (JVM window functions; a hot key is chunked across tasks);
 * results go to ``sink_path/batch_id=N`` and the next state to
   ``epoch=N``, both overwritten -- a retried micro-batch produces the same
-  files, so the output is exactly-once.
+  files, so the output is exactly-once;
+* the state lies beside the query's checkpoint; a missing ``epoch=N-1`` is an
+  error, never a cold start, and states older than it are deleted.
 
 Rows are scored in arrival order (a batch's rows sorted by the order columns
 after the state's rows), the same semantics as ``rolling_detector_stream``.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.base import with_detection
 from tidemark.operators.rolling import RN, over_series, DEFAULT_HOT_KEY_ROWS
 from tidemark.operators.scaling import join_params, null_safe_join
-from tidemark.operators.statistical import iqr_columns, zscore_columns
+from tidemark.operators.statistical import clean, iqr_columns, zscore_columns
 from tidemark.functions.exprs import sorted_quantile
 from tidemark.session import scratch_path
 
@@ -42,6 +44,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: Sequence[str], value: str,
                      sink_path: str, state_path: str, method: str = "zscore", threshold: float = 3.0,
                      window_size: int = 100, min_history: int = 10,
@@ -56,7 +63,9 @@ def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: S
     keys, order = list(keys), list(order)
     cols = batch.columns
     prev = f"{state_path}/epoch={epoch - 1}"
-    have_prev = epoch > 0 and _exists(spark, f"{prev}/_DONE")
+    have_prev = epoch > 0
+    if have_prev and not _exists(spark, f"{prev}/_DONE"):
+        raise RuntimeError(f"no detector state {prev}: the state folder does not belong to this checkpoint")
     new = batch.withColumn(SEG, F.lit(1))
     if have_prev:
         hist = spark.read.parquet(f"{prev}/rows").withColumn(SEG, F.lit(0))
@@ -77,16 +86,16 @@ def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: S
         else:
             data = data.withColumn("_extra", F.lit(0).cast("bigint"))
 
+        v = clean(data, value)
+
         def frame_cols(w):
             fr = w.rowsBetween(-(window_size - 1), -1)
-            v = F.col(value)
             if method == "iqr":
                 return {"_q": F.sort_array(F.collect_list(v).over(fr))}
             return {"_m": F.avg(v).over(fr), "_sd": F.stddev_pop(v).over(fr)}
 
         out = over_series(data, keys, [SEG] + order, frame_cols, halo_before=window_size - 1,
                           hot_key_rows=hot_key_rows, chunk_rows=chunk_rows)
-        v = F.col(value)
         if method == "iqr":
             flag, score = iqr_columns(v, sorted_quantile("_q", 0.25), sorted_quantile("_q", 0.75), threshold)
             kind = "iqr"
@@ -119,6 +128,7 @@ def score_microbatch(batch: DataFrame, epoch: int, keys: Sequence[str], order: S
         keep.write.mode("overwrite").parquet(f"{cur}/rows")
         nseen.write.mode("overwrite").parquet(f"{cur}/seen")
         spark.createDataFrame([(epoch,)], "epoch long").write.mode("overwrite").parquet(f"{cur}/_DONE")
+        _delete(spark, f"{state_path}/epoch={epoch - 2}")  # a retry of this micro-batch reads epoch - 1
     finally:
         base.unpersist()
 
@@ -152,11 +162,11 @@ def start_rolling_detector(stream: DataFrame, keys: Sequence[str], order: Sequen
     window_size, min_history, hot_key_rows, chunk_rows, members, weights,
     ensemble_threshold)."""
     spark = stream.sparkSession
-    state_path = state_path or scratch_path(spark, "detector-state")
+    checkpoint = checkpoint or scratch_path(spark, "detector-ckpt")
+    state_path = state_path or f"{checkpoint}/detector-state"
 
     def run(batch: DataFrame, epoch: int):
         score_microbatch(batch, epoch, keys, order, value, sink_path, state_path, **params)
 
-    w = stream.writeStream.foreachBatch(run).option("checkpointLocation",
-                                                    checkpoint or scratch_path(spark, "detector-ckpt"))
+    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (w.trigger(**trigger) if trigger else w).start()
