@@ -31,11 +31,8 @@ def connected_components(links: DataFrame) -> DataFrame:
             return labels
         while True:  # pointer jumping: a root that is itself hooked takes its parent's parent
             far = hooks.select(F.col("root").alias("up"), F.col("up").alias("further"))
-            jumped = materialize(hooks.join(far, "up", "left")
-                                 .select("root", F.coalesce("further", "up").alias("up"),
-                                         F.col("further").isNotNull().alias("moved")), "hooks")
-            hooks = jumped.select("root", "up")
-            if jumped.where("moved").isEmpty():
+            if hooks.join(far, "up", "left_semi").isEmpty():
                 break
+            hooks = materialize(hooks.join(far, "up", "left").select("root", F.coalesce("further", "up").alias("up")), "hooks")
         labels = materialize(labels.join(hooks.withColumnRenamed("root", "comp"), "comp", "left")
                              .select("node", F.coalesce("up", "comp").alias("comp")), "components")

@@ -19,6 +19,8 @@ from .components import connected_components
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
 #: counters that order the elements of bags by how often they occur; elements that share one only share their place
 COUNTERS = 1 << 21
+#: counters that travel together
+BLOCK = 1 << 12
 #: rows of keys after which a batch ends
 KEY_ROWS = 500_000
 
@@ -178,6 +180,30 @@ def _count_elements(batches):
     yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["slot", "n"])
 
 
+def _often(bags: DataFrame) -> bytes:
+    """How often each counter's elements occur, as one byte each: four steps for every doubling, so that the order by
+    it is near enough that by the counts. The driver gets COUNTERS bytes, block by block, and no table of counts."""
+    counts = bags.mapInArrow(_count_elements, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    step = F.least(F.floor(4 * F.log2(F.col("n").cast("double"))) + 1, F.lit(255)).cast("int")
+    place = F.struct((F.col("slot") % BLOCK).cast("int").alias("at"), step.alias("step"))
+    blocks = counts.groupBy(F.floor(F.col("slot") / F.lit(BLOCK)).cast("int").alias("block")).agg(F.collect_list(place).alias("places"))
+
+    def pack(batches):
+        for batch in batches:
+            out = []
+            for k in range(batch.num_rows):
+                places = batch.column(1)[k].values
+                block = np.zeros(BLOCK, np.uint8)
+                block[places.field("at").to_numpy()] = places.field("step").to_numpy()
+                out.append(block.tobytes())
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["block", "steps"])
+
+    often = np.zeros((COUNTERS // BLOCK, BLOCK), np.uint8)
+    for r in blocks.mapInArrow(pack, "block int, steps binary").toLocalIterator():
+        often[r["block"]] = np.frombuffer(r["steps"], np.uint8)
+    return often.tobytes()
+
+
 def prefix(bag: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
     """The first elements of a bag in one order for all bags, rare ones first: so many that two bags of ``similarity``
     or more have one of them in common, whatever the order."""
@@ -188,6 +214,8 @@ def prefix(bag: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
 def _prefixes(often, similarity: float):
     """A row for each element of a bag's prefix: its place there and the size of the bag."""
     def run(batches):
+        order = np.frombuffer(often.value, np.uint8)
+
         def rows():
             size = [len(k) for k in keys]
             at = np.concatenate([np.arange(n) for n in size])
@@ -201,7 +229,7 @@ def _prefixes(often, similarity: float):
                 bag = np.frombuffer(x.as_buffer(), np.uint64)
                 nodes.append(node)
                 sizes.append(len(bag))
-                keys.append(prefix(bag, often.value, similarity))
+                keys.append(prefix(bag, order, similarity))
                 n += len(keys[-1])
                 if n >= KEY_ROWS:
                     yield rows()
@@ -242,7 +270,6 @@ def _met(buckets: DataFrame, name: str) -> DataFrame:
     """The rows of ``buckets(band, node, ...)`` that share their bucket, with ``n, central``: n its size, central the
     sum of the sizes of all of the node's buckets."""
     cols = buckets.columns
-    buckets = materialize(buckets, name)
     sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = materialize(buckets.join(sizes, "band"), name)
     central = met.groupBy("node").agg(F.sum("n").alias("central"))
@@ -264,11 +291,8 @@ def _second_meeting(bags: DataFrame, links: DataFrame, comps: DataFrame, similar
     """(links, components) with all pairs of ``bags`` compared that are not in one component yet. Buckets are the elements of
     prefixes, which every pair of ``similarity`` shares; a pair whose sizes, or the rests of whose bags from a common
     element on, are too small for the overlap is left out. The first common element of a similar pair always passes."""
-    counts = bags.mapInArrow(_count_elements, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    often = np.zeros(COUNTERS, np.int64)
-    often[counts["slot"].to_numpy()] = counts["n"].to_numpy()
-    held = bags.sparkSession.sparkContext.broadcast(often)
-    met = _met(bags.mapInArrow(_prefixes(held, similarity), "band long, node long, at long, size long"), "fine")
+    held = bags.sparkSession.sparkContext.broadcast(_often(bags))
+    met = _met(materialize(bags.mapInArrow(_prefixes(held, similarity), "band long, node long, at long, size long"), "fine"), "fine")
     largest, done, upto = met.agg(F.max("n")).first()[0] or 0, 0, 1
     order = Window.partitionBy("band").orderBy(F.col("central").desc(), F.col("node").desc())
     enough = (F.least(F.col("size") - F.col("at"), F.col("lead_size") - F.col("lead_at")) * (1 + similarity)
