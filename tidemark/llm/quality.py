@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import GOLDEN, mix
+from .common import GOLDEN, mix, text_slices
 
 #: characters of the longest n-gram
 ORDER = 4
 #: rows and languages of a model that goes to the workers as arrays (about 100 MB); a larger one is joined with the words
 MODEL_ROWS, LANGUAGES = 4_000_000, 256
-#: the band runs from the lower quartile less REACH to the upper plus REACH quartile ranges, the
-#: range being LEAST_RANGE log units at least
-REACH, LEAST_RANGE = 3.0, 0.2
+#: a document's band is the median log perplexity of its language less and plus REACH spreads over the root of its
+#: characters; the spread is the median absolute deviation times that root, LEAST_SPREAD at least
+REACH, LEAST_SPREAD = 4.0, 0.3
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: white space of str.split that is not of the rule's
@@ -119,13 +119,11 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
                                            pa.array(total[ok], pa.int64())], ["lang", "gram", "n"])
             words.clear()
 
-        for batch in batches:
-            for s in range(0, batch.num_rows, 1000):
-                part = batch.slice(s, 1000)
-                for text, lang in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    words.setdefault(lang, Counter()).update(words_of(text))
-                if sum(map(len, words.values())) > 400_000:
-                    yield from flush()
+        for _, texts, langs in _parts(batches):
+            for text, lang in zip(texts, langs):
+                words.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, words.values())) > 400_000:
+                yield from flush()
         yield from flush()
 
     return (docs.mapInArrow(run, "lang string, gram string, n long")
@@ -333,30 +331,38 @@ def score_by_join(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _parts(batches):
-    for batch in batches:
-        for s in range(0, batch.num_rows, 1000):
-            yield tuple(c.to_pylist() for c in batch.slice(s, 1000).columns)
+    for part in text_slices(batches, 1):
+        yield tuple(c.to_pylist() for c in part.columns)
 
 
 def _digest(text: str) -> bytes:
     return hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
 
 
-def bands(scored: DataFrame) -> DataFrame:
-    """``lang, lower, upper``: quartiles of log perplexity (in steps of 0.001) over all documents of 50 words
-    or more of a language, less and plus REACH times their range. Weights of equal steps are added up
-    before they are ordered, so an order runs over some thousand steps a language."""
-    step = F.round(F.col("log_ppl") * 1000).cast("long").alias("step")
-    n = (scored.where("log_ppl IS NOT NULL AND n_words >= 50").groupBy("lang", step).agg(F.count(F.lit(1)).alias("n")))
+def _medians(rows: DataFrame, value: str, steps: int) -> DataFrame:
+    """``lang, median`` of a column in ``steps`` steps to one. Equal steps are added up before they are ordered, so an order
+    runs over some thousand steps a language."""
+    n = rows.groupBy("lang", F.round(F.col(value) * steps).cast("long").alias("step")).agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("lang").orderBy("step")
     run = n.withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(Window.partitionBy("lang")))
+    return run.where(2 * F.col("upto") >= F.col("all")).groupBy("lang").agg((F.min("step") / steps).alias("median"))
+
+
+def bands(scored: DataFrame, few_langs: bool = True) -> DataFrame:
+    """``lang, middle, spread``: the median of log perplexity over all different documents of 50 words or more of a
+    language, and the median absolute deviation from it, each deviation times the root of the document's
+    characters (the mean of more characters strays less). Copies count once, so a large group of them
+    moves neither."""
+    rows = (scored.where("log_ppl IS NOT NULL AND n_words >= 50").select("lang", "n_words", "word_chars", "n_symbols", "log_ppl").distinct())
+    middle = materialize(_medians(rows, "log_ppl", 1000).withColumnRenamed("median", "middle"), "bands")
+    off = rows.join(F.broadcast(middle) if few_langs else middle, "lang").withColumn("off", F.abs(F.col("log_ppl") - F.col("middle")) * _root())
+    spread = _medians(off, "off", 100).select("lang", F.greatest("median", F.lit(LEAST_SPREAD)).alias("spread"))
+    return middle.join(spread, "lang")
 
-    def at(q):
-        return (F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("step"))) / 1000)
 
-    q = run.groupBy("lang").agg(at(0.25).alias("q1"), at(0.75).alias("q3"))
-    reach = REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_RANGE))
-    return q.select("lang", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper"))
+def _root() -> F.Column:
+    """The root of the characters that a document's perplexity is the mean of: those of its words, and their ends."""
+    return F.sqrt((F.col("word_chars") + F.col("n_words")).cast("double"))
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -367,7 +373,7 @@ def quality(docs: DataFrame) -> DataFrame:
     documents, a model for each ``lang`` (a null lang is a language of its own); up to MODEL_ROWS rows it is
     looked up in sorted hash arrays, beyond that it is joined, with the same results; perplexity is that of
     the words' characters and ends. A document is kept if it passes the base rules and its perplexity lies in
-    its language's band, ends included; where no document has 50 words there is no band and no
+    its language's band for its length (see ``bands``), ends included; where no document has 50 words there is no band and no
     rejection by it. Null and empty texts have no words, fail the base rules and have no perplexity.
     Repeated rows give repeated rows and count as often; empty tables give empty results; other columns
     are not read."""
@@ -377,10 +383,12 @@ def quality(docs: DataFrame) -> DataFrame:
     few_langs = rows.select("lang").distinct().limit(LANGUAGES + 1).count() <= LANGUAGES
     in_arrays = few_langs and rows.count() <= MODEL_ROWS
     scored = materialize(score(texts, Model(_held(rows))) if in_arrays else score_by_join(texts, rows), "scored")
-    limits = F.broadcast(bands(scored)) if few_langs else bands(scored)
+    limits = F.broadcast(bands(scored)) if few_langs else bands(scored, False)
+    reach = REACH * F.col("spread") / _root()
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     within = F.col("log_ppl").between(F.col("lower"), F.col("upper"))
     return (scored.join(limits, "lang", "left").withColumn("base_failed", failed)
+            .withColumns({"lower": F.when(F.col("n_words") > 0, F.col("middle") - reach), "upper": F.when(F.col("n_words") > 0, F.col("middle") + reach)})
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     (~F.col("base_failed") & F.coalesce(within, F.lit(True))).alias("kept"),
                     F.exp("log_ppl").alias("perplexity"), F.exp("lower").alias("lower"), F.exp("upper").alias("upper")))
