@@ -139,9 +139,9 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.drop_contaminated(docs, bench).count() == docs.count() - len({d for d, _ in got})
     own = spark.createDataFrame([(9, "The cat sat on the mat, and the dog ran off to the park. With a big red ball!"), (9, None), (3, ""),
                                  (None, "x y")], "item_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(odd, own).collect()} == {(1, 9), (8, 9)}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(odd, own).collect()} == {(1, 9), (8, 9), (7, None)}
     kept = decontaminate.drop_contaminated(odd, own)
-    assert kept.columns == odd.columns and kept.count() == odd.count() - 3
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 4
     assert decontaminate.contaminated(none, own).collect() == [] and decontaminate.contaminated(odd, own.limit(0)).collect() == []
 
 

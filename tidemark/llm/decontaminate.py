@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, slices
+from .common import doc_texts, slices, text_slices
 
 #: words between the starts of passages; a passage is twice as long, so every run of PASSAGE
 #: words lies whole in one of them. Longer items are indexed as pieces of so many words.
@@ -229,14 +229,14 @@ def _leaks(index: Index, texts: list[str], threshold: float, overlap: float):
 
 def indexes(benchmark: DataFrame):
     """Indexes of the items of ``benchmark(item_id, text)``, repeated rows once, null and empty texts
-    left out, each of INDEX_CHARS characters or so at most."""
+    left out, items without an id kept, each of INDEX_CHARS characters or so at most."""
     items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
-             .where("item_id IS NOT NULL AND length(trim(text)) > 0").distinct())
+             .where("length(trim(text)) > 0").distinct())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // INDEX_CHARS)
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        rows = sorted((r.item_id, r.text) for r in part.toLocalIterator())
+        rows = sorted(((r.item_id, r.text) for r in part.toLocalIterator()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         if rows:
             yield Index(rows)
 
@@ -255,8 +255,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     ``question and answer`` if the answer's share reaches ``overlap`` too, else ``question``.
     Score and overlaps are the greatest of the document.
 
-    Null and empty texts have no row, nor do items without text or with a null item_id; an item of fewer than five words
-    is one window. Repeated document rows give repeated rows, repeated items none. Empty tables
+    Null and empty texts have no row, nor do items without text; items with a null item_id count like others, in one row
+    a document with item_id null; an item of fewer than five words is one window. Repeated document rows give repeated rows, repeated items none. Empty tables
     give an empty result. Extra columns are not read."""
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, leak string"
@@ -282,19 +282,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                       overlap: float = OVERLAP) -> DataFrame:
     """``docs`` without the rows that hold a test item (see ``contaminated``), all columns as they are.
-    Each row is judged by its own text, whatever its doc_id; rows with a null text stay."""
+    Each row is judged by its own text, whatever its doc_id, so repeated rows stay or go together; rows with a null
+    or empty text stay; an empty table stays empty, an empty benchmark drops nothing."""
     at = docs.columns.index("text")
     for index in indexes(benchmark):
         held = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, held=held):
             index = held.value
-            for batch in batches:
-                for s in range(0, batch.num_rows, 1000):
-                    part = batch.slice(s, 1000)
-                    texts = [t or "" for t in part.column(at).to_pylist()]
-                    found = _leaks(index, texts, threshold, overlap)
-                    yield part.filter(pa.array([not f for f in found], pa.bool_()))
+            for part in text_slices(batches, at):
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                found = _leaks(index, texts, threshold, overlap)
+                yield part.filter(pa.array([not f for f in found], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
