@@ -1252,7 +1252,7 @@ def stream_zscore_event_time(spark, sf):
 @register("stream_service_down", """
 SELECT source, ts AS last_seen, ts + INTERVAL 90 MINUTE AS due FROM (
   SELECT event_type AS source, ts, lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS following FROM events) g
-WHERE following IS NULL OR date_diff('microsecond', ts, following) > 90 * 60000000""")
+WHERE following IS NULL OR date_diff('microsecond', ts, following) > 5400000000""")
 def stream_service_down(spark, sf):
     """Silences longer than 90 minutes, told by timers; the heartbeat shows that every source has stopped at the end."""
     from tidemark.streaming.timers import silent_sources_stream
