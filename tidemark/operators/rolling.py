@@ -53,11 +53,10 @@ def over_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if hot_key_rows is None:
         return _plain(df, keys, order, columns)
     chunk_rows = max(chunk_rows, halo_before + halo_after + 1)
+    n = df.count()  # reads no column of a plain table
+    if n <= hot_key_rows:
+        return _plain(df, keys, order, columns)  # no key can be hot, one global series fits a task
     if not keys:
-        # one global series: small enough for one task, or chunked by position
-        n = df.count()
-        if n <= hot_key_rows:
-            return _plain(df, keys, order, columns)
         pos = positions(df, [], order, n=n)
         return chunk_windows(pos, [], columns, halo_before, halo_after, chunk_rows)
 

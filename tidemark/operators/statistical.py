@@ -24,6 +24,7 @@ from tidemark.functions.exprs import safe_div, sorted_quantile
 from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection
 from tidemark.operators.rolling import RN, over_series, DEFAULT_HOT_KEY_ROWS
 
+READING = "_reading"
 SEG = "_seg"  # 0 = history rows given to fit, 1 = rows to score
 
 
@@ -79,7 +80,8 @@ class StatisticalModel(Model):
             data = (hist.withColumn(SEG, F.lit(0))
                     .unionByName(df.withColumn(SEG, F.lit(1)), allowMissingColumns=True))
             order = [SEG] + order
-        v = clean(df, spec.value)
+        # the guard runs once per row, not once per frame it falls into
+        data, v = data.withColumn(READING, clean(df, spec.value)), F.col(READING)
         out = over_series(data, spec.keys, order, lambda w: self._frame_columns(v, w),
                           halo_before=self.window_size - 1,
                           hot_key_rows=self.hot_key_rows, chunk_rows=self.chunk_rows)
@@ -95,7 +97,7 @@ class StatisticalModel(Model):
                              prefix)
         if self.history is not None:
             out = out.where(F.col(SEG) == 1).drop(SEG)
-        return out.drop(RN, "_m", "_sd", "_q")
+        return out.drop(RN, READING, "_m", "_sd", "_q")
 
 
 class StatisticalDetector(Detector):

@@ -1343,10 +1343,10 @@ def stream_zscore_microbatch(spark, sf):
     return spark.read.parquet(sink).select("event_id", "source", "value", *detection_cols())
 
 
-def _baseline_scored_stream(spark, sf):
+def _baseline_scored_stream(spark, sf, **source):
     from tidemark.streaming.scoring import BaselineModel, score_stream
     model = BaselineModel.fit(tb.readings(spark, sf), ["source"], "value", 3.0)
-    return score_stream(_events_stream(spark, sf), model)
+    return score_stream(_events_stream(spark, sf, **source), model)
 
 
 @register("stream_model_score", f"""
@@ -1362,11 +1362,13 @@ SELECT source, count(*) AS processed_count, count(*) FILTER (WHERE is_anomaly) A
 FROM ({BASELINE_SQL}) s GROUP BY 1""")
 def stream_counters(spark, sf):
     from tidemark.session import scratch_path
-    from tidemark.streaming.scoring import start_counters
-    path = scratch_path(spark, "stream-counters")
-    q = start_counters(_baseline_scored_stream(spark, sf), path, ["source"], trigger={"availableNow": True})
-    q.awaitTermination()
-    out = spark.read.parquet(path)
+    from tidemark.streaming.scoring import latest_counters, start_counters
+    from tidemark.streaming.stats import write_time_ordered
+    replay, path = scratch_path(spark, "events-replay"), scratch_path(spark, "stream-counters")
+    write_time_ordered(tb.table(spark, sf, "events"), "ts", replay, 4)
+    scored = _baseline_scored_stream(spark, sf, path=f"{replay}/part=*", max_files=1)
+    start_counters(scored, path, ["source"], trigger={"availableNow": True}).awaitTermination()
+    out = latest_counters(spark, path, ["source"])
     return out.select("source", "processed_count", "anomaly_count", r6("anomaly_rate").alias("anomaly_rate"))
 
 

@@ -5,8 +5,9 @@
                      only when the parameter table is small, checked on fit)
 * ``score_stream``   any stateless model (baseline, isolation forest,
                      one-class SVM) applied to a stream (C2 / K7)
-* ``start_counters`` running processed / anomaly counts per key (K6),
-                     complete-mode result rewritten to a table per batch
+* ``start_counters`` running processed / anomaly counts per key (K6): each
+                     micro-batch adds the keys it changed; ``latest_counters``
+                     reads the newest count of each key
 * ``start_alerts``   flagged rows validated against the alert schema and
                      appended to an alerts table, invalid ones to quarantine (K8)
 * ``merge_streams``  union of several reading streams (G2)
@@ -63,21 +64,29 @@ def merge_streams(*streams: DataFrame) -> DataFrame:
 
 def start_counters(scored: DataFrame, table_path: str, keys: Sequence[str] = ("source",),
                    checkpoint: str | None = None, trigger: dict | None = None):
-    """Running counters per key; each batch rewrites the table with the full result."""
+    """Running counters per key.  Each micro-batch writes the keys it changed under its batch id, so nothing a
+    reader has open is replaced and a retried micro-batch writes the same rows; ``latest_counters`` reads them."""
     counts = (scored.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("processed_count"),
                    F.count_if(F.coalesce(F.col("is_anomaly"), F.lit(False))).alias("anomaly_count")))
-    counts = counts.withColumn("anomaly_rate", F.coalesce(
-        safe_div(F.col("anomaly_count").cast("double"), F.col("processed_count").cast("double")), F.lit(0.0)))
 
     def write(batch: DataFrame, epoch: int):
-        batch.write.mode("overwrite").parquet(table_path)
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={epoch}")
 
-    w = (counts.writeStream.outputMode("complete").foreachBatch(write)
+    w = (counts.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint or scratch_path(scored.sparkSession, "counters")))
     return (w.trigger(**trigger) if trigger else w).start()
 
 
+def latest_counters(spark, table_path: str, keys: Sequence[str] = ("source",)) -> DataFrame:
+    """The newest counts of each key: ``keys, processed_count, anomaly_count, anomaly_rate``."""
+    rows = spark.read.parquet(table_path)
+    newest = F.max_by(F.struct("processed_count", "anomaly_count"), "batch_id").alias("c")
+    out = rows.groupBy(*keys).agg(newest).select(*keys, "c.processed_count", "c.anomaly_count")
+    return out.withColumn("anomaly_rate", F.coalesce(
+        safe_div(F.col("anomaly_count").cast("double"), F.col("processed_count").cast("double")), F.lit(0.0)))
+
+
 def start_alerts(scored: DataFrame, alerts_path: str, quarantine_path: str, checkpoint: str | None = None,
                  trigger: dict | None = None, ts: str = "timestamp"):
     """Append flagged rows (alert schema, validated) per micro-batch."""
