@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 from .common import doc_texts, slices
 
 #: paragraphs of the corpus that stand for the unknown class in training, at most
@@ -48,6 +50,26 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
 }
+#: notices of licences outside the families (fixed values): every second one is learned as unknown, the others calibrate it
+FOREIGN = [
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "Licensed under the GNU Affero General Public License, version 3.",
+    "This package is free software; you may redistribute it under the terms of the Artistic License 2.0.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    "This software is provided 'as-is', without any express or implied warranty, under the zlib License.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "This file is subject to the terms of the Common Development and Distribution License, version 1.0.",
+    "This is free and unencumbered software released into the public domain.",
+    "Released under the Microsoft Public License.",
+    "This font software is licensed under the SIL Open Font License, version 1.1.",
+    "All rights reserved. No part of this software may be copied or distributed without a commercial license.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "Licensed under the ISC License.",
+    "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
+    "Licensed under the Unlicense.", "Released under the Artistic License.", "Published under the Open Database License.", "Licensed under the EPL 1.0."]
+
 #: words too common to speak for a licence alone (fixed values)
 _COMMON = frozenset("a an and any any are as at be by can copy either file following for free if in is it list may met met must "
                     "not of on one or person shall source terms that the this to under use use version was with without work you your "
@@ -156,12 +178,16 @@ def may_speak(text: str) -> bool:
 
 
 class Model:
-    def __init__(self, feature: dict[str, int], weights: np.ndarray, temperature: float):
-        self.feature, self.weights, self.temperature = feature, weights, temperature
+    def __init__(self, feature: dict[str, int], weights: np.ndarray, temperature: float = 1.0, doubt: float = 0.0):
+        self.feature, self.weights, self.temperature, self.doubt = feature, weights, temperature, doubt
+
+    def logits(self, words: list[str]) -> np.ndarray:
+        return self.weights[[0, *(self.feature[g] for g in ngrams(words) if g in self.feature)]].sum(axis=0)
 
     def chances(self, words: list[str]) -> np.ndarray:
-        at = [0, *(self.feature[g] for g in ngrams(words) if g in self.feature)]
-        z = self.weights[at].sum(axis=0) / self.temperature
+        """Probabilities of the classes: the temperature flattens what the fit is too sure of, ``doubt`` is added to unknown."""
+        z = self.logits(words) / self.temperature
+        z[0] += self.doubt
         e = np.exp(z - z.max())
         return e / e.sum()
 
@@ -175,62 +201,89 @@ class Model:
         return FAMILIES[k], float(p[k]), share, share >= confirm
 
 
-def _training(corpus: list[list[str]]) -> list[tuple[list[str], int]]:
-    """Labelled paragraphs: each template whole, with every word left out once, and inside corpus words; for the unknown
-    class the corpus paragraphs, and single speaking words among them, which prove nothing."""
+def _variants(words: list[str], around: list[list[str]]) -> list[list[str]]:
+    """A notice whole, with every word left out once, and inside corpus words."""
+    return [words] * 4 + [words[:i] + words[i + 1:] for i in range(len(words)) if len(words) > 8] + [a + words + a for a in around[:20]]
+
+
+def _training(corpus: list[list[str]]) -> list[tuple[list[str], int, int]]:
+    """(words, class, notice) of labelled paragraphs: the variants of each template; for the unknown class those of foreign
+    notices, corpus paragraphs (notice -1), and single speaking words among them, which prove nothing. Notices are numbered
+    so that all variants of one can be held out together."""
     out = []
     around = [w[:12] for w in corpus if w][:40] or [["some", "other", "words"]]
-    for k, ts in enumerate(TEMPLATES.values(), 1):
-        for words in map(words_of, ts):
-            out += [(words, k)] * 4
-            out += [(words[:i] + words[i + 1:], k) for i in range(len(words)) if len(words) > 8]
-            out += [(a + words + a, k) for a in around[:20]]
-    out += [(w, 0) for w in corpus]
+    notices = [(words_of(t), k) for k, ts in enumerate(TEMPLATES.values(), 1) for t in ts] + [(words_of(t), 0) for t in FOREIGN]
+    variants = [_variants(words, around) for words, _ in notices]
+    told = Counter(w for ws in variants for w in {tuple(w) for w in ws})  # what several notices come down to tells none of them
+    for n, (_, k) in enumerate(notices):
+        out += [(w, k, n) for w in variants[n] if told[tuple(w)] == 1]
+    out += [(w, 0, -1) for w in corpus]
     speaking = sorted(SPEAKING)
-    out += [([*around[i % len(around)], w, *around[(i + 1) % len(around)]], 0) for i, w in enumerate(speaking) for _ in range(2)]
+    out += [([*around[i % len(around)], w, *around[(i + 1) % len(around)]], 0, -1) for i, w in enumerate(speaking) for _ in range(2)]
     return out
 
 
-def train(corpus: list[list[str]], rounds: int = 300) -> Model:
-    """Multinomial logistic regression by gradient descent with momentum on three quarters of the labelled
-    paragraphs; the temperature that calibrates its probabilities is chosen on the last quarter."""
-    rows = _training(corpus)
+def _descend(rows: list[tuple[list[str], int, int]], rounds: int) -> Model:
+    """Multinomial logistic regression by gradient descent with momentum, all classes of equal weight."""
     feature: dict[str, int] = {}
-    for words, _ in rows:
+    for words, *_ in rows:
         for g in sorted(ngrams(words)):
             feature.setdefault(g, len(feature) + 1)
     k = len(FAMILIES)
     owner, col = [], []
-    for i, (words, _) in enumerate(rows):
+    for i, (words, *_) in enumerate(rows):
         for c in (0, *(feature[g] for g in ngrams(words))):
             owner.append(i)
             col.append(c)
     owner, col = np.array(owner), np.array(col)
-    y = np.array([c for _, c in rows])
-    fit = np.arange(len(rows)) % 4 != 3
-    size = np.bincount(y[fit], minlength=k)
-    share = np.where(fit, 1.0 / (k * np.maximum(size, 1)[y]), 0.0)
+    y = np.array([r[1] for r in rows])
+    share = 1.0 / (k * np.maximum(np.bincount(y, minlength=k), 1)[y])
     w, v = np.zeros((len(feature) + 1, k)), np.zeros((len(feature) + 1, k))
     target = np.eye(k)[y]
-
-    def logits(w):
+    for _ in range(rounds):
         z = np.zeros((len(rows), k))
         np.add.at(z, owner, w[col])
-        return z
-
-    def soft(z):
         e = np.exp(z - z.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
-
-    for _ in range(rounds):
-        d = (soft(logits(w)) - target) * share[:, None]
+        d = (e / e.sum(axis=1, keepdims=True) - target) * share[:, None]
         grad = np.zeros_like(w)
         np.add.at(grad, col, d[owner])
         v = 0.9 * v - 2.0 * (grad + 1e-5 * w)
         w = w + v
-    z, rest = logits(w), ~fit
-    loss = {t: -np.log(np.clip(soft(z / t)[rest, y[rest]], 1e-12, 1)).mean() for t in (0.5, 0.7, 1.0, 1.4, 2.0, 3.0)}
-    return Model(feature, w, min(loss, key=loss.get))
+    return Model(feature, w)
+
+
+def _held_out(n: int) -> bool:
+    """Whether notice n calibrates: every third template (its family is learned from the others, where it has any), every second foreign one."""
+    first = sum(map(len, TEMPLATES.values()))
+    return n >= 0 and (n % 3 == 2 if n < first else (n - first) % 2 == 1)
+
+
+def train(corpus: list[list[str]], rounds: int = 300) -> Model:
+    """The classifier, fitted to all families' templates, the corpus and the foreign notices that are not held out.
+
+    Its temperature and the doubt added to the unknown class are calibrated on whole notices that a first fit has not seen: held-out
+    templates and foreign licences, each notice of equal weight. A held-out template whose wording says nothing of its family
+    to that fit is as well unknown, so probabilities are no surer than the evidence."""
+    rows = _training(corpus)
+    first = _descend([r for r in rows if not _held_out(r[2])], rounds)
+    rest = [r for r in rows if _held_out(r[2])]
+    z = np.stack([first.logits(words) for words, *_ in rest])
+    y = np.array([r[1] for r in rest])
+    size = np.bincount([r[2] for r in rest])
+    weight = 1.0 / size[[r[2] for r in rest]]
+
+    def loss(t, doubt):
+        s = z / t
+        s[:, 0] += doubt
+        s -= s.max(axis=1, keepdims=True)
+        logp = s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+        return -(weight * np.maximum(logp[np.arange(len(y)), y], -12)).sum() / weight.sum()
+
+    grid = [(t, d) for t in (0.7, 1.0, 1.4, 2.0, 2.8, 4.0) for d in (0.0, 0.5, 1.0, 1.5, 2.0, 3.0)]
+    learned = len(TEMPLATES) and sum(map(len, TEMPLATES.values()))
+    model = _descend([r for r in rows if r[2] < learned or not _held_out(r[2])], rounds)
+    model.temperature, model.doubt = min(grid, key=lambda g: loss(*g))
+    return model
 
 
 def fit(docs: DataFrame) -> Model:
@@ -247,9 +300,16 @@ def fit(docs: DataFrame) -> Model:
                                  if not any(tuple(w[i:i + 3]) in shapes for i in range(len(w))))
             yield pa.record_batch([pa.array(list(found), pa.string())], ["paragraph"])
 
-    rows = (doc_texts(docs).mapInArrow(run, "paragraph string").distinct()
-            .orderBy(F.xxhash64("paragraph"), "paragraph").limit(CORPUS_PARAGRAPHS).collect())
-    return train([r.paragraph.split(" ") for r in rows])
+    found = materialize(doc_texts(docs).mapInArrow(run, "paragraph string").distinct()
+                        .select("paragraph", F.pmod(F.xxhash64("paragraph"), F.lit(1 << 30)).alias("h")), "paragraphs")
+    # of the least hashes a share of four times the need is enough; the exact choice is made among them
+    n, share = found.count(), 4.0 * CORPUS_PARAGRAPHS
+    while True:
+        part = found.where(F.col("h") <= F.lit(min(1.0, share / max(n, 1)) * (1 << 30)))
+        rows = part.orderBy("h", "paragraph").limit(CORPUS_PARAGRAPHS).collect()
+        if len(rows) >= min(n, CORPUS_PARAGRAPHS):
+            return train([r.paragraph.split(" ") for r in rows])
+        share *= 4
 
 
 def find(docs: DataFrame, probability: float = PROBABILITY, confirm: float = CONFIRM) -> DataFrame:
