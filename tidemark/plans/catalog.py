@@ -1439,3 +1439,129 @@ def stream_messages_end_to_end(spark, sf):
                       body["original_data"]["value"].alias("value"),
                       body["original_data"]["metric"].alias("metric"), body["is_anomaly"].alias("is_anomaly"),
                       r6(body["anomaly_score"]).alias("anomaly_score"), body["anomaly_type"].alias("anomaly_type"))
+
+
+# ---------------------------------------------------------------- records broken by id, so that isolation, enforcement and defaults show
+
+
+def _broken_messages(spark, sf):
+    """The events as messages; some are no JSON, lack a field or carry a time that cannot be read."""
+    i = F.col("event_id")
+
+    def without(k, c):
+        return F.when(i % k != 0, F.col(c)).alias(c)
+
+    ev = tb.readings(spark, sf).withColumn("timestamp", F.when(i % 113 == 0, F.lit("at noon")).otherwise(
+        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
+    body = F.to_json(F.struct(without(103, "source"), without(107, "value"), "metric", without(109, "timestamp")))
+    return ev.select("event_id", F.when(i % 101 == 0, F.lit("{broken")).otherwise(body).alias("value"))
+
+
+@register("quarantine_broken", """
+SELECT CASE WHEN event_id % 101 = 0 THEN 'malformed_json' WHEN event_id % 103 = 0 THEN 'missing_source'
+            WHEN event_id % 107 = 0 THEN 'missing_value' WHEN event_id % 109 = 0 OR event_id % 113 = 0 THEN 'missing_timestamp'
+            ELSE 'ok' END AS status, event_id FROM events""")
+def quarantine_broken(spark, sf):
+    """Every message with the reason it is kept out for, or ok."""
+    from tidemark.operators.quality import reading_reason, split_valid
+    from tidemark.sources import decode as dc
+    dec = dc.flatten(dc.decode_json(_broken_messages(spark, sf), "value", dc.READING, keep=("event_id",)))
+    dec = dec.withColumn("timestamp", dc.parse_timestamp(F.col("timestamp")))
+    good, bad = split_valid(dec, reading_reason())
+    return (good.select(F.lit("ok").alias("status"), "event_id")
+            .unionByName(bad.select(F.col("reason").alias("status"), "event_id")))
+
+
+@register("default_timestamps", """
+SELECT event_id, event_id % 109 = 0 AS filled, CASE WHEN event_id % 109 <> 0 AND event_id % 113 <> 0 THEN ts END AS timestamp
+FROM events WHERE event_id % 101 <> 0""")
+def default_timestamps(spark, sf):
+    """Messages without a time get that of their arrival; a time that cannot be read is not one without."""
+    from datetime import datetime, timezone
+    from tidemark.sources import decode as dc
+    began = F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S"))
+    dec = dc.flatten(dc.decode_json(_broken_messages(spark, sf), "value", dc.READING, keep=("event_id",)))
+    dec = dc.default_timestamp(dec.where("not _corrupt"))
+    at = dc.parse_timestamp(F.col("timestamp"))
+    filled = F.coalesce(at >= F.to_timestamp(began), F.lit(False))
+    return dec.select("event_id", filled.alias("filled"), F.when(~filled, at).cast("timestamp_ntz").alias("timestamp"))
+
+
+@register("schema_enforcement_broken", """
+SELECT event_id, CASE WHEN event_id % 79 = 0 THEN 'missing_source' WHEN event_id % 97 = 0 THEN 'bad_value'
+                      WHEN event_id % 83 = 0 THEN 'missing_timestamp' WHEN event_id % 89 = 0 THEN 'bad_is_anomaly' END AS reason,
+       CASE WHEN event_id % 97 <> 0 THEN value END AS value, CASE WHEN event_id % 89 <> 0 THEN value > 100 END AS is_anomaly FROM events""")
+def schema_enforcement_broken(spark, sf):
+    """Text records typed by the alert schema: what is missing or does not cast makes a record invalid, for the first such field."""
+    from pyspark.sql import types as T
+    from tidemark.operators.quality import enforce_schema
+    from tidemark.sources.decode import ALERT
+    i = F.col("event_id")
+    raw = tb.readings(spark, sf).select(
+        i.cast("string").alias("event_id"), F.when(i % 79 != 0, F.col("source")).alias("source"),
+        F.when(i % 97 == 0, F.lit("12,5")).otherwise(F.col("value").cast("string")).alias("value"), "metric",
+        F.when(i % 83 != 0, F.col("timestamp").cast("string")).alias("timestamp"),
+        F.when(i % 89 == 0, F.lit("maybe")).otherwise((F.col("value") > 100).cast("string")).alias("is_anomaly"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), *ALERT.fields])
+    typed = enforce_schema(raw, schema, ["source", "value", "timestamp", "is_anomaly"])
+    return typed.select("event_id", "reason", "value", "is_anomaly")
+
+
+@register("merged_streams", """
+SELECT event_id, event_type AS source, value, CASE WHEN user_id % 2 = 0 THEN 'even' END AS unit FROM events""")
+def merged_streams(spark, sf):
+    """Two streams of unlike columns as one: what one lacks is NULL there."""
+    from tidemark.streaming.scoring import merge_streams
+    even = tb.table(spark, sf, "events").select("event_id", (F.col("user_id") % 2 == 0).alias("even"))
+    s = _events_stream(spark, sf).join(even, "event_id").select("event_id", "source", "value", "even")
+    both = merge_streams(s.where("even").withColumn("unit", F.lit("even")), s.where("not even").drop("even")).drop("even")
+    return _run_to_table(spark, both, "merged").select("event_id", "source", "value", "unit")
+
+
+@register("retained_anomalies", f"""
+SELECT event_id, timestamp, source, value FROM (
+  SELECT * FROM (SELECT * FROM ({ZRES_SQL}) r WHERE is_anomaly ORDER BY timestamp DESC, event_id DESC LIMIT 200) k
+  WHERE source = (SELECT min(event_type) FROM events)) s ORDER BY timestamp DESC, event_id DESC LIMIT 50""")
+def retained_anomalies(spark, sf):
+    """The newest 50 of one source among the 200 flagged rows that are retained."""
+    from tidemark.operators import topk
+    first = tb.readings(spark, sf).agg(F.min("source")).first()[0]
+    out = topk.recent_anomalies(zscore_results(spark, sf), 50, source=first, retention=200)
+    return out.select("event_id", "timestamp", "source", "value")
+
+
+@register("unfitted_scores", """
+SELECT detector, event_id, false AS is_anomaly, 0.0 AS anomaly_score, CASE WHEN detector IN ('statistical', 'ensemble') THEN detector ELSE 'unknown' END AS anomaly_type
+FROM events, (SELECT unnest(['isolation_forest', 'lof', 'one_class_svm', 'statistical', 'ensemble']) AS detector) d""")
+def unfitted_scores(spark, sf):
+    """Every detector before its fit: all rows normal."""
+    from tidemark.operators.ensemble import create_detector
+    ev, out = tb.readings(spark, sf), None
+    for name in ("isolation_forest", "lof", "one_class_svm", "statistical", "ensemble"):
+        part = create_detector(name, {}, GLOBAL_EVENTS).unfitted().transform(ev).withColumn("detector", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out.select("detector", "event_id", "is_anomaly", "anomaly_score", "anomaly_type")
+
+
+@register("stream_processing_time", "SELECT event_id, true AS in_run FROM events")
+def stream_processing_time(spark, sf):
+    """Rows stamped with the time of their arrival instead of their own."""
+    from datetime import datetime, timezone
+    from tidemark.streaming.stats import event_time
+    began = datetime.now(timezone.utc).timestamp()
+    out = _run_to_table(spark, event_time(_events_stream(spark, sf), processing_time=True), "processing-time")
+    at = F.col("event_time").cast("double")
+    return out.select("event_id", ((at >= began - 1) & (at <= F.current_timestamp().cast("double"))).alias("in_run"))
+
+
+@register("pipeline_latency", f"""
+WITH r AS (SELECT z.event_id, z.timestamp, z.is_anomaly, (z.event_id * 13) % 50 / 10.0 AS lat, z.value > 150 AS label FROM ({ZRES_SQL}) z)
+SELECT time_bucket(INTERVAL '1 day', timestamp) AS window_start, count(*) AS processed_count, round(avg(lat), 4) AS latency_mean_s,
+       round(avg(CASE WHEN label = is_anomaly THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM r GROUP BY 1""")
+def pipeline_latency(spark, sf):
+    """Latency between a reading's time and its processing, and accuracy against labels, per day."""
+    from tidemark.operators import aggregates as ag
+    us = F.unix_micros(F.col("timestamp").cast("timestamp")) + (F.col("event_id") * 13) % 50 * 100_000
+    res = zscore_results(spark, sf).withColumns({"done_at": F.timestamp_micros(us), "label": F.col("value") > 150})
+    out = ag.pipeline_metrics(res, duration="1 day", processing_col="done_at", label="label")
+    return out.select("window_start", "processed_count", F.round("latency_mean_s", 4).alias("latency_mean_s"), r6("accuracy").alias("accuracy"))
