@@ -97,6 +97,17 @@ def test_lookup_of_keys(spark, small, tmp_path, monkeypatch):
     assert got == {k: library([texts[k]])[0] + [1] for k in (5, 17)}
 
 
+def test_lookup_in_blocks_of_bounds(spark, odd, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_DOCS", 8)
+    monkeypatch.setattr(token_store, "LOOKUP_SHARDS", 3)
+    docs = small.select("doc_id", "text").union(odd.select("doc_id", "text"))
+    to = str(tmp_path / "store")
+    token_store.write(docs, to, partitions=4)
+    got = sorted(((r.doc_id, list(r.ids)) for r in token_store.lookup(docs.select("doc_id"), to).collect()), key=str)
+    want = sorted(((-(2**63) if r.doc_id is None else r.doc_id, library([r.text or ""])[0] + [1]) for r in docs.collect()), key=str)
+    assert got == want
+
+
 def test_queries_run(spark):
     from tidemark.llm.queries import QUERIES
 

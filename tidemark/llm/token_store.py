@@ -22,6 +22,8 @@ SHARD_IDS, SHARD_DOCS = 1_000_000, 4096
 END_ID = 1
 #: words whose ids a task holds at most
 HELD_WORDS = 1_000_000
+#: shards whose bounds are searched at once in a lookup, 24 bytes each
+LOOKUP_SHARDS = 2_000_000
 
 SHARD_SCHEMA = ("part int, shard int, first_key long, last_key long, n_docs long, n_ids long, part_start long, "
                 "width int, payload binary, keys binary, starts binary, seeds binary, slots binary")
@@ -246,18 +248,39 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32"))
 
 
+def _placed(wanted: DataFrame, shards: DataFrame) -> DataFrame:
+    """``part, shard, key`` of the shards that may hold each of ``wanted(key)``. Shards lie in the order of their keys, so a
+    search of their sorted bounds gives them; bounds of more than LOOKUP_SHARDS shards are searched in blocks, each against all keys."""
+    bounds = shards.select("first_key", "last_key", "part", "shard")
+    blocks = -(-bounds.count() // LOOKUP_SHARDS)
+    out = None
+    for b in range(blocks):
+        mine = bounds.where(F.pmod(F.xxhash64("part", "shard"), F.lit(blocks)) == b).toArrow().sort_by([("first_key", "ascending"), ("last_key", "ascending")])
+        held = wanted.sparkSession.sparkContext.broadcast([mine.column(c).to_numpy() for c in ("first_key", "last_key", "part", "shard")])
+
+        def run(batches, held=held):
+            first, last, part, shard = held.value
+            for batch in batches:
+                key = batch.column(0).to_numpy()
+                lo, hi = np.searchsorted(last, key, "left"), np.searchsorted(first, key, "right")
+                n = np.maximum(hi - lo, 0)
+                at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                yield pa.record_batch([pa.array(part[at], pa.int32()), pa.array(shard[at], pa.int32()), pa.array(np.repeat(key, n))],
+                                      ["part", "shard", "key"])
+
+        found = wanted.mapInArrow(run, "part int, shard int, key long")
+        out = found if out is None else out.unionByName(found)
+    return wanted.select(F.lit(0).alias("part"), F.lit(0).alias("shard"), "key").limit(0) if out is None else out
+
+
 def lookup(keys: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids`` for the rows of a store whose doc_id is in ``keys(doc_id)``; keys that it does not hold give no
-    row. Keys meet the shards of their part's range, and there one hash access each finds the
-    document; payloads of other shards are not read into the result."""
+    row. A binary search of the shards' bounds gives each key its shard, and there one hash access finds the
+    document; only shards that are asked for are read past their bounds."""
     spark = keys.sparkSession
     shards = spark.read.parquet(path)
-    ranges = shards.groupBy("part").agg(F.min("first_key").alias("lo"), F.max("last_key").alias("hi"))
     wanted = keys.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key")).distinct()
-    placed = wanted.join(F.broadcast(ranges), F.col("key").between(F.col("lo"), F.col("hi"))).select("part", "key")
-    where = shards.select("part", "shard", "first_key", "last_key")
-    asked = (placed.join(where, "part").where(F.col("key").between(F.col("first_key"), F.col("last_key")))
-             .groupBy("part", "shard").agg(F.collect_list("key").alias("asked")))  # SHARD_DOCS keys at most match
+    asked = _placed(wanted, shards).groupBy("part", "shard").agg(F.collect_list("key").alias("asked"))  # SHARD_DOCS keys at most match
     full = asked.join(shards, ["part", "shard"]).select("asked", *[f.split()[0] for f in SHARD_SCHEMA.split(", ")])
 
     def run(batches):
