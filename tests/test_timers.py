@@ -155,3 +155,17 @@ def test_one_class_svm_keeps_nu_with_an_outlier(spark):
     assert 1500 in flagged
     with pytest.raises(ValueError):
         OneClassSVMDetector(spec).fit(df.where("id > 8999 AND id < 9002"))
+
+
+def test_long_history_is_kept_to_its_reach(spark):
+    spec = SeriesSpec(("source",), ("event_time", "event_id"), "value")
+    ev = _events(spark)
+    cut = ev.agg(F.expr("percentile_approx(event_time, 0.8)")).first()[0]
+    old, new = ev.where(F.col("event_time") < cut), ev.where(F.col("event_time") >= cut)
+    for window in (20, 5):  # the gate of 10 reaches further than a window of 5
+        model = st.StatisticalDetector(spec, window_size=window).fit(old)
+        assert model.history.groupBy("source").count().agg(F.max("count")).first()[0] == max(window - 1, 10)
+        whole = {r.event_id: r for r in st.rolling_zscore(ev, spec, window_size=window).collect()}
+        for r in model.transform(new).collect():
+            assert (r.is_anomaly, r.anomaly_type, round(r.anomaly_score, 9)) == (whole[r.event_id].is_anomaly, whole[r.event_id].anomaly_type,
+                                                                                 round(whole[r.event_id].anomaly_score, 9))

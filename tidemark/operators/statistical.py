@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import safe_div, sorted_quantile
 from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection
 from tidemark.operators.rolling import RN, over_series, DEFAULT_HOT_KEY_ROWS
+from tidemark.session import materialize
 
 READING = "_reading"
 SEG = "_seg"  # 0 = history rows given to fit, 1 = rows to score
@@ -116,7 +117,12 @@ class StatisticalDetector(Detector):
         self.hot_key_rows, self.chunk_rows = hot_key_rows, chunk_rows
 
     def fit(self, history: DataFrame | None = None) -> StatisticalModel:
-        """``history`` preloads each key's buffer (it is not scored)."""
+        """``history`` preloads each key's buffer (it is not scored).  Of each key's history only the rows that a
+        frame or the gate can reach are kept: the last ``window_size - 1``, or ``min_history`` if that is more."""
+        if history is not None:
+            newest = Window.partitionBy(*self.spec.keys).orderBy(*[F.col(c).desc() for c in self.spec.order])
+            reach = max(self.window_size - 1, self.min_history)
+            history = materialize(history.withColumn(RN, F.row_number().over(newest)).where(F.col(RN) <= reach).drop(RN), "history")
         return StatisticalModel(self.spec, self.method, self.threshold, self.window_size,
                                 self.min_history, history, self.hot_key_rows, self.chunk_rows)
 

@@ -1181,9 +1181,11 @@ def stream_zscore(spark, sf):
 
 
 def _heartbeat(rows, time_col: str, ahead: str):
-    """One row without any value, later than all others: lets the watermark of a finished replay pass them."""
+    """One row without any value, later than all others: lets the watermark of a finished replay pass them.
+    Its id is -1, as a join leaves out rows without one before they move the watermark."""
     late = rows.agg((F.max(time_col) + F.expr(f"INTERVAL {ahead}")).alias(time_col))
-    return late.select(*[F.col(time_col) if f.name == time_col else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+    return late.select(*[F.col(time_col) if f.name == time_col else F.lit(-1 if f.name == "event_id" else None).cast(f.dataType).alias(f.name)
+                         for f in rows.schema])
 
 
 def _out_of_order_events(spark, sf, nulls: bool = False):
@@ -1531,7 +1533,7 @@ def retained_anomalies(spark, sf):
 
 
 @register("unfitted_scores", """
-SELECT detector, event_id, false AS is_anomaly, 0.0 AS anomaly_score, CASE WHEN detector IN ('statistical', 'ensemble') THEN detector ELSE 'unknown' END AS anomaly_type
+SELECT detector, event_id, false AS is_anomaly, CAST(0.0 AS DOUBLE) AS anomaly_score, CASE WHEN detector IN ('statistical', 'ensemble') THEN detector ELSE 'unknown' END AS anomaly_type
 FROM events, (SELECT unnest(['isolation_forest', 'lof', 'one_class_svm', 'statistical', 'ensemble']) AS detector) d""")
 def unfitted_scores(spark, sf):
     """Every detector before its fit: all rows normal."""
