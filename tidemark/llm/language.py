@@ -4,8 +4,6 @@ pass with a switching penalty labels the spans of mixed texts."""
 from __future__ import annotations
 
 import re
-import sys
-import unicodedata
 import zlib
 from collections import Counter
 
@@ -28,13 +26,11 @@ LANGUAGES = 256
 MIN_SCORE = 0.4
 
 #: characters of texts that are labelled together, and cells of their scores, about; a longer text is labelled alone
-LABEL_CHARS, LABEL_CELLS = 2_000_000, 10_000_000
+LABEL_CHARS, LABEL_CELLS = 8_000_000, 10_000_000
 #: words scored at once, and words a worker remembers
 SCORE_WORDS, HELD_WORDS = 20_000, 400_000
 
-#: number signs that are no digits, such as fractions and Roman numerals, are no letters
-_SIGNS = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Nl", "No"))
-_WORDS = re.compile(rf"[^\W\d_{_SIGNS}]+")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 #: first code points of script ranges and their names (fixed values); letters below U+0250 are Latin
 _SCRIPTS = [(0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"),
@@ -52,7 +48,11 @@ def script(word: str) -> str:
 
 def words_of(text: str) -> list[str]:
     """Runs of letters (Unicode category L) in lower case."""
-    return _WORDS.findall(text.lower())
+    words = _WORDS.findall(text.lower())
+    if text.isascii() or all(map(str.isalpha, words)):
+        return words
+    # number signs that are no digits, such as fractions and Roman numerals, part letters
+    return [x for w in words for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,12 +96,13 @@ class Model:
         out = np.zeros((len(words), len(self.langs)), np.float32)
         for j in range(len(self.langs)):
             out[:, j] = np.bincount(w, self.table[h, j], minlength=len(words))
-        for i, word in enumerate(words):
-            uses = self.of_script.get(script(word))
+        kind = np.searchsorted(_STARTS, np.fromiter((ord(w[0]) for w in words), np.int64, len(words)), "right") - 1
+        for x in np.unique(kind):
+            uses = self.of_script.get(_SCRIPTS[x][1])
             if uses is None or not uses.any():
-                out[i] = 0
+                out[kind == x] = 0
             elif not uses.all():
-                out[i, ~uses] = -50
+                out[np.ix_(kind == x, ~uses)] = -50
         return out
 
 
@@ -316,7 +317,7 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, **options) ->
         for part in text_slices(batches, at, LABEL_CHARS if model is None else _label_chars(model)):
             texts = [t or "" for t in part.column(at).to_pylist()]
             if model is None:
-                keep = [bool(_WORDS.search(t)) for t in texts]
+                keep = [bool(words_of(t)) for t in texts]
             else:
                 keep = [g[0] is not None and g[1] >= min_score for g in _label(model, texts, known, SWITCH)]
             yield part.filter(pa.array(keep, pa.bool_()))
