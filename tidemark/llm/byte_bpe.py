@@ -22,7 +22,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -196,16 +196,23 @@ class _Known:
     """Codes of the words that every slice knows: tokens by their id, then the broadcast words."""
 
     def __init__(self, path: str, words: pa.Array, ids: pa.Array):
+        self.words, self.path = words, path
         r = ranks(path)
         self.pieces = r.pieces
-        self.codes = dict(r.whole)
-        for i, w in enumerate(words.to_pylist(), r.size):
-            self.codes.setdefault(w, i)
         ends = ids.offsets.to_numpy().astype(np.int64)
         self.values = np.concatenate([np.arange(r.size), ids.flatten().to_numpy().astype(np.int64)])
         self.starts = np.concatenate([np.arange(r.size), ends[:-1] - ends[0] + r.size])
         self.sizes = np.concatenate([np.ones(r.size, np.int64), np.diff(ends)])
 
+    @cached_property
+    def codes(self) -> dict[str, int]:
+        """Made by the tasks that number words alone; those that put ids in order go without."""
+        r = ranks(self.path)
+        codes = dict(r.whole)
+        for i, w in enumerate(self.words.to_pylist(), r.size):
+            codes.setdefault(w, i)
+        return codes
+
 
 _HELD: dict[str, _Known] = {}
 
