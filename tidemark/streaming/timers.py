@@ -9,8 +9,9 @@
 
 Each key keeps one timer, at the earliest moment it has something to do, so a
 micro-batch touches the keys with input and the keys whose timer the watermark has
-passed, never all of them.  State lives in RocksDB and is versioned by the query's
-checkpoint: a restarted query goes on from it.
+passed, never all of them.  State variables need the RocksDB state store, which the
+two detectors set in the session; state is versioned by the query's checkpoint, and a
+restarted query goes on from it.
 
 Spark drops rows behind the watermark before a timer-driven operator sees them;
 ``split_late`` in front keeps them.  A stream that ends leaves rows younger than
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, use_rocksdb_state
 from tidemark.streaming.stateful import _from_ipc, _ms, _score, _to_ipc
 
 
@@ -117,6 +118,7 @@ def rolling_detector_event_time(df: DataFrame, keys: Sequence[str], time_col: st
     schema = T.StructType(df.schema.fields + [
         T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_score", T.DoubleType()),
         T.StructField("anomaly_type", T.StringType())])
+    use_rocksdb_state(df.sparkSession)
     processor = _Rolling(time_col, tie, value, df.columns, method, threshold, window_size, min_history)
     return (df.withWatermark(time_col, watermark).groupBy(*keys)
             .transformWithStateInPandas(processor, schema, "append", "eventTime"))
@@ -174,6 +176,7 @@ def silent_sources_stream(df: DataFrame, keys: Sequence[str] = ("source",), time
     rows without a time are no sign of life."""
     keys = list(keys)
     spark = df.sparkSession
+    use_rocksdb_state(spark)
     gap_us = int(spark.range(1).select(F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {gap})")).first()[0])
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("last_us", T.LongType())])
     marked = df.withWatermark(time_col, watermark).select(*keys, time_col, F.unix_micros(time_col).alias("at_us"))
