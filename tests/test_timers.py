@@ -3,6 +3,7 @@ import os
 import tempfile
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +170,93 @@ def test_long_history_is_kept_to_its_reach(spark):
         for r in model.transform(new).collect():
             assert (r.is_anomaly, r.anomaly_type, round(r.anomaly_score, 9)) == (whole[r.event_id].is_anomaly, whole[r.event_id].anomaly_type,
                                                                                  round(whole[r.event_id].anomaly_score, 9))
+
+
+class _Box(dict):
+    """State variables of one key in memory, as value, list and map."""
+
+    def getValueState(self, name, *schema):
+        return self.setdefault(name, _Value())
+
+    getListState = getMapState = getValueState
+
+    def registerTimer(self, at):
+        self["timers"] = self.get("timers", set()) | {at}
+
+    def deleteTimer(self, at):
+        self["timers"].discard(at)
+
+
+class _Value:
+    def __init__(self):
+        self.v, self.rows, self.map = None, [], {}
+
+    def get(self):
+        return iter(self.rows) if self.rows else self.v
+
+    def update(self, v):
+        self.v = v
+
+    def clear(self):
+        self.v, self.rows = None, []
+
+    def exists(self):
+        return bool(self.rows) or self.v is not None
+
+    def put(self, rows):
+        self.rows = rows
+
+    def appendList(self, rows):
+        self.rows = self.rows + rows
+
+    def appendValue(self, row):
+        self.rows = self.rows + [row]
+
+    def updateValue(self, k, v):
+        self.map[k] = v
+
+    def getValue(self, k):
+        return self.map[k]
+
+    def removeKey(self, k):
+        del self.map[k]
+
+    def keys(self):
+        return iter(list(self.map))
+
+
+class _At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _fire(processor, box, wm):
+    out = []
+    while min(box.get("timers") or {wm}) < wm:
+        box["timers"].discard(min(box["timers"]))
+        out += processor.handleExpiredTimer(("x",), _At(wm), None)
+    return out
+
+
+def test_due_rows_are_scored_part_by_part():
+    from tidemark.streaming import timers
+    from tidemark.streaming.stateful import _score
+    n = 300_000
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({"t": pd.to_datetime(rng.integers(0, n // 2, n) * 1000, unit="us"), "i": rng.integers(0, 50, n),
+                         "value": rng.normal(size=n), "no": np.arange(n)})
+    box, p = _Box(), timers._Rolling("t", "i", "value", list(rows.columns), "zscore", 3.0, 100, 10)
+    p.init(box)
+    out = []
+    for a in range(0, n, 100_000):
+        out += p.handleInputRows(("x",), (rows.iloc[b:b + 10_000] for b in range(a, a + 100_000, 10_000)), _At(0))
+    for wm in (n // 6, n // 4, n):
+        out += _fire(p, box, wm)
+    assert max(map(len, out)) < 60_000
+    got, want = pd.concat(out), rows.sort_values(["t", "i"], kind="stable")
+    assert got["no"].tolist() == want["no"].tolist()
+    flags, scores, _ = _score(want["value"].to_numpy(), 0, 0, 100, 3.0, 10, "zscore")
+    assert np.array_equal(got["is_anomaly"], flags) and np.allclose(got["anomaly_score"], scores)

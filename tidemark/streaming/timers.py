@@ -54,8 +54,17 @@ class _Timed(StatefulProcessor):
         pass
 
 
+#: rows sorted together before they go into state, and of one run there
+DEAL_ROWS, RUN_ROWS = 200_000, 4_000
+#: due rows that are scored together, about
+SCORE_ROWS = 20_000
+#: a row's place in the order of arrival
+ARRIVAL = "_arrival"
+
+
 class _Rolling(_Timed):
-    """The buffer detector: the last ``window - 1`` values, the number seen, and the rows not yet due."""
+    """The buffer detector: the last ``window - 1`` values, the number seen, and the rows not yet due in runs sorted by
+    time. Due runs are read from the earliest on, so a worker holds those that overlap in time and never all of a key."""
 
     def __init__(self, time_col, tie, value, cols, method, threshold, window, gate):
         self.order, self.value, self.cols = [time_col, tie], value, cols
@@ -65,41 +74,73 @@ class _Rolling(_Timed):
         super().init(handle)
         self.vals = handle.getListState("vals", "v double")
         self.seen = handle.getValueState("seen", "n long")
-        self.pending = handle.getListState("pending", "rows binary")
+        self.arrived = handle.getValueState("arrived", "n long")
+        self.runs = handle.getMapState("runs", "first long, n long", "rows binary")
+
+    def _keep(self, rows: pd.DataFrame) -> None:
+        """Rows that carry their arrival, as sorted runs under their first time."""
+        rows = rows.sort_values([self.order[0], ARRIVAL]).reset_index(drop=True)
+        ms = _ms(rows[self.order[0]]).to_numpy()
+        for at in range(0, len(rows), RUN_ROWS):
+            run = rows.iloc[at:at + RUN_ROWS]
+            self.runs.updateValue((int(ms[at]), int(run[ARRIVAL].iloc[0])), (_to_ipc(run),))
+        self.wake(int(ms[0]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        timed = new[self.order[0]].notna()
-        if timed.any():
-            due = new[timed].reset_index(drop=True)
-            self.pending.appendValue((_to_ipc(due),))
-            self.wake(int(_ms(due[self.order[0]]).min()))
-        if not timed.all():  # a row without a time has no place in a series
-            yield self._out(new[~timed], False, 0.0, "statistical")
+        n = self.arrived.get()
+        n, held, size = 0 if n is None else int(n[0]), [], 0
+        for new in rows:
+            timed = new[self.order[0]].notna()
+            if not timed.all():  # a row without a time has no place in a series
+                yield self._out(new[~timed], False, 0.0, "statistical")
+                new = new[timed]
+            if not len(new):
+                continue
+            held.append(new.assign(**{ARRIVAL: np.arange(n, n + len(new))}))
+            n, size = n + len(new), size + len(new)
+            if size >= DEAL_ROWS:
+                self._keep(pd.concat(held, ignore_index=True))
+                held, size = [], 0
+        if size:
+            self._keep(pd.concat(held, ignore_index=True))
+        self.arrived.update((n,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         wm = timerValues.getCurrentWatermarkInMs()
-        pending = pd.concat([_from_ipc(p[0]) for p in self.pending.get()], ignore_index=True)
-        ms = _ms(pending[self.order[0]])
-        ready = pending[ms <= wm].sort_values(self.order, kind="mergesort")
-        rest = pending[ms > wm].reset_index(drop=True)
-        if len(rest):
-            self.pending.put([(_to_ipc(rest),)])
-            self.wake(int(_ms(rest[self.order[0]]).min()))
-        else:
-            self.pending.clear()
-        if len(ready):
-            seen = self.seen.get()
-            seen = 0 if seen is None else int(seen[0])
-            prev = np.array([v[0] for v in self.vals.get()], dtype=float) if self.vals.exists() else np.zeros(0)
-            arr = np.concatenate([prev, ready[self.value].to_numpy(dtype=float)])
-            flags, scores, kinds = _score(arr, len(prev), seen, self.window, self.threshold, self.gate, self.method)
-            keep = arr[-(self.window - 1):] if self.window > 1 else arr[:0]
-            if len(keep):
-                self.vals.put([(float(v),) for v in keep])
-            self.seen.update((seen + len(ready),))
-            yield self._out(ready, flags, scores, kinds)
+        runs = sorted((int(k[0]), int(k[1])) for k in self.runs.keys())
+        due, later = [r for r in runs if r[0] <= wm], [r for r in runs if r[0] > wm]
+        held, size, most = [], 0, SCORE_ROWS
+        for i, run in enumerate(due):
+            held.append(_from_ipc(self.runs.getValue(run)[0]))
+            self.runs.removeKey(run)
+            size, last = size + len(held[-1]), i + 1 == len(due)
+            if not last and size < most:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            # a run yet to be read begins no earlier than the next one
+            ready = (_ms(rows[self.order[0]]) < (wm + 1 if last else due[i + 1][0])).to_numpy()
+            held, size = [] if ready.all() else [rows[~ready]], int((~ready).sum())
+            most = SCORE_ROWS + 2 * size
+            if ready.any():
+                yield self._score(rows[ready])
+        if held:
+            self._keep(held[0])
+        if later:
+            self.wake(later[0][0])
+
+    def _score(self, ready: pd.DataFrame) -> pd.DataFrame:
+        ready = ready.sort_values([*self.order, ARRIVAL])
+        seen = self.seen.get()
+        seen = 0 if seen is None else int(seen[0])
+        prev = np.array([v[0] for v in self.vals.get()], dtype=float) if self.vals.exists() else np.zeros(0)
+        arr = np.concatenate([prev, ready[self.value].to_numpy(dtype=float)])
+        flags, scores, kinds = _score(arr, len(prev), seen, self.window, self.threshold, self.gate, self.method)
+        keep = arr[-(self.window - 1):] if self.window > 1 else arr[:0]
+        if len(keep):
+            self.vals.put([(float(v),) for v in keep])
+        self.seen.update((seen + len(ready),))
+        return self._out(ready, flags, scores, kinds)
 
     def _out(self, rows: pd.DataFrame, flags, scores, kinds) -> pd.DataFrame:
         out = rows[self.cols].copy()
@@ -114,7 +155,7 @@ def rolling_detector_event_time(df: DataFrame, keys: Sequence[str], time_col: st
     ``(time_col, tie)`` order: any arrival order within the watermark delay gives the
     batch result.  ``time_col`` must be a ``timestamp`` column; a row without a time is
     passed through unscored.  NULL and NaN values score 0.0 and are left out of frames.
-    Rows not yet due are kept as Arrow IPC bytes, bounded by delay x key rate."""
+    Rows not yet due are kept as sorted runs of Arrow IPC bytes, bounded by delay x key rate, and read run by run."""
     schema = T.StructType(df.schema.fields + [
         T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_score", T.DoubleType()),
         T.StructField("anomaly_type", T.StringType())])
