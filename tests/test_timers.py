@@ -260,3 +260,33 @@ def test_due_rows_are_scored_part_by_part():
     assert got["no"].tolist() == want["no"].tolist()
     flags, scores, _ = _score(want["value"].to_numpy(), 0, 0, 100, 3.0, 10, "zscore")
     assert np.array_equal(got["is_anomaly"], flags) and np.allclose(got["anomaly_score"], scores)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_silences_are_told_from_spans(seed):
+    from tidemark.streaming import timers
+    rng = np.random.default_rng(seed)
+    gap = 50_000
+    t = np.unique(np.cumsum(rng.choice([1, 1000, 40_000, 50_000, 50_001, 90_000], 3000, p=[.5, .3, .1, .05, .04, .01])))
+    box, p = _Box(), timers._Silence(["source"], "at_us", gap)
+    p.init(box)
+    told, left, wm = [], t + rng.integers(0, 400_000, len(t)), 0  # a row comes by its time of arrival
+    for now in range(0, int(t[-1]) + 3_000_000, 150_000):
+        new = t[(left >= now - 150_000) & (left < now)]
+        frames = [pd.DataFrame({"at_us": rng.permutation(np.repeat(new, 2)).astype(float)})]
+        list(p.handleInputRows(("x",), iter(frames), _At(wm)))
+        wm = max(0, (now - 600_000) // 1000)
+        told += [x for f in _fire(p, box, wm) for x in f["last_us"]]
+        held = sum(len(v.rows) for v in box.values() if isinstance(v, _Value))
+        assert held <= 2 + (np.diff(t) > gap).sum()
+    assert told == [*t[:-1][np.diff(t) > gap], t[-1]]
+
+
+def test_a_steady_source_is_held_as_one_span():
+    from tidemark.streaming import timers
+    box, p = _Box(), timers._Silence(["source"], "at_us", 5_000)
+    p.init(box)
+    list(p.handleInputRows(("x",), iter([pd.DataFrame({"at_us": np.arange(0, 10**7, 1000)})]), _At(0)))
+    assert sum(len(v.rows) for v in box.values() if isinstance(v, _Value)) == 1
+    assert _fire(p, box, 5_000) == []
+    assert [x for f in _fire(p, box, 20_000) for x in f["last_us"]] == [10**7 - 1000]

@@ -165,8 +165,17 @@ def rolling_detector_event_time(df: DataFrame, keys: Sequence[str], time_col: st
             .transformWithStateInPandas(processor, schema, "append", "eventTime"))
 
 
+def _spans(start: np.ndarray, end: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of time in order, those joined that are no more than ``gap`` apart."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
+    first = np.concatenate(([True], start[1:] - end[:-1] > gap))[:len(start)]
+    return start[first], end[np.append(first[1:], True)[:len(end)]]
+
+
 class _Silence(_Timed):
-    """The time of the last row, whether its silence was told, and the times not yet due (microseconds)."""
+    """The time of the last row, whether its silence was told, and the times not yet due (microseconds): as spans without
+    a silence inside, since only their ends can be told."""
 
     def __init__(self, names: list[str], time_col: str, gap_us: int):
         self.names, self.time_col, self.gap = names, time_col, gap_us
@@ -174,37 +183,53 @@ class _Silence(_Timed):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.last = handle.getValueState("last", "at long, told boolean")
-        self.pending = handle.getListState("pending", "at long")
+        self.pending = handle.getListState("spans", "start long, end long")
+
+    def _pending(self) -> tuple[np.ndarray, np.ndarray]:
+        held = [(int(p[0]), int(p[1])) for p in self.pending.get()] if self.pending.exists() else []
+        both = np.array(held, np.int64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
+
+    def _put(self, start: np.ndarray, end: np.ndarray) -> None:
+        if len(start):
+            self.pending.put(list(zip(start.tolist(), end.tolist())))
+        else:
+            self.pending.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        times = sorted({int(t) for pdf in rows for t in pdf[self.time_col].dropna()})
-        if times:
-            self.pending.appendList([(t,) for t in times])
-            self.wake(times[0] // 1000)
+        start = end = np.zeros(0, np.int64)
+        for pdf in rows:
+            t = pdf[self.time_col].dropna().to_numpy(np.int64)
+            start, end = _spans(np.append(start, t), np.append(end, t), self.gap)
+        if len(start):
+            self._put(*_spans(*map(np.append, self._pending(), (start, end)), self.gap))
+            self.wake(int(start[0]) // 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         wm = timerValues.getCurrentWatermarkInMs()
-        pending = sorted(t[0] for t in self.pending.get()) if self.pending.exists() else []
-        ready, rest = [t for t in pending if t // 1000 <= wm], [t for t in pending if t // 1000 > wm]
+        start, end = self._pending()
+        due = int(np.searchsorted(start // 1000, wm, "right"))
         last, told = self.last.get() or (None, False)
         found = []
-        for t in ready:
-            if last is not None and not told and t - last > self.gap:
+        for s, e in zip(start[:due].tolist(), end[:due].tolist()):
+            if last is not None and not told and s - last > self.gap:
                 found.append(last)
-            last, told = (t, False) if last is None or t >= last else (last, told)
-        if last is not None and not told and wm * 1000 > last + self.gap:
+            # of a span that is due in part the first row stands for those that are due: its silence is not yet to be told
+            at = e if e // 1000 <= wm else s
+            last, told = (at, False) if last is None or at >= last else (last, told)
+        begun = due > 0 and int(end[due - 1]) // 1000 > wm
+        if last is not None and not told and not begun and wm * 1000 > last + self.gap:
             found.append(last)
             told = True
         self.last.update((last, told))
-        if rest:
-            self.pending.put([(t,) for t in rest])
-        else:
-            self.pending.clear()
-        due = [t // 1000 for t in rest[:1]] + ([] if told or last is None else [(last + self.gap) // 1000 + 1])
-        if due:
-            self.wake(min(due))
+        self._put(start[due - begun:], end[due - begun:])
+        wakes = ([int(end[due - 1]) // 1000] if begun else []) + (start[due:due + 1] // 1000).tolist()
+        if last is not None and not told and not begun:
+            wakes.append((last + self.gap) // 1000 + 1)
+        if wakes:
+            self.wake(min(wakes))
         if found:
             out = pd.DataFrame({n: [k] * len(found) for n, k in zip(self.names, key)})
             yield out.assign(last_us=found)
