@@ -105,6 +105,21 @@ def test_lof_duplicates_match_brute_force_with_same_tie_rule(spark):
         assert abs(got[int(i)] - lof[pos]) <= 1e-9 * max(1.0, abs(lof[pos])), (i, got[int(i)], lof[pos])
 
 
+def test_lof_of_a_chunk_is_found_block_by_block(monkeypatch):
+    import pyarrow as pa
+    from tidemark.operators import lof as m
+    rng = np.random.default_rng(2)
+    x = np.sort(np.concatenate([rng.normal(size=200), rng.integers(-2, 3, 60).astype(float)]))
+    order = rng.permutation(len(x))  # rows of a group come in any order; a third are copies of border rows
+    table = pa.table({"rn": order + 1, "x": x[order], "_id": order * 10, "shift": (order % 3 == 0).astype(np.int32)})
+    monkeypatch.setattr(m, "BLOCK_ROWS", 50)
+    got = m._chunk_factors(7, 1.0)(table)
+    want, _ = _brute_lof(x, 7, np.array([0.0]))
+    kept = np.flatnonzero(np.arange(len(x)) % 3 != 0)
+    assert got["rn"].to_pylist() == (kept + 1).tolist() and got["_id"].to_pylist() == (kept * 10).tolist()
+    assert np.allclose(got["lof"].to_numpy(), want[kept], rtol=1e-9, atol=0)
+
+
 def test_empty_and_missing_inputs(spark):
     from tidemark.operators.evaluate import evaluate
     empty = spark.createDataFrame([], "id long, value double")

@@ -5,14 +5,14 @@ of it in sorted order, so LOF needs no index and no pair explosion:
 
 * training rows get their global position ``_rn`` in ``(x, id)`` order
   (distributed ``positions``: bucket counts + per-bucket row numbers);
-* pass 1: the 2k rows around a row are collected from a ``[-k, +k]`` frame;
+* pass 1: of the 2k rows around a row
   the k nearest (ties by position) give the neighbour list and k-distance;
 * pass 2: reach distance ``max(d, kdist(o))`` -> ``lrd = 1 / (mean + 1e-10)``;
 * pass 3: ``LOF = mean(lrd(o)) / lrd``; offset = exact percentile of ``-LOF``
   at ``100 * contamination``.
 
-Each pass is a chunked window over ``_rn`` (``chunk_windows``), so a large
-training set is split into chunks with a k-row halo instead of one task.
+The passes run over arrays of a chunk of positions (``chunks``), so a large
+training set is split into chunks with a 3k-row halo instead of one task.
 
 Novelty scoring of new values: a new value's insertion rank ``r`` among the
 training values is the running count of training rows before it in the
@@ -26,16 +26,60 @@ anomaly iff ``decision < 0``; ``anomaly_score = clamp(-decision, 0, 1)`` and
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.base import Detector, Model, SeriesSpec, READINGS, with_detection, UnfittedModel, out_names
 from tidemark.operators.quantile import exact_percentile
-from tidemark.operators.rolling import RN, positions, chunk_windows
+from tidemark.operators.rolling import RN, positions, chunks
 from tidemark.session import materialize
 
 EPS = 1e-10
 BROADCAST_TRAIN_ROWS = 2_000_000
+TRAIN = "rn long, x double, kd double, lrd double, lof double, _id long"
+#: rows whose neighbours are looked for at once inside a task
+BLOCK_ROWS = 20_000
+
+
+def _total(parts: np.ndarray) -> np.ndarray:
+    """Sums of rows, from the first column to the last."""
+    out = np.zeros(len(parts))
+    for j in range(parts.shape[1]):
+        out += parts[:, j]
+    return out
+
+
+def _factors(x: np.ndarray, k: int, sd: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(k-distance, density, LOF) of each of more than k ordered values."""
+    n = len(x)
+    around = np.arange(n)[:, None] + np.delete(np.arange(-k, k + 1), k)
+    outside = (around < 0) | (around >= n)
+    around = np.clip(around, 0, n - 1)
+    far = np.abs(x[around] - x[:, None])
+    far[outside] = np.inf
+    near = np.argsort(far, axis=1, kind="stable")[:, :k]  # by (raw distance, position)
+    nb, d = np.take_along_axis(around, near, axis=1), np.take_along_axis(far, near, axis=1) / sd
+    kd = d[:, -1]
+    lrd = 1.0 / (_total(np.maximum(d, kd[nb])) / k + EPS)
+    return kd, lrd, _total(lrd[nb]) / k / lrd
+
+
+def _chunk_factors(k: int, sd: float):
+    def run(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("rn").to_numpy())
+        rn, x, ids, shift = (table.column(c).take(pa.array(order)) for c in ("rn", "x", "_id", "shift"))
+        values, found = x.to_numpy(), []
+        for first in range(0, len(values), BLOCK_ROWS):
+            last = min(first + BLOCK_ROWS, len(values))
+            start = max(0, first - 3 * k)
+            part = _factors(values[start:last + 3 * k], k, sd)
+            found.append([f[first - start:last - start] for f in part])
+        kd, lrd, lof = (pa.array(np.concatenate(f)) for f in zip(*found))
+        out = pa.table([rn, x, kd, lrd, lof, ids], names=["rn", "x", "kd", "lrd", "lof", "_id"])
+        return out.filter(pa.array(shift.to_numpy() == 0))
+    return run
 
 
 class LOFModel(Model):
@@ -129,50 +173,9 @@ class LOFDetector(Detector):
         pos = positions(x, [], ["x", "_id"], chunk_rows=chunk, n=n).withColumnRenamed(RN, "rn") \
             .withColumn(RN, F.col("rn"))
 
-        sdv = F.lit(sd or 1.0)
-
-        def frame(w):
-            return w.rowsBetween(-k, k)
-
-        # pass 1: the rows around a row (ordered by position) -> k nearest, k-distance
-        def p1_collect(w):
-            return {"_near": F.collect_list(F.struct(F.col("rn"), F.col("x"))).over(frame(w)),
-                    "_first": F.first("rn").over(frame(w))}
-
-        def p1_nearest(w):
-            others = F.filter("_near", lambda e: e["rn"] != F.col("rn"))
-            cand = F.transform(others, lambda e: F.struct(F.abs(e["x"] - F.col("x")).alias("dr"),
-                                                          e["rn"].alias("rn")))
-            near = F.slice(F.sort_array(cand), 1, k)  # by (raw distance, position)
-            return {"nb": F.transform(near, lambda e: F.struct((e["dr"] / sdv).alias("d"), e["rn"].alias("rn")))}
-
-        def p1_kd(w):
-            return {"kd": F.element_at("nb", k)["d"]}
-
-        # a neighbour at position p sits at index p - first + 1 of the frame array
-        def at(arr: str, field: str):
-            return lambda e: F.element_at(arr, (e["rn"] - F.col("_first") + 1).cast("int"))[field]
-
-        def p2_collect(w):
-            return {"_kds": F.collect_list(F.struct("kd")).over(frame(w))}
-
-        def p2_lrd(w):
-            reach = F.transform("nb", lambda e: F.greatest(e["d"], at("_kds", "kd")(e)))
-            s = F.aggregate(reach, F.lit(0.0), lambda a, b: a + b) / F.lit(float(k))
-            return {"lrd": 1.0 / (s + F.lit(EPS))}
-
-        def p3_collect(w):
-            return {"_lrds": F.collect_list(F.struct("lrd")).over(frame(w))}
-
-        def p3_lof(w):
-            s = F.aggregate(F.transform("nb", at("_lrds", "lrd")), F.lit(0.0), lambda a, b: a + b) / F.lit(float(k))
-            return {"lof": s / F.col("lrd")}
-
-        # three chained neighbour passes inside one chunking: a row's LOF needs
-        # raw rows up to 3k positions away, so the halo is 3k on each side
-        p3 = chunk_windows(pos, [], [p1_collect, p1_nearest, p1_kd, p2_collect, p2_lrd, p3_collect, p3_lof],
-                           3 * k, 3 * k, chunk)
-        train = materialize(p3.select("rn", "x", "kd", "lrd", "lof", "_id"), "lof-train")
+        # a row's LOF needs raw rows up to 3k positions away, so the halo is 3k on each side
+        dealt = chunks(pos, 3 * k, 3 * k, chunk).select("_chunk", F.col("_shift").alias("shift"), F.col("rn").cast("long").alias("rn"), "x", "_id")
+        train = materialize(dealt.groupBy("_chunk").applyInArrow(_chunk_factors(k, sd or 1.0), TRAIN), "lof-train")
         neg = train.select((-F.col("lof")).alias("neg_lof"))
         offset = exact_percentile(neg, "neg_lof", self.contamination).first()[0]
         return LOFModel(spec, mean, sd, k, n, float(offset), train, chunk)

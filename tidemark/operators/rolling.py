@@ -164,6 +164,15 @@ def chunk_windows(df: DataFrame, keys, columns, halo_before: int, halo_after: in
     """
     keys = list(keys)
     passes = columns if isinstance(columns, (list, tuple)) else [columns]
+    w = Window.partitionBy(*(keys + ["_chunk"])).orderBy(RN)
+    out = chunks(df, halo_before, halo_after, chunk_rows)
+    for build in passes:
+        out = out.withColumns(build(w))
+    return out.where(F.col("_shift") == 0).drop("_shift", "_chunk")
+
+
+def chunks(df: DataFrame, halo_before: int, halo_after: int = 0, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Rows with a position ``_rn`` dealt into ``_chunk``; the copies of border rows in neighbour chunks have a ``_shift`` other than 0."""
     chunk_rows = max(chunk_rows, halo_before + halo_after + 1)
     idx = (F.col(RN) - 1) % chunk_rows
     shifts = F.array(F.lit(0))
@@ -172,9 +181,4 @@ def chunk_windows(df: DataFrame, keys, columns, halo_before: int, halo_after: in
     if halo_after:
         shifts = F.when(idx < halo_after, F.array_append(shifts, F.lit(-1))).otherwise(shifts)
     df = df.withColumn("_shift", F.explode(shifts))
-    df = df.withColumn("_chunk", F.floor((F.col(RN) - 1) / chunk_rows).cast("bigint") + F.col("_shift"))
-    w = Window.partitionBy(*(keys + ["_chunk"])).orderBy(RN)
-    out = df
-    for build in passes:
-        out = out.withColumns(build(w))
-    return out.where(F.col("_shift") == 0).drop("_shift", "_chunk")
+    return df.withColumn("_chunk", F.floor((F.col(RN) - 1) / chunk_rows).cast("bigint") + F.col("_shift"))
