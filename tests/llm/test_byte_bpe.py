@@ -69,3 +69,17 @@ def test_round_trip(odd, library):
 
 def test_empty_table(none):
     assert byte_bpe.digests(none).collect() == [] and byte_bpe.encode(none).collect() == []
+
+
+def test_a_rare_word_is_folded_once_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "KNOWN_WORDS", 0)
+    texts = [f"zqxvwjk{i % 40}zqx vwqkjzz{i}" for i in range(2500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = byte_bpe.default_path()
+    sent = byte_bpe._broadcast_known(byte_bpe.doc_texts(docs), path)
+    rows = byte_bpe._coded(byte_bpe.doc_texts(docs), path, sent).select("held", F.size("rare_ids").alias("n")).collect()
+    words = {w for t in texts for w in byte_bpe.words_of(t)} - set(byte_bpe.ranks(path).whole)
+    assert len(rows) > 1 and sum(r["n"] for r in rows) == len(words)
+    assert [r["held"] for r in rows] == [sum(r["n"] for r in rows[:k]) for k in range(len(rows))]
+    got = {r["doc_id"]: r["bytes"].decode() for r in byte_bpe.decode(byte_bpe.encode(docs)).collect()}
+    assert got == dict(enumerate(texts))

@@ -12,8 +12,8 @@ displacement, so that a look-up is two array reads and a comparison.
 
 Python tasks around the fold cut texts into words and number them, then put the words' ids in the order of the
 texts. Words that are tokens need no fold. The words of a bounded sample are folded first and broadcast
-(at most ``KNOWN_WORDS``); all others are folded once per slice of a task. The sample changes no result,
-only how often a word is folded. Nothing is shuffled but the sample's word counts."""
+(at most ``KNOWN_WORDS``); all others are folded when a task first meets them and held until they are more than
+``HELD_WORDS``. The sample changes no result, only how often a word is folded. Nothing is shuffled but the sample's word counts."""
 
 from __future__ import annotations
 
@@ -35,6 +35,8 @@ from .common import doc_texts, slices
 
 #: words folded ahead and broadcast at most, about 30 bytes each
 KNOWN_WORDS = 400_000
+#: words a task numbers before it begins anew
+HELD_WORDS = 200_000
 #: characters of the sample they come from, about
 SAMPLE_CHARS = 64_000_000
 #: a token's place in a packed entry; the rank of its merge with the next token stands above it
@@ -196,13 +198,16 @@ class _Known:
     """Codes of the words that every slice knows: tokens by their id, then the broadcast words."""
 
     def __init__(self, path: str, words: pa.Array, ids: pa.Array):
-        self.words, self.path = words, path
-        r = ranks(path)
-        self.pieces = r.pieces
-        ends = ids.offsets.to_numpy().astype(np.int64)
-        self.values = np.concatenate([np.arange(r.size), ids.flatten().to_numpy().astype(np.int64)])
-        self.starts = np.concatenate([np.arange(r.size), ends[:-1] - ends[0] + r.size])
-        self.sizes = np.concatenate([np.ones(r.size, np.int64), np.diff(ends)])
+        self.words, self.ids, self.path = words, ids, path
+        self.pieces = ranks(path).pieces
+        self.count = len(self.pieces) + len(words)
+
+    @cached_property
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all codes end to end, their starts, their numbers): made by the tasks that put ids in order alone."""
+        size, ends = len(self.pieces), self.ids.offsets.to_numpy().astype(np.int64)
+        return (np.concatenate([np.arange(size), self.ids.flatten().to_numpy().astype(np.int64)]),
+                np.concatenate([np.arange(size), ends[:-1] - ends[0] + size]), np.concatenate([np.ones(size, np.int64), np.diff(ends)]))
 
     @cached_property
     def codes(self) -> dict[str, int]:
@@ -228,24 +233,28 @@ def _known(path: str, sent) -> _Known:
 
 
 class _Numbers(dict):
-    """Codes of a slice's words; those that are not known yet are numbered on."""
+    """Codes of a task's words; those that are not known yet are numbered on. ``rare`` holds those of the slice at
+    hand, ``held`` says how many came with the slices before it."""
 
     def __init__(self, known: _Known):
         super().__init__()
-        self.known, self.first, self.rare = known.codes, len(known.sizes), []
+        self.known, self.first, self.held, self.rare = known.codes, known.count, 0, []
+
+    def next_slice(self) -> None:
+        self.held, self.rare = self.held + len(self.rare), []
 
     def __missing__(self, word: str) -> int:
         code = self.known.get(word)
         if code is None:
-            code = self.first + len(self.rare)
+            code = self.first + self.held + len(self.rare)
             self.rare.append(word)
         self[word] = code
         return code
 
 
 _SLICES = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("codes", pa.binary()),
-                     ("rare", pa.list_(pa.string()))])
-_SLICES_DDL = "doc_ids array<long>, n_words array<long>, codes binary, rare array<string>"
+                     ("held", pa.int64()), ("rare", pa.list_(pa.string()))])
+_SLICES_DDL = "doc_ids array<long>, n_words array<long>, codes binary, held long, rare array<string>"
 
 
 def _sample_words(docs: DataFrame, path: str) -> DataFrame:
@@ -288,35 +297,45 @@ def _broadcast_known(docs: DataFrame, path: str):
 
 
 def _coded(docs: DataFrame, path: str, sent) -> DataFrame:
-    """Slices: their documents, the codes of all words in order, and the ids of the words that were not known."""
+    """Slices: their documents, the codes of all words in order, and the ids of the words that were not known. Codes may
+    stand for words of the ``held`` ones that came with earlier slices of the task (0: it begins anew)."""
 
     def number(batches):
-        known = _known(path, sent)
+        known, numbers = _known(path, sent), None
         for ids, texts in slices(batches):
-            numbers, codes, sizes = _Numbers(known), [], []
+            if numbers is None or len(numbers) > HELD_WORDS:
+                numbers = _Numbers(known)
+            numbers.next_slice()
+            codes, sizes = [], []
             for text in texts:
                 words = words_of(text)
                 sizes.append(len(words))
                 codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                 pa.array([np.concatenate(codes).tobytes()], pa.binary()), pa.array([numbers.rare], pa.list_(pa.string()))],
+                 pa.array([np.concatenate(codes).tobytes()], pa.binary()), pa.array([numbers.held], pa.int64()),
+                 pa.array([numbers.rare], pa.list_(pa.string()))],
                 schema=_SLICES)
 
     return (docs.mapInArrow(number, _SLICES_DDL)
-            .select("doc_ids", "n_words", "codes", encode_words(F.col("rare"), path).alias("rare_ids")))
+            .select("doc_ids", "n_words", "codes", "held", encode_words(F.col("rare"), path).alias("rare_ids")))
 
 
 def _documents(batches, known: _Known):
-    """(doc_ids, ids of all words of a slice, the place after each document's last id) of coded slices."""
+    """(doc_ids, ids of all words of a slice, the place after each document's last id) of a task's coded slices in order."""
+    values, starts, sizes = known.tables
     for batch in batches:
         for i in range(batch.num_rows):
-            doc_ids, n_words, codes, rare = (batch.column(c)[i] for c in range(4))
+            doc_ids, n_words, codes, held, rare = (batch.column(c)[i] for c in range(5))
+            if not held.as_py():
+                values, starts, sizes = known.tables
+            if len(sizes) - known.count != held.as_py():
+                raise ValueError("a slice came without those before it")
             rare = rare.values
             ends = rare.offsets.to_numpy().astype(np.int64)
-            values = np.concatenate([known.values, rare.flatten().to_numpy().astype(np.int64)])
-            starts = np.concatenate([known.starts, ends[:-1] - ends[0] + len(known.values)])
-            sizes = np.concatenate([known.sizes, np.diff(ends)])
+            starts = np.concatenate([starts, ends[:-1] - ends[0] + len(values)])
+            values = np.concatenate([values, rare.flatten().to_numpy().astype(np.int64)])
+            sizes = np.concatenate([sizes, np.diff(ends)])
             words = np.frombuffer(codes.as_buffer(), np.uint32)
             n = sizes[words]
             after = np.concatenate([[0], np.cumsum(n)])
