@@ -136,3 +136,25 @@ def test_link_column_says_what_it_counts(spark):
     from tidemark.llm.queries import op9_near_duplicates
 
     assert op9_near_duplicates(spark, "/root/testdata/sf0.001").columns == ["doc_id", "class_id", "class_size", "n_joining_links"]
+
+
+def test_signatures_do_not_depend_on_the_bags_beside_them(monkeypatch):
+    import pyarrow as pa
+    texts = [" ".join(f"w{(i * j) % (i + 7)}" for j in range(5 + i * 3)) for i in range(60)]
+    batch = pa.record_batch([pa.array(range(60), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(neardup, "SIGN_ELEMENTS", 1 << 40)
+    at_once = next(neardup._sign(32, 6, 5)(iter([batch])))
+    monkeypatch.setattr(neardup, "SIGN_ELEMENTS", 100)
+    sizes, sign = [], neardup.bag_signatures
+    monkeypatch.setattr(neardup, "bag_signatures", lambda bags, m: sizes.append(sum(len(e) for e, _ in bags)) or sign(bags, m))
+    assert next(neardup._sign(32, 6, 5)(iter([batch]))).equals(at_once)
+    assert len(sizes) > 10 and max(sizes) < 100 + 190
+
+
+def test_a_worker_lets_go_of_the_vocabularies_of_other_operators():
+    import pyarrow as pa
+    from tidemark.llm import bpe
+    bpe.encoder(bpe.Encoder, bpe.default_path())
+    assert bpe.vocabulary.cache_info().currsize
+    list(neardup._sign(32, 6, 5)(iter([pa.record_batch([pa.array([1], pa.int64()), pa.array(["a b"])], ["doc_id", "text"])])))
+    assert not bpe.vocabulary.cache_info().currsize and not bpe.encoder.cache_info().currsize

@@ -12,12 +12,11 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import doc_texts, slices
+from .common import doc_texts, kept, slices
 from .wordpieces import SPECIAL, byte_letters, words_of
 
 #: distinct words in one trie
@@ -109,7 +108,7 @@ def _sizes(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
     return {k: tuple(sorted(v, reverse=True)) for k, v in out.items()}
 
 
-@lru_cache(maxsize=2)
+@kept
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
@@ -191,7 +190,7 @@ class Encoder:
             self.held.clear()
 
 
-@lru_cache(maxsize=2)
+@kept
 def encoder(kind: type, path: str) -> Encoder:
     """A worker's encoder. The vocabulary's many small objects are kept out of later garbage collections."""
     out = kind(path)

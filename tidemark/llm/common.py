@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+from functools import lru_cache
+
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +68,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_KEPT: list = []
+
+
+def kept(make):
+    """What ``make`` gives for its arguments, kept by a worker from task to task (two at most) until ``let_go``."""
+    out = lru_cache(maxsize=2)(make)
+    _KEPT.append(out)
+    return out
+
+
+def let_go() -> None:
+    """Frees what this worker kept for other operators: called first in tasks that keep nothing themselves, as a worker
+    serves all operators of a session in turn and would hold the tables of all of them."""
+    held = [x for x in _KEPT if x.cache_info().currsize]
+    if held:
+        for x in held:
+            x.cache_clear()
+        gc.unfreeze()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """Values of words, made on first use; emptied by ``trim`` once it has grown past ``most``."""
 

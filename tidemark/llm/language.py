@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, doc_texts, mix, slices, text_slices
+from .common import GOLDEN, doc_texts, let_go, mix, slices, text_slices
 
 #: labelled documents that a language is learned from, at most
 TRAIN_DOCS = 2000
@@ -288,6 +288,7 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, switch: float = SWIT
     span = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def run(batches):
+        let_go()
         model, known = held.value, {}
         _forget(known, len(model.langs))
         for ids, texts in slices(batches, most=_label_chars(model)):
@@ -311,6 +312,7 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, **options) ->
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        let_go()
         model, known = held.value, {}
         if model is not None:
             _forget(known, len(model.langs))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import GOLDEN, Memo, doc_texts, mix, slices, with_ids
+from .common import GOLDEN, Memo, doc_texts, let_go, mix, slices, with_ids
 from .components import connected_components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
@@ -22,7 +22,9 @@ COUNTERS = 1 << 21
 #: counters that travel together
 BLOCK = 1 << 12
 #: rows of keys after which a batch ends
-KEY_ROWS = 500_000
+KEY_ROWS = 100_000
+#: elements of bags that are signed together, and counters sent together, about
+SIGN_ELEMENTS, COUNT_ROWS = 1 << 16, 1 << 16
 
 
 # --- inside a task ----------------------------------------------------------
@@ -127,6 +129,7 @@ def _content(words: list[str]) -> bytes:
 
 def _sign(bands: int, rows: int, size: int):
     def run(batches):
+        let_go()
         word_hash, seen = Memo(_word_hash), set()
         for ids, texts in slices(batches):
             words = [t.split() for t in texts]
@@ -140,8 +143,11 @@ def _sign(bands: int, rows: int, size: int):
             found: list = [None] * len(ids)
             if new:
                 bags = [multiset(s) for s in shingles([words[i] for i in new], size, word_hash)]
-                for i, h in zip(new, band_hashes(bag_signatures(bags, bands * rows), bands, rows)):
-                    found[i] = h
+                part = np.cumsum([len(e) for e, _ in bags]) // SIGN_ELEMENTS
+                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(bags)]
+                for a, b in zip(cuts, cuts[1:]):
+                    for i, h in zip(new[a:b], band_hashes(bag_signatures(bags[a:b], bands * rows), bands, rows)):
+                        found[i] = h
             if len(seen) > 500_000:
                 seen.clear()
             word_hash.trim()
@@ -152,6 +158,7 @@ def _sign(bands: int, rows: int, size: int):
 
 def _bags(size: int):
     def run(batches):
+        let_go()
         word_hash = Memo(_word_hash)
         for _, texts in slices(batches):
             words = [t.split() for t in texts]
@@ -177,7 +184,9 @@ def _count_elements(batches):
         for x in batch.column(1):
             np.add.at(n, _slot(np.frombuffer(x.as_buffer(), np.uint64)), 1)
     at = np.flatnonzero(n)
-    yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["slot", "n"])
+    for first in range(0, len(at), COUNT_ROWS):
+        part = at[first:first + COUNT_ROWS]
+        yield pa.record_batch([pa.array(part, pa.int64()), pa.array(n[part], pa.int64())], ["slot", "n"])
 
 
 def _often(bags: DataFrame) -> bytes:
@@ -241,6 +250,7 @@ def _prefixes(often, similarity: float):
 
 def _overlap(similarity: float):
     def run(batches):
+        let_go()
         for batch in batches:
             keep, shared = [], []
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):

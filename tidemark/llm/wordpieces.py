@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from functools import lru_cache
+
+from .common import kept
 
 _RANGE = [chr(c) for c in range(0x250)]
 _LETTER = "".join(re.escape(c) for c in _RANGE if unicodedata.category(c)[0] == "L")
@@ -21,7 +22,7 @@ _FAR = re.compile("[^\x00-ɏ]")
 SPECIAL = re.compile(r"(<\|startoftext\|>|<\|endoftext\|>)")
 
 
-@lru_cache(maxsize=2)
+@kept
 def tokenizer(path: str):
     """The library's tokenizer, one for each worker, without threads of its own."""
     import os
@@ -35,7 +36,7 @@ def tokenizer(path: str):
     return tok
 
 
-@lru_cache(maxsize=2)
+@kept
 def word_tokenizer(path: str):
     """The same without its normaliser, for words that are normalised already: to do it twice is not always the same."""
     from tokenizers import normalizers
