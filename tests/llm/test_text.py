@@ -283,3 +283,28 @@ def test_model_is_a_distribution(spark):
         assert 0.8 < total < 1.0001  # what is missing is left to signs that were never seen
     seen, odd_word = model.words(["banana", "qqqqqq"], 0)
     assert seen > odd_word
+
+
+def test_passages_query_the_index_in_bounded_memory(monkeypatch):
+    import random
+    import tracemalloc
+    random.seed(5)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(random.choices(words, k=50)) + "? " + " ".join(random.choices(words, k=10))) for i in range(2000)]
+    index = decontaminate.Index(items)
+    texts = [" ".join(random.choices(words, k=200)) + " " + items[i][1] for i in range(200)]
+    docs = [np.array([index.term_id.get(w, -1) for w in decontaminate.terms(t)], np.int64) for t in texts]
+
+    def peak():
+        tracemalloc.start()
+        out = decontaminate.retrieve(index, docs, 0.5)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most / 1e6
+
+    found, mb = peak()
+    assert {d for d, *_ in found} == set(range(200)) and mb < 100, mb
+    monkeypatch.setattr(decontaminate, "SPREAD", 1 << 40)
+    assert peak()[0] == found
+    monkeypatch.setattr(decontaminate, "SPREAD", 1000)
+    assert peak()[0] == found

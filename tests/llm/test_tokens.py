@@ -121,3 +121,32 @@ def test_normalised_once(text):
     words = words_of(text, PATH)
     enc.add([words])
     assert b"".join(enc[w] for w in words) == np.array(library([text])[0], "<u2").tobytes()
+
+
+def test_words_not_met_again_are_let_go(monkeypatch):
+    coded, encode = [], bpe.encode_words
+    monkeypatch.setattr(bpe, "HELD_WORDS", 50)
+    monkeypatch.setattr(bpe, "encode_words", lambda v, words: coded.extend(words) or encode(v, words))
+    enc = bpe.Encoder(PATH)
+    for k in range(100):
+        ws = ["common", *(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}x{chr(97 + j)}" for j in range(10))]
+        enc.add([ws])
+        assert [list(enc.held[w]) for w in ws] == library(ws)
+        enc.trim()
+        assert len(enc.held) + len(enc.before) <= 2 * (50 + 11)
+    assert coded.count("common") == 1 and len(coded) == 1001
+
+
+def test_texts_are_cut_into_words_in_parts(monkeypatch):
+    import pyarrow as pa
+    sizes, add = [], bpe.Encoder.add
+    monkeypatch.setattr(bpe.Encoder, "add", lambda self, words: sizes.append(sum(len(w) for ws in words for w in ws)) or add(self, words))
+    monkeypatch.setattr(bpe, "doc_texts", lambda docs: type("Docs", (), {"mapInArrow": staticmethod(lambda run, schema: run)}))
+    texts = [f"text {i} " * 400 for i in range(900)] + ["", " "]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    got = pa.Table.from_batches(bpe.encode(None)(iter([batch])))
+    assert max(sizes) <= 1_000_000 and len(sizes) > 3
+    assert got["doc_id"].to_pylist() == list(range(len(texts)))
+    want = library(texts)
+    assert got["ids"].to_pylist() == want and got["n_tokens"].to_pylist() == list(map(len, want))
+    assert got.schema.field("ids").type == pa.list_(pa.int32())

@@ -12,19 +12,24 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import doc_texts, kept, slices
+from .common import doc_texts, kept, release, slices
 from .wordpieces import SPECIAL, byte_letters, words_of
 
 #: distinct words in one trie
-TRIE_WORDS = 20_000
-#: words whose encodings a task holds at most, besides those of the documents at hand
-HELD_WORDS = 1_000_000
-#: neighbours whose fit a task remembers at most
-HELD_PAIRS = 1_000_000
+TRIE_WORDS = 5_000
+#: words in use after which a worker lets those go that were not met since the last time; it holds twice as many at most,
+#: besides those of the documents at hand
+HELD_WORDS = 100_000
+#: neighbours whose fit a worker remembers at most
+HELD_PAIRS = 500_000
+#: bytes of texts that are cut into words at once
+WORD_CHARS = 1_000_000
 
 
 class Vocabulary:
@@ -167,14 +172,19 @@ def encode_words(v: Vocabulary, words: list[str]) -> list[list[int]]:
 
 
 class Encoder:
-    """Encodings of words, kept from batch to batch and from task to task of a worker."""
+    """Encodings of words, kept from batch to batch and from task to task of a worker: ``held`` has those
+    in use, ``before`` those in use until the last ``trim``."""
 
     def __init__(self, path: str):
-        self.v, self.held = vocabulary(path), {}
+        self.v, self.held, self.before = vocabulary(path), {}, {}
 
     def add(self, words) -> None:
         """Encodes those of ``words`` that are not held, neighbours in order in the same trie."""
-        new = sorted(set().union(*words).difference(self.held))
+        new = set().union(*words).difference(self.held)
+        if self.before:
+            self.held.update((w, self.before[w]) for w in new if w in self.before)
+            new.difference_update(self.before)
+        new = sorted(new)
         for w in [w for w in new if w in self.v.special]:
             self.held[w] = self.entry([self.v.special[w]])
         new = [w for w in new if w not in self.v.special]
@@ -183,11 +193,11 @@ class Encoder:
             self.held.update(zip(part, map(self.entry, encode_words(self.v, part))))
 
     def entry(self, ids: list[int]):
-        return ids
+        return tuple(ids)
 
     def trim(self) -> None:
         if len(self.held) > HELD_WORDS:
-            self.held.clear()
+            self.before, self.held = self.held, {}
 
 
 @kept
@@ -220,15 +230,18 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches):
+        release()
         enc = encoder(Encoder, path)
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, most=WORD_CHARS):
             words = [words_of(t, path) for t in texts]
             enc.add(words)
-            held = enc.held
-            out = [[i for w in ws for i in held[w]] for ws in words]
+            out = [np.fromiter(chain.from_iterable(map(enc.held.__getitem__, ws)), np.int32) for ws in words]
+            del words
             enc.trim()
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(map(len, out), pa.int64()),
-                                   pa.array(out, pa.list_(pa.int32()))], ["doc_id", "n_tokens", "ids"])
+            ends = np.cumsum([0, *map(len, out)])
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(np.diff(ends), pa.int64()),
+                                   pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out)))],
+                                  ["doc_id", "n_tokens", "ids"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
@@ -256,8 +269,9 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches):
+        release()
         enc = encoder(DigestEncoder, path)
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, most=WORD_CHARS):
             words = [words_of(t, path) for t in texts]
             enc.add(words)
             n, coded, decoded = [], [], []

@@ -40,12 +40,16 @@ def text_slices(batches, at: int, most: int = SLICE_CHARS, docs: int = SLICE_DOC
             last = min(max(first + 1, int(np.searchsorted(ends, done + most, "right"))), first + docs)
             yield batch.slice(first, last - first)
             first = last
+        del batch
+        release()
 
 
 def slices(batches, docs: int = SLICE_DOCS, most: int = SLICE_CHARS):
     """(ids, texts) lists of the ``text_slices`` of a ``mapInArrow`` over ``doc_texts``."""
     for part in text_slices(batches, 1, most, docs):
-        yield part.column(0).to_pylist(), part.column(1).to_pylist()
+        ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+        del part  # else its batch stays while the next is read
+        yield ids, texts
 
 
 def with_ids(docs: DataFrame, ids: DataFrame, how: str, column: str = "doc_id") -> DataFrame:
@@ -68,6 +72,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def release() -> None:
+    """Gives back the memory of Arrow batches that are gone, which Arrow's pool would hold for later ones."""
+    pa.default_memory_pool().release_unused()
+
+
 _KEPT: list = []
 
 
@@ -87,7 +96,7 @@ def let_go() -> None:
             x.cache_clear()
         gc.unfreeze()
         gc.collect()
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 class Memo(dict):

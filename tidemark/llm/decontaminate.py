@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, slices, text_slices
+from .common import doc_texts, let_go, slices, text_slices
 
 #: words between the starts of passages; a passage is twice as long, so every run of PASSAGE
 #: words lies whole in one of them. Longer items are indexed as pieces of so many words.
@@ -26,6 +26,8 @@ K1, B = 1.2, 0.75
 BLOCK = 16
 #: characters of items in one index; a larger benchmark is taken in blocks, each against all documents
 INDEX_CHARS = 16_000_000
+#: bytes of texts that query an index at once, and entries of its lists laid out at once, about
+QUERY_CHARS, SPREAD = 1_000_000, 500_000
 
 #: signs that stand for blanks (fixed values)
 _SIGNS = ".,;:!?\"()[]{}<>|*#%&$~`“”«»…¿¡"
@@ -117,6 +119,19 @@ def _spread(ptr: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(ptr[t], size), owner
 
 
+def _runs(ptr: np.ndarray, win: np.ndarray, t: np.ndarray, step: int):
+    """Slices of the sorted ``win``, whose lists ``t`` have about ``step`` entries together; a passage stays in one."""
+    heavy = np.cumsum(ptr[t + 1] - ptr[t])
+    last = 0
+    for c in np.searchsorted(heavy, np.arange(step, (int(heavy[-1]) if len(heavy) else 0) + step, step)):
+        c = min(c + 1, len(win))
+        while c < len(win) and win[c] == win[c - 1]:
+            c += 1
+        if c > last:
+            yield slice(last, c)
+            last = c
+
+
 def _distinct(key: np.ndarray) -> np.ndarray:
     key = np.sort(key)
     return key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
@@ -162,12 +177,15 @@ def retrieve(index: Index, docs: list[np.ndarray], threshold: float) -> list[tup
     on = alive[win]
     win, term = win[on], term[on]
     # 2: the same for each block of pieces
-    cell, owner = _spread(index.cell_ptr, term)
     left = threshold - index.common_most
     if left <= 0:
         pairs = (np.flatnonzero(alive)[:, None] * index.blocks + np.arange(index.blocks)).ravel()
     else:
-        pairs, _ = _sums(win[owner] * index.blocks + index.cell_block[cell], index.cell_max[cell], left, n * index.blocks)
+        found = [np.zeros(0, np.int64)]
+        for run in _runs(index.cell_ptr, win, term, SPREAD):
+            cell, owner = _spread(index.cell_ptr, term[run])
+            found.append(_sums(win[run][owner] * index.blocks + index.cell_block[cell], index.cell_max[cell], left, n * index.blocks)[0])
+        pairs = np.concatenate(found)
     if not len(pairs):
         return []
     # 3: scores of the pieces of the blocks that are left
@@ -178,25 +196,15 @@ def retrieve(index: Index, docs: list[np.ndarray], threshold: float) -> list[tup
     on = left[win]
     win, word = win[on], word[on]
     out = []
-    step = 2_000_000
-    heavy = np.cumsum((index.ptr[word + 1] - index.ptr[word]))
-    cuts = np.searchsorted(heavy, np.arange(step, (int(heavy[-1]) if len(heavy) else 0) + step, step))
-    last = 0
-    for c in cuts:
-        c = min(c + 1, len(win))
-        while c < len(win) and win[c] == win[c - 1]:  # a passage stays in one go
-            c += 1
-        if c <= last:
-            continue
-        e, owner = _spread(index.ptr, word[last:c])
-        w = win[last:c][owner]
+    for run in _runs(index.ptr, win, word, SPREAD):
+        e, owner = _spread(index.ptr, word[run])
+        w = win[run][owner]
         hit = np.isin(w * index.blocks + index.post[e] // BLOCK, pairs)
         cells, score = _sums(w[hit] * len(index.item) + index.post[e[hit]], index.impact[e[hit]], threshold, n * len(index.item))
         for x, s in zip(cells, score):
             p = int(x // len(index.item))
             d = int(np.searchsorted(base, p, "right")) - 1
             out.append((d, p - int(base[d]), int(x % len(index.item)), float(s)))
-        last = c
     return out
 
 
@@ -266,8 +274,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         held = spark.sparkContext.broadcast(index)
 
         def run(batches, held=held):
+            let_go()
             index = held.value
-            for ids, part in slices(batches):
+            for ids, part in slices(batches, most=QUERY_CHARS):
                 rows = [(i, k, *x, "question and answer" if x[2] >= overlap else "question")
                         for i, f in zip(ids, _leaks(index, part, threshold, overlap)) for k, x in f.items()]
                 cols = list(zip(*rows)) if rows else [[]] * 6
@@ -289,11 +298,13 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float =
         held = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, held=held):
+            let_go()
             index = held.value
-            for part in text_slices(batches, at):
+            for part in text_slices(batches, at, QUERY_CHARS):
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 found = _leaks(index, texts, threshold, overlap)
-                yield part.filter(pa.array([not f for f in found], pa.bool_()))
+                part = part.filter(pa.array([not f for f in found], pa.bool_()))
+                yield part
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

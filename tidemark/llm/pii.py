@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, slices, text_slices
+from .common import doc_texts, let_go, slices, text_slices
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
@@ -279,6 +279,7 @@ def fit(docs: DataFrame) -> np.ndarray | None:
     schema = "features array<int>, n long"
 
     def run(batches):
+        let_go()
         n: Counter = Counter()
         for _, texts in slices(batches):
             for t in texts:
@@ -330,6 +331,7 @@ def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
               "spans string, n_added long, n_spans long")
 
     def run(batches):
+        let_go()
         chance = _chances(weights) if weights is not None else None
         for ids, texts in slices(batches):
             cols: list[list] = [[] for _ in range(8)]
@@ -366,6 +368,7 @@ def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches):
+        let_go()
         chance = _chances(weights) if weights is not None else None
         for batch in text_slices(batches, at):
             texts = batch.column(at).to_pylist()
