@@ -83,3 +83,63 @@ def test_a_rare_word_is_folded_once_in_a_task(spark, monkeypatch):
     assert [r["held"] for r in rows] == [sum(r["n"] for r in rows[:k]) for k in range(len(rows))]
     got = {r["doc_id"]: r["bytes"].decode() for r in byte_bpe.decode(byte_bpe.encode(docs)).collect()}
     assert got == dict(enumerate(texts))
+
+
+def rank_file(path, merges):
+    """All bytes, then tokens in order."""
+    import base64
+
+    tokens = [bytes([i]) for i in range(256)] + merges
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
+    return str(path)
+
+
+def fold(r, parts):
+    """Plain merges of a list of tokens."""
+    while True:
+        rank, i = min(((r.ranks.get(a + b, r.size), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(r.size, 0))
+        if rank == r.size:
+            return parts
+        parts = parts[:i] + [parts[i] + parts[i + 1]] + parts[i + 2:]
+
+
+def begun(r, words):
+    """Tokens of words after the certain merges."""
+    return [[r.pieces[e % byte_bpe.BASE] for e in w] for w in byte_bpe.Certain(r, r.tables()).words(words).to_pylist()]
+
+
+def test_certain_merges_are_those_of_the_whole_word(tmp_path):
+    from itertools import product
+
+    words = ["".join(w) for n in range(1, 8) for w in product("abc", repeat=n)]
+    fewer = 0
+    for seed in range(12):
+        draw = np.random.default_rng(seed)
+        tokens = [b"a", b"b", b"c"]
+        while len(tokens) < 20:
+            new = tokens[draw.integers(len(tokens))] + tokens[draw.integers(len(tokens))]
+            r = byte_bpe.Ranks(rank_file(tmp_path / "ranks", tokens[3:]))
+            if new not in tokens and len(r.merge(new)) == 2:
+                tokens.append(new)
+        r = byte_bpe.Ranks(rank_file(tmp_path / "ranks", tokens[3:]))
+        parts = begun(r, words)
+        assert [fold(r, p) for p in parts] == [r.merge(w.encode()) for w in words]
+        fewer += sum(len(p) < len(w) for p, w in zip(parts, words))
+    assert fewer > len(words)
+
+
+def test_no_merge_is_certain_where_a_part_outranks_its_token(tmp_path):
+    r = byte_bpe.Ranks(rank_file(tmp_path / "ranks", [b"abc", b"ab"]))
+    assert begun(r, ["abab", "xabc"]) == [[b"a", b"b", b"a", b"b"], [b"x", b"a", b"b", b"c"]]
+
+
+def test_most_merges_of_a_rare_word_are_made_before_the_fold(spark, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CERTAIN_WORDS", 7)
+    draw = np.random.default_rng(0)
+    words = [" " + "".join(draw.choice(["tion", "er", "en", "keit", "ción", "éou", "ing", "the", "qu"], 4)) for _ in range(200)]
+    words += ["x", "aaaaaaaaa", "漢字漢字", "🇩🇪🏽", "=" * 97, "zq" * 700, "\x00\x01", " "]
+    entries = byte_bpe.certain(PATH).words(words).to_pylist()
+    assert sum(map(len, entries[:200])) < 0.6 * sum(len(w.encode()) for w in words[:200])
+    ids = byte_bpe.encode_entries(F.col("w"), PATH)
+    df = spark.createDataFrame([(entries,), ([],)], "w array<array<long>>")
+    assert [r.ids for r in df.select(ids.alias("ids")).collect()] == [[library._encode_single_piece(w.encode()) for w in words], []]

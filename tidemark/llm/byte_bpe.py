@@ -10,6 +10,11 @@ Since a token's own merges are the same wherever its bytes are not yet joined wi
 each token's own encoding can ever make it; the map holds these pairs, as rows laid into one array by
 displacement, so that a look-up is two array reads and a comparison.
 
+The fold of a word that a task meets first begins after the merges that are certain: a pair whose rank is below that
+of every merge that could take its left token to the left or its right one to the right, given the byte
+before and after it, is merged at some time whatever else the word holds, and no sooner merge depends on it
+(a token ranks above the tokens it is made of). Two rounds of them are made over the bytes of many words at once.
+
 Python tasks around the fold cut texts into words and number them, then put the words' ids in the order of the
 texts. Words that are tokens need no fold. The words of a bounded sample are folded first and broadcast
 (at most ``KNOWN_WORDS``); all others are folded when a task first meets them and held until they are more than
@@ -39,6 +44,8 @@ KNOWN_WORDS = 400_000
 HELD_WORDS = 200_000
 #: characters of the sample they come from, about
 SAMPLE_CHARS = 64_000_000
+#: words whose certain merges are made at once
+CERTAIN_WORDS = 10_000
 #: a token's place in a packed entry; the rank of its merge with the next token stands above it
 BASE = 1 << 20
 #: the packed rank of neighbours that do not merge
@@ -101,17 +108,24 @@ class Ranks:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, list[int]]:
-        """(displacement of a left token's row, packed entries, first ids of the 256 bytes): the merge of a and
-        b is the entry at displacement[a] + b if its lower part is a."""
-        rows: dict[int, list[tuple[int, int]]] = {}
+    @cached_property
+    def merges(self) -> list[tuple[int, int, int]]:
+        """(left, right, rank) of the merge that makes each token of two bytes or more."""
+        out = []
         for token, r in self.ranks.items():
             if len(token) > 1:
                 parts = self.merge(token, 2)
                 if len(parts) != 2:
                     raise ValueError(f"token {r} is not made by the merges of the file")
-                left, right = (self.ranks[p] for p in parts)
-                rows.setdefault(left, []).append((right, r))
+                out.append((*(self.ranks[p] for p in parts), r))
+        return out
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """(displacement of a left token's row, packed entries, first ids of the 256 bytes): the merge of a and
+        b is the entry at displacement[a] + b if its lower part is a."""
+        rows: dict[int, list[tuple[int, int]]] = {}
+        for left, right, r in self.merges:
+            rows.setdefault(left, []).append((right, r))
         slots = 2 * len(self.ranks)
         entries = np.full(slots + self.size, NONE + BASE - 1)
         taken = np.zeros(len(entries), bool)
@@ -133,9 +147,71 @@ def ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
+@lru_cache(maxsize=2)
+def _tables(path: str) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    return ranks(path).tables()
+
+
 @lru_cache(maxsize=2)
 def _literal(path: str) -> tuple[str, str, str]:
-    return tuple(json.dumps([int(x) for x in t], separators=(",", ":")) for t in ranks(path).tables())
+    return tuple(json.dumps([int(x) for x in t], separators=(",", ":")) for t in _tables(path))
+
+
+class Certain:
+    """Merges of tokens of one and two bytes that are made whatever else a word holds.
+
+    ``before`` holds, by a token's row and the last byte of the token before it (256: none), the least rank of a merge that
+    can take the token to the left; ``after`` the like by the first byte of the token after it."""
+
+    def __init__(self, r: Ranks, tables: tuple[np.ndarray, np.ndarray, list[int]]):
+        self.start, self.entries, first = tables
+        self.first = np.array(first)
+        self.head, self.last = (np.array([p[i] if p else 0 for p in r.pieces], np.uint8) for i in (0, -1))
+        short = [i for i, p in enumerate(r.pieces) if 0 < len(p) < 3]
+        self.row = np.zeros(r.size, np.int32)
+        self.before, self.after = (np.full((len(short) + 1, 257), BASE - 1, np.int32) for _ in range(2))
+        self.before[0] = self.after[0] = -1  # longer tokens: nothing is certain
+        if all(x < rank or len(r.pieces[x]) == 1 for *parts, rank in r.merges for x in parts):
+            self.row[short] = np.arange(1, len(short) + 1)
+        for left, right, rank in r.merges:
+            for table, token, byte in ((self.before, right, self.last[left]), (self.after, left, self.head[right])):
+                if at := self.row[token]:
+                    table[at, byte] = min(table[at, byte], rank)
+
+    def entries_of(self, ids: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether the next token is of the same word, each token with the rank of its merge with that)."""
+        inside = np.append(word[1:] == word[:-1], False)
+        found = self.entries[self.start[ids] + np.append(ids[1:], 0)]
+        return inside, np.where(inside & (found & (BASE - 1) == ids), found, ids + NONE)
+
+    def merged(self, ids: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens and their words after the certain merges of a round; two of them never share a token."""
+        inside, found = self.entries_of(ids, word)
+        rank, right = found >> (BASE.bit_length() - 1), np.append(ids[1:], 0)
+        left_byte = np.where(np.append(False, inside[:-1]), np.append(0, self.last[ids[:-1]]), 256)
+        right_byte = np.where(np.append(inside[1:], False), np.append(self.head[right[1:]], 0), 256)
+        sure = (rank < self.before[self.row[ids], left_byte]) & (rank <= self.after[self.row[right], right_byte])
+        stay = ~np.append(False, sure[:-1])
+        return np.where(sure, rank, ids)[stay], word[stay]
+
+    def words(self, words: list[str]) -> pa.Array:
+        """Entries of the tokens that words, none empty, consist of after two rounds."""
+        parts = [pa.array([], pa.list_(pa.int64()))]
+        for k in range(0, len(words), CERTAIN_WORDS):
+            text = pa.array(words[k:k + CERTAIN_WORDS], pa.string())
+            ends = np.frombuffer(text.buffers()[1], np.int32)[:len(text) + 1]
+            ids = self.first[np.frombuffer(text.buffers()[2], np.uint8)[:ends[-1]]]
+            word = np.repeat(np.arange(len(text)), np.diff(ends))
+            for _ in range(2):
+                ids, word = self.merged(ids, word)
+            ends = np.searchsorted(word, np.arange(len(text) + 1)).astype(np.int32)
+            parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(self.entries_of(ids, word)[1])))
+        return pa.concat_arrays(parts)
+
+
+@lru_cache(maxsize=2)
+def certain(path: str) -> Certain:
+    return Certain(ranks(path), _tables(path))
 
 
 def _let(value: Column, body) -> Column:
@@ -147,51 +223,72 @@ def _token(entry: Column) -> Column:
     return entry.bitwiseAND(F.lit(BASE - 1).cast("long")).cast("int")
 
 
-def encode_words(words: Column, path: str) -> Column:
-    """Token ids (array of arrays of int) of an array of words that are not empty. A word of n bytes takes up
-    to n - 1 steps, each copying what is left of it: a run of 20,000 letters without a break takes seconds."""
+def _table(path: str) -> Column:
     start, entries, first = _literal(path)
-    table = F.struct(F.from_json(F.lit(start), "array<int>").alias("start"),
-                     F.from_json(F.lit(entries), "array<long>").alias("entries"),
-                     F.from_json(F.lit(first), "array<int>").alias("first"))
-    rest = F.lit(1 << 30)
-
-    def in_table(t: Column) -> Column:
-        def entry(a: Column, b: Column) -> Column:
-            """Token a with the rank of its merge with b."""
-            found = F.get(t["entries"], F.get(t["start"], a) + b)
-            return F.when(found.bitwiseAND(F.lit(BASE - 1).cast("long")) == a, found).otherwise(a + F.lit(NONE))
-
-        def step(state: Column, _: Column) -> Column:
+    return F.struct(F.from_json(F.lit(start), "array<int>").alias("start"),
+                    F.from_json(F.lit(entries), "array<long>").alias("entries"),
+                    F.from_json(F.lit(first), "array<int>").alias("first"))
+
+
+#: more items than an array has
+_REST = 1 << 30
+
+
+def _entry(t: Column, a: Column, b: Column) -> Column:
+    """Token a with the rank of its merge with b."""
+    found = F.get(t["entries"], F.get(t["start"], a) + b)
+    return F.when(found.bitwiseAND(F.lit(BASE - 1).cast("long")) == a, found).otherwise(a + F.lit(NONE))
+
+
+def _fold(t: Column, entries: Column, most: Column) -> Column:
+    """Token ids of a word of ``most`` tokens at most, from the entries of its tokens: a merge a step."""
+
+    def step(state: Column, _: Column) -> Column:
+        def merged(least: Column) -> Column:
+            new = F.shiftright(least, BASE.bit_length() - 1).cast("int")
+
             def at(i: Column) -> Column:
-                def merged(new: Column) -> Column:
-                    before = (F.when(i > 1, F.array(entry(_token(F.get(state, i - 2)), new)))
-                              .otherwise(F.slice(state, F.lit(1), F.lit(0))))
-                    own = (F.when(i + 1 < F.size(state), entry(new, _token(F.get(state, i + 1))))
-                           .otherwise(new + F.lit(NONE)))
-                    return F.concat(F.slice(state, F.lit(1), F.greatest(i - 2, F.lit(0))), before, F.array(own),
-                                    F.slice(state, i + 2, rest))
+                before = (F.when(i > 1, F.array(_entry(t, _token(F.get(state, i - 2)), new)))
+                          .otherwise(F.slice(state, F.lit(1), F.lit(0))))
+                own = (F.when(i + 1 < F.size(state), _entry(t, new, _token(F.get(state, i + 1))))
+                       .otherwise(new + F.lit(NONE)))
+                return F.flatten(F.array(F.slice(state, F.lit(1), F.greatest(i - 2, F.lit(0))), before, F.array(own),
+                                         F.slice(state, i + 2, F.lit(_REST))))
 
-                least = F.get(state, i - 1)
-                rank = F.shiftright(least, BASE.bit_length() - 1).cast("int")
-                return F.when(least >= F.lit(NONE), state).otherwise(_let(rank, merged))
+            place = F.array_position(state, least).cast("int")
+            return F.when(least >= F.lit(NONE), state).otherwise(_let(place, at))
+
+        return _let(F.array_min(state), merged)
+
+    return F.transform(F.aggregate(F.sequence(F.lit(2), F.greatest(most, F.lit(2))), entries, step), _token)
+
+
+def _each(words: Column, path: str, one) -> Column:
+    """``one(table, word)`` of each item of an array."""
+    return (F.when(F.size(words) == 0, F.array().cast("array<array<int>>"))
+            .otherwise(_let(_table(path), lambda t: F.transform(words, lambda w: one(t, w)))))
+
+
+def encode_words(words: Column, path: str) -> Column:
+    """Token ids (array of arrays of int) of an array of words that are not empty. A word of n bytes takes up
+    to n - 1 steps, each copying what is left of it: a run of 20,000 letters without a break takes seconds."""
 
-            return _let(F.array_position(state, F.array_min(state)).cast("int"), at)
+    def one(t: Column, word: Column) -> Column:
+        letters = F.split(F.decode(F.encode(word, "utf-8"), "ISO-8859-1"), "")
+        ids = F.transform(letters, lambda c: F.get(t["first"], F.ascii(c)))
 
-        def one(word: Column) -> Column:
-            letters = F.split(F.decode(F.encode(word, "utf-8"), "ISO-8859-1"), "")
-            ids = F.transform(letters, lambda c: F.get(t["first"], F.ascii(c)))
+        def entries_of(p: Column) -> Column:
+            return F.zip_with(p, F.slice(p, F.lit(2), F.lit(_REST)),
+                              lambda a, b: F.when(b.isNull(), a + F.lit(NONE)).otherwise(_entry(t, a, b)))
 
-            def entries_of(p: Column) -> Column:
-                return F.zip_with(p, F.slice(p, F.lit(2), rest),
-                                  lambda a, b: F.when(b.isNull(), a + F.lit(NONE)).otherwise(entry(a, b)))
+        return _fold(t, _let(ids, entries_of), F.octet_length(word))
 
-            steps = F.sequence(F.lit(2), F.greatest(F.octet_length(word), F.lit(2)))
-            return F.transform(F.aggregate(steps, _let(ids, entries_of), step), _token)
+    return _each(words, path, one)
 
-        return F.transform(words, one)
 
-    return F.when(F.size(words) == 0, F.array().cast("array<array<int>>")).otherwise(_let(table, in_table))
+def encode_entries(words: Column, path: str) -> Column:
+    """``encode_words`` of words that are given as the entries of their tokens (``Certain.words``)."""
+    return _each(words, path, lambda t, entries: _fold(t, entries, F.size(entries)))
 
 
 class _Known:
@@ -204,14 +301,18 @@ class _Known:
 
     @cached_property
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all codes end to end, their starts, their numbers): made by the tasks that put ids in order alone."""
-        size, ends = len(self.pieces), self.ids.offsets.to_numpy().astype(np.int64)
-        return (np.concatenate([np.arange(size), self.ids.flatten().to_numpy().astype(np.int64)]),
-                np.concatenate([np.arange(size), ends[:-1] - ends[0] + size]), np.concatenate([np.ones(size, np.int64), np.diff(ends)]))
+        """(ids of all codes end to end, their starts, their numbers): made by the tasks that put ids in order alone.
+        A worker takes either kind of task in turn and lets go of what the other kind needs."""
+        self.__dict__.pop("codes", None)
+        size, ends = len(self.pieces), self.ids.offsets.to_numpy()
+        return (np.concatenate([np.arange(size, dtype=np.int32), self.ids.flatten().to_numpy()]),
+                np.concatenate([np.arange(size), ends[:-1].astype(np.int64) - ends[0] + size]),
+                np.concatenate([np.ones(size, np.int32), np.diff(ends)]))
 
     @cached_property
     def codes(self) -> dict[str, int]:
         """Made by the tasks that number words alone; those that put ids in order go without."""
+        self.__dict__.pop("tables", None)
         r = ranks(self.path)
         codes = dict(r.whole)
         for i, w in enumerate(self.words.to_pylist(), r.size):
@@ -253,8 +354,8 @@ class _Numbers(dict):
 
 
 _SLICES = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("codes", pa.binary()),
-                     ("held", pa.int64()), ("rare", pa.list_(pa.string()))])
-_SLICES_DDL = "doc_ids array<long>, n_words array<long>, codes binary, held long, rare array<string>"
+                     ("held", pa.int64()), ("rare", pa.list_(pa.list_(pa.int64())))])
+_SLICES_DDL = "doc_ids array<long>, n_words array<long>, codes binary, held long, rare array<array<long>>"
 
 
 def _sample_words(docs: DataFrame, path: str) -> DataFrame:
@@ -299,6 +400,7 @@ def _broadcast_known(docs: DataFrame, path: str):
 def _coded(docs: DataFrame, path: str, sent) -> DataFrame:
     """Slices: their documents, the codes of all words in order, and the ids of the words that were not known. Codes may
     stand for words of the ``held`` ones that came with earlier slices of the task (0: it begins anew)."""
+    merges = docs.sparkSession.sparkContext.broadcast(certain(path))
 
     def number(batches):
         known, numbers = _known(path, sent), None
@@ -314,11 +416,11 @@ def _coded(docs: DataFrame, path: str, sent) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
                  pa.array([np.concatenate(codes).tobytes()], pa.binary()), pa.array([numbers.held], pa.int64()),
-                 pa.array([numbers.rare], pa.list_(pa.string()))],
+                 pa.ListArray.from_arrays(pa.array([0, len(numbers.rare)], pa.int32()), merges.value.words(numbers.rare))],
                 schema=_SLICES)
 
     return (docs.mapInArrow(number, _SLICES_DDL)
-            .select("doc_ids", "n_words", "codes", "held", encode_words(F.col("rare"), path).alias("rare_ids")))
+            .select("doc_ids", "n_words", "codes", "held", encode_entries(F.col("rare"), path).alias("rare_ids")))
 
 
 def _documents(batches, known: _Known):
@@ -332,9 +434,9 @@ def _documents(batches, known: _Known):
             if len(sizes) - known.count != held.as_py():
                 raise ValueError("a slice came without those before it")
             rare = rare.values
-            ends = rare.offsets.to_numpy().astype(np.int64)
-            starts = np.concatenate([starts, ends[:-1] - ends[0] + len(values)])
-            values = np.concatenate([values, rare.flatten().to_numpy().astype(np.int64)])
+            ends = rare.offsets.to_numpy()
+            starts = np.concatenate([starts, ends[:-1].astype(np.int64) - ends[0] + len(values)])
+            values = np.concatenate([values, rare.flatten().to_numpy()])
             sizes = np.concatenate([sizes, np.diff(ends)])
             words = np.frombuffer(codes.as_buffer(), np.uint32)
             n = sizes[words]
