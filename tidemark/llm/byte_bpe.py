@@ -44,6 +44,8 @@ KNOWN_WORDS = 400_000
 HELD_WORDS = 200_000
 #: characters of the sample they come from, about
 SAMPLE_CHARS = 64_000_000
+#: documents of a slice: its row is held whole in the JVM, with what its fold leaves behind
+CODED_DOCS = 100
 #: words whose certain merges are made at once
 CERTAIN_WORDS = 10_000
 #: a token's place in a packed entry; the rank of its merge with the next token stands above it
@@ -329,7 +331,8 @@ def _known(path: str, sent) -> _Known:
     if key not in _HELD:
         _HELD.clear()
         words, ids = pa.ipc.open_stream(sent.value[1]).read_all().columns
-        _HELD[key] = _Known(path, words.combine_chunks(), ids.combine_chunks())
+        # one batch, as it was sent, is read in place
+        _HELD[key] = _Known(path, *(c.chunk(0) if c.num_chunks == 1 else c.combine_chunks() for c in (words, ids)))
     return _HELD[key]
 
 
@@ -389,7 +392,7 @@ def _broadcast_known(docs: DataFrame, path: str):
         least = r["n"]
     chosen = words.where(F.col("n") >= F.lit(least)) if least is not None else words.limit(0)
     known = chosen.select("word", F.get(encode_words(F.array("word"), path), F.lit(0)).alias("ids")).toArrow()
-    known = known.cast(pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))]))
+    known = known.cast(pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))])).combine_chunks()
     out = pa.BufferOutputStream()
     with pa.ipc.new_stream(out, known.schema) as w:
         w.write_table(known)
@@ -404,7 +407,7 @@ def _coded(docs: DataFrame, path: str, sent) -> DataFrame:
 
     def number(batches):
         known, numbers = _known(path, sent), None
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, CODED_DOCS):
             if numbers is None or len(numbers) > HELD_WORDS:
                 numbers = _Numbers(known)
             numbers.next_slice()
@@ -434,15 +437,18 @@ def _documents(batches, known: _Known):
             if len(sizes) - known.count != held.as_py():
                 raise ValueError("a slice came without those before it")
             rare = rare.values
-            ends = rare.offsets.to_numpy()
-            starts = np.concatenate([starts, ends[:-1].astype(np.int64) - ends[0] + len(values)])
+            places = rare.offsets.to_numpy()
+            starts = np.concatenate([starts, places[:-1].astype(np.int64) - places[0] + len(values)])
             values = np.concatenate([values, rare.flatten().to_numpy()])
-            sizes = np.concatenate([sizes, np.diff(ends)])
+            sizes = np.concatenate([sizes, np.diff(places)])
             words = np.frombuffer(codes.as_buffer(), np.uint32)
             n = sizes[words]
             after = np.concatenate([[0], np.cumsum(n)])
-            ids = values[np.repeat(starts[words] - after[:-1], n) + np.arange(after[-1])]
-            yield doc_ids.as_py(), ids, after[np.cumsum([0, *n_words.as_py()])]
+            at = np.repeat(starts[words] - after[:-1], n)
+            at += np.arange(after[-1])
+            ids, ends = values[at], after[np.cumsum([0, *n_words.as_py()])]
+            del words, n, after, at
+            yield doc_ids.as_py(), ids, ends
 
 
 def _per_document(docs: DataFrame, path: str | None, make, schema: str) -> DataFrame:
